@@ -118,18 +118,22 @@ def keyword_hits(text: Column, terms: dict[str, list[str]]) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
 
 
-def keyword_choice(hits: Column, terms: dict[str, list[str]], fallback: str = "other") -> Column:
-    """(choice, confidence) from the words found: the class with most hits, the first one on a
-    tie, ``fallback`` without any hit; the confidence is its share of all hits."""
+def keyword_counts(hits: Column, terms: dict[str, list[str]]) -> list[Column]:
+    """Per class the number of its words among the hits."""
 
     def count(words: list[str]) -> Column:
         return F.size(F.filter(hits, lambda word: word.isin(words)))
 
-    counts = {name: count(words) for name, words in terms.items()}
-    top = F.greatest(*counts.values()) if len(counts) > 1 else next(iter(counts.values()))
-    total = reduce(add, counts.values())
+    return [count(words) for words in terms.values()]
+
+
+def keyword_choice(counts: dict[str, Column], fallback: str = "other") -> list[Column]:
+    """choice and confidence from the counts: the class with most hits, the first one on a tie,
+    ``fallback`` without any hit; the confidence is its share of all hits."""
+    top = F.greatest(*counts.values(), F.lit(0))
     choice = F.coalesce(
-        *[F.when((n == top) & (top > 0), F.lit(name)) for name, n in counts.items()],
+        *[F.when((n == top) & (n > 0), F.lit(name)) for name, n in counts.items()],
         F.lit(fallback),
     )
-    return F.struct(choice.alias("choice"), ratio(top, total).alias("confidence"))
+    confidence = ratio(top, reduce(add, counts.values()))
+    return [choice.alias("choice"), confidence.alias("confidence")]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from triagelake.functions.columns import ratio
 from triagelake.functions.fixed import CLASSES, ERRORS_SHOWN, WEAK_CLASSES
@@ -123,75 +124,83 @@ def confusion_wide(
     )
 
 
-def accuracy(pairs: DataFrame, by: list[str] = (), actual: list[str] = CLASSES) -> DataFrame:
-    """(by..., correct, total, unexpected, accuracy) over pairs with a known actual class.
+def _sum_if(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
-    Predictions outside ``actual`` count as wrong and are shown as ``unexpected`` too.
-    """
-    known = pairs.where(F.col("actual").isin(actual))
-    same = F.col("actual") == F.col("predicted")
-    strange = ~F.col("predicted").isin(actual)
+
+def _totals(pairs: DataFrame, by: list[str], classes: list[str]) -> DataFrame:
+    """Per group one row with the sums all metrics come from: (tp, row, column) of each class
+    as ``_classes`` and correct, total, unexpected. One grouping of the pairs, no joins."""
+    actual, predicted = F.col("actual"), F.col("predicted")
+    known = pairs.where(actual.isin(classes))
+    per_class = [
+        F.struct(
+            F.lit(c).alias("class"),
+            _sum_if((actual == c) & (predicted == c)).alias("tp"),
+            _sum_if(actual == c).alias("row"),
+            _sum_if(predicted == c).alias("column"),
+        )
+        for c in classes
+    ]
     sums = [
-        F.coalesce(F.sum(F.when(same, F.col("n"))), F.lit(0)).alias("correct"),
+        F.array(*per_class).alias("_classes"),
+        _sum_if(actual == predicted).alias("correct"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(strange, F.col("n"))), F.lit(0)).alias("unexpected"),
+        _sum_if(~predicted.isin(classes)).alias("unexpected"),
     ]
-    counted = known.groupBy(*by).agg(*sums) if by else known.agg(*sums)
-    share = F.when(F.col("total") > 0, F.col("correct") / F.col("total"))
-    return counted.select(*by, "correct", "total", "unexpected", share.alias("accuracy"))
+    return known.groupBy(*by).agg(*sums) if by else known.agg(*sums)
 
 
-def class_metrics(pairs: DataFrame, by: list[str] = (), classes: list[str] = CLASSES) -> DataFrame:
-    """(by..., class, tp, fp, fn, precision, recall, f1), 0 where undefined.
+def _f1(entry: Column) -> Column:
+    p = ratio(entry["tp"], entry["column"])
+    r = ratio(entry["tp"], entry["row"])
+    return ratio(2 * p * r, p + r)
 
-    Every pair adds to the row of its actual class and to the column of its predicted class, so
-    one grouping gives all counts; the input is at most a matrix of classes.
+
+def _accuracy() -> Column:
+    return F.when(F.col("total") > 0, F.col("correct") / F.col("total")).alias("accuracy")
+
+
+def accuracy(pairs: DataFrame, by: list[str] = (), actual: list[str] = CLASSES) -> DataFrame:
+    """(by..., correct, total, unexpected, accuracy) over pairs with a known actual class.
+
+    Predictions outside ``actual`` count as wrong and are shown as ``unexpected`` too.
     """
-    known = pairs.where(F.col("actual").isin(classes))
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
-    sides = known.select(
-        *by,
-        F.inline(
-            F.array(
-                F.struct(F.col("actual").alias("class"), hit.alias("tp"),
-                         F.lit(0).alias("fp"), (F.col("n") - hit).alias("fn")),
-                F.struct(F.col("predicted").alias("class"), F.lit(0).alias("tp"),
-                         (F.col("n") - hit).alias("fp"), F.lit(0).alias("fn")),
-            )
-        ),
+    return _totals(pairs, by, actual).select(
+        *by, "correct", "total", "unexpected", _accuracy()
     )
-    names = literal_table(
-        pairs.sparkSession, T.StructType([T.StructField("class", T.StringType())]),
-        [(c,) for c in classes],
-    )
-    if by:  # classes without a pair still get a row of zeros for each group
-        groups = known.select(*by).distinct()
-        every = F.explode(F.array(*[F.lit(c) for c in classes])).alias("class")
-        names = groups.select(*by, every)
-    counted = (
-        names.join(sides, [*by, "class"], "left")
-        .groupBy(*by, "class")
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "fp", "fn")])
+
+
+def class_metrics(pairs: DataFrame, by: list[str] = (), classes: list[str] = CLASSES) -> DataFrame:
+    """(by..., class, tp, fp, fn, precision, recall, f1) of every class, 0 where undefined."""
+    rows = _totals(pairs, by, classes).select(*by, F.explode("_classes").alias("c"))
+    c = F.col("c")
+    return rows.select(
+        *by,
+        c["class"].alias("class"),
+        c["tp"].alias("tp"),
+        (c["column"] - c["tp"]).alias("fp"),
+        (c["row"] - c["tp"]).alias("fn"),
+        ratio(c["tp"], c["column"]).alias("precision"),
+        ratio(c["tp"], c["row"]).alias("recall"),
+        _f1(c).alias("f1"),
     )
-    p = ratio(F.col("tp"), F.col("tp") + F.col("fp"))
-    r = ratio(F.col("tp"), F.col("tp") + F.col("fn"))
-    rated = counted.select(*by, "class", "tp", "fp", "fn", p.alias("precision"), r.alias("recall"))
-    f1 = ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-    return rated.select("*", f1.alias("f1"))
-
-
-def macro_f1(metrics: DataFrame, by: list[str] = (), classes: list[str] = CLASSES) -> DataFrame:
-    """(by..., macro_f1): the plain mean of the F1 of ``classes``."""
-    chosen = metrics.where(F.col("class").isin(classes))
-    # Added in the order of the class list: a sum of doubles depends on its order.
-    each = [
-        F.coalesce(F.max(F.when(F.col("class") == c, F.col("f1"))), F.lit(0.0)) for c in classes
-    ]
-    total = each[0]
-    for value in each[1:]:
-        total = total + value
-    mean = (total / len(classes)).alias("macro_f1")
-    return chosen.groupBy(*by).agg(mean) if by else chosen.agg(mean)
+
+
+def _mean_f1(classes: list[str]) -> Column:
+    """Mean F1 of ``_classes``, added in the order of the class list: sums of doubles depend
+    on their order."""
+    chosen = F.filter("_classes", lambda c: c["class"].isin(classes))
+    total = F.aggregate(chosen, F.lit(0.0), lambda acc, c: acc + _f1(c))
+    return (total / len(classes)).alias("macro_f1")
+
+
+def macro_f1(
+    pairs: DataFrame, by: list[str] = (), classes: list[str] = CLASSES,
+    averaged: list[str] | None = None,
+) -> DataFrame:
+    """(by..., macro_f1): the plain mean of the F1 of ``averaged`` (by default all ``classes``)."""
+    return _totals(pairs, by, classes).select(*by, _mean_f1(averaged or classes))
 
 
 def token_stats(predictions: DataFrame) -> DataFrame:
@@ -215,21 +224,17 @@ def compare_versions(
     ``accepted`` tells whether a version beats ``baseline`` in both; NULL for it itself.
     """
     by = ["classifier_version"]
-    pairs = label_pairs(gold, predictions, actual, by)
-    acc = accuracy(pairs, by, classes)
-    f1 = macro_f1(class_metrics(pairs, by, classes), by, classes)
-    rated = acc.join(f1, by)
-    # One row per classifier version from here on.
-    base = rated.where(F.col("classifier_version") == baseline).select(
-        F.col("accuracy").alias("_accuracy"), F.col("macro_f1").alias("_macro_f1")
-    )
-    better = (F.col("accuracy") > base.select("_accuracy").scalar()) & (
-        F.col("macro_f1") > base.select("_macro_f1").scalar()
-    )
-    accepted = F.when(F.col("classifier_version") != baseline, better)
-    return rated.select(
-        "classifier_version", "correct", "total", "accuracy", "macro_f1", accepted.alias("accepted")
+    rated = _totals(label_pairs(gold, predictions, actual, by), by, classes).select(
+        *by, "correct", "total", _accuracy(), _mean_f1(classes)
     )
+    every = Window.partitionBy()  # one row per classifier version
+    is_base = F.col("classifier_version") == baseline
+
+    def beats(column: str) -> Column:
+        return F.col(column) > F.max(F.when(is_base, F.col(column))).over(every)
+
+    accepted = F.when(~is_base, beats("accuracy") & beats("macro_f1"))
+    return rated.withColumn("accepted", accepted)
 
 
 def _of_version(classifications: DataFrame, version: str | None) -> DataFrame:

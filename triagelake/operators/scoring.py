@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from triagelake.functions.columns import (
     estimated_tokens,
     keyword_choice,
+    keyword_counts,
     keyword_hits,
     parsed_response,
     scoring_request,
@@ -29,10 +30,16 @@ def keyword_score(
 ) -> DataFrame:
     """Add choice, confidence and input_tokens with column expressions only."""
     kept = df.columns
-    hits = df.select(*kept, keyword_hits(F.col(text), terms).alias("_hits"))
-    return hits.select(
-        *kept, keyword_choice(F.col("_hits"), terms, fallback).alias("_score")
-    ).select(*kept, "_score.*", estimated_tokens(F.col(text)).alias("input_tokens"))
+    tokens = estimated_tokens(F.col(text)).alias("input_tokens")
+    # One step each for words, counts and choice: none is computed twice.
+    hits = df.select(*kept, tokens, keyword_hits(F.col(text), terms).alias("_hits"))
+    names = {name: f"_n{i}" for i, name in enumerate(terms)}
+    counts = keyword_counts(F.col("_hits"), terms)
+    counted = hits.select(
+        *kept, "input_tokens", *[n.alias(c) for n, c in zip(counts, names.values())]
+    )
+    chosen = keyword_choice({name: F.col(c) for name, c in names.items()}, fallback)
+    return counted.select(*kept, *chosen, "input_tokens")
 
 
 def keyword_scorer(terms: dict[str, list[str]], fallback: str = "other") -> ScorerFactory:

@@ -401,8 +401,7 @@ def class_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def macro_f1(spark: SparkSession, sf: str) -> DataFrame:
-    rated = metrics.class_metrics(_pairs(spark, sf), classes=m.LANGUAGES)
-    return metrics.macro_f1(rated, classes=m.LANGUAGES)
+    return metrics.macro_f1(_pairs(spark, sf), classes=m.LANGUAGES)
 
 
 def token_stats(spark: SparkSession, sf: str) -> DataFrame:
