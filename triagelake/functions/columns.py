@@ -25,8 +25,11 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def exact_sum(column: Column) -> Column:
-    """SUM of doubles as decimals: the result does not depend on the order of the rows."""
-    return F.sum(column.cast("decimal(28,12)")).cast("double")
+    """SUM of doubles as decimals: the result does not depend on the order of the rows. NaN and
+    infinite values, which no decimal holds, give what SUM gives."""
+    finite = ~F.isnan(column) & (F.abs(column) < F.lit(float("inf")))
+    total = F.sum(F.when(finite, column).cast("decimal(28,12)")).cast("double")
+    return F.when(F.bool_and(finite), total).otherwise(F.sum(column))
 
 
 def any_of(conditions: list[Column]) -> Column:

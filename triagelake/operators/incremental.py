@@ -13,25 +13,32 @@ from triagelake.session import literal_table, materialise
 
 
 def pending(
-    issues: DataFrame, classifications: DataFrame, version: str, limit: int | None = None
+    issues: DataFrame, classifications: DataFrame, version: str, limit: int | None = None,
+    columns: list[str] = ("id", "title", "body", "updated_at"),
 ) -> DataFrame:
     """Records without a classification, changed since theirs, or scored by another version.
 
-    The classifications side is three narrow columns. With both tables bucketed by id
-    (``save_bucketed``) the join reads matching buckets and nothing is shuffled.
+    A record is listed once per classification that is out of date. Classifications are counted
+    per (record, update time) before the join, all other versions as one, so an id with very
+    many of them meets its record as a few counts. With both tables bucketed by id
+    (``save_bucketed``) neither the counting nor the join shuffles.
     """
-    i = issues.select("id", "title", "body", "updated_at").alias("i")
-    c = classifications.select("issue_id", "issue_updated_at", "classifier_version").alias("c")
-    open_rows = (
-        i.join(c, F.col("i.id") == F.col("c.issue_id"), "left")
-        .where(
-            F.col("c.issue_id").isNull()
-            | ~F.col("c.issue_updated_at").eqNullSafe(F.col("i.updated_at"))
-            | ~F.col("c.classifier_version").eqNullSafe(F.lit(version))
-        )
-        .select("i.*")
+    current = F.col("classifier_version").eqNullSafe(F.lit(version))
+    seen = classifications.groupBy(
+        "issue_id", F.when(current, F.struct("issue_updated_at")).alias("_stamp")
+    ).agg(F.count("*").alias("_n"))
+    up_to_date = F.col("_stamp.issue_updated_at").eqNullSafe(F.col("updated_at"))
+    found = (
+        issues.select(*dict.fromkeys([*columns, "id", "updated_at"]))
+        .join(seen, F.col("id") == F.col("issue_id"), "left")
+        .where(F.col("issue_id").isNull() | F.col("_stamp").isNull() | ~up_to_date)
     )
-    return open_rows if limit is None else open_rows.orderBy(F.col("id").asc_nulls_last()).limit(limit)
+    if limit is not None:
+        found = found.orderBy(F.col("id").asc_nulls_last()).limit(limit)
+    listed = found.select(
+        *columns, F.explode(F.array_repeat(F.lit(0), F.coalesce("_n", F.lit(1)).cast("int")))
+    ).drop("col")
+    return listed if limit is None else listed.orderBy(F.col("id").asc_nulls_last()).limit(limit)
 
 
 def unscored(rows: DataFrame, done: DataFrame, version: str | None = None) -> DataFrame:
@@ -50,36 +57,59 @@ def recorded_spend(usage: DataFrame, version: str) -> DataFrame:
     )
 
 
-def admit_within_budget(
-    rows: DataFrame,
-    tokens: Column,
+def budget_cut(
+    costs: DataFrame,
     version: str,
     usage: DataFrame | None = None,
     cap: float = MAX_COST_USD,
     reserve: float = RESERVE_USD,
     price: float = PRICE_PER_MILLION_TOKENS,
     key: str = "id",
-) -> DataFrame:
-    """The rows, in ``key`` order, started while spend so far is below ``cap - reserve``.
+) -> Column:
+    """The last key, in key order, started while spend so far is below ``cap - reserve``.
 
-    ``tokens`` (integers, not negative) is the cost of a row before it is scored. Texts are read
-    once for it; afterwards only (key, tokens) pairs are ranged and totalled, and the answer is
-    one key, which the scan of ``rows`` can be filtered by.
+    ``costs`` has columns ``key`` and ``tokens`` (integers, not negative; rows of equal key are
+    admitted together). It is evaluated once; the pairs are then ranged and totalled. The result
+    is a scalar subquery: NULL when nothing is admitted.
     """
-    spark = rows.sparkSession
     if usage is None:
-        usage = literal_table(spark, USAGE, [])
-    narrow = materialise(
-        rows.select(F.lit(version).alias("classifier_version"), key, tokens.alias("_tokens"))
-    )
-    spent_before = lambda before: F.col("spent") + before * F.lit(price) / F.lit(1e6)
+        usage = literal_table(costs.sparkSession, USAGE, [])
+    narrow = materialise(costs.select(F.lit(version).alias("classifier_version"), key, "tokens"))
+
+    def affordable(before: Column) -> Column:
+        spent = F.col("spent") + before * F.lit(price) / F.lit(1e6)
+        return spent < F.lit(cap) - F.lit(reserve)
+
     cut = running_total_cut(
         narrow,
         ["classifier_version"],
         [key],
-        F.col("_tokens"),
-        lambda before: spent_before(before) < F.lit(cap) - F.lit(reserve),
+        F.col("tokens"),
+        affordable,
         recorded_spend(usage, version),
         groups=1,
     )
-    return rows.where(F.col(key) <= cut.select(f"cut.{key}").scalar())
+    return cut.select(f"cut.{key}").scalar()
+
+
+def admit_within_budget(
+    rows: DataFrame, tokens: Column, version: str, key: str = "id", **budget
+) -> DataFrame:
+    """The rows, in ``key`` order, that the budget admits; ``tokens`` is the cost of a row before
+    it is scored. Texts are read once for the costs; the cut then filters the scan."""
+    costs = rows.select(key, tokens.alias("tokens"))
+    return rows.where(F.col(key) <= budget_cut(costs, version, key=key, **budget))
+
+
+def admitted_pending(
+    issues: DataFrame, classifications: DataFrame, version: str, tokens: Column, **budget
+) -> DataFrame:
+    """Pending records the budget admits.
+
+    Costs are taken at the scan, so the texts of pending records do not pass the first join;
+    the second one receives only records up to the cut.
+    """
+    sized = issues.select("id", "updated_at", tokens.alias("tokens"))
+    costs = pending(sized, classifications, version, columns=["id", "tokens"])
+    cut = budget_cut(costs, version, **budget)
+    return pending(issues.where(F.col("id") <= cut), classifications, version)

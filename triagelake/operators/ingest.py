@@ -54,14 +54,16 @@ def normalise(raw: DataFrame) -> DataFrame:
     )
 
 
-def latest_per_key(rows: DataFrame, keys: list[str], newest: str = "updated_at") -> DataFrame:
-    """One row per key, the newest; equal ones are told apart by their content.
+def latest_per_key(
+    rows: DataFrame, keys: list[str], newest: list[str] = ("updated_at",)
+) -> DataFrame:
+    """One row per key, the greatest by ``newest``; equal ones are told apart by their content.
 
     An aggregate, not a window: copies are dropped before the shuffle, so a key with very
     many copies does not end up as one big group.
     """
-    rest = [c for c in rows.columns if c not in keys and c != newest]
-    best = F.max(F.struct(newest, *rest)).alias("_row")
+    rest = [c for c in rows.columns if c not in keys and c not in newest]
+    best = F.max(F.struct(*newest, *rest)).alias("_row")
     return rows.groupBy(*keys).agg(best).select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}") for c in rows.columns]
     )
@@ -72,10 +74,14 @@ def existing_counts(stored: DataFrame) -> DataFrame:
     return stored.groupBy("repo").agg(F.countDistinct("id").alias("n"))
 
 
+def _keys(rows: DataFrame) -> DataFrame:
+    return rows.select("repo", "id")
+
+
 def new_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """One row per incoming key that is not stored yet."""
-    known = stored.select("repo", "id").distinct()
-    return latest_per_key(incoming, ["repo", "id"]).join(known, ["repo", "id"], "left_anti")
+    """One row per incoming key that is not stored yet, the newest copy of it."""
+    rows = latest_per_key(incoming, ["repo", "id"], ["created_at", "updated_at"])
+    return rows.join(_keys(stored), ["repo", "id"], "left_anti")
 
 
 def refreshed(incoming: DataFrame, stored: DataFrame) -> DataFrame:
@@ -83,27 +89,16 @@ def refreshed(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return latest_per_key(stored.unionByName(incoming), ["repo", "id"])
 
 
-def capped(
-    candidates: DataFrame,
-    stored_counts: DataFrame,
-    repo_caps: dict[str, int] = REPO_CAPS,
-    total_cap: int = TOTAL_CAP,
+def _takes(
+    available: DataFrame, stored_counts: DataFrame, repo_caps: dict[str, int], total_cap: int
 ) -> DataFrame:
-    """The newest candidates of each repository its cap and the overall cap leave room for.
-
-    The overall cap is used up in the order of ``repo_caps``; repositories it does not name
-    are not collected. Per repository the caps come down to one number, so the candidates are
-    cut by key instead of being ranked: only (repo, created_at, id) is ranged and counted.
-    """
+    """(repo, _take): how many records the caps leave room for, one row per named repository."""
     caps = literal_table(
-        candidates.sparkSession,
+        available.sparkSession,
         _CAPS,
         [(repo, place, cap) for place, (repo, cap) in enumerate(repo_caps.items())],
     )
-    narrow = materialise(candidates.select("repo", "created_at", (-F.col("id")).alias("_id")))
-    repos = len(repo_caps)
-    counts = narrow.groupBy("repo").agg(F.count("*").alias("_available"))
-    # Window over the parameter rows only: one per repository named in repo_caps.
+    # Windows over the parameter rows only.
     earlier = Window.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     want = F.greatest(F.lit(0), F.least(F.col("_cap") - F.col("_have"), F.col("_available")))
     room = (
@@ -111,28 +106,14 @@ def capped(
         - F.sum("_have").over(Window.partitionBy())
         - F.coalesce(F.sum("_want").over(earlier), F.lit(0))
     )
-    take = (
+    return (
         caps.join(stored_counts.withColumnRenamed("n", "_have"), "repo", "left")
-        .join(counts, "repo", "left")
+        .join(available, "repo", "left")
         .na.fill(0, ["_have", "_available"])
         .withColumn("_want", want)
         .withColumn("_take", F.greatest(F.lit(0), F.least(F.col("_want"), room)))
         .select("repo", "_take")
     )
-    cut = running_total_cut(
-        narrow,
-        ["repo"],
-        ["created_at", "_id"],
-        F.lit(1),
-        lambda before: before < F.col("_take"),
-        take,
-        groups=repos,
-        descending=True,
-    )
-    place = F.struct(F.col("created_at"), (-F.col("id")).alias("_id"))
-    return candidates.join(bounded(cut, repos), "repo").where(place >= F.col("cut")).select(
-        *candidates.columns
-    )
 
 
 def ingest(
@@ -140,7 +121,35 @@ def ingest(
     stored: DataFrame,
     repo_caps: dict[str, int] = REPO_CAPS,
     total_cap: int = TOTAL_CAP,
+    stored_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """The records to append: new, without copies, newest first under both caps."""
+    """The records to append: new, without copies, newest first under both caps.
+
+    The overall cap is used up in the order of ``repo_caps``; repositories it does not name are
+    not collected. Per repository the caps come down to one number of records, and that to the
+    key of the last one taken. The keys alone are deduplicated, ranged and counted for it;
+    of the records themselves only those up to the cut are shuffled.
+    """
+    repos = len(repo_caps)
     wanted = incoming.where(F.col("repo").isin(list(repo_caps)))
-    return capped(new_records(wanted, stored), existing_counts(stored), repo_caps, total_cap)
+    fresh = (
+        wanted.groupBy("repo", "id")
+        .agg(F.max("created_at").alias("created_at"))
+        .join(_keys(stored), ["repo", "id"], "left_anti")
+    )
+    newest = materialise(fresh.select("repo", "created_at", (-F.col("id")).alias("_id")))
+    available = newest.groupBy("repo").agg(F.count("*").alias("_available"))
+    have = existing_counts(stored) if stored_counts is None else stored_counts
+    cut = running_total_cut(
+        newest,
+        ["repo"],
+        ["created_at", "_id"],
+        F.lit(1),
+        lambda before: before < F.col("_take"),
+        _takes(available, have, repo_caps, total_cap),
+        groups=repos,
+        descending=True,
+    )
+    place = F.struct(F.col("created_at"), (-F.col("id")).alias("_id"))
+    taken = wanted.join(bounded(cut, repos), "repo").where(place >= F.col("cut"))
+    return new_records(taken.select(*incoming.columns), stored)

@@ -348,6 +348,21 @@ costs AS (
     + """,
 costs AS (SELECT o_orderkey AS id, CAST(floor(o_totalprice) AS bigint) AS input_tokens FROM orders),"""
     + _admitted("costs", SPENT, **q.ORDER_BUDGET),
+    "admitted_pending": CLASSIFICATIONS
+    + ", waiting AS ("
+    + _pending("issues", "classifications", m.VERSION)
+    + """),
+costs AS (
+  SELECT id, CAST(floor(length(substr(body, 1, 4000)) / 4) + 1 AS integer) AS input_tokens FROM waiting
+),
+admitted AS ("""
+    + _admitted(
+        "costs",
+        f"""SELECT coalesce(CAST(sum(CAST(estimated_cost_usd AS decimal(28, 12))) AS double), 0.0e0)
+  FROM classifications WHERE classifier_version = '{m.VERSION}'""",
+        **q.PENDING_BUDGET,
+    ).replace("running AS (", "WITH running AS (", 1)
+    + ") SELECT * FROM waiting WHERE id IN (SELECT id FROM admitted)",
     "keyword_score": SCORED + " SELECT issue_id, choice, confidence, input_tokens FROM scored",
     "scoring_response": SCORED + " SELECT issue_id, choice, confidence, input_tokens FROM scored",
     "batch_score": "WITH documents_body AS (SELECT doc_id AS issue_id, substr(text, 1, 4000) AS body FROM documents),"

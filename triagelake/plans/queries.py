@@ -43,6 +43,7 @@ LINE_VERSION = "F"
 LINE_CLASSES = ["A", "N"]
 LOW, EXAMPLES = 0.6, 10
 BUDGET = {"cap": 0.0095, "reserve": 0.002}
+PENDING_BUDGET = {"cap": 0.0200, "reserve": 0.002}
 ORDER_BUDGET = {"cap": 100.0, "reserve": 5.0}
 ORDER_CAPS = {
     "1-URGENT": 4_000,
@@ -119,17 +120,18 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def score_stream(spark: SparkSession, sf: str) -> DataFrame:
-    source, state = scratch_path(spark, "issues"), scratch_path(spark, "state")
+    source, scored = scratch_path(spark, "issues"), scratch_path(spark, "scored")
     m.issues(spark, sf).write.parquet(source)
 
     def classify(rows: DataFrame) -> DataFrame:
         return score(rows, keyword_scorer(m.TERMS[V]), V, m.MODEL, CRITERIA[V], m.now())
 
     streams.score_stream(
-        spark.readStream.schema(ISSUE).parquet(source), classify, state,
-        scratch_path(spark, "usage"), scratch_path(spark, "offsets"), "first", V,
+        spark.readStream.schema(ISSUE).parquet(source), classify, scored,
+        scratch_path(spark, "offsets"), "first", V,
     ).awaitTermination()
-    return tables.read_snapshot(spark, f"{state}/current", CLASSIFICATION).drop("classified_at")
+    state = streams.current_state(tables.read_ledger(spark, scored, CLASSIFICATION))
+    return state.drop("classified_at")
 
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,10 +218,19 @@ def budget_admit_orders(spark: SparkSession, sf: str) -> DataFrame:
     rows = m.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice")
     spent = m.line_classifications(spark, sf).where(F.col("issue_type") == "R")
     tokens = F.floor("o_totalprice")
-    admitted = incremental.admit_within_budget(rows, tokens, LINE_VERSION, spent, **ORDER_BUDGET)
+    admitted = incremental.admit_within_budget(
+        rows, tokens, LINE_VERSION, usage=spent, **ORDER_BUDGET
+    )
     return admitted.select("id", tokens.alias("input_tokens"))
 
 
+def admitted_pending(spark: SparkSession, sf: str) -> DataFrame:
+    state = m.classifications(spark, sf)
+    return incremental.admitted_pending(
+        m.issues(spark, sf), state, V, estimated_tokens(F.col("body")), usage=usage_rows(state), **PENDING_BUDGET
+    )
+
+
 def native_keyword_score(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(spark, sf)
 
@@ -478,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "resume_pending": resume_pending,
     "budget_admit": budget_admit,
     "budget_admit_orders": budget_admit_orders,
+    "admitted_pending": admitted_pending,
     "keyword_score": native_keyword_score,
     "batch_score": batch_score,
     "scoring_request": request_parts,

@@ -15,22 +15,22 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from triagelake.operators.incremental import pending
-from triagelake.operators.ingest import ingest, new_records, records
-from triagelake.operators.scoring import usage_rows
+from triagelake.operators.ingest import ingest, latest_per_key, new_records, records
 from triagelake.schemas import CLASSIFICATION, RAW
+from triagelake.session import bounded, materialise
 from triagelake.sources.pages import stream_pages
-from triagelake.sources.tables import (
-    append_ledger,
-    has_run,
-    read_ledger,
-    read_snapshot,
-    upsert_latest,
-    write_snapshot,
-)
+from triagelake.sources.tables import append_ledger, has_run, read_ledger
 
 STORED = T.StructType([T.StructField("repo", T.StringType()), *RAW.fields])
 
 
+def _known(table: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``table`` a batch asks for. The batch's keys are counted: a batch of usual
+    size is sent to the table, which then is only scanned; a large one is joined."""
+    keys = materialise(keys.distinct())
+    return table.join(bounded(keys, keys.count()), keys.columns, "left_semi")
+
+
 def ingest_stream(
     spark: SparkSession,
     landing: str,
@@ -48,10 +48,12 @@ def ingest_stream(
     def store(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{name}-{batch_id}"
         stored = read_ledger(batch.sparkSession, table, STORED).where(F.col("run_id") != run_id)
+        known = _known(stored.select("repo", "id"), batch.select("repo", "id"))
         if repo_caps is None:
-            fresh = new_records(batch, stored)
-        else:
-            fresh = ingest(batch, stored, repo_caps, total_cap)
+            fresh = new_records(batch, known)
+        else:  # stored records have no copies, so rows are ids
+            counts = stored.groupBy("repo").agg(F.count("*").alias("n"))
+            fresh = ingest(batch, known, repo_caps, total_cap, counts)
         append_ledger(fresh, table, run_id)
 
     return (
@@ -66,8 +68,7 @@ def ingest_stream(
 def score_stream(
     issues: DataFrame,
     classify: Callable[[DataFrame], DataFrame],
-    state: str,
-    usage: str,
+    scored: str,
     checkpoint: str,
     name: str,
     version: str,
@@ -75,21 +76,20 @@ def score_stream(
 ) -> StreamingQuery:
     """Score new and changed records of a stream of issues rows.
 
-    ``classify`` turns pending (id, title, body, updated_at) rows into classifications rows. A
-    batch's scored rows are written first, and ledger and state are built from what was written:
-    the scorer runs once, and a batch repeated after a crash finds its rows and finishes.
+    ``classify`` turns pending (id, title, body, updated_at) rows into classifications rows, which
+    are appended to ``scored`` and never changed: all of them are the usage ledger, the latest
+    per record is the current state (``current_state``). One write per batch, so a crash leaves
+    neither a cost without a prediction nor the reverse, and a repeated batch is not scored again.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         run_id = f"{name}-{batch_id}"
-        scored_root = f"{state}/scored"
-        current = read_snapshot(spark, f"{state}/current", CLASSIFICATION)
-        if not has_run(spark, scored_root, run_id):
-            append_ledger(classify(pending(batch, current, version)), scored_root, run_id)
-        scored = read_ledger(spark, scored_root, CLASSIFICATION).where(F.col("run_id") == run_id)
-        append_ledger(usage_rows(scored), usage, run_id)
-        write_snapshot(upsert_latest(current, scored.drop("run_id")), f"{state}/current")
+        if has_run(batch.sparkSession, scored, run_id):
+            return
+        earlier = read_ledger(batch.sparkSession, scored, CLASSIFICATION)
+        known = _known(earlier, batch.select(F.col("id").alias("issue_id")))
+        newest = latest_per_key(batch, ["id"])
+        append_ledger(classify(pending(newest, current_state(known), version)), scored, run_id)
 
     return (
         issues.writeStream.foreachBatch(run)
@@ -97,3 +97,10 @@ def score_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def current_state(scored: DataFrame) -> DataFrame:
+    """At most one row per record, of whichever version: the one classified last."""
+    return latest_per_key(
+        scored.select(*CLASSIFICATION.fieldNames()), ["issue_id"], ["classified_at"]
+    )
