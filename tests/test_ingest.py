@@ -1,0 +1,100 @@
+import random
+
+import pytest
+
+from triagelake.operators.ingest import (
+    existing_counts,
+    ingest,
+    latest_per_key,
+    new_records,
+    normalise,
+    refreshed,
+)
+
+SCHEMA = "repo string, id long, created_at string, updated_at string, title string"
+
+
+def simulate(pages, stored, caps, total_cap):
+    """The collector's loop over repositories, newest record first."""
+    have = {}
+    for repo, key in stored:
+        have.setdefault(repo, set()).add(key)
+    total, taken = sum(len(have.get(r, ())) for r in caps), []
+    for repo, cap in caps.items():
+        seen = have.get(repo, set())
+        count = len(seen)
+        for created, key in sorted(
+            ((p[2], p[1]) for p in pages if p[0] == repo), key=lambda x: (x[0], -x[1]), reverse=True
+        ):
+            if total >= total_cap or count >= cap:
+                break
+            if key not in seen:
+                seen = seen | {key}
+                taken.append((repo, key))
+                count, total = count + 1, total + 1
+    return sorted(taken)
+
+
+@pytest.mark.parametrize("total_cap", [0, 95, 150, 260, 10_000])
+def test_caps_are_the_sequential_loop(spark, rows, total_cap):
+    rng = random.Random(5)
+    pages, stored, key = [], [], 0
+    for repo, n in {"hot": 400, "b": 60, "c": 30, "unknown": 20}.items():
+        for _ in range(n):
+            key += 1
+            # few distinct days: many records share their creation time
+            row = (repo, key, f"2026-01-0{rng.randrange(1, 5)}", "u", "t")
+            pages.append(row)
+            if rng.random() < 0.2:
+                stored.append((repo, key))
+            if rng.random() < 0.1:
+                pages.append(row)
+    caps = {"b": 40, "hot": 150, "c": 1000, "absent": 7}
+    got = ingest(
+        spark.createDataFrame(pages, SCHEMA),
+        spark.createDataFrame(stored, "repo string, id long"),
+        caps,
+        total_cap,
+    )
+    assert rows(got, "repo", "id") == simulate(pages, stored, caps, total_cap)
+    assert got.columns == ["repo", "id", "created_at", "updated_at", "title"]
+
+
+def test_ingest_twice_adds_nothing(spark, rows):
+    pages = spark.createDataFrame([("a", i, "2026", "u", "t") for i in range(50)], SCHEMA)
+    caps = {"a": 1000}
+    first = ingest(pages, pages.limit(0), caps, 1000)
+    assert first.count() == 50
+    assert ingest(pages, first, caps, 1000).count() == 0
+
+
+def test_copies_inside_a_batch_and_the_newest_wins(spark, rows):
+    pages = spark.createDataFrame(
+        [("a", 1, "2026", "u1", "x"), ("a", 1, "2026", "u2", "y"), ("a", 1, "2026", "u2", "z"),
+         ("b", 1, "2026", "u0", "w"), ("a", 2, "2026", None, "n")],
+        SCHEMA,
+    )
+    assert rows(new_records(pages, pages.limit(0)), "repo", "id", "title") == [
+        ("a", 1, "z"), ("a", 2, "n"), ("b", 1, "w")
+    ]
+    stored = pages.where("repo = 'a' AND updated_at = 'u1'")
+    assert rows(new_records(pages, stored), "repo", "id") == [("a", 2), ("b", 1)]
+    assert rows(refreshed(pages, stored), "repo", "id", "title")[0] == ("a", 1, "z")
+    assert latest_per_key(pages, ["id"]).columns == pages.columns
+
+
+def test_existing_counts_are_distinct(spark, rows):
+    stored = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1)], "repo string, id long")
+    assert rows(existing_counts(stored)) == [("a", 2), ("b", 1)]
+
+
+def test_normalise(spark):
+    raw = spark.createDataFrame(
+        [(1, "o/r", 7, "t", None, "open", "c", "u", None, [("x",), ("y",)]),
+         (2, "o/r", 8, "t", "b", "open", "c", "u", "d", [])],
+        "id long, repo string, number long, title string, body string, state string, created_at string,"
+        "updated_at string, closed_at string, labels array<struct<name:string>>",
+    )
+    a, b = normalise(raw).orderBy("id").collect()
+    assert (a["body"], a["labels"], a["closed_at"]) == ("", ["x", "y"], None)
+    assert (b["body"], b["labels"]) == ("b", [])
