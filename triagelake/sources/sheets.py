@@ -9,8 +9,17 @@ from pyspark.sql import types as T
 from triagelake.schemas import REVIEW_SHEET
 
 
+# Quotes are doubled, and spaces around a text belong to it.
+_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_sheet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    df.write.mode(mode).options(**_OPTIONS).csv(path)
 
 
 def read_sheet(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SHEET) -> DataFrame:
@@ -18,10 +27,7 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SHE
     as NULL, except in the text columns title and body, which are made ''."""
     df = (
         spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
+        .options(**_OPTIONS, multiLine=True, mode="FAILFAST")
         .csv(path)
     )
     texts = [c for c in ("title", "body") if c in df.columns]
