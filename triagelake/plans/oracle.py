@@ -149,29 +149,34 @@ def _macro() -> str:
 
 def _quality(issues: str, cls: str, version: str, classes: list[str]) -> str:
     v = version.upper()
-    current = f"classifier_version = '{version}'"
+    required = "[CAST(id AS varchar), repo, CAST(number AS varchar), title, state, created_at, updated_at]"
     return f"""
-found(name, violations) AS (
-  SELECT 'Duplicate issue IDs', count(*) FROM (SELECT id FROM {issues} GROUP BY id HAVING count(*) > 1)
-  UNION ALL SELECT 'Missing required issue fields', count(*) FROM {issues}
-    WHERE id IS NULL OR repo IS NULL OR number IS NULL OR title IS NULL OR state IS NULL
-       OR created_at IS NULL OR updated_at IS NULL
-  UNION ALL SELECT 'Invalid issue states', count(*) FROM {issues}
-    WHERE state NOT IN ('open', 'closed') OR state IS NULL
-  UNION ALL SELECT 'Classification IDs missing from issues', count(*)
-    FROM {cls} c LEFT JOIN {issues} i ON c.issue_id = i.id WHERE i.id IS NULL
-  UNION ALL SELECT 'Duplicate classification issue IDs', count(*)
-    FROM (SELECT issue_id FROM {cls} GROUP BY issue_id HAVING count(*) > 1)
-  UNION ALL SELECT 'Invalid {v} classes', count(*) FROM {cls}
-    WHERE {current} AND (issue_type NOT IN ({_list(classes)}) OR issue_type IS NULL)
-  UNION ALL SELECT 'Invalid {v} confidence values', count(*) FROM {cls}
-    WHERE {current} AND (confidence < 0 OR confidence > 1 OR confidence IS NULL)
-  UNION ALL SELECT 'Stale {v} classifications', count(*)
-    FROM {cls} c JOIN {issues} i ON c.issue_id = i.id
-    WHERE {current} AND c.issue_updated_at IS DISTINCT FROM i.updated_at
+of_issues AS (
+  SELECT count(*) FILTER (len(list_filter({required}, lambda x: x IS NULL)) > 0) AS missing,
+         count(*) FILTER (coalesce(state, '?') NOT IN ('open', 'closed')) AS states
+  FROM {issues}
+),
+of_current AS (
+  SELECT count(*) FILTER (coalesce(issue_type, '?') NOT IN ({_list(classes)})) AS classes,
+         count(*) FILTER (NOT coalesce(confidence BETWEEN 0 AND 1, false)) AS confidences
+  FROM {cls} WHERE classifier_version = '{version}'
+),
+issue_copies AS (SELECT row_number() OVER (PARTITION BY id) AS copy FROM {issues}),
+class_copies AS (SELECT row_number() OVER (PARTITION BY issue_id) AS copy FROM {cls}),
+counted AS (
+  SELECT (SELECT count(*) FROM issue_copies WHERE copy = 2) AS "Duplicate issue IDs",
+         missing AS "Missing required issue fields", states AS "Invalid issue states",
+         (SELECT count(*) FROM {cls} c WHERE NOT EXISTS (FROM {issues} i WHERE i.id = c.issue_id))
+           AS "Classification IDs missing from issues",
+         (SELECT count(*) FROM class_copies WHERE copy = 2) AS "Duplicate classification issue IDs",
+         classes AS "Invalid {v} classes", confidences AS "Invalid {v} confidence values",
+         (SELECT count(*) FILTER (issue_updated_at IS DISTINCT FROM updated_at)
+          FROM {issues} JOIN {cls} ON id = issue_id AND classifier_version = '{version}')
+           AS "Stale {v} classifications"
+  FROM of_issues, of_current
 )
-SELECT name AS "check", violations, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status
-FROM found"""
+SELECT "check", violations, if(violations = 0, 'PASS', 'FAIL') AS status
+FROM (UNPIVOT counted ON COLUMNS(*) INTO NAME "check" VALUE violations)"""
 
 
 def _coverage(issues: str, cls: str, version: str) -> str:
@@ -183,9 +188,12 @@ FROM (SELECT count(*) AS total FROM {issues}),
 
 def _pending(issues: str, cls: str, version: str) -> str:
     return f"""
-SELECT i.id, i.title, i.body, i.updated_at FROM {issues} i LEFT JOIN {cls} c ON i.id = c.issue_id
-WHERE c.issue_id IS NULL OR c.issue_updated_at IS DISTINCT FROM i.updated_at
-   OR c.classifier_version IS DISTINCT FROM '{version}'"""
+SELECT id, title, body, updated_at FROM {issues}
+WHERE NOT EXISTS (FROM {cls} WHERE issue_id = id)
+UNION ALL
+SELECT id, title, body, updated_at FROM {cls} JOIN {issues} ON id = issue_id
+WHERE NOT (issue_updated_at IS NOT DISTINCT FROM updated_at
+           AND classifier_version IS NOT DISTINCT FROM '{version}')"""
 
 
 def _admitted(rows: str, spent: str, cap: float, reserve: float) -> str:
@@ -412,14 +420,14 @@ FROM counted QUALIFY rank <= {q.TOP}""",
     + ","
     + _issues()
     + f""",
-ranked AS (
-  SELECT e.issue_id, e.repo, i.number, e.title, e.body, array_to_string(i.labels, '|') AS github_labels,
-         e.human_type AS weak_label, p.predicted_type, p.confidence, '' AS gold_label,
-         row_number() OVER (
-           PARTITION BY e.human_type ORDER BY md5(CAST(e.issue_id AS varchar)), e.issue_id) AS rn
-  FROM eval_set e JOIN issues i ON e.issue_id = i.id JOIN predictions p ON e.issue_id = p.issue_id
+numbered AS (
+  SELECT id AS issue_id, number, array_to_string(labels, '|') AS github_labels FROM issues
 )
-SELECT * EXCLUDE (rn) FROM ranked WHERE rn <= {q.REVIEW}""",
+SELECT issue_id, repo, number, title, body, github_labels, human_type AS weak_label, predicted_type,
+       confidence, '' AS gold_label
+FROM predictions JOIN numbered USING (issue_id) JOIN eval_set USING (issue_id)
+QUALIFY row_number() OVER (
+  PARTITION BY human_type ORDER BY md5(CAST(issue_id AS varchar)), issue_id) <= {q.REVIEW}""",
     "stratified_split": "WITH gold AS (SELECT doc_id AS issue_id, lang AS gold_label FROM documents),"
     + _split("gold", "gold_label", "issue_id"),
     "stratified_split_orders": "WITH" + _split("orders", "o_orderstatus", "o_orderkey"),
@@ -438,9 +446,9 @@ SELECT issue_id, issue_type, input_tokens, classifier_version FROM lines
 WHERE issue_id NOT IN (SELECT id FROM order_issues WHERE state <> 'pending')""",
     "stale": CLASSIFICATIONS
     + f"""
-SELECT c.issue_id, c.issue_updated_at, i.updated_at
-FROM classifications c JOIN issues i ON c.issue_id = i.id
-WHERE classifier_version = '{m.VERSION}' AND c.issue_updated_at IS DISTINCT FROM i.updated_at""",
+SELECT issue_id, issue_updated_at, updated_at
+FROM issues JOIN classifications ON id = issue_id AND issue_updated_at IS DISTINCT FROM updated_at
+WHERE classifier_version = '{m.VERSION}'""",
     "agreement": AGREED
     + """
 SELECT count(*) FILTER (human_type = issue_type) AS correct, count(*) AS total,
@@ -522,7 +530,7 @@ SELECT issue_type, round(CAST(sum(CAST(confidence AS decimal(28, 12))) AS double
     "low_confidence": LINES + f" SELECT count(*) AS n {CURRENT_LINES} AND confidence < {q.LOW}",
     "lowest_examples": LINES
     + f"""
-SELECT i.number, i.title, c.issue_type, c.confidence FROM lines c JOIN order_issues i ON c.issue_id = i.id
+SELECT number, title, issue_type, confidence FROM order_issues JOIN lines ON id = issue_id
 WHERE classifier_version = '{q.LINE_VERSION}' AND confidence < {q.LOW}
-ORDER BY c.confidence, c.issue_id, c.issue_type, i.number LIMIT {q.EXAMPLES}""",
+QUALIFY row_number() OVER (ORDER BY confidence, issue_id, issue_type, number) <= {q.EXAMPLES}""",
 }
