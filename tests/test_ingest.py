@@ -3,12 +3,12 @@ import random
 import pytest
 
 from triagelake.operators.ingest import (
+    edited_records,
     existing_counts,
     ingest,
     latest_per_key,
     new_records,
     normalise,
-    refreshed,
 )
 
 SCHEMA = "repo string, id long, created_at string, updated_at string, title string"
@@ -79,7 +79,8 @@ def test_copies_inside_a_batch_and_the_newest_wins(spark, rows):
     ]
     stored = pages.where("repo = 'a' AND updated_at = 'u1'")
     assert rows(new_records(pages, stored), "repo", "id") == [("a", 2), ("b", 1)]
-    assert rows(refreshed(pages, stored), "repo", "id", "title")[0] == ("a", 1, "z")
+    assert rows(edited_records(pages, stored), "repo", "id", "title") == [("a", 1, "z")]
+    assert edited_records(stored, pages).count() == 0
     assert latest_per_key(pages, ["id"]).columns == pages.columns
 
 

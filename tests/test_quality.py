@@ -85,6 +85,12 @@ def test_empty_tables_pass(spark):
     assert tuple(q.coverage(i, c, "v2").first()) == (0, 0, 0.0)
 
 
+def test_coverage_of_rows_and_of_ids(spark):
+    _, i, c = suite(spark, [GOOD], [GOOD_CLASS, GOOD_CLASS])
+    assert tuple(q.coverage(i, c, "v2").first()) == (2, 1, 200.0)
+    assert tuple(q.coverage(i, c, "v2", distinct=True).first()) == (1, 1, 100.0)
+
+
 def test_list_forms_agree_with_counts(spark):
     issues = [GOOD, (2, *GOOD[1:6], "later")]
     classes = [GOOD_CLASS, (2, *GOOD_CLASS[1:]), (7, *GOOD_CLASS[1:])]

@@ -14,8 +14,15 @@ from triagelake.functions.columns import (
     scoring_request,
 )
 from triagelake.functions.fixed import CRITERIA
-from triagelake.operators.scoring import exchange, keyword_score, keyword_scorer, score, usage_rows
-from triagelake.schemas import CLASSIFICATION
+from triagelake.operators.scoring import (
+    exchange,
+    keyword_score,
+    keyword_scorer,
+    resume_scores,
+    score,
+    usage_rows,
+)
+from triagelake.schemas import CLASSIFICATION, PREDICTION
 
 TERMS = {"bug": ["crash", "fails"], "docs": ["typo", "crash"], "question": ["how"]}
 TEXTS = [
@@ -107,3 +114,12 @@ def test_repository_names(spark):
     assert [r[0] for r in df.collect()] == ["own/a_b", "own/name", "plain"]
     one = df.limit(1).select(repo_owner(F.col("r")), repo_name(F.col("r")), repo_directory(F.col("r")))
     assert tuple(one.first()) == ("own", "a_b", "own_a_b")
+
+
+def test_resume_scores(spark, rows):
+    todo = spark.createDataFrame([(1, "t", "crash"), (2, "t", "how"), (3, "t", None)],
+                                 "issue_id long, title string, body string")
+    done = spark.createDataFrame([(1, "v2"), (2, "v1")], "issue_id long, classifier_version string")
+    got = resume_scores(todo, done, keyword_scorer(TERMS), "v2", "m", CRITERIA["v2"], parallel=2)
+    assert rows(got, "issue_id", "predicted_type") == [(2, "question"), (3, "other")]
+    assert got.columns == PREDICTION.fieldNames()

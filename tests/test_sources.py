@@ -134,6 +134,10 @@ def test_ledger(spark, tmp_path, rows):
     tables.append_ledger(row, root, "b")
     assert rows(tables.read_ledger(spark, root, USAGE), "issue_id", "run_id") == [(1, "a"), (1, "b")]
     assert tables.has_run(spark, root, "a") and not tables.has_run(spark, root, "c")
+    # a run whose writer was lost is not read, and is written again
+    (tmp_path / "usage" / "run_id=b" / "_SUCCESS").unlink()
+    assert rows(tables.read_ledger(spark, root, USAGE), "run_id") == [("a",)]
+    assert not tables.has_run(spark, root, "b")
     with pytest.raises(ValueError):
         tables.append_ledger(row, root, "../x")
 

@@ -5,9 +5,9 @@ from tests.test_sources import land, node, page
 from triagelake.functions.fixed import CRITERIA
 from triagelake.operators.quality import QualityError
 from triagelake.operators.scoring import keyword_scorer, score
-from triagelake.plans.triage import TriageRun, run_triage
-from triagelake.schemas import CLASSIFICATION, ISSUE
-from triagelake.sources.tables import read_ledger, read_snapshot
+from triagelake.plans.triage import TriageRun, run_triage, stored_issues
+from triagelake.schemas import CLASSIFICATION
+from triagelake.sources.tables import read_ledger
 
 TERMS = {"bug": ["crash"], "docs": ["typo"], "question": ["how"], "feature": ["add"]}
 
@@ -43,7 +43,7 @@ def test_run_and_continue(spark, tmp_path, rows):
     land(tmp_path / "in", "a_b", page([labelled(5, "crash", "bug")]))
     report = run_triage(spark, make(tmp_path, "r2"))
     assert report["run"].first()["processed"] == 1
-    assert rows(read_snapshot(spark, str(tmp_path / "out/issues"), ISSUE), "id") == [(1,), (2,), (3,), (4,), (5,)]
+    assert rows(stored_issues(spark, str(tmp_path / "out")), "id") == [(1,), (2,), (3,), (4,), (5,)]
 
 
 def test_budget_holds_over_runs(spark, tmp_path):
@@ -61,3 +61,15 @@ def test_gate_stops_the_run(spark, tmp_path):
     land(tmp_path / "in", "a_b", page([labelled(1, "crash", "bug", state="WEIRD")]))
     with pytest.raises(QualityError, match="Invalid issue states: 1"):
         run_triage(spark, make(tmp_path, "r1"))
+
+
+def test_edits_are_taken_and_scored_again(spark, tmp_path, rows):
+    land(tmp_path / "in", "a_b", page([labelled(1, "crash", "bug"), labelled(2, "typo", "docs")]))
+    run_triage(spark, make(tmp_path, "r1"))
+    edit = labelled(1, "typo", "bug", updatedAt="2026-02-01T00:00:00Z")
+    land(tmp_path / "in", "a_b", page([edit, labelled(2, "typo", "docs")]))
+    assert run_triage(spark, make(tmp_path, "r2"))["run"].first()["processed"] == 0  # skipped
+    report = run_triage(spark, make(tmp_path, "r3", refresh=True))
+    assert report["run"].first()["processed"] == 1
+    assert rows(report["agreement"])[0][:2] == (1, 2)
+    assert report["usage"].first()["total_tokens"] == 6

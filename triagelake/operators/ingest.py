@@ -84,9 +84,11 @@ def new_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return rows.join(_keys(stored), ["repo", "id"], "left_anti")
 
 
-def refreshed(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored and incoming rows together, the newest of each key (edits replace old rows)."""
-    return latest_per_key(stored.unionByName(incoming), ["repo", "id"])
+def edited_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """The newest incoming row of each stored key that was updated after every stored row of it."""
+    last = stored.groupBy("repo", "id").agg(F.max("updated_at").alias("_last"))
+    newest = latest_per_key(incoming, ["repo", "id"])
+    return newest.join(last, ["repo", "id"]).where(F.col("updated_at") > F.col("_last")).drop("_last")
 
 
 def _takes(

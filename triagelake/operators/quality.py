@@ -168,15 +168,21 @@ def quality_suite(
     return found.select("check", "violations", status.alias("status"))
 
 
-def coverage(issues: DataFrame, classifications: DataFrame, version: str) -> DataFrame:
+def coverage(
+    issues: DataFrame, classifications: DataFrame, version: str, distinct: bool = False
+) -> DataFrame:
     """(classified, total, coverage): classifications of ``version`` per hundred records.
 
-    Rows are counted, not distinct ids, so the share may exceed 100.
+    Rows are counted, so copies may bring the share above 100; ``distinct`` counts ids instead.
     """
-    total = issues.agg(F.count("*").alias("n")).select(F.lit(0).cast("bigint").alias("c"), "n")
-    done = classifications.where(F.col("classifier_version") == version).agg(
-        F.count("*").alias("c")
-    ).select("c", F.lit(0).cast("bigint").alias("n"))
+
+    def rows(key: str) -> Column:
+        return F.countDistinct(key) if distinct else F.count("*")
+
+    none = F.lit(0).cast("bigint")
+    total = issues.agg(rows("id").alias("n")).select(none.alias("c"), "n")
+    current = classifications.where(F.col("classifier_version") == version)
+    done = current.agg(rows("issue_id").alias("c")).select("c", none.alias("n"))
     both = total.unionByName(done).agg(
         F.sum("c").alias("classified"), F.sum("n").alias("total")
     )

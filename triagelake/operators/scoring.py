@@ -19,6 +19,7 @@ from triagelake.functions.columns import (
     token_cost,
 )
 from triagelake.functions.fixed import PRICE_PER_MILLION_TOKENS
+from triagelake.operators.incremental import unscored
 
 # Makes the function that answers a batch of requests; called once per task, so that a
 # client is opened once and not for every record.
@@ -121,6 +122,27 @@ def score(
     )
 
 
+def resume_scores(
+    rows: DataFrame,
+    done: DataFrame,
+    scorer: ScorerFactory,
+    version: str,
+    model: str,
+    criteria: dict[str, str],
+    parallel: int | None = None,
+) -> DataFrame:
+    """Predictions for the (issue_id, title, body) rows that ``done`` has none for yet, of this
+    version. Append them to ``done``: a run that was cut short goes on where it stopped."""
+    left = unscored(rows, done, version).select(
+        F.col("issue_id").alias("id"), "title", "body", F.lit(None).cast("string").alias("updated_at")
+    )
+    scored = score(left, scorer, version, model, criteria, parallel=parallel)
+    return scored.select(
+        "issue_id", F.col("issue_type").alias("predicted_type"), "confidence", "input_tokens",
+        "classifier_version",
+    )
+
+
 def classification_rows(
     scored: DataFrame,
     version: str,

@@ -344,6 +344,21 @@ UNION ALL SELECT id, choice, confidence, updated_at, 'v3' FROM fresh""",
 SELECT doc_id AS issue_id, source AS repo, split_part(text, chr(10), 1) AS title, lang AS human_type
 FROM documents WHERE doc_id NOT IN (
   SELECT issue_id FROM classifications WHERE classifier_version = '{m.VERSION}')""",
+    "resume_scores": CLASSIFICATIONS
+    + f""",
+left_over AS (
+  SELECT doc_id AS issue_id, substr(text, 1, 4000) AS body FROM documents
+  WHERE doc_id NOT IN (SELECT issue_id FROM classifications WHERE classifier_version = '{m.VERSION}')
+),"""
+    + _scored("resumed", "left_over")
+    + f"""
+SELECT issue_id, choice AS predicted_type, confidence, input_tokens,
+       '{m.VERSION}' AS classifier_version
+FROM resumed""",
+    "edited_records": LINES
+    + """
+SELECT repo, id, max(issue_updated_at) AS updated_at
+FROM lines JOIN order_issues ON id = issue_id AND issue_updated_at > updated_at GROUP BY repo, id""",
     "budget_admit": "WITH "
     + DOCS
     + """
@@ -514,6 +529,10 @@ SELECT r.*, macro_f1, CASE WHEN classifier_version <> 'v2' THEN
 FROM rates r JOIN macros USING (classifier_version)""",
     "coverage": CLASSIFICATIONS + _coverage("issues", "classifications", m.VERSION),
     "coverage_lines": LINES + _coverage("order_issues", "lines", q.LINE_VERSION),
+    "coverage_distinct": LINES
+    + _coverage("order_issues", "lines", q.LINE_VERSION).replace(
+        "SELECT count(*) AS classified", "SELECT count(DISTINCT issue_id) AS classified"
+    ),
     "usage_totals": LINES
     + f"""
 SELECT CAST(sum(input_tokens) AS bigint) AS total_tokens,

@@ -19,6 +19,7 @@ from triagelake.operators.scoring import (
     exchange,
     keyword_score,
     keyword_scorer,
+    resume_scores as resume,
     score,
     usage_rows,
 )
@@ -191,6 +192,23 @@ def resume_pending(spark: SparkSession, sf: str) -> DataFrame:
     return left.select("issue_id", "repo", "title", "human_type")
 
 
+def resume_scores(spark: SparkSession, sf: str) -> DataFrame:
+    done = m.classifications(spark, sf).select("issue_id", "classifier_version")
+    return resume(
+        m.eval_set(spark, sf), done, keyword_scorer(m.TERMS[V]), V, m.MODEL, CRITERIA[V]
+    )
+
+
+def edited_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as updates of their order, which are edits when later than the order."""
+    orders = m.order_issues(spark, sf).select("repo", "id", "updated_at")
+    updates = m.line_classifications(spark, sf).select(
+        F.col("issue_id").alias("id"), F.col("issue_updated_at").alias("updated_at")
+    )
+    incoming = updates.join(orders.select("repo", "id"), "id")
+    return ingest.edited_records(incoming.select("repo", "id", "updated_at"), orders)
+
+
 # Scoring
 
 
@@ -433,6 +451,12 @@ def coverage(spark: SparkSession, sf: str) -> DataFrame:
     return quality.coverage(m.issues(spark, sf), m.classifications(spark, sf), V)
 
 
+def coverage_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.coverage(
+        m.order_issues(spark, sf), m.line_classifications(spark, sf), LINE_VERSION, distinct=True
+    )
+
+
 def coverage_lines(spark: SparkSession, sf: str) -> DataFrame:
     return quality.coverage(
         m.order_issues(spark, sf), m.line_classifications(spark, sf), LINE_VERSION
@@ -487,6 +511,8 @@ QUERIES: dict[str, Query] = {
     "usage_ledger": usage_ledger,
     "upsert_latest": upsert_latest,
     "resume_pending": resume_pending,
+    "resume_scores": resume_scores,
+    "edited_records": edited_records,
     "budget_admit": budget_admit,
     "budget_admit_orders": budget_admit_orders,
     "admitted_pending": admitted_pending,
@@ -525,6 +551,7 @@ QUERIES: dict[str, Query] = {
     "compare_versions": compare_versions,
     "coverage": coverage,
     "coverage_lines": coverage_lines,
+    "coverage_distinct": coverage_distinct,
     "usage_totals": usage_totals,
     "repo_counts": repo_counts,
     "state_counts": state_counts,

@@ -19,18 +19,18 @@ from triagelake.functions.fixed import (
 )
 from triagelake.operators import analytics, metrics
 from triagelake.operators.incremental import admitted_pending
-from triagelake.operators.ingest import ingest, normalise, records
+from triagelake.operators.ingest import (
+    edited_records,
+    ingest,
+    latest_per_key,
+    normalise,
+    records,
+)
 from triagelake.operators.quality import gate, quality_suite
 from triagelake.operators.scoring import usage_rows
-from triagelake.schemas import CLASSIFICATION, ISSUE
+from triagelake.schemas import CLASSIFICATION
 from triagelake.sources.pages import scan_pages
-from triagelake.sources.tables import (
-    append_ledger,
-    has_run,
-    read_ledger,
-    read_snapshot,
-    write_snapshot,
-)
+from triagelake.sources.tables import append_ledger, has_run, read_ledger
 from triagelake.streaming.streams import STORED, current_state
 
 
@@ -51,17 +51,31 @@ class TriageRun:
     classes: tuple[str, ...] = tuple(CLASSES)
     weak_classes: tuple[str, ...] = tuple(WEAK_CLASSES)
     multi_line: bool = True
+    refresh: bool = False  # also take edits of stored records; they are then scored again
+
+
+def stored_issues(spark: SparkSession, root: str) -> DataFrame:
+    """The issues of all runs: stored records, each replaced by its last edit if it has one.
+    A view over the stored files; nothing is rewritten when records are added."""
+    key = ["repo", "id"]
+    raw = read_ledger(spark, f"{root}/raw", STORED).drop("run_id")
+    edits = latest_per_key(read_ledger(spark, f"{root}/edits", STORED).drop("run_id"), key)
+    kept = raw.join(edits.select(*key), key, "left_anti")
+    return normalise(kept.unionByName(edits))
 
 
 def collect(spark: SparkSession, run: TriageRun) -> DataFrame:
-    """Append the run's new records to the raw table, and give the issues of all runs."""
-    raw = f"{run.root}/raw"
+    """Append the run's new records, and its edits if wanted; gives the issues of all runs."""
+    raw, edits = f"{run.root}/raw", f"{run.root}/edits"
+    incoming = records(scan_pages(spark, run.landing, run.multi_line))
+    stored = read_ledger(spark, raw, STORED).where(F.col("run_id") != run.run_id)
+    if run.refresh and not has_run(spark, edits, run.run_id):
+        before = stored.unionByName(read_ledger(spark, edits, STORED))
+        append_ledger(edited_records(incoming, before), edits, run.run_id)
     if not has_run(spark, raw, run.run_id):
-        incoming = records(scan_pages(spark, run.landing, run.multi_line))
-        stored = read_ledger(spark, raw, STORED)
-        append_ledger(ingest(incoming, stored, run.repo_caps, run.total_cap), raw, run.run_id)
-        write_snapshot(normalise(read_ledger(spark, raw, STORED)), f"{run.root}/issues")
-    return read_snapshot(spark, f"{run.root}/issues", ISSUE)
+        taken = ingest(incoming, stored, run.repo_caps, run.total_cap)
+        append_ledger(taken, raw, run.run_id)
+    return stored_issues(spark, run.root)
 
 
 def classify(spark: SparkSession, run: TriageRun, issues: DataFrame) -> DataFrame:

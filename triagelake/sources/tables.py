@@ -16,54 +16,43 @@ from triagelake.schemas import ensure_columns
 from triagelake.session import literal_table
 
 
-def _children(spark: SparkSession, root: str) -> tuple[object, list[object]]:
-    """The file system of ``root`` (any Hadoop one) and the directories below it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs, [s.getPath() for s in fs.listStatus(path) if s.isDirectory()] if fs.exists(path) else []
-
-
-def _snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete snapshots, oldest first."""
-    fs, dirs = _children(spark, root)
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    found = [
-        int(m[1])
-        for d in dirs
-        if (m := re.fullmatch(r"v(\d+)", d.getName())) and fs.exists(done(d, "_SUCCESS"))
-    ]
-    return sorted(found)
+def _complete(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Names of the directories below ``root``, on any Hadoop file system, that match the glob
+    pattern and were written completely."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(root, f"{pattern}/_SUCCESS")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    return sorted(status.getPath().getParent().getName() for status in found or [])
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The current state, with columns added to ``schema`` since as NULL; empty before the
     first write."""
-    versions = _snapshots(spark, root)
-    if not versions:
+    done = _complete(spark, root, "v*")
+    if not done:
         return literal_table(spark, schema, [])
-    return ensure_columns(spark.read.parquet(f"{root}/v{versions[-1]:08d}"), schema)
+    return ensure_columns(spark.read.parquet(f"{root}/{done[-1]}"), schema)
 
 
 def write_snapshot(df: DataFrame, root: str) -> int:
     """Write the next state beside the current one; it replaces it when it is complete."""
-    version = max(_snapshots(df.sparkSession, root), default=-1) + 1
+    done = _complete(df.sparkSession, root, "v*")
+    version = int(done[-1][1:]) + 1 if done else 0
     df.write.mode("overwrite").parquet(f"{root}/v{version:08d}")
     return version
 
 
 def read_ledger(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """All rows appended so far, with their ``run_id``."""
-    fs, dirs = _children(spark, root)
+    """All rows of the completely appended runs, with their ``run_id``."""
     full = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
-    if not any(d.getName().startswith("run_id=") for d in dirs):
+    runs = [f"{root}/{name}" for name in _complete(spark, root, "run_id=*")]
+    if not runs:
         return literal_table(spark, full, [])
-    return spark.read.schema(full).parquet(root)
+    return spark.read.schema(full).option("basePath", root).parquet(*runs)
 
 
 def has_run(spark: SparkSession, root: str, run_id: str) -> bool:
     """Whether the rows of a run have been appended completely."""
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/run_id={run_id}/_SUCCESS")
-    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+    return bool(_complete(spark, root, f"run_id={run_id}"))
 
 
 def append_ledger(df: DataFrame, root: str, run_id: str) -> None:
