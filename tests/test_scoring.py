@@ -17,6 +17,7 @@ from triagelake.functions.fixed import CRITERIA
 from triagelake.operators.scoring import (
     exchange,
     keyword_score,
+    keyword_score_versions,
     keyword_scorer,
     resume_scores,
     score,
@@ -59,6 +60,20 @@ def test_keyword_score(spark):
     ]
 
 
+def test_versions_share_one_pass(spark, rows):
+    versions = {"v2": TERMS, "v3": {"bug": ["fails"], "docs": ["nothing"]}}
+    both = keyword_score_versions(frame(spark), versions)
+    for version, terms in versions.items():
+        one = both.where(F.col("classifier_version") == version)
+        assert rows(one, "id", "choice", "confidence") == rows(
+            keyword_score(frame(spark), terms), "id", "choice", "confidence"
+        )
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    with pytest.raises(ValueError):
+        keyword_score(frame(spark), {"bug": ["Crash!"]})
+
+
 def test_batch_scorer_agrees_with_the_native_one(spark, rows):
     terms = {"bug": ["crash", "fails"], "docs": ["typo"], "question": ["how"]}
     df = frame(spark).where("length(body) < 4000")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import add, or_
 
@@ -116,8 +117,10 @@ def parsed_response(response: Column) -> Column:
 
 def keyword_hits(text: Column, terms: dict[str, list[str]]) -> Column:
     """All scorer words of a text, found in one pass over it."""
-    words = "|".join(sorted({w for ws in terms.values() for w in ws}))
-    pattern = f"(?<![{WORD}])({words})(?![{WORD}])"
+    words = sorted({w for ws in terms.values() for w in ws})
+    if not words or not all(re.fullmatch(f"[{WORD}]+", w) for w in words):
+        raise ValueError(f"not words of lower-case letters and digits: {words}")
+    pattern = f"(?<![{WORD}])({'|'.join(words)})(?![{WORD}])"
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
 
 

@@ -30,17 +30,42 @@ def keyword_score(
     df: DataFrame, terms: dict[str, list[str]], text: str = "body", fallback: str = "other"
 ) -> DataFrame:
     """Add choice, confidence and input_tokens with column expressions only."""
+    return keyword_score_versions(df, {"": terms}, text, fallback).drop("classifier_version")
+
+
+def keyword_score_versions(
+    df: DataFrame, versions: dict[str, dict[str, list[str]]], text: str = "body",
+    fallback: str = "other",
+) -> DataFrame:
+    """Score with several term lists at once: one row per input row and version, with
+    classifier_version, choice, confidence and input_tokens. Each text is searched once."""
     kept = df.columns
-    tokens = estimated_tokens(F.col(text)).alias("input_tokens")
+    words = {f"{version}/{name}": ws for version, terms in versions.items() for name, ws in terms.items()}
     # One step each for words, counts and choice: none is computed twice.
-    hits = df.select(*kept, tokens, keyword_hits(F.col(text), terms).alias("_hits"))
-    names = {name: f"_n{i}" for i, name in enumerate(terms)}
-    counts = keyword_counts(F.col("_hits"), terms)
+    hits = df.select(
+        *kept,
+        estimated_tokens(F.col(text)).alias("input_tokens"),
+        keyword_hits(F.col(text), words).alias("_hits"),
+    )
+    counts = keyword_counts(F.col("_hits"), words)
     counted = hits.select(
-        *kept, "input_tokens", *[n.alias(c) for n, c in zip(counts, names.values())]
+        *kept, "input_tokens", *[n.alias(f"_n{i}") for i, n in enumerate(counts)]
     )
-    chosen = keyword_choice({name: F.col(c) for name, c in names.items()}, fallback)
-    return counted.select(*kept, *chosen, "input_tokens")
+    column = {key: F.col(f"_n{i}") for i, key in enumerate(words)}
+    chosen = {
+        version: keyword_choice({name: column[f"{version}/{name}"] for name in terms}, fallback)
+        for version, terms in versions.items()
+    }
+    if len(chosen) == 1:
+        (version, choice), = chosen.items()
+        return counted.select(
+            *kept, F.lit(version).alias("classifier_version"), *choice, "input_tokens"
+        )
+    answers = [
+        F.struct(F.lit(version).alias("classifier_version"), *choice)
+        for version, choice in chosen.items()
+    ]
+    return counted.select(*kept, F.inline(F.array(*answers)), "input_tokens")
 
 
 def keyword_scorer(terms: dict[str, list[str]], fallback: str = "other") -> ScorerFactory:

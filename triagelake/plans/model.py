@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triagelake.functions.columns import repo_directory, token_cost
-from triagelake.operators.scoring import keyword_score
+from triagelake.operators.scoring import keyword_score, keyword_score_versions
 from triagelake.session import scratch_path
 
 LANGUAGES = ["en", "fr", "de", "es"]
@@ -129,20 +129,13 @@ def eval_set(spark: SparkSession, sf_dir: str, actual: str = "human_type") -> Da
 
 def predictions(spark: SparkSession, sf_dir: str, versions: list[str] = (VERSION,)) -> DataFrame:
     """Keyword predictions for all documents; several versions share one scan of the texts."""
-    out = table(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("issue_id"), F.col("text").alias("body")
     )
-    for version in versions:
-        out = keyword_score(out, TERMS[version])
-        packed = F.struct(
-            F.lit(version).alias("classifier_version"),
-            F.col("choice").alias("predicted_type"),
-            "confidence",
-            "input_tokens",
-        ).alias(version)
-        out = out.select(*[c for c in out.columns if c not in ("choice", "confidence", "input_tokens")], packed)
-    return out.select("issue_id", F.inline(F.array(*versions))).select(
-        "issue_id", "predicted_type", "confidence", "input_tokens", "classifier_version"
+    scored = keyword_score_versions(documents, {v: TERMS[v] for v in versions})
+    return scored.select(
+        "issue_id", F.col("choice").alias("predicted_type"), "confidence", "input_tokens",
+        "classifier_version",
     )
 
 
