@@ -86,6 +86,12 @@ def test_budget_is_the_sequential_loop(spark, rows, cap):
     assert [r[0] for r in rows(got, "id")] == simulated(costs, cap, 0.02, 0.5, 0.015)
 
 
+def test_copies_of_a_key_are_admitted_together(spark, rows):
+    df = spark.createDataFrame([(1, 5)] + [(2, 1)] * 1000 + [(3, 5), (4, 5)], "id long, t long")
+    got = admit_within_budget(df, F.col("t"), "v2", cap=1005.5, reserve=0.0, price=1e6)
+    assert got.count() == 1002 and got.where("id = 4").count() == 0
+
+
 def test_recorded_spend_without_rows_is_zero(spark):
     usage = spark.createDataFrame([], "classifier_version string, estimated_cost_usd double")
     assert tuple(recorded_spend(usage, "v2").first()) == ("v2", 0.0)

@@ -23,6 +23,8 @@ def test_query_equals_sql(spark, con, sf_dir, name):
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
     want = result.fetchall()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert got, "the query returns no rows"
     assert canonical(df.columns, got) == canonical(columns, want)
 

@@ -74,11 +74,12 @@ def budget_cut(
     """
     if usage is None:
         usage = literal_table(costs.sparkSession, USAGE, [])
-    narrow = materialise(costs.select(F.lit(version).alias("classifier_version"), key, "tokens"))
+    spent = recorded_spend(usage, version).select("spent").scalar()
+    per_key = costs.groupBy(key).agg(F.sum("tokens").alias("tokens"))
+    narrow = materialise(per_key.select(F.lit(version).alias("classifier_version"), key, "tokens"))
 
     def affordable(before: Column) -> Column:
-        spent = F.col("spent") + before * F.lit(price) / F.lit(1e6)
-        return spent < F.lit(cap) - F.lit(reserve)
+        return spent + before * F.lit(price) / F.lit(1e6) < F.lit(cap) - F.lit(reserve)
 
     cut = running_total_cut(
         narrow,
@@ -86,10 +87,9 @@ def budget_cut(
         [key],
         F.col("tokens"),
         affordable,
-        recorded_spend(usage, version),
         groups=1,
     )
-    return cut.select(f"cut.{key}").scalar()
+    return cut.select("cut").scalar()
 
 
 def admit_within_budget(

@@ -148,8 +148,8 @@ def ingest(
         ["created_at", "_id"],
         F.lit(1),
         lambda before: before < F.col("_take"),
-        _takes(available, have, repo_caps, total_cap),
         groups=repos,
+        limits=_takes(available, have, repo_caps, total_cap),
         descending=True,
     )
     place = F.struct(F.col("created_at"), (-F.col("id")).alias("_id"))

@@ -45,17 +45,18 @@ def running_total_cut(
     key: list[str],
     weight: Column,
     admit: Callable[[Column], Column],
-    limits: DataFrame,
     groups: int,
+    limits: DataFrame | None = None,
     descending: bool = False,
     bucket: Column | None = None,
 ) -> DataFrame:
-    """Per group the ``cut``: the key of the last row that a running total still admits.
+    """Per group the ``cut``: the key of the last row that a running total still admits, as the
+    key column itself or, of several, a struct of them.
 
     Rows are taken in ``key`` order and a row is admitted while ``admit`` holds for the total
     weight of the rows before it. ``weight`` must not be negative, so the admitted rows are a
-    prefix and one key per group describes them. ``limits`` has one row per group with
-    the columns ``admit`` reads; ``groups`` bounds the number of groups.
+    prefix and one key per group describes them. ``groups`` bounds the number of groups;
+    ``limits`` has one row per group with columns ``admit`` may read.
 
     Instead of one ordered window per group, key ranges are totalled first, the small table of
     ranges is accumulated, and only the one range in which a group's cut lies is
@@ -63,8 +64,9 @@ def running_total_cut(
     key, or from a range partitioning on (group, key), which also splits hot groups and keys.
     ``rows`` should be narrow and cheap to read: it is read for the ranges and for the cut.
     """
+    place = F.col(key[0]) if len(key) == 1 else F.struct(*key)
     rows = rows.select(
-        *group, F.struct(*key).alias("_key"), weight.cast("long").alias("_weight"),
+        *group, place.alias("_key"), weight.cast("long").alias("_weight"),
         *([] if bucket is None else [bucket.alias("_range")]),
     )
     if bucket is None:
@@ -100,14 +102,14 @@ def running_total_cut(
     last = F.min if descending else F.max
     last_by = F.min_by if descending else F.max_by
     earlier = F.coalesce(F.sum("_total").over(ordered("_low")), F.lit(0))
+    totals = totals.withColumn("_before", earlier).drop("_total")
+    if limits is not None:
+        totals = totals.join(bounded(limits, groups), group)
+    described = [c for c in totals.columns if c not in group]
     cut_range = (
-        totals.withColumn("_before", earlier)
-        .join(bounded(limits, groups), group)
-        .where(admit(F.col("_before")))
+        totals.where(admit(F.col("_before")))
         .groupBy(*group)
-        .agg(last_by(F.struct(*[c for c in totals.columns if c not in group and c != "_total"],
-                              "_before", *[c for c in limits.columns if c not in group]),
-                     F.col("_low")).alias("_cut"))
+        .agg(last_by(F.struct(*described), F.col("_low")).alias("_cut"))
         .select(*group, "_cut.*")
     )
     within = F.coalesce(F.sum("_weight").over(ordered("_key")), F.lit(0))

@@ -107,8 +107,8 @@ def stratified_split(
         ["_hash", key],
         F.lit(1),
         lambda before: before < F.col("_test"),
-        sizes,
         groups=len(classes),
+        limits=sizes,
         bucket=F.substring("_hash", 1, 4),
     )
     place = F.struct(order_hash(key, seed).alias("_hash"), F.col(key))
