@@ -9,7 +9,7 @@ from triagelake.functions.columns import exact_sum, token_cost
 from triagelake.functions.fixed import MAX_COST_USD, PRICE_PER_MILLION_TOKENS, RESERVE_USD
 from triagelake.operators.ranking import running_total_cut
 from triagelake.schemas import USAGE
-from triagelake.session import literal_table, materialise
+from triagelake.session import literal_table, materialise, only_keys
 
 
 def pending(
@@ -57,6 +57,29 @@ def recorded_spend(usage: DataFrame, version: str) -> DataFrame:
     )
 
 
+def _key_costs(costs: DataFrame, key: str, version: str) -> DataFrame:
+    """(classifier_version, key, tokens) with one row per key, written once."""
+    per_key = costs.groupBy(key).agg(F.sum("tokens").alias("tokens"))
+    return materialise(per_key.select(F.lit(version).alias("classifier_version"), key, "tokens"))
+
+
+def _last_affordable(
+    key_costs: DataFrame, key: str, version: str, usage: DataFrame | None, cap: float,
+    reserve: float, price: float,
+) -> Column:
+    if usage is None:
+        usage = literal_table(key_costs.sparkSession, USAGE, [])
+    spent = recorded_spend(usage, version).select("spent").scalar()
+
+    def affordable(before: Column) -> Column:
+        return spent + before * F.lit(price) / F.lit(1e6) < F.lit(cap) - F.lit(reserve)
+
+    cut = running_total_cut(
+        key_costs, ["classifier_version"], [key], F.col("tokens"), affordable, groups=1
+    )
+    return cut.select("cut").scalar()
+
+
 def budget_cut(
     costs: DataFrame,
     version: str,
@@ -72,24 +95,8 @@ def budget_cut(
     admitted together). It is evaluated once; the pairs are then ranged and totalled. The result
     is a scalar subquery: NULL when nothing is admitted.
     """
-    if usage is None:
-        usage = literal_table(costs.sparkSession, USAGE, [])
-    spent = recorded_spend(usage, version).select("spent").scalar()
-    per_key = costs.groupBy(key).agg(F.sum("tokens").alias("tokens"))
-    narrow = materialise(per_key.select(F.lit(version).alias("classifier_version"), key, "tokens"))
-
-    def affordable(before: Column) -> Column:
-        return spent + before * F.lit(price) / F.lit(1e6) < F.lit(cap) - F.lit(reserve)
-
-    cut = running_total_cut(
-        narrow,
-        ["classifier_version"],
-        [key],
-        F.col("tokens"),
-        affordable,
-        groups=1,
-    )
-    return cut.select("cut").scalar()
+    key_costs = _key_costs(costs, key, version)
+    return _last_affordable(key_costs, key, version, usage, cap, reserve, price)
 
 
 def admit_within_budget(
@@ -102,14 +109,25 @@ def admit_within_budget(
 
 
 def admitted_pending(
-    issues: DataFrame, classifications: DataFrame, version: str, tokens: Column, **budget
+    issues: DataFrame,
+    classifications: DataFrame,
+    version: str,
+    tokens: Column,
+    usage: DataFrame | None = None,
+    cap: float = MAX_COST_USD,
+    reserve: float = RESERVE_USD,
+    price: float = PRICE_PER_MILLION_TOKENS,
 ) -> DataFrame:
-    """Pending records the budget admits.
+    """Pending records the budget admits, each once.
 
-    Costs are taken at the scan, so the texts of pending records do not pass the first join;
-    the second one receives only records up to the cut.
+    Costs are taken at the scan, so that no text passes a join to find out what is pending. The
+    texts are then read for the admitted ids, up to the cut.
     """
     sized = issues.select("id", "updated_at", tokens.alias("tokens"))
-    costs = pending(sized, classifications, version, columns=["id", "tokens"])
-    cut = budget_cut(costs, version, **budget)
-    return pending(issues.where(F.col("id") <= cut), classifications, version)
+    listed = pending(sized, classifications, version, columns=["id", "tokens"])
+    key_costs = _key_costs(listed.distinct(), "id", version)
+    cut = _last_affordable(key_costs, "id", version, usage, cap, reserve, price)
+    admitted = materialise(key_costs.where(F.col("id") <= cut).select("id"))
+    last = admitted.agg(F.max("id")).first()[0]  # one value, so that the scan can skip files
+    rows = issues.select("id", "title", "body", "updated_at").where(F.col("id") <= F.lit(last))
+    return only_keys(rows, admitted)

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 from triagelake.functions.columns import text_or_empty
 from triagelake.functions.fixed import REPO_CAPS, TOTAL_CAP
 from triagelake.operators.ranking import running_total_cut
-from triagelake.session import bounded, literal_table, materialise
+from triagelake.session import bounded, literal_table, materialise, only_keys
 
 _CAPS = T.StructType(
     [
@@ -85,10 +85,15 @@ def new_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def edited_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """The newest incoming row of each stored key that was updated after every stored row of it."""
+    """The newest incoming row of each stored key that was updated after every stored row of it.
+
+    Which keys those are is found from keys and times; of the rows only theirs are regrouped.
+    """
     last = stored.groupBy("repo", "id").agg(F.max("updated_at").alias("_last"))
-    newest = latest_per_key(incoming, ["repo", "id"])
-    return newest.join(last, ["repo", "id"]).where(F.col("updated_at") > F.col("_last")).drop("_last")
+    newest = incoming.groupBy("repo", "id").agg(F.max("updated_at").alias("updated_at"))
+    edits = newest.join(last, ["repo", "id"]).where(F.col("updated_at") > F.col("_last"))
+    keys = materialise(edits.drop("_last"))
+    return latest_per_key(only_keys(incoming, keys), ["repo", "id"]).select(*incoming.columns)
 
 
 def _takes(

@@ -51,6 +51,15 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
 
 
+def only_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The ``rows`` whose key columns occur in ``keys``, a written table of keys.
+
+    The keys are counted: when few, they are sent to the rows, which are then only scanned and
+    not shuffled; otherwise both sides are joined on the key.
+    """
+    return rows.join(bounded(keys, keys.count()), keys.columns, "left_semi")
+
+
 def literal_table(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:
     """A small table of parameters. Its exact size is known to Catalyst, which broadcasts it
     when it lies below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it when not."""

@@ -17,20 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from triagelake.operators.incremental import pending
 from triagelake.operators.ingest import ingest, latest_per_key, new_records, records
 from triagelake.schemas import CLASSIFICATION, RAW
-from triagelake.session import bounded, materialise
+from triagelake.session import materialise, only_keys
 from triagelake.sources.pages import stream_pages
 from triagelake.sources.tables import append_ledger, has_run, read_ledger
 
 STORED = T.StructType([T.StructField("repo", T.StringType()), *RAW.fields])
 
 
-def _known(table: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of ``table`` a batch asks for. The batch's keys are counted: a batch of usual
-    size is sent to the table, which then is only scanned; a large one is joined."""
-    keys = materialise(keys.distinct())
-    return table.join(bounded(keys, keys.count()), keys.columns, "left_semi")
-
-
 def ingest_stream(
     spark: SparkSession,
     landing: str,
@@ -48,7 +41,8 @@ def ingest_stream(
     def store(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{name}-{batch_id}"
         stored = read_ledger(batch.sparkSession, table, STORED).where(F.col("run_id") != run_id)
-        known = _known(stored.select("repo", "id"), batch.select("repo", "id"))
+        keys = materialise(batch.select("repo", "id").distinct())
+        known = only_keys(stored.select("repo", "id"), keys)
         if repo_caps is None:
             fresh = new_records(batch, known)
         else:  # stored records have no copies, so rows are ids
@@ -87,7 +81,8 @@ def score_stream(
         if has_run(batch.sparkSession, scored, run_id):
             return
         earlier = read_ledger(batch.sparkSession, scored, CLASSIFICATION)
-        known = _known(earlier, batch.select(F.col("id").alias("issue_id")))
+        keys = materialise(batch.select(F.col("id").alias("issue_id")).distinct())
+        known = only_keys(earlier, keys)
         newest = latest_per_key(batch, ["id"])
         append_ledger(classify(pending(newest, current_state(known), version)), scored, run_id)
 
