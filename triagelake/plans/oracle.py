@@ -294,7 +294,7 @@ SELECT repo, id, number, title, body, state, created_at, updated_at, closed_at,
 FROM issues"""
 )
 SPENT = f"""SELECT coalesce(CAST(sum(CAST(estimated_cost_usd AS decimal(28, 12))) AS double), 0.0e0)
-  FROM lines WHERE classifier_version = '{q.LINE_VERSION}' AND issue_type = 'R'"""
+  FROM lines WHERE classifier_version = '{q.LINE_VERSION}' AND confidence > 1"""
 ORGANISED = RECORDS.replace("SELECT repo, id", "SELECT 'org/' || repo AS repo, id")
 CURRENT_LINES = f"FROM lines WHERE classifier_version = '{q.LINE_VERSION}'"
 
@@ -382,7 +382,7 @@ admitted AS ("""
     + _admitted(
         "costs",
         f"""SELECT coalesce(CAST(sum(CAST(estimated_cost_usd AS decimal(28, 12))) AS double), 0.0e0)
-  FROM classifications WHERE classifier_version = '{m.VERSION}'""",
+  FROM classifications WHERE classifier_version = '{m.VERSION}' AND issue_type = 'other'""",
         **q.PENDING_BUDGET,
     ).replace("running AS (", "WITH running AS (", 1)
     + ") SELECT * FROM waiting WHERE id IN (SELECT id FROM admitted)",

@@ -44,7 +44,7 @@ LINE_VERSION = "F"
 LINE_CLASSES = ["A", "N"]
 LOW, EXAMPLES = 0.6, 10
 BUDGET = {"cap": 0.0095, "reserve": 0.002}
-PENDING_BUDGET = {"cap": 0.0200, "reserve": 0.002}
+PENDING_BUDGET = {"cap": 0.0100, "reserve": 0.002}
 ORDER_BUDGET = {"cap": 100.0, "reserve": 5.0}
 ORDER_CAPS = {
     "1-URGENT": 4_000,
@@ -234,7 +234,7 @@ def budget_admit(spark: SparkSession, sf: str) -> DataFrame:
 
 def budget_admit_orders(spark: SparkSession, sf: str) -> DataFrame:
     rows = m.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice")
-    spent = m.line_classifications(spark, sf).where(F.col("issue_type") == "R")
+    spent = m.line_classifications(spark, sf).where(F.col("confidence") > 1)
     tokens = F.floor("o_totalprice")
     admitted = incremental.admit_within_budget(
         rows, tokens, LINE_VERSION, usage=spent, **ORDER_BUDGET
@@ -245,7 +245,8 @@ def budget_admit_orders(spark: SparkSession, sf: str) -> DataFrame:
 def admitted_pending(spark: SparkSession, sf: str) -> DataFrame:
     state = m.classifications(spark, sf)
     return incremental.admitted_pending(
-        m.issues(spark, sf), state, V, estimated_tokens(F.col("body")), usage=usage_rows(state), **PENDING_BUDGET
+        m.issues(spark, sf), state, V, estimated_tokens(F.col("body")),
+        usage=usage_rows(state.where(F.col("issue_type") == "other")), **PENDING_BUDGET,
     )
 
 
