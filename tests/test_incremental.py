@@ -40,26 +40,41 @@ def test_pending_cases(spark, rows):
     assert pending(issues, classes.limit(0), "v2").count() == 9
 
 
-def test_pending_without_shuffle_on_bucketed_tables(spark):
+def test_pending_with_copies_and_history(spark, rows):
+    """One record in many copies and versions, one id with a long history of classifications."""
+    issues = spark.createDataFrame(
+        [(1, "t", "b", "u1"), (1, "t", "b", "u1"), (1, "t", "b", "u2"), (2, "t", "b", "u1"),
+         (None, "t", "b", "u1")], ISSUES
+    )
+    classes = spark.createDataFrame(
+        [(1, "u1", "v2"), (1, "u1", "v2"), (1, "u0", "v2"), (None, "u1", "v2")]
+        + [(2, f"h{i}", "v2") for i in range(500)] + [(2, "u1", "v2"), (2, "u1", "v1")],
+        CLASSES,
+    )
+    got = pending(issues, classes, "v2").groupBy("id", "updated_at").count()
+    assert {tuple(r) for r in got.collect()} == {
+        (1, "u1", 2), (1, "u2", 3), (2, "u1", 501), (None, "u1", 1)
+    }
+
+
+def test_no_shuffle_on_bucketed_tables(spark):
     from triagelake.sources.tables import save_bucketed
 
-    issues = spark.range(500).select("id", F.lit("t").alias("title"), F.lit("b").alias("body"),
-                                     F.lit("u").alias("updated_at"))
-    classes = issues.select(F.col("id").alias("issue_id"), F.col("updated_at").alias("issue_updated_at"),
-                            F.lit("v2").alias("classifier_version")).where("issue_id < 300")
-    save_bucketed(issues, "issues_b", "id", 4)
-    save_bucketed(classes, "classes_b", "issue_id", 4)
+    todo = spark.range(500).select(F.col("id").alias("issue_id"), F.lit("t").alias("title"))
+    done = todo.select("issue_id").where("issue_id < 300")
+    save_bucketed(todo, "todo_b", "issue_id", 4)
+    save_bucketed(done, "done_b", "issue_id", 4)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        left = pending(spark.table("issues_b"), spark.table("classes_b"), "v2")
+        left = unscored(spark.table("todo_b"), spark.table("done_b"))
         plan = left._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         assert left.count() == 200
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        spark.sql("DROP TABLE issues_b")
-        spark.sql("DROP TABLE classes_b")
+        spark.sql("DROP TABLE todo_b")
+        spark.sql("DROP TABLE done_b")
 
 
 def simulated(costs, cap, reserve, price, spent):

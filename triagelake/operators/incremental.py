@@ -12,32 +12,54 @@ from triagelake.schemas import USAGE
 from triagelake.session import literal_table, materialise, only_keys
 
 
+def pending_states(issues: DataFrame, classifications: DataFrame, version: str) -> DataFrame:
+    """(id, updated_at, outdated) of the records to score: those without a classification, with
+    ``outdated`` 1, and those with classifications of another update time or another version,
+    with the number of them.
+
+    What is up to date is counted per (id, update time) over both tables, and set against the
+    number of classifications per id. Copies, or a long history, of one id never meet as pairs.
+    """
+    known = classifications.where(F.col("issue_id").isNotNull())
+    current = F.col("classifier_version").eqNullSafe(F.lit(version)).cast("int")
+    stamps = issues.select(
+        "id", "updated_at", F.lit(1).alias("issue"), F.lit(0).alias("current")
+    ).unionByName(
+        known.select(
+            F.col("issue_id").alias("id"), F.col("issue_updated_at").alias("updated_at"),
+            F.lit(0).alias("issue"), current.alias("current"),
+        )
+    )
+    per_stamp = stamps.groupBy("id", "updated_at").agg(
+        F.max("issue").alias("issue"), F.sum("current").alias("current")
+    )
+    per_id = known.groupBy("issue_id").agg(F.count("*").alias("listed"))
+    outdated = F.when(F.col("listed").isNull(), 1).otherwise(F.col("listed") - F.col("current"))
+    return (
+        per_stamp.where(F.col("issue") == 1)
+        .join(per_id, F.col("id") == F.col("issue_id"), "left")
+        .select("id", "updated_at", outdated.alias("outdated"))
+        .where(F.col("outdated") > 0)
+    )
+
+
 def pending(
-    issues: DataFrame, classifications: DataFrame, version: str, limit: int | None = None,
-    columns: list[str] = ("id", "title", "body", "updated_at"),
+    issues: DataFrame, classifications: DataFrame, version: str, limit: int | None = None
 ) -> DataFrame:
-    """Records without a classification, changed since theirs, or scored by another version.
+    """(id, title, body, updated_at) of the records to score, once per outdated classification.
 
-    A record is listed once per classification that is out of date. Classifications are counted
-    per (record, update time) before the join, all other versions as one, so an id with very
-    many of them meets its record as a few counts. With both tables bucketed by id
-    (``save_bucketed``) neither the counting nor the join shuffles.
+    Which they are is decided on ids and times (``pending_states``); texts are joined to the
+    result, which has one row per id and time.
     """
-    current = F.col("classifier_version").eqNullSafe(F.lit(version))
-    seen = classifications.groupBy(
-        "issue_id", F.when(current, F.struct("issue_updated_at")).alias("_stamp")
-    ).agg(F.count("*").alias("_n"))
-    up_to_date = F.col("_stamp.issue_updated_at").eqNullSafe(F.col("updated_at"))
-    found = (
-        issues.select(*dict.fromkeys([*columns, "id", "updated_at"]))
-        .join(seen, F.col("id") == F.col("issue_id"), "left")
-        .where(F.col("issue_id").isNull() | F.col("_stamp").isNull() | ~up_to_date)
+    columns = ["id", "title", "body", "updated_at"]
+    states = pending_states(issues, classifications, version).alias("s")
+    same = F.col("i.id").eqNullSafe(F.col("s.id")) & F.col("i.updated_at").eqNullSafe(
+        F.col("s.updated_at")
     )
-    if limit is not None:
+    found = issues.select(*columns).alias("i").join(states, same).select("i.*", "outdated")
+    if limit is not None:  # the first records, before any is repeated
         found = found.orderBy(F.col("id").asc_nulls_last()).limit(limit)
-    listed = found.select(
-        *columns, F.explode(F.array_repeat(F.lit(0), F.coalesce("_n", F.lit(1)).cast("int")))
-    ).drop("col")
+    listed = found.select(*columns, F.explode(F.sequence(F.lit(1), F.col("outdated")))).drop("col")
     return listed if limit is None else listed.orderBy(F.col("id").asc_nulls_last()).limit(limit)
 
 
@@ -118,14 +140,17 @@ def admitted_pending(
     reserve: float = RESERVE_USD,
     price: float = PRICE_PER_MILLION_TOKENS,
 ) -> DataFrame:
-    """Pending records the budget admits, each once.
+    """Pending records the budget admits, each once however many classifications are outdated.
 
     Costs are taken at the scan, so that no text passes a join to find out what is pending. The
     texts are then read for the admitted ids, up to the cut.
     """
-    sized = issues.select("id", "updated_at", tokens.alias("tokens"))
-    listed = pending(sized, classifications, version, columns=["id", "tokens"])
-    key_costs = _key_costs(listed.distinct(), "id", version)
+    states = pending_states(issues, classifications, version).alias("s")
+    sized = issues.select("id", "updated_at", tokens.alias("tokens")).alias("i")
+    same = (F.col("i.id") == F.col("s.id")) & F.col("i.updated_at").eqNullSafe(
+        F.col("s.updated_at")
+    )
+    key_costs = _key_costs(sized.join(states, same).select("i.id", "tokens"), "id", version)
     cut = _last_affordable(key_costs, "id", version, usage, cap, reserve, price)
     admitted = materialise(key_costs.where(F.col("id") <= cut).select("id"))
     last = admitted.agg(F.max("id")).first()[0]  # one value, so that the scan can skip files
