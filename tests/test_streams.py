@@ -27,6 +27,13 @@ def test_ingest_stream_is_restartable(spark, tmp_path, rows):
     assert run_ingest(spark, tmp_path, "again", "c2").count() == 5
 
 
+def test_batches_of_few_files(spark, tmp_path, rows):
+    land(tmp_path / "in", "a_b", *[page([node(i), node(i + 1)]) for i in range(4)])
+    stored = run_ingest(spark, tmp_path, "s", "c", max_files=1)
+    assert rows(stored, "id") == [(0,), (1,), (2,), (3,), (4,)]
+    assert stored.select("run_id").distinct().count() == 4
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path, rows):
     land(tmp_path / "in", "a_b", page([node(1), node(2)]))
     run_ingest(spark, tmp_path, "s", "c")

@@ -38,12 +38,15 @@ def scan_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
     return page_nodes(pages.withColumn("repo", _repo_of_file()))
 
 
-def stream_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """The same nodes as a stream; a page is read once, when its file appears."""
-    pages = (
-        spark.readStream.schema(PAGE).option("multiLine", multi_line).option("mode", "FAILFAST")
-        .json(f"{path}/*/*.json")
-    )
+def stream_pages(
+    spark: SparkSession, path: str, multi_line: bool = True, max_files: int | None = None
+) -> DataFrame:
+    """The same nodes as a stream; a page is read once, when its file appears. ``max_files``
+    bounds the files of one batch, for instance of the first one over a full landing zone."""
+    reader = spark.readStream.schema(PAGE).option("multiLine", multi_line).option("mode", "FAILFAST")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    pages = reader.json(f"{path}/*/*.json")
     return page_nodes(pages.withColumn("repo", _repo_of_file()))
 
 

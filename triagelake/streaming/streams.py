@@ -34,6 +34,7 @@ def ingest_stream(
     total_cap: int | None = None,
     trigger: dict | None = None,
     multi_line: bool = True,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Append the records of newly landed pages to ``table``, without copies and, if given,
     under the caps. ``name`` must be new for every new ``checkpoint``: it names the batches."""
@@ -51,7 +52,7 @@ def ingest_stream(
         append_ledger(fresh, table, run_id)
 
     return (
-        records(stream_pages(spark, landing, multi_line))
+        records(stream_pages(spark, landing, multi_line, max_files))
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
