@@ -424,7 +424,8 @@ SELECT repo, id AS issue_id, title, human_type FROM issues JOIN mapped USING (id
     "top_labels": ISSUES
     + f""",
 counted AS ({PIECES} GROUP BY ALL)
-SELECT repo, label, n, row_number() OVER (PARTITION BY repo ORDER BY n DESC, label) AS rank
+SELECT repo, label, n,
+       CAST(row_number() OVER (PARTITION BY repo ORDER BY n DESC, label) AS integer) AS rank
 FROM counted QUALIFY rank <= {q.TOP}""",
     "balanced_sample": PREDICTIONS
     + ","
