@@ -10,45 +10,53 @@ from triagelake.streaming.streams import STORED, current_state, ingest_stream, s
 TERMS = {"bug": ["crash"], "docs": ["typo"]}
 
 
-def run_ingest(spark, tmp_path, name, checkpoint, **caps):
+def run_ingest(spark, tmp_path, checkpoint="c", **caps):
     ingest_stream(
-        spark, str(tmp_path / "in"), str(tmp_path / "raw"), str(tmp_path / checkpoint), name, **caps
+        spark, str(tmp_path / "in"), str(tmp_path / "raw"), str(tmp_path / checkpoint), **caps
     ).awaitTermination()
     return read_ledger(spark, str(tmp_path / "raw"), STORED)
 
 
 def test_ingest_stream_is_restartable(spark, tmp_path, rows):
     land(tmp_path / "in", "a_b", page([node(1), node(2), node(2)]), page([node(2), node(3)]))
-    assert rows(run_ingest(spark, tmp_path, "s", "c"), "repo", "id") == [("a/b", 1), ("a/b", 2), ("a/b", 3)]
+    assert rows(run_ingest(spark, tmp_path), "repo", "id") == [("a/b", 1), ("a/b", 2), ("a/b", 3)]
     # later pages overlap the stored ones; the same checkpoint reads new files only
     land(tmp_path / "in", "c_d", page([node(1), node(9)]))
-    assert run_ingest(spark, tmp_path, "s", "c").count() == 5
+    assert run_ingest(spark, tmp_path).count() == 5
     # a new checkpoint reads everything again and adds nothing
-    assert run_ingest(spark, tmp_path, "again", "c2").count() == 5
+    assert run_ingest(spark, tmp_path, "c2").count() == 5
 
 
 def test_batches_of_few_files(spark, tmp_path, rows):
     land(tmp_path / "in", "a_b", *[page([node(i), node(i + 1)]) for i in range(4)])
-    stored = run_ingest(spark, tmp_path, "s", "c", max_files=1)
+    stored = run_ingest(spark, tmp_path, max_files=1)
     assert rows(stored, "id") == [(0,), (1,), (2,), (3,), (4,)]
     assert stored.select("run_id").distinct().count() == 4
 
 
+def forget_commit(checkpoint, batch):
+    """Make a finished batch look as if the driver was lost before it was committed."""
+    for file in (checkpoint / "commits").glob(f"*{batch}*"):
+        file.unlink()
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path, rows):
     land(tmp_path / "in", "a_b", page([node(1), node(2)]))
-    run_ingest(spark, tmp_path, "s", "c")
-    # the same name with a new checkpoint is the same batch run once more
-    assert rows(run_ingest(spark, tmp_path, "s", "c3"), "id") == [(1,), (2,)]
+    run_ingest(spark, tmp_path)
+    forget_commit(tmp_path / "c", 0)
+    stored = run_ingest(spark, tmp_path)
+    assert rows(stored, "id") == [(1,), (2,)]
+    assert stored.select("run_id").distinct().count() == 1
 
 
 def test_ingest_stream_caps(spark, tmp_path, rows):
     caps = {"repo_caps": {"a/b": 3, "c/d": 5}, "total_cap": 4}
     land(tmp_path / "in", "a_b", page([node(i, createdAt=f"2026-01-0{i}") for i in range(1, 6)]))
     land(tmp_path / "in", "c_d", page([node(i) for i in range(20, 24)]))
-    got = rows(run_ingest(spark, tmp_path, "s", "c", **caps), "repo", "id")
+    got = rows(run_ingest(spark, tmp_path, **caps), "repo", "id")
     assert got == [("a/b", 3), ("a/b", 4), ("a/b", 5), ("c/d", 20)]
     land(tmp_path / "in", "e_f", page([node(99)]))
-    assert run_ingest(spark, tmp_path, "s", "c", **caps).count() == 4
+    assert run_ingest(spark, tmp_path, **caps).count() == 4
 
 
 def test_score_stream(spark, tmp_path, rows):
@@ -63,10 +71,10 @@ def test_score_stream(spark, tmp_path, rows):
         )
         return classification_rows(s, "v2", "m")
 
-    def run(checkpoint="c", name="s"):
+    def run():
         score_stream(
             spark.readStream.schema(ISSUE).parquet(source), classify, scored,
-            str(tmp_path / checkpoint), name, "v2",
+            str(tmp_path / "c"), "v2",
         ).awaitTermination()
         return read_ledger(spark, scored, CLASSIFICATION)
 
@@ -83,8 +91,9 @@ def test_score_stream(spark, tmp_path, rows):
     ]
     assert calls == [2, 2]
     assert usage_rows(ledger).count() == 4  # the replaced prediction's cost is kept
-    # batch 0 again after a crash: it is not scored twice
-    run("c2")
+    # the last batch again after a crash: it is not scored twice
+    forget_commit(tmp_path / "c", 1)
+    assert run().count() == 4
     assert calls == [2, 2]
 
 
@@ -96,5 +105,5 @@ def test_current_state_has_one_row_per_record(spark):
 
 def test_normalise_after_stream(spark, tmp_path):
     land(tmp_path / "in", "a_b", page([node(1)]))
-    got = normalise(run_ingest(spark, tmp_path, "s", "c")).first()
+    got = normalise(run_ingest(spark, tmp_path)).first()
     assert got["repo"] == "a/b" and got["labels"] == ["bug", "x"]

@@ -113,8 +113,7 @@ def capped_ingest_total(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     table = scratch_path(spark, "stored")
     streams.ingest_stream(
-        spark, m.land_pages(spark, sf), table, scratch_path(spark, "offsets"), "first",
-        multi_line=False,
+        spark, m.land_pages(spark, sf), table, scratch_path(spark, "offsets"), multi_line=False
     ).awaitTermination()
     stored = tables.read_ledger(spark, table, streams.STORED).drop("run_id")
     return stored.withColumn("labels", F.array_join("labels.name", "|"))
@@ -129,7 +128,7 @@ def score_stream(spark: SparkSession, sf: str) -> DataFrame:
 
     streams.score_stream(
         spark.readStream.schema(ISSUE).parquet(source), classify, scored,
-        scratch_path(spark, "offsets"), "first", V,
+        scratch_path(spark, "offsets"), V,
     ).awaitTermination()
     state = streams.current_state(tables.read_ledger(spark, scored, CLASSIFICATION))
     return state.drop("classified_at")

@@ -24,12 +24,18 @@ from triagelake.sources.tables import append_ledger, has_run, read_ledger
 STORED = T.StructType([T.StructField("repo", T.StringType()), *RAW.fields])
 
 
+def _run_id(batch: DataFrame, batch_id: int) -> str:
+    """A name only this batch has, also when it is repeated: the query's id is kept in its
+    checkpoint, and a new checkpoint brings a new id."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}"
+
+
 def ingest_stream(
     spark: SparkSession,
     landing: str,
     table: str,
     checkpoint: str,
-    name: str,
     repo_caps: dict[str, int] | None = None,
     total_cap: int | None = None,
     trigger: dict | None = None,
@@ -37,10 +43,10 @@ def ingest_stream(
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Append the records of newly landed pages to ``table``, without copies and, if given,
-    under the caps. ``name`` must be new for every new ``checkpoint``: it names the batches."""
+    under the caps."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{name}-{batch_id}"
+        run_id = _run_id(batch, batch_id)
         stored = read_ledger(batch.sparkSession, table, STORED).where(F.col("run_id") != run_id)
         keys = materialise(batch.select("repo", "id").distinct())
         known = only_keys(stored.select("repo", "id"), keys)
@@ -65,7 +71,6 @@ def score_stream(
     classify: Callable[[DataFrame], DataFrame],
     scored: str,
     checkpoint: str,
-    name: str,
     version: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -78,7 +83,7 @@ def score_stream(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{name}-{batch_id}"
+        run_id = _run_id(batch, batch_id)
         if has_run(batch.sparkSession, scored, run_id):
             return
         earlier = read_ledger(batch.sparkSession, scored, CLASSIFICATION)
