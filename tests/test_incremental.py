@@ -107,6 +107,12 @@ def test_copies_of_a_key_are_admitted_together(spark, rows):
     assert got.count() == 1002 and got.where("id = 4").count() == 0
 
 
+def test_rows_without_a_key_cost_nothing(spark, rows):
+    df = spark.createDataFrame([(None, 1000), (1, 5), (2, 5), (3, 5)], "id long, t long")
+    got = admit_within_budget(df, F.col("t"), "v2", cap=9.0, reserve=0.0, price=1e6)
+    assert rows(got, "id") == [(1,), (2,)]
+
+
 def test_recorded_spend_without_rows_is_zero(spark):
     usage = spark.createDataFrame([], "classifier_version string, estimated_cost_usd double")
     assert tuple(recorded_spend(usage, "v2").first()) == ("v2", 0.0)

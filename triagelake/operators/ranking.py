@@ -56,7 +56,7 @@ def running_total_cut(
     Rows are taken in ``key`` order and a row is admitted while ``admit`` holds for the total
     weight of the rows before it. ``weight`` must not be negative, so the admitted rows are a
     prefix and one key per group describes them. ``groups`` bounds the number of groups;
-    ``limits`` has one row per group with columns ``admit`` may read.
+    ``limits`` has one row per group with columns ``admit`` may read. Rows without a key are left out.
 
     Instead of one ordered window per group, key ranges are totalled first, the small table of
     ranges is accumulated, and only the one range in which a group's cut lies is
@@ -68,7 +68,7 @@ def running_total_cut(
     rows = rows.select(
         *group, place.alias("_key"), weight.cast("long").alias("_weight"),
         *([] if bucket is None else [bucket.alias("_range")]),
-    )
+    ).where(F.col("_key").isNotNull())
     if bucket is None:
         parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranged = rows.repartitionByRange(parts, *group, "_key").withColumn(
