@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql, queries
 from tools.compare import canonical, database
+from triagelake.plans.oracle import ORACLE
+from triagelake.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +14,19 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+def test_entry(spark):
+    assert entry(spark).columns
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
-    result = con.execute(oracle_sql()[name])
+    result = con.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
     want = result.fetchall()
