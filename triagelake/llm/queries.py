@@ -1,6 +1,10 @@
 """The queries of this folder and their SQL, by name."""
 
+from triagelake.llm.decontaminate import OP6_SQL, op6_suffix_automaton
 from triagelake.llm.simhash import op10_simhash_pivots
 
-QUERIES = {"op10_simhash_pivots": op10_simhash_pivots}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    "op6_suffix_automaton": op6_suffix_automaton,
+    "op10_simhash_pivots": op10_simhash_pivots,
+}
+ORACLE: dict[str, str] = {"op6_suffix_automaton": OP6_SQL}
