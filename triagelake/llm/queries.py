@@ -1,9 +1,11 @@
 """The queries of this folder and their SQL, by name."""
 
 from triagelake.llm.decontaminate import OP6_SQL, op6_suffix_automaton
+from triagelake.llm.langid import op4_kneser_ney
 from triagelake.llm.simhash import op10_simhash_pivots
 
 QUERIES = {
+    "op4_kneser_ney": op4_kneser_ney,
     "op6_suffix_automaton": op6_suffix_automaton,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
