@@ -2,11 +2,13 @@
 
 from triagelake.llm.decontaminate import OP6_SQL, op6_suffix_automaton
 from triagelake.llm.langid import op4_kneser_ney
+from triagelake.llm.packing import op8_exact_complement
 from triagelake.llm.simhash import op10_simhash_pivots
 
 QUERIES = {
     "op4_kneser_ney": op4_kneser_ney,
     "op6_suffix_automaton": op6_suffix_automaton,
+    "op8_exact_complement": op8_exact_complement,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
 ORACLE: dict[str, str] = {"op6_suffix_automaton": OP6_SQL}
