@@ -83,17 +83,21 @@ class Plan:
     sequences: int
 
 
-def complement(gap: int, there: np.ndarray, pairs: np.ndarray, triples: np.ndarray) -> list[int] | None:
-    """One, two or three lengths that are ``there`` and sum to ``gap``, longest first."""
+def complement(gap: int, there: np.ndarray, most: int = 3) -> list[int] | None:
+    """Up to ``most`` lengths that are ``there`` and sum to ``gap``, the longest possible first."""
     if there[gap]:
         return [gap]
+    if most < 2:
+        return None
+    size = 1 << (2 * len(there)).bit_length()
+    wave = np.fft.rfft(there, size)
+    pairs = np.fft.irfft(wave**2, size)[: len(there)] > 0.5  # sums of two, by their value
     if pairs[gap]:
         return _pair(gap, there)
-    if triples[gap]:
-        for a in np.flatnonzero(there[: gap - 1])[::-1].tolist():
-            if pairs[gap - a]:
-                return [a, *_pair(gap - a, there)]
-    return None
+    if most < 3:
+        return None
+    third = np.flatnonzero(there[:gap] & pairs[gap:0:-1])
+    return [int(third[-1]), *_pair(gap - int(third[-1]), there)] if len(third) else None
 
 
 def _pair(total: int, there: np.ndarray) -> list[int]:
@@ -103,24 +107,31 @@ def _pair(total: int, there: np.ndarray) -> list[int]:
 
 
 def plan_lengths(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    """The plan for ``counts`` pieces of each length (1 to ``capacity``)."""
+    """The plan for ``counts`` pieces of each length (1 to ``capacity``).
+
+    Combinations of up to three are consumed first. Where that spends short pieces on gaps that
+    best-fit would have filled with middling ones, the plan with pairs or singles only is shorter;
+    they are tried while the plan is more than a thousandth above the lower bound.
+    """
+    total = sum(length * n for length, n in counts.items())
+    least = max(-(-total // capacity), sum(n for length, n in counts.items() if 2 * length > capacity))
+    plans = []
+    for most in (3, 2, 1):
+        plans.append(lay_out(complete_exactly(counts, capacity, most)))
+        if plans[-1].sequences <= least + least // 1000 + 1:
+            break
+    return min(plans, key=lambda p: p.sequences)
+
+
+def complete_exactly(counts: dict[int, int], capacity: int, most: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """Equal sequences, as ([(length, times in each)], how many)."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
-    patterns: list[tuple[list[tuple[int, int]], int]] = []  # ([(length, times)], sequences)
+    patterns: list[tuple[list[tuple[int, int]], int]] = []
     for length in range(capacity, 0, -1):
         while left[length]:
-            gap = capacity - length
-            if not gap:
-                patterns.append(([(length, 1)], int(left[length])))
-                left[length] = 0
-                break
-            there = left > 0
-            size = 1 << (2 * capacity + 2).bit_length()
-            wave = np.fft.rfft(there, size)
-            pairs = np.fft.irfft(wave**2, size)[: capacity + 1] > 0.5
-            triples = np.fft.irfft(np.fft.rfft(pairs, size) * wave, size)[: capacity + 1] > 0.5
-            found = complement(gap, there, pairs, triples)
+            found = complement(capacity - length, left > 0, most) if length < capacity else []
             if found is None:
                 break
             need = {x: [length, *found].count(x) for x in {length, *found}}
@@ -130,8 +141,7 @@ def plan_lengths(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
             for x, n in need.items():
                 left[x] -= n * times
             patterns.append((sorted(need.items(), reverse=True), times))
-    patterns += best_fit(left, capacity)
-    return lay_out(patterns)
+    return patterns + best_fit(left, capacity)
 
 
 def best_fit(left: np.ndarray, capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
