@@ -3,9 +3,11 @@
 from triagelake.llm.decontaminate import OP6_SQL, op6_suffix_automaton
 from triagelake.llm.langid import op4_kneser_ney
 from triagelake.llm.packing import op8_exact_complement
+from triagelake.llm.pii import op1_field_pii
 from triagelake.llm.simhash import op10_simhash_pivots
 
 QUERIES = {
+    "op1_field_pii": op1_field_pii,
     "op4_kneser_ney": op4_kneser_ney,
     "op6_suffix_automaton": op6_suffix_automaton,
     "op8_exact_complement": op8_exact_complement,
