@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from triagelake.session import scratch_path
+
 #: Rows turned into Python objects at once, which bounds a task's memory by this many long texts.
 ROWS = 256
 
@@ -65,6 +67,22 @@ def map_columns(
     return df.mapInArrow(run, out)
 
 
+def share_file(spark: SparkSession, data: bytes, name: str) -> str:
+    """Write ``data`` below the shared folder and have every executor fetch it; the name under which
+    ``SparkFiles.get`` finds it there. Executors that join later fetch it too."""
+    path = scratch_path(spark, name)
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    try:
+        for at in range(0, len(data), 1 << 22):
+            out.write(bytearray(data[at : at + (1 << 22)]))
+    finally:
+        out.close()
+    sc.addFile(path)
+    return path.rsplit("/", 1)[1]
+
+
 def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 

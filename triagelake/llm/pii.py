@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -271,8 +272,10 @@ class Field:
         return labels
 
 
-def train(lines: Iterable[tuple[str, str, int, int]] | None = None) -> Field:
-    return Field(labelled_lines() if lines is None else lines)
+@cache
+def train() -> Field:
+    """The field of the default table; ``Field(lines)`` trains on another."""
+    return Field(labelled_lines())
 
 
 # --- both together ----------------------------------------------------------------------------

@@ -5,12 +5,14 @@ from triagelake.llm.langid import op4_kneser_ney
 from triagelake.llm.packing import op8_exact_complement
 from triagelake.llm.pii import op1_field_pii
 from triagelake.llm.simhash import op10_simhash_pivots
+from triagelake.llm.urlfilter import OP7_SQL, op7_digest_array
 
 QUERIES = {
     "op1_field_pii": op1_field_pii,
     "op4_kneser_ney": op4_kneser_ney,
     "op6_suffix_automaton": op6_suffix_automaton,
+    "op7_digest_array": op7_digest_array,
     "op8_exact_complement": op8_exact_complement,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
-ORACLE: dict[str, str] = {"op6_suffix_automaton": OP6_SQL}
+ORACLE: dict[str, str] = {"op6_suffix_automaton": OP6_SQL, "op7_digest_array": OP7_SQL}
