@@ -6,6 +6,7 @@ from triagelake.llm.langid import op4_kneser_ney
 from triagelake.llm.packing import op8_exact_complement
 from triagelake.llm.pii import op1_field_pii
 from triagelake.llm.simhash import op10_simhash_pivots
+from triagelake.llm.toxicity import op9_weak_supervision
 from triagelake.llm.urlfilter import OP7_SQL, op7_digest_array
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op6_suffix_automaton": op6_suffix_automaton,
     "op7_digest_array": op7_digest_array,
     "op8_exact_complement": op8_exact_complement,
+    "op9_weak_supervision": op9_weak_supervision,
     "op10_simhash_pivots": op10_simhash_pivots,
 }
 ORACLE: dict[str, str] = {"op6_suffix_automaton": OP6_SQL, "op7_digest_array": OP7_SQL}
