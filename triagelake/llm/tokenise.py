@@ -24,7 +24,7 @@ from triagelake.llm.common import tokenizer_file
 VOCABULARY = "word_bpe_49k.json"
 #: Words and pieces kept by a worker; beyond it the older half stays, for frequent words come
 #: early. Longer ones are not kept.
-CACHED = 600_000
+CACHED = 250_000
 CACHED_LENGTH = 64
 #: The vocabulary's pattern (fixed value).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
