@@ -1,6 +1,7 @@
 """The queries of this folder and their SQL, by name."""
 
 from triagelake.llm.decontaminate import OP6_SQL, op6_suffix_automaton
+from triagelake.llm.embeddings import op2_pruned_graph
 from triagelake.llm.html import op5_style_tree
 from triagelake.llm.langid import op4_kneser_ney
 from triagelake.llm.packing import op8_exact_complement
@@ -11,6 +12,7 @@ from triagelake.llm.urlfilter import OP7_SQL, op7_digest_array
 
 QUERIES = {
     "op1_field_pii": op1_field_pii,
+    "op2_pruned_graph": op2_pruned_graph,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_style_tree": op5_style_tree,
     "op6_suffix_automaton": op6_suffix_automaton,

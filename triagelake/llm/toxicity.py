@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from triagelake.llm.common import crc32_mod, map_columns, table
 
-MAX_LABELLED = 30_000
-MAX_VOTERS = 400
+MAX_LABELLED = 20_000
+MAX_VOTERS = 250
 STEMS = (4, 5)
 #: Words whose voters a task remembers.
 KNOWN_WORDS = 200_000
