@@ -4,10 +4,13 @@
 2. Shards: centroids fitted on a bounded sample; every class goes to its ``OVERLAP`` nearest ones.
    Shards overlap, so that near vectors meet in one at least. A shard of more than ``TILE`` classes is
    dealt into tiles, pairs of its parts, in which all its pairs still meet.
-3. Each tile builds a flat graph: greedy searches from the medoid propose neighbours, robust pruning
-   keeps those that no kept one already stands for, and edges are made to go both ways.
+3. Each tile builds a flat graph: of a row's nearest ones in the tile, robust pruning keeps those that
+   no kept one already stands for; edges are made to go both ways, and a few random ones are added.
+   (Neighbours proposed by greedy searches on a random graph, the usual way for an index that
+   is too large to compare, costs ten times as much here; a tile is small enough.)
 4. A class's adjacency lists from all its tiles are united, and every class is searched for in each of
-   its tiles on the united graph: greedily from the medoid, then over everything within range.
+   its tiles on the united graph: greedily from the medoid, then, from what that met and from itself,
+   over everything within range.
 5. Pairs are verified by their cosine in double precision. ``audit`` compares a sample of classes
    with brute force.
 
@@ -37,7 +40,8 @@ SHARD = 1_000
 TILE = 2_048
 OVERLAP = 2
 DEGREE = 24
-BEAM = 40
+FAR = 4
+BEAM = 12
 ALPHA = 1.2
 QUERIES = 256
 
@@ -62,7 +66,7 @@ def centroids(sample: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 
 def beam_search(x: np.ndarray, adjacent: np.ndarray, start: int, queries: np.ndarray, beam: int):
-    """Greedy searches of all ``queries`` at once: their best ids and cosines, and what was visited."""
+    """Greedy searches of all ``queries`` at once: the best ids found and their cosines."""
     n, rows = len(x), np.arange(len(queries))
     seen = np.zeros((len(queries), n + 1), bool)
     seen[:, -1] = True  # the place of missing neighbours
@@ -84,7 +88,7 @@ def beam_search(x: np.ndarray, adjacent: np.ndarray, start: int, queries: np.nda
         done = np.hstack([done, near == n])
         best = np.argpartition(-sims, beam - 1, axis=1)[:, :beam]
         ids, sims, done = ids[rows[:, None], best], sims[rows[:, None], best], done[rows[:, None], best]
-    return ids, sims, seen
+    return ids, sims
 
 
 def robust_prune(x: np.ndarray, node: np.ndarray, proposed: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -115,31 +119,33 @@ def medoid(x: np.ndarray) -> int:
     return int((x @ x.mean(0)).argmax())
 
 
-def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM) -> np.ndarray:
-    """Adjacency lists (len(x): no neighbour) of a flat graph over the rows of ``x``."""
+def build_graph(x: np.ndarray, degree: int = DEGREE, far: int = FAR) -> np.ndarray:
+    """Adjacency lists (len(x): no neighbour) of a flat graph over the rows of ``x``, a tile's: pruned
+    from the nearest rows, made to go both ways, and ``far`` random edges that lead between clusters."""
     n = len(x)
     if n < 2:
-        return np.full((n, degree), n)
-    adjacent = np.random.default_rng(n).integers(0, n, (n, degree))
-    start = medoid(x)
-    for alpha in (1.0, ALPHA):
-        found = adjacent.copy()
-        for at in range(0, n, QUERIES):
-            node = np.arange(at, min(at + QUERIES, n))
-            ids, _, _ = beam_search(x, adjacent, start, x[node], beam)
-            found[node] = robust_prune(x, node, np.hstack([ids, adjacent[node]]), degree, alpha)
-        source = np.repeat(np.arange(n), degree)
-        target = found.ravel()
-        source, target = source[target < n], target[target < n]
-        order = np.argsort(target, kind="stable")
-        source, target = source[order], target[order]
-        place = np.arange(len(target)) - np.searchsorted(target, target)  # how many came before
-        back = np.full((n, 2 * degree), n)
-        fits = place < 2 * degree
-        back[target[fits], place[fits]] = source[fits]
-        for at in range(0, n, QUERIES):
-            node = np.arange(at, min(at + QUERIES, n))
-            adjacent[node] = robust_prune(x, node, np.hstack([found[node], back[node]]), degree, alpha)
+        return np.full((n, degree + far), n)
+    found, most = np.full((n, degree), n), min(2 * degree, n - 1)
+    for at in range(0, n, QUERIES):
+        node = np.arange(at, min(at + QUERIES, n))
+        sims = x[node] @ x.T
+        sims[np.arange(len(node)), node] = -np.inf
+        nearest = np.argpartition(-sims, most - 1, axis=1)[:, :most]
+        found[node] = robust_prune(x, node, nearest, degree, ALPHA)
+    source, target = np.repeat(np.arange(n), degree), found.ravel()
+    source, target = source[target < n], target[target < n]
+    order = np.argsort(target, kind="stable")
+    source, target = source[order], target[order]
+    place = np.arange(len(target)) - np.searchsorted(target, target)  # how many came before
+    back = np.full((n, 2 * degree), n)
+    fits = place < 2 * degree
+    back[target[fits], place[fits]] = source[fits]
+    adjacent = np.full((n, degree + far), n)
+    adjacent[:, degree:] = np.random.default_rng(n).integers(0, n, (n, far))
+    for at in range(0, n, QUERIES):
+        node = np.arange(at, min(at + QUERIES, n))
+        both = np.hstack([found[node], back[node]])
+        adjacent[node, :degree] = robust_prune(x, node, both, degree, ALPHA)
     return adjacent
 
 
@@ -150,12 +156,13 @@ def range_pairs(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack
     for at in range(0, n, QUERIES):
         node = np.arange(at, min(at + QUERIES, n))
         q = x[node]
-        ids, sims, seen = beam_search(x, adjacent, start, q, beam)
-        row, col = np.nonzero((sims >= limit - slack) & (ids < n))
-        who, what = row, ids[row, col]
-        own = ~seen[np.arange(len(node)), node]  # itself, if the search has not come by
-        seen[np.arange(len(node)), node] = True
-        who, what = np.append(who, np.flatnonzero(own)), np.append(what, node[own])
+        ids, sims = beam_search(x, adjacent, start, q, beam)
+        rows = np.arange(len(node))
+        seen = np.zeros((len(node), n + 1), bool)  # anew: what fell out of the beam may be in range
+        seen[:, -1] = True
+        seen[rows[:, None], ids] |= sims >= limit - slack
+        seen[rows, node] = True
+        who, what = np.nonzero(seen[:, :n])
         out.append(np.array([node[who], what])[:, (q[who] * x[what]).sum(1) >= limit])
         while len(who):
             near = adjacent[what]
