@@ -6,6 +6,7 @@ from triagelake.llm.html import op5_style_tree
 from triagelake.llm.langid import op4_kneser_ney
 from triagelake.llm.packing import op8_exact_complement
 from triagelake.llm.pii import op1_field_pii
+from triagelake.llm.shards import op3_training_order
 from triagelake.llm.simhash import op10_simhash_pivots
 from triagelake.llm.toxicity import op9_weak_supervision
 from triagelake.llm.urlfilter import OP7_SQL, op7_digest_array
@@ -13,6 +14,7 @@ from triagelake.llm.urlfilter import OP7_SQL, op7_digest_array
 QUERIES = {
     "op1_field_pii": op1_field_pii,
     "op2_pruned_graph": op2_pruned_graph,
+    "op3_training_order": op3_training_order,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_style_tree": op5_style_tree,
     "op6_suffix_automaton": op6_suffix_automaton,
