@@ -175,7 +175,8 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     chosen = near_groups(docs, distance).where("doc_id = component_id").groupBy("doc_id").count()
     count = fresh(docs, "copies")
     chosen = materialise(chosen.select("doc_id", F.col("count").alias(count)))
-    kept = docs.join(chosen, "doc_id").select(*docs.columns, count)
+    # the ids grow with the documents: they are joined by shuffle at every size, never sent whole
+    kept = docs.join(chosen.hint("merge"), "doc_id").select(*docs.columns, count)
     single = kept.where(F.col(count) == 1)
     repeated = kept.where(F.col(count) > 1).dropDuplicates(["doc_id"])
     return single.unionByName(repeated).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
