@@ -25,6 +25,7 @@ from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from triagelake.llm.common import ROWS, table
 from triagelake.llm.tokenise import VOCABULARY, encoder
 from triagelake.session import materialise, scratch_path
 
-LENGTH = 1024
+LENGTH = 2048
 SHARD_ROWS = 8192
 KEY = 20_240_229
 END = 49_407
@@ -88,17 +89,19 @@ def permute(numbers: np.ndarray, n: int, key: int = KEY, inverse: bool = False)
 
 
 def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, end: int = END, id_bytes: int = 2) -> DataFrame:
-    """(task, number, record): the records of every task's stream."""
+    """(task, number, record): the records of every task's stream, compressed one by one, for they are
+    written and shuffled before they reach their shard."""
     kind = np.dtype(f"<u{id_bytes}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task = encoder(vocabulary, end), TaskContext.get().partitionId()
         size, pad = length * id_bytes, HEAD + length * id_bytes
+        pack = zstandard.ZstdCompressor(level=3).compress
         held, head, number = bytearray(), None, 0
 
         def record(ids: bytes, first: tuple[int, int]) -> bytes:
             start = np.array(first, "<i8").tobytes() + np.array([len(ids) // id_bytes], "<u4").tobytes()
-            return (start + ids).ljust(pad, b"\0")
+            return pack((start + ids).ljust(pad, b"\0"))
 
         def made(records: list[bytes]) -> pa.RecordBatch:
             n = len(records)
@@ -150,10 +153,19 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, rows: int = S
             yield pa.RecordBatch.from_arrays(
                 [pa.array(slot // rows), pa.array(slot), batch.column("record")], ["shard", "slot", "record"])
 
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                records = [unpack(r) for r in part.column("record").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("shard"), pa.array(records, pa.binary())], ["shard", "record"])
+
     numbered = written.join(by_task, "task").select((F.col("number") + F.col("before")).alias("number"), "record")
     placed = numbered.mapInArrow(slots, "shard long, slot long, record binary")
     (
         placed.repartition("shard").sortWithinPartitions("shard", "slot")
+        .select("shard", "record").mapInArrow(unpacked, "shard long, record binary")  # row by row, in order
         .select("shard", F.col("record").cast("string").alias("record"))
         .write.partitionBy("shard").option("compression", "none").option("lineSep", "\n").text(f"{path}/shards")
     )
