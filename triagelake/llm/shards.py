@@ -35,7 +35,7 @@ from triagelake.llm.tokenise import VOCABULARY, encoder
 from triagelake.session import materialise, scratch_path
 
 LENGTH = 2048
-SHARD_ROWS = 8192
+SHARD_ROWS = 2048
 KEY = 20_240_229
 END = 49_407
 ROUNDS = 6
