@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -16,17 +15,12 @@ BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own; on a cluster a
-    machine-local folder would be lost with its executor, so the setting is required there.
-    """
+    """The folder the session names in ``spark.checkpoint.dir``; where that is unset, one in the
+    warehouse, which all executors share too."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        if named is None and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="triagelake-"))
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return named or sc.getCheckpointDir()
 
 
