@@ -19,8 +19,8 @@ A null text is empty; a null doc_id is written as the smallest integer.
 from __future__ import annotations
 
 import json
-import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -41,6 +41,9 @@ END = 49_407
 ROUNDS = 6
 NO_DOC = -(1 << 63)
 HEAD = 20
+#: Rows sent to a Python worker at once while shards are written: a batch of long texts stands in memory
+#: several times, on both sides.
+BATCH = 64
 
 
 @dataclass(frozen=True)
@@ -112,9 +115,9 @@ def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULAR
 
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for at in range(0, batch.num_rows, ROWS):
+            for at in range(0, batch.num_rows, BATCH):
                 records = []
-                for doc, text in zip(ids[at : at + ROWS], batch.column("text").slice(at, ROWS).to_pylist()):
+                for doc, text in zip(ids[at : at + BATCH], batch.column("text").slice(at, BATCH).to_pylist()):
                     doc = NO_DOC if doc is None else doc
                     tokens, used = np.frombuffer(encode(text), "<u4").astype(kind).tobytes(), 0
                     while used < len(tokens):
@@ -136,11 +139,24 @@ def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULAR
     return docs.select("doc_id", "text").mapInArrow(run, "task int, number long, record binary")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH) -> Iterator[None]:
+    """Jobs started within send ``rows`` rows at once to Python; the session's own value comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_shards(docs: DataFrame, path: str, length: int = LENGTH, rows: int = SHARD_ROWS, key: int = KEY,
                  vocabulary: str = VOCABULARY, end: int = END) -> Layout:
     """Write ``docs`` (doc_id, text) as shards below ``path``; their layout, also written there."""
     spark = docs.sparkSession
-    written = materialise(sequences(docs, length, vocabulary, end))
+    with small_batches(spark):
+        written = materialise(sequences(docs, length, vocabulary, end))
     by_task = written.groupBy("task").agg(F.count("*").alias("n"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
     by_task = materialise(by_task.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
@@ -163,12 +179,13 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, rows: int = S
 
     numbered = written.join(by_task, "task").select((F.col("number") + F.col("before")).alias("number"), "record")
     placed = numbered.mapInArrow(slots, "shard long, slot long, record binary")
-    (
+    shards = (
         placed.repartition("shard").sortWithinPartitions("shard", "slot")
         .select("shard", "record").mapInArrow(unpacked, "shard long, record binary")  # row by row, in order
         .select("shard", F.col("record").cast("string").alias("record"))
-        .write.partitionBy("shard").option("compression", "none").option("lineSep", "\n").text(f"{path}/shards")
     )
+    with small_batches(spark, ROWS * 4):
+        shards.write.partitionBy("shard").option("compression", "none").option("lineSep", "\n").text(f"{path}/shards")
     spark.createDataFrame([(json.dumps(asdict(layout)),)], "layout string").coalesce(1).write.text(f"{path}/layout")
     return layout
 
@@ -210,13 +227,8 @@ def op3_training_order(spark, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "shards")
     write_shards(table(spark, sf_dir, "documents", "doc_id", "text"), path)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = ["slot", "shard", "byte_offset", "doc_id", "start"]
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            made = [batch.column(c) for c in kept]
-            made += [pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())]
-            yield pa.RecordBatch.from_arrays(made, [*kept, "length", "ids_crc32"])
-
-    out = "slot long, shard long, byte_offset long, doc_id long, start long, length long, ids_crc32 long"
-    return read_records(spark, path).mapInArrow(run, out)
+    # Spark's own functions: a second Python step would keep two more workers, each with its caches.
+    return read_records(spark, path).select(
+        "slot", "shard", "byte_offset", "doc_id", "start",
+        F.floor(F.length("ids") / 2).alias("length"), F.crc32("ids").alias("ids_crc32"),
+    )
