@@ -19,8 +19,9 @@ def simulate(pages, stored, caps, total_cap):
     have = {}
     for repo, key in stored:
         have.setdefault(repo, set()).add(key)
-    total, taken = sum(len(have.get(r, ())) for r in caps), []
-    for repo, cap in caps.items():
+    total, taken = sum(map(len, have.values())), []
+    unnamed = dict.fromkeys(sorted({p[0] for p in pages} - set(caps)), 10**9)
+    for repo, cap in (caps | unnamed).items():
         seen = have.get(repo, set())
         count = len(seen)
         for created, key in sorted(
@@ -60,6 +61,16 @@ def test_caps_are_the_sequential_loop(spark, rows, total_cap):
     assert got.columns == ["repo", "id", "created_at", "updated_at", "title"]
 
 
+def test_without_caps_everything_is_collected(spark, rows):
+    pages = spark.createDataFrame([(r, i, f"2026-0{i}", "u", "t") for r in "abc" for i in range(1, 6)], SCHEMA)
+    none = pages.limit(0)
+    assert ingest(pages, none).count() == 15
+    kept = rows(ingest(pages, none, {"a": 2}), "repo", "id")  # the others have no cap
+    assert kept == [("a", 4), ("a", 5), *[(r, i) for r in "bc" for i in range(1, 6)]]
+    assert rows(ingest(pages, none, {"b": 4}, 6), "repo", "id") == [("a", 4), ("a", 5), *[("b", i) for i in range(2, 6)]]
+    assert ingest(pages, none, None, 7).count() == 7
+
+
 def test_ingest_twice_adds_nothing(spark, rows):
     pages = spark.createDataFrame([("a", i, "2026", "u", "t") for i in range(50)], SCHEMA)
     caps = {"a": 1000}

@@ -189,3 +189,11 @@ def test_run_summary(spark):
     assert got == {"processed": 2, "input_tokens": 4000, "average_tokens": 2000.0, "cost_usd": 0.002,
                    "projected_cost_usd": 100.0}
     assert analytics.run_summary(usage.limit(0)).first()["processed"] == 0
+
+
+@pytest.mark.parametrize("cost, total", [(1e17, 2e17), (4e-13, 8e-13)])
+def test_sums_keep_their_range_and_precision(spark, cost, total):
+    from triagelake.operators.analytics import usage_totals
+
+    usage = spark.createDataFrame([("v", 1, cost), ("v", 2, cost)], "classifier_version string, input_tokens int, estimated_cost_usd double")
+    assert usage_totals(usage, "v").first()["total_cost_usd"] == total

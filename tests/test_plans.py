@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from triagelake.operators import sampling
 from triagelake.plans import model, queries as q
 
 
@@ -33,8 +34,13 @@ def test_deciding_what_is_pending_reads_texts_once(spark, sf_dir):
 
 
 def test_groups_are_limited_before_the_shuffle(spark, sf_dir):
-    for query in (q.balanced_sample, q.gold_review, q.top_labels):
-        text = plan(query(spark, sf_dir))
+    rows, issues = model.eval_set(spark, sf_dir), model.issues(spark, sf_dir)
+    for choice in (
+        sampling.balanced_keys(rows, classes=model.LANGUAGES),
+        sampling.review_choice(rows, issues, model.predictions(spark, sf_dir), classes=model.LANGUAGES),
+        q.top_labels(spark, sf_dir),
+    ):
+        text = plan(choice)
         assert re.search(r"WindowGroupLimit .*_lane.*Partial", text)
         assert re.search(r"WindowGroupLimit .*Final", text)
 

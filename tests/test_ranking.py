@@ -35,7 +35,7 @@ def test_cut_is_the_flat_running_total(spark, rows, limit, descending):
     df = spark.createDataFrame(data, "grp string, key long, other int, weight int")
     limits = df.select("grp").distinct().withColumn("lim", F.lit(limit))
     cut = running_total_cut(
-        df, ["grp"], ["other", "key"], F.col("weight"), lambda b: b < F.col("lim"), 10, limits, descending
+        df, ["grp"], ["other", "key"], F.col("weight"), lambda b: b < F.col("lim"), limits, descending
     )
     got = {r["grp"]: (r["cut"]["other"], r["cut"]["key"]) for r in cut.collect()}
     want = {}
@@ -56,7 +56,7 @@ def test_cut_with_buckets_equals_cut_with_ranges(spark, rows):
 
     def cut(bucket):
         return running_total_cut(
-            df, ["grp"], ["h", "key"], F.lit(1), lambda b: b < F.col("lim"), 10, limits, bucket=bucket
+            df, ["grp"], ["h", "key"], F.lit(1), lambda b: b < F.col("lim"), limits, bucket=bucket
         )
 
     assert rows(cut(None), "grp", "cut.h") == rows(cut(F.substring("h", 1, 4)), "grp", "cut.h")
@@ -67,7 +67,7 @@ def test_equal_keys_and_one_hot_key(spark, rows):
     data = [("g", 5)] * 400 + [("g", k) for k in range(10)] + [("g", k) for k in range(100, 900)]
     df = spark.createDataFrame(data, "grp string, key long")
     limits = spark.createDataFrame([("g", 20)], "grp string, lim long")
-    cut = running_total_cut(df, ["grp"], ["key"], F.lit(1), lambda b: b < F.col("lim"), 1, limits)
+    cut = running_total_cut(df, ["grp"], ["key"], F.lit(1), lambda b: b < F.col("lim"), limits)
     assert rows(cut, "cut") == [(5,)]
 
 

@@ -55,7 +55,7 @@ def test_keyword_score(spark):
         ("other", 0.0, 4),
         ("other", 0.0, 1),
         ("other", 0.0, 1),
-        ("question", 1.0, 1001),  # the whole text is searched, 4000 characters are sent
+        ("question", 1.0, 1252),  # the whole text is searched and sent
         ("bug", 0.5, 2),
     ]
 
@@ -75,10 +75,9 @@ def test_versions_share_one_pass(spark, rows):
 
 
 def test_batch_scorer_agrees_with_the_native_one(spark, rows):
-    terms = {"bug": ["crash", "fails"], "docs": ["typo"], "question": ["how"]}
-    df = frame(spark).where("length(body) < 4000")
-    scored = score(df, keyword_scorer(terms), "v2", "m", CRITERIA["v2"], F.lit("2026-01-01").cast("timestamp"))
-    native = keyword_score(df, terms)
+    df = frame(spark)  # with a long text, and a word of two classes
+    scored = score(df, keyword_scorer(TERMS), "v2", "m", CRITERIA["v2"], F.lit("2026-01-01").cast("timestamp"))
+    native = keyword_score(df, TERMS)
     assert rows(scored, "issue_id", "issue_type", "confidence", "input_tokens") == rows(
         native, "id", "choice", "confidence", "input_tokens"
     )
@@ -91,9 +90,10 @@ def test_batch_scorer_agrees_with_the_native_one(spark, rows):
 
 def test_request_document(spark):
     df = spark.createDataFrame([(None, "ü" * 4001)], "title string, body string")
-    request = scoring_request(F.col("title"), F.col("body"), "m", CRITERIA["v3"])
-    doc = json.loads(df.select(request).first()[0])
-    assert doc["state"] == {"title": "", "body": "ü" * 4000}
+    for chars, sent in ((4000, 4000), (None, 4001)):
+        request = scoring_request(F.col("title"), F.col("body"), "m", CRITERIA["v3"], chars)
+        doc = json.loads(df.select(request).first()[0])
+        assert doc["state"] == {"title": "", "body": "ü" * sent}
     assert doc["questions"]["issue_type"]["type"] == "choice"
     assert list(doc["questions"]["issue_type"]["criteria"]) == ["bug", "feature", "docs", "question", "other"]
     assert doc["model"] == "m"
@@ -120,7 +120,34 @@ def test_client_is_made_once_per_task(spark):
 
 def test_estimated_tokens(spark):
     df = spark.createDataFrame([("",), (None,), ("abc",), ("abcd",), ("é" * 9000,)], "b string")
-    assert [r[0] for r in df.select(estimated_tokens(F.col("b"))).collect()] == [1, 1, 1, 2, 1001]
+    assert [r[0] for r in df.select(estimated_tokens(F.col("b"))).collect()] == [1, 1, 1, 2, 2251]
+    assert [r[0] for r in df.select(estimated_tokens(F.col("b"), 4000)).collect()] == [1, 1, 1, 2, 1001]
+
+
+def test_both_scoring_routes_agree_on_all_documents(spark, sf_dir):
+    from triagelake.plans.queries import QUERIES
+
+    native, batch = (QUERIES[q](spark, sf_dir) for q in ("keyword_score", "batch_score"))
+    assert native.exceptAll(batch).count() == 0 and batch.exceptAll(native).count() == 0
+
+
+def test_a_scorer_runs_once_in_an_upsert(spark, tmp_path):
+    from triagelake.sources import tables
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        answer = keyword_scorer(TERMS)()
+
+        def counted(requests):
+            calls.add(len(requests))
+            return answer(requests)
+
+        return counted
+
+    scored = score(frame(spark), factory, "v2", "m", CRITERIA["v2"])
+    assert tables.upsert_latest(spark.createDataFrame([], CLASSIFICATION), scored).count() == len(TEXTS)
+    assert calls.value == len(TEXTS)
 
 
 def test_repository_names(spark):

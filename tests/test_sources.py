@@ -64,6 +64,14 @@ def test_page_with_errors_fails(spark, tmp_path):
         pages.scan_pages(spark, str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize("data", ["null", '{"repository": null}'])
+def test_page_without_records_fails(spark, tmp_path, data):
+    (tmp_path / "a_b").mkdir()
+    (tmp_path / "a_b" / "p.json").write_text('{"data": %s}' % data)
+    with pytest.raises(Exception, match="page without records: a/b"):
+        pages.scan_pages(spark, str(tmp_path)).collect()
+
+
 def test_broken_page_fails(spark, tmp_path):
     (tmp_path / "a_b").mkdir()
     (tmp_path / "a_b" / "p.json").write_text('{"data": {"repository": ')

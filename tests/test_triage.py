@@ -38,12 +38,12 @@ def test_run_and_continue(spark, tmp_path, rows):
     assert report["run"].first()["processed"] == 4
     # the same run again repeats nothing, the next one takes only what is new
     run_triage(spark, make(tmp_path, "r1"))
-    land(tmp_path / "in", "e_f", page([node(9)]))  # not configured
+    land(tmp_path / "in", "e_f", page([node(9)]))  # no cap of its own
     land(tmp_path / "in", "c_d2", page([]))
     land(tmp_path / "in", "a_b", page([labelled(5, "crash", "bug")]))
     report = run_triage(spark, make(tmp_path, "r2"))
-    assert report["run"].first()["processed"] == 1
-    assert rows(stored_issues(spark, str(tmp_path / "out")), "id") == [(1,), (2,), (3,), (4,), (5,)]
+    assert report["run"].first()["processed"] == 2
+    assert rows(stored_issues(spark, str(tmp_path / "out")), "id") == [(1,), (2,), (3,), (4,), (5,), (9,)]
 
 
 def test_budget_holds_over_runs(spark, tmp_path):

@@ -9,7 +9,7 @@ from operator import add, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from triagelake.functions.fixed import BODY_CHARS, INSTRUCTIONS, PRICE_PER_MILLION_TOKENS
+from triagelake.functions.fixed import INSTRUCTIONS, PRICE_PER_MILLION_TOKENS
 from triagelake.schemas import RESPONSE
 
 # Letters and digits of the languages the keyword scorer knows; anything else ends a word.
@@ -25,14 +25,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
 
 
-def exact_sum(column: Column) -> Column:
-    """SUM of doubles as decimals: the result does not depend on the order of the rows. NaN and
-    infinite values, which no decimal holds, give what SUM gives."""
-    finite = ~F.isnan(column) & (F.abs(column) < F.lit(float("inf")))
-    total = F.sum(F.when(finite, column).cast("decimal(28,12)")).cast("double")
-    return F.when(F.bool_and(finite), total).otherwise(F.sum(column))
-
-
 def any_of(conditions: list[Column]) -> Column:
     return reduce(or_, conditions)
 
@@ -41,10 +33,15 @@ def token_cost(tokens: Column, price: float = PRICE_PER_MILLION_TOKENS) -> Colum
     return tokens / F.lit(1_000_000.0) * F.lit(price)
 
 
-def estimated_tokens(body: Column, chars: int = BODY_CHARS) -> Column:
+def sent_text(body: Column, chars: int | None = None) -> Column:
+    """What is sent of a text: all of it, or its first ``chars`` characters where a service sets a limit."""
+    whole = text_or_empty(body)
+    return whole if chars is None else F.substring(whole, 1, chars)
+
+
+def estimated_tokens(body: Column, chars: int | None = None) -> Column:
     """Tokens a request for ``body`` needs: one per four characters of what is sent, at least 1."""
-    sent = F.substring(text_or_empty(body), 1, chars)
-    return (F.floor(F.length(sent) / 4) + 1).cast("int")
+    return (F.floor(F.length(sent_text(body, chars)) / 4) + 1).cast("int")
 
 
 def repo_from_path(path: Column) -> Column:
@@ -67,16 +64,16 @@ def repo_name(repo: Column) -> Column:
 
 
 def scoring_request(
-    title: Column, body: Column, model: str, criteria: dict[str, str], chars: int = BODY_CHARS
+    title: Column, body: Column, model: str, criteria: dict[str, str], chars: int | None = None
 ) -> Column:
-    """The JSON document sent to the scorer for one record."""
+    """The JSON document sent to the scorer for one record, with the whole text unless ``chars`` cuts it."""
     asked = F.create_map(*[F.lit(x) for pair in criteria.items() for x in pair])
     return F.to_json(
         F.struct(
             F.lit(model).alias("model"),
             F.struct(
                 text_or_empty(title).alias("title"),
-                F.substring(text_or_empty(body), 1, chars).alias("body"),
+                sent_text(body, chars).alias("body"),
             ).alias("state"),
             F.struct(
                 F.struct(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triagelake.functions.columns import exact_sum, token_cost
+from triagelake.functions.columns import token_cost
 from triagelake.functions.fixed import (
     LOW_CONFIDENCE,
     LOWEST_EXAMPLES,
@@ -32,17 +32,16 @@ def usage_totals(usage: DataFrame, version: str) -> DataFrame:
     """(total_tokens, total_cost_usd) of a version, 0 without ledger rows."""
     return of_version(usage, version).agg(
         F.coalesce(F.sum(F.col("input_tokens").cast("long")), F.lit(0)).alias("total_tokens"),
-        F.coalesce(exact_sum(F.col("estimated_cost_usd")), F.lit(0.0)).alias("total_cost_usd"),
+        F.coalesce(F.sum("estimated_cost_usd"), F.lit(0.0)).alias("total_cost_usd"),
     )
 
 
 def avg_confidence(classifications: DataFrame, version: str) -> DataFrame:
     """Mean confidence per class, three decimals."""
-    mean = exact_sum(F.col("confidence")) / F.count("confidence")
     return (
         of_version(classifications, version)
         .groupBy("issue_type")
-        .agg(F.round(mean, 3).alias("avg_confidence"))
+        .agg(F.round(F.avg("confidence"), 3).alias("avg_confidence"))
         .orderBy(F.col("avg_confidence").desc_nulls_last(), F.col("issue_type").asc_nulls_last())
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triagelake.functions.columns import exact_sum, token_cost
+from triagelake.functions.columns import token_cost
 from triagelake.functions.fixed import MAX_COST_USD, PRICE_PER_MILLION_TOKENS, RESERVE_USD
 from triagelake.operators.ranking import running_total_cut
 from triagelake.schemas import USAGE
@@ -74,7 +74,7 @@ def recorded_spend(usage: DataFrame, version: str) -> DataFrame:
     """One row (classifier_version, spent) with the ledger's cost of a version, 0 without rows."""
     return (
         usage.where(F.col("classifier_version") == version)
-        .agg(F.coalesce(exact_sum(F.col("estimated_cost_usd")), F.lit(0.0)).alias("spent"))
+        .agg(F.coalesce(F.sum("estimated_cost_usd"), F.lit(0.0)).alias("spent"))
         .select(F.lit(version).alias("classifier_version"), "spent")
     )
 
@@ -97,7 +97,7 @@ def _last_affordable(
         return spent + before * F.lit(price) / F.lit(1e6) < F.lit(cap) - F.lit(reserve)
 
     cut = running_total_cut(
-        key_costs, ["classifier_version"], [key], F.col("tokens"), affordable, groups=1
+        key_costs, ["classifier_version"], [key], F.col("tokens"), affordable
     )
     return cut.select("cut").scalar()
 

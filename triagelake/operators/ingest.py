@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from triagelake.functions.columns import text_or_empty
-from triagelake.functions.fixed import REPO_CAPS, TOTAL_CAP
 from triagelake.operators.ranking import running_total_cut
-from triagelake.session import bounded, literal_table, materialise, only_keys
+from triagelake.session import literal_table, materialise, only_keys
 
 _CAPS = T.StructType(
     [
@@ -97,50 +96,55 @@ def edited_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def _takes(
-    available: DataFrame, stored_counts: DataFrame, repo_caps: dict[str, int], total_cap: int
+    available: DataFrame, stored_counts: DataFrame, repo_caps: dict[str, int], total_cap: int | None
 ) -> DataFrame:
-    """(repo, _take): how many records the caps leave room for, one row per named repository."""
+    """(repo, _take): how many records the caps leave room for, one row per repository."""
     caps = literal_table(
         available.sparkSession,
         _CAPS,
         [(repo, place, cap) for place, (repo, cap) in enumerate(repo_caps.items())],
     )
-    # Windows over the parameter rows only.
-    earlier = Window.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    want = F.greatest(F.lit(0), F.least(F.col("_cap") - F.col("_have"), F.col("_available")))
-    room = (
+    room = F.col("_cap") - F.col("_have")
+    found = (
+        available.join(stored_counts.withColumnRenamed("n", "_have"), "repo", "full")
+        .join(caps, "repo", "full")
+        .na.fill(0, ["_have", "_available"])
+        .na.fill(len(repo_caps), ["_place"])
+        .withColumn("_want", F.greatest(F.lit(0), F.least(F.coalesce(room, "_available"), "_available")))
+    )
+    if total_cap is None:
+        return found.select("repo", F.col("_want").alias("_take"))
+    # Windows over one row per repository.
+    earlier = Window.orderBy("_place", "repo").rowsBetween(Window.unboundedPreceding, -1)
+    left = (
         F.lit(total_cap)
         - F.sum("_have").over(Window.partitionBy())
         - F.coalesce(F.sum("_want").over(earlier), F.lit(0))
     )
-    return (
-        caps.join(stored_counts.withColumnRenamed("n", "_have"), "repo", "left")
-        .join(available, "repo", "left")
-        .na.fill(0, ["_have", "_available"])
-        .withColumn("_want", want)
-        .withColumn("_take", F.greatest(F.lit(0), F.least(F.col("_want"), room)))
-        .select("repo", "_take")
+    return found.withColumn("_take", F.greatest(F.lit(0), F.least(F.col("_want"), left))).select(
+        "repo", "_take"
     )
 
 
 def ingest(
     incoming: DataFrame,
     stored: DataFrame,
-    repo_caps: dict[str, int] = REPO_CAPS,
-    total_cap: int = TOTAL_CAP,
+    repo_caps: dict[str, int] | None = None,
+    total_cap: int | None = None,
     stored_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """The records to append: new, without copies, newest first under both caps.
+    """The records to append: new, without copies and, if caps are given, newest first under them.
 
-    The overall cap is used up in the order of ``repo_caps``; repositories it does not name are
-    not collected. Per repository the caps come down to one number of records, and that to the
-    key of the last one taken. The keys alone are deduplicated, ranged and counted for it;
-    of the records themselves only those up to the cut are shuffled.
+    A repository that ``repo_caps`` does not name has no cap of its own. The overall cap is used up
+    in the order of ``repo_caps``, then by name. Per repository the caps come down to one number of
+    records, and that to the key of the last one taken. The keys alone are deduplicated, ranged and
+    counted for it; of the records themselves only those up to the cut are shuffled. Under caps, a
+    record without repository or creation time has no place and is left out.
     """
-    repos = len(repo_caps)
-    wanted = incoming.where(F.col("repo").isin(list(repo_caps)))
+    if not repo_caps and total_cap is None:
+        return new_records(incoming, stored)
     fresh = (
-        wanted.groupBy("repo", "id")
+        incoming.groupBy("repo", "id")
         .agg(F.max("created_at").alias("created_at"))
         .join(_keys(stored), ["repo", "id"], "left_anti")
     )
@@ -153,10 +157,9 @@ def ingest(
         ["created_at", "_id"],
         F.lit(1),
         lambda before: before < F.col("_take"),
-        groups=repos,
-        limits=_takes(available, have, repo_caps, total_cap),
+        limits=_takes(available, have, repo_caps or {}, total_cap),
         descending=True,
     )
     place = F.struct(F.col("created_at"), (-F.col("id")).alias("_id"))
-    taken = wanted.join(bounded(cut, repos), "repo").where(place >= F.col("cut"))
+    taken = incoming.join(materialise(cut), "repo").where(place >= F.col("cut"))
     return new_records(taken.select(*incoming.columns), stored)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from triagelake.session import bounded
+from triagelake.session import materialise
 
 
 def order_hash(key: str, seed: int | None = None) -> Column:
@@ -45,7 +45,6 @@ def running_total_cut(
     key: list[str],
     weight: Column,
     admit: Callable[[Column], Column],
-    groups: int,
     limits: DataFrame | None = None,
     descending: bool = False,
     bucket: Column | None = None,
@@ -55,7 +54,7 @@ def running_total_cut(
 
     Rows are taken in ``key`` order and a row is admitted while ``admit`` holds for the total
     weight of the rows before it. ``weight`` must not be negative, so the admitted rows are a
-    prefix and one key per group describes them. ``groups`` bounds the number of groups;
+    prefix and one key per group describes them.
     ``limits`` has one row per group with columns ``admit`` may read. Rows without a key are left out.
 
     Instead of one ordered window per group, key ranges are totalled first, the small table of
@@ -104,9 +103,10 @@ def running_total_cut(
     earlier = F.coalesce(F.sum("_total").over(ordered("_low")), F.lit(0))
     totals = totals.withColumn("_before", earlier).drop("_total")
     if limits is not None:
-        totals = totals.join(bounded(limits, groups), group)
+        totals = totals.join(limits, group)
     described = [c for c in totals.columns if c not in group]
-    cut_range = (
+    # Written: its size is then known when Spark chooses the join with the rows.
+    cut_range = materialise(
         totals.where(admit(F.col("_before")))
         .groupBy(*group)
         .agg(last_by(F.struct(*described), F.col("_low")).alias("_cut"))
@@ -114,7 +114,7 @@ def running_total_cut(
     )
     within = F.coalesce(F.sum("_weight").over(ordered("_key")), F.lit(0))
     return (
-        rows.join(bounded(cut_range, groups), group)
+        rows.join(cut_range, group)
         .where(inside())
         .withColumn("_before", F.col("_before") + within)
         .where(admit(F.col("_before")))

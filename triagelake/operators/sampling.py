@@ -14,10 +14,10 @@ from triagelake.functions.fixed import (
     WEAK_CLASSES,
 )
 from triagelake.operators.ranking import first_per_group, order_hash, running_total_cut
-from triagelake.session import bounded
+from triagelake.session import materialise, only_keys
 
 
-def balanced_sample(
+def balanced_keys(
     rows: DataFrame,
     class_col: str = "human_type",
     group_col: str = "repo",
@@ -26,46 +26,70 @@ def balanced_sample(
     classes: list[str] = WEAK_CLASSES,
     seed: int = SEED,
 ) -> DataFrame:
-    """Up to ``n`` rows per class, taken from its groups in turn until they run out.
-
-    Turn ``r`` takes the r-th row of every group in hash order, so a row is selected when
-    (turn, group) is among the first ``n`` of its class. Only keys are ranked; the rows
-    themselves are fetched for at most ``n`` keys per class. ``key`` must be unique.
-    """
+    """The keys of a balanced sample; see ``balanced_sample``."""
     narrow = rows.where(F.col(class_col).isin(classes)).select(
         class_col, group_col, key, order_hash(key, seed).alias("_hash")
     )
     turns = first_per_group(
         narrow, [class_col, group_col], [F.col("_hash"), F.col(key)], n, rank="_turn"
     )
-    chosen = first_per_group(
+    return first_per_group(
         turns, [class_col], [F.col("_turn"), F.col(group_col).asc_nulls_last(), F.col(key)], n
-    )
-    return rows.join(bounded(chosen.select(key), n * len(classes)), key, "left_semi")
+    ).select(key)
 
 
-def review_sheet(
+def balanced_sample(
+    rows: DataFrame,
+    class_col: str = "human_type",
+    group_col: str = "repo",
+    key: str = "issue_id",
+    n: int = SAMPLE_PER_CLASS,
+    classes: list[str] = WEAK_CLASSES,
+    seed: int = SEED,
+) -> DataFrame:
+    """Up to ``n`` rows per class, taken from its groups in turn until they run out.
+
+    Turn ``r`` takes the r-th row of every group in hash order, so a row is selected when
+    (turn, group) is among the first ``n`` of its class. Only keys are ranked; the rows
+    themselves are fetched for at most ``n`` keys per class. ``key`` must be unique.
+    """
+    return only_keys(rows, materialise(balanced_keys(rows, class_col, group_col, key, n, classes, seed)))
+
+
+def review_choice(
     eval_set: DataFrame,
     issues: DataFrame,
     predictions: DataFrame,
     n: int = REVIEW_PER_CLASS,
     classes: list[str] = WEAK_CLASSES,
 ) -> DataFrame:
-    """The sheet reviewers fill in: up to ``n`` predicted records per weak class."""
+    """The records of a review sheet, without their texts."""
     predicted = eval_set.where(F.col("human_type").isin(classes)).select(
         "issue_id", "human_type"
     ).join(predictions.select("issue_id", "predicted_type", "confidence"), "issue_id").join(
         issues.select(F.col("id").alias("issue_id"), "number", "labels"), "issue_id"
     )
-    chosen = first_per_group(
+    return first_per_group(
         predicted.withColumn("_hash", order_hash("issue_id")),
         ["human_type"],
         [F.col("_hash"), F.col("issue_id")],
         n,
     )
+
+
+def review_sheet(
+    eval_set: DataFrame,
+    issues: DataFrame,
+    predictions: DataFrame,
+    n: int = REVIEW_PER_CLASS,
+    classes: list[str] = WEAK_CLASSES,
+) -> DataFrame:
+    """The sheet reviewers fill in: up to ``n`` predicted records per weak class. The texts are
+    fetched for the chosen records only."""
+    chosen = materialise(review_choice(eval_set, issues, predictions, n, classes))
     texts = eval_set.select("issue_id", "repo", "title", "body")
     return (
-        texts.join(bounded(chosen, n * len(classes)), "issue_id")
+        texts.join(chosen, "issue_id")
         .select(
             "issue_id",
             "repo",
@@ -107,12 +131,11 @@ def stratified_split(
         ["_hash", key],
         F.lit(1),
         lambda before: before < F.col("_test"),
-        groups=len(classes),
         limits=sizes,
         bucket=F.substring("_hash", 1, 4),
     )
     place = F.struct(order_hash(key, seed).alias("_hash"), F.col(key))
-    return known.join(bounded(cut, len(classes)), class_col).select(
+    return known.join(materialise(cut), class_col).select(
         *rows.columns, F.when(place <= F.col("cut"), "test").otherwise("dev").alias("part")
     )
 

@@ -75,15 +75,18 @@ def keyword_scorer(terms: dict[str, list[str]], fallback: str = "other") -> Scor
         import json
         import re
 
-        owner = {word: name for name, words in terms.items() for word in words}
+        owners: dict[str, list[str]] = {}  # a word counts for each of its classes
+        for name, listed in terms.items():
+            for word in dict.fromkeys(listed):
+                owners.setdefault(word, []).append(name)
         words = re.compile("[a-z0-9à-öø-ÿœß]+")
 
         def answer(request: str) -> str:
             body = json.loads(request)["state"]["body"]
             counts = dict.fromkeys(terms, 0)
             for word in words.findall(body.lower()):
-                if word in owner:
-                    counts[owner[word]] += 1
+                for name in owners.get(word, ()):
+                    counts[name] += 1
             total = sum(counts.values())
             choice = max(counts, key=counts.get) if total else fallback
             share = counts[choice] / total if total else 0.0
@@ -126,16 +129,18 @@ def score(
     now: Column | None = None,
     price: float = PRICE_PER_MILLION_TOKENS,
     parallel: int | None = None,
+    chars: int | None = None,
 ) -> DataFrame:
     """Score (id, title, body, updated_at) rows; returns rows of the classifications table.
 
-    ``parallel`` bounds the number of scorers at work at once. The result should be written
+    ``parallel`` bounds the number of scorers at work at once. Whole texts are sent; ``chars`` cuts
+    them where a service takes no more. The result should be written
     before it is used twice, or every request is sent twice.
     """
     requests = df.select(
         F.col("id").alias("issue_id"),
         F.col("updated_at").alias("issue_updated_at"),
-        scoring_request(F.col("title"), F.col("body"), model, criteria).alias("request"),
+        scoring_request(F.col("title"), F.col("body"), model, criteria, chars).alias("request"),
     )
     if parallel is not None:
         requests = requests.repartition(parallel)
@@ -155,13 +160,14 @@ def resume_scores(
     model: str,
     criteria: dict[str, str],
     parallel: int | None = None,
+    chars: int | None = None,
 ) -> DataFrame:
     """Predictions for the (issue_id, title, body) rows that ``done`` has none for yet, of this
     version. Append them to ``done``: a run that was cut short goes on where it stopped."""
     left = unscored(rows, done, version).select(
         F.col("issue_id").alias("id"), "title", "body", F.lit(None).cast("string").alias("updated_at")
     )
-    scored = score(left, scorer, version, model, criteria, parallel=parallel)
+    scored = score(left, scorer, version, model, criteria, parallel=parallel, chars=chars)
     return scored.select(
         "issue_id", F.col("issue_type").alias("predicted_type"), "confidence", "input_tokens",
         "classifier_version",

@@ -47,7 +47,7 @@ def _scored(name: str, rows: str, version: str = m.VERSION) -> str:
 {name} AS (
   SELECT *, CASE WHEN {top} = 0 THEN 'other' {choice} END AS choice,
          CASE WHEN {total} > 0 THEN {top} / ({total}) ELSE 0.0e0 END AS confidence,
-         CAST(floor(length(substr(body, 1, 4000)) / 4) + 1 AS integer) AS input_tokens
+         CAST(floor(length(body) / 4) + 1 AS integer) AS input_tokens
   FROM {name}_hits
 )"""
 
@@ -293,7 +293,7 @@ SELECT repo, id, number, title, body, state, created_at, updated_at, closed_at,
        array_to_string(labels, '|') AS labels
 FROM issues"""
 )
-SPENT = f"""SELECT coalesce(CAST(sum(CAST(estimated_cost_usd AS decimal(28, 12))) AS double), 0.0e0)
+SPENT = f"""SELECT coalesce(sum(estimated_cost_usd), 0.0e0)
   FROM lines WHERE classifier_version = '{q.LINE_VERSION}' AND confidence > 1"""
 ORGANISED = RECORDS.replace("SELECT repo, id", "SELECT 'org/' || repo AS repo, id")
 CURRENT_LINES = f"FROM lines WHERE classifier_version = '{q.LINE_VERSION}'"
@@ -312,7 +312,7 @@ ORACLE: dict[str, str] = {
     "capped_ingest": _capped(q.TOTAL_CAP),
     "capped_ingest_total": _capped(q.LOW_TOTAL_CAP),
     "score_stream": ISSUES
-    + ", sent AS (SELECT id, updated_at, substr(body, 1, 4000) AS body FROM issues),"
+    + ", sent AS (SELECT id, updated_at, body FROM issues),"
     + _scored("scored", "sent")
     + f"""
 SELECT id AS issue_id, choice AS issue_type, confidence, updated_at AS issue_updated_at, input_tokens,
@@ -347,7 +347,7 @@ FROM documents WHERE doc_id NOT IN (
     "resume_scores": CLASSIFICATIONS
     + f""",
 left_over AS (
-  SELECT doc_id AS issue_id, substr(text, 1, 4000) AS body FROM documents
+  SELECT doc_id AS issue_id, text AS body FROM documents
   WHERE doc_id NOT IN (SELECT issue_id FROM classifications WHERE classifier_version = '{m.VERSION}')
 ),"""
     + _scored("resumed", "left_over")
@@ -363,7 +363,7 @@ FROM lines JOIN order_issues ON id = issue_id AND issue_updated_at > updated_at
     + DOCS
     + """
 costs AS (
-  SELECT issue_id AS id, CAST(floor(length(substr(body, 1, 4000)) / 4) + 1 AS integer) AS input_tokens
+  SELECT issue_id AS id, CAST(floor(length(body) / 4) + 1 AS integer) AS input_tokens
   FROM documents_body
 ),"""
     + _admitted("costs", "0", **q.BUDGET),
@@ -376,19 +376,19 @@ costs AS (SELECT o_orderkey AS id, CAST(floor(o_totalprice) AS bigint) AS input_
     + _pending("issues", "classifications", m.VERSION)
     + """),
 costs AS (
-  SELECT id, CAST(floor(length(substr(body, 1, 4000)) / 4) + 1 AS integer) AS input_tokens FROM waiting
+  SELECT id, CAST(floor(length(body) / 4) + 1 AS integer) AS input_tokens FROM waiting
 ),
 admitted AS ("""
     + _admitted(
         "costs",
-        f"""SELECT coalesce(CAST(sum(CAST(estimated_cost_usd AS decimal(28, 12))) AS double), 0.0e0)
+        f"""SELECT coalesce(sum(estimated_cost_usd), 0.0e0)
   FROM classifications WHERE classifier_version = '{m.VERSION}' AND issue_type = 'other'""",
         **q.PENDING_BUDGET,
     ).replace("running AS (", "WITH running AS (", 1)
     + ") SELECT * FROM waiting WHERE id IN (SELECT id FROM admitted)",
     "keyword_score": SCORED + " SELECT issue_id, choice, confidence, input_tokens FROM scored",
     "scoring_response": SCORED + " SELECT issue_id, choice, confidence, input_tokens FROM scored",
-    "batch_score": "WITH documents_body AS (SELECT doc_id AS issue_id, substr(text, 1, 4000) AS body FROM documents),"
+    "batch_score": "WITH documents_body AS (SELECT doc_id AS issue_id, text AS body FROM documents),"
     + _scored("scored", "documents_body")
     + " SELECT issue_id, choice, confidence, input_tokens FROM scored",
     "scoring_request": ISSUES
@@ -537,15 +537,14 @@ FROM rates r JOIN macros USING (classifier_version)""",
     "usage_totals": LINES
     + f"""
 SELECT CAST(sum(input_tokens) AS bigint) AS total_tokens,
-       CAST(sum(CAST(estimated_cost_usd AS decimal(28, 12))) AS double) AS total_cost_usd
+       round(sum(estimated_cost_usd), 6) AS total_cost_usd
 {CURRENT_LINES}""",
     "repo_counts": LINES + " SELECT repo, count(*) AS n FROM order_issues GROUP BY repo",
     "state_counts": LINES + " SELECT state, count(*) AS n FROM order_issues GROUP BY state",
     "class_counts": LINES + f" SELECT issue_type, count(*) AS n {CURRENT_LINES} GROUP BY issue_type",
     "avg_confidence": LINES
     + f"""
-SELECT issue_type, round(CAST(sum(CAST(confidence AS decimal(28, 12))) AS double)
-                         / count(confidence), 3) AS avg_confidence
+SELECT issue_type, round(avg(confidence), 3) AS avg_confidence
 {CURRENT_LINES} GROUP BY issue_type""",
     "low_confidence": LINES + f" SELECT count(*) AS n {CURRENT_LINES} AND confidence < {q.LOW}",
     "lowest_examples": LINES

@@ -13,7 +13,7 @@ from triagelake.functions.columns import (
     scoring_request,
     scoring_response,
 )
-from triagelake.functions.fixed import CRITERIA
+from triagelake.functions.fixed import BODY_CHARS, CRITERIA
 from triagelake.operators import analytics, ingest, incremental, labels, metrics, quality, sampling
 from triagelake.operators.scoring import (
     exchange,
@@ -266,7 +266,7 @@ def batch_score(spark: SparkSession, sf: str) -> DataFrame:
 
 def request_parts(spark: SparkSession, sf: str) -> DataFrame:
     request = m.issues(spark, sf).select(
-        "id", scoring_request(F.col("title"), F.col("body"), m.MODEL, CRITERIA[V]).alias("r")
+        "id", scoring_request(F.col("title"), F.col("body"), m.MODEL, CRITERIA[V], BODY_CHARS).alias("r")
     )
     parts = {
         "model": "$.model",
@@ -464,7 +464,8 @@ def coverage_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def usage_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return analytics.usage_totals(m.line_classifications(spark, sf), LINE_VERSION)
+    totals = analytics.usage_totals(m.line_classifications(spark, sf), LINE_VERSION)
+    return totals.withColumn("total_cost_usd", F.round("total_cost_usd", 6))  # sums differ by their order
 
 
 def repo_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +12,7 @@ from triagelake.functions.columns import estimated_tokens
 from triagelake.functions.fixed import (
     CLASSES,
     MAX_COST_USD,
-    REPO_CAPS,
     RESERVE_USD,
-    TOTAL_CAP,
     WEAK_CLASSES,
 )
 from triagelake.operators import analytics, metrics
@@ -44,8 +42,8 @@ class TriageRun:
     run_id: str
     version: str
     classify: Callable[[DataFrame], DataFrame]
-    repo_caps: dict[str, int] = field(default_factory=lambda: dict(REPO_CAPS))
-    total_cap: int = TOTAL_CAP
+    repo_caps: dict[str, int] | None = None  # REPO_CAPS and TOTAL_CAP are values to give
+    total_cap: int | None = None
     cap_usd: float = MAX_COST_USD
     reserve_usd: float = RESERVE_USD
     classes: tuple[str, ...] = tuple(CLASSES)

@@ -6,13 +6,9 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# A broadcast hint is given only when the caller proves the side has at most this many rows.
-BROADCAST_ROWS = 100_000
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``; where that is unset, one in the
@@ -40,18 +36,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` if its proven row bound allows; otherwise leave the choice to AQE."""
-    return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
-
-
 def only_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """The ``rows`` whose key columns occur in ``keys``, a written table of keys.
 
-    The keys are counted: when few, they are sent to the rows, which are then only scanned and
-    not shuffled; otherwise both sides are joined on the key.
+    Spark knows the size of a written table: below ``spark.sql.autoBroadcastJoinThreshold`` bytes the keys
+    are sent to the rows, which are then only scanned; otherwise both sides are shuffled by key.
     """
-    return rows.join(bounded(keys, keys.count()), keys.columns, "left_semi")
+    return rows.join(keys, keys.columns, "left_semi")
 
 
 def literal_table(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:

@@ -9,16 +9,20 @@ from pyspark.sql import types as T
 from triagelake.functions.columns import repo_from_path
 from triagelake.schemas import PAGE, RAW
 
+NODES = PAGE["data"].dataType["repository"].dataType["issues"].dataType["nodes"].dataType
+
 
 def page_nodes(pages: DataFrame) -> DataFrame:
-    """(repo, node) per record of each page; a page that carries errors fails the job."""
+    """(repo, node) per record of each page; a page that carries errors, or no list of records, fails the job."""
     checked = F.when(
         F.size("errors") > 0,
         F.raise_error(F.to_json("errors")).cast(PAGE["data"].dataType),
     ).otherwise(F.col("data"))
-    return pages.select("repo", checked.alias("data")).select(
-        "repo", F.explode("data.repository.issues.nodes").alias("node")
+    nodes = F.col("data.repository.issues.nodes")
+    listed = F.coalesce(
+        nodes, F.raise_error(F.concat(F.lit("page without records: "), F.coalesce("repo", F.lit("?")))).cast(NODES)
     )
+    return pages.select("repo", checked.alias("data")).select("repo", F.explode(listed).alias("node"))
 
 
 def _repo_of_file() -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from triagelake.schemas import ensure_columns
-from triagelake.session import literal_table
+from triagelake.session import literal_table, materialise
 
 
 def _complete(spark: SparkSession, root: str, pattern: str) -> list[str]:
@@ -75,8 +75,10 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def upsert_latest(current: DataFrame, new: DataFrame, key: str = "issue_id") -> DataFrame:
     """``current`` with the rows of ``new`` in place of all rows, of any version, of their keys.
 
-    Of several new rows of a key the one classified last stays.
+    Of several new rows of a key the one classified last stays. ``new`` is computed once and written,
+    for it is read twice: a scorer in it would otherwise answer, and be paid, twice.
     """
+    new = materialise(new)
     order = ["classified_at", *[c for c in new.columns if c not in (key, "classified_at")]]
     latest = new.groupBy(key).agg(F.max(F.struct(*order)).alias("_row")).select(
         key, *[F.col(f"_row.{c}") for c in order]

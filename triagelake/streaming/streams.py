@@ -50,7 +50,7 @@ def ingest_stream(
         stored = read_ledger(batch.sparkSession, table, STORED).where(F.col("run_id") != run_id)
         keys = materialise(batch.select("repo", "id").distinct())
         known = only_keys(stored.select("repo", "id"), keys)
-        if repo_caps is None:
+        if not repo_caps and total_cap is None:
             fresh = new_records(batch, known)
         else:  # stored records have no copies, so rows are ids
             counts = stored.groupBy("repo").agg(F.count("*").alias("n"))
