@@ -71,6 +71,29 @@ def test_equal_keys_and_one_hot_key(spark, rows):
     assert rows(cut, "cut") == [(5,)]
 
 
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_ranges_are_cut_again_until_they_are_small(spark, rows, descending, bucketed):
+    """With ten rows to a task, and one key with a third of a group's rows."""
+    data = [(g, 700 if i % 3 else i, 1 + i % 2) for g, n in (("hot", 4000), ("g", 30)) for i in range(n)]
+    df = spark.createDataFrame(data, "grp string, key long, weight int").repartition(5)
+    for limit in (37, 3000):
+        limits = spark.createDataFrame([("hot", limit), ("g", limit)], "grp string, lim long")
+        cut = running_total_cut(
+            df, ["grp"], ["key"], F.col("weight"), lambda b: b < F.col("lim"), limits, descending,
+            F.floor(F.col("key") / 1000) if bucketed else None, in_one_task=10,
+        )
+        want = []
+        for g, members in groupby(data, key=lambda r: r[0]):
+            before, last = 0, None
+            for r in sorted(members, key=lambda r: r[1], reverse=descending):
+                if before < limit:
+                    last = r[1]
+                before += r[2]
+            want.append((g, last))
+        assert rows(cut, "grp", "cut") == sorted(want)
+
+
 def test_partitions_do_not_change_results(spark, rows):
     data = skewed()
     before = spark.conf.get("spark.sql.shuffle.partitions")

@@ -11,6 +11,9 @@ from triagelake.operators.ranking import running_total_cut
 from triagelake.schemas import USAGE
 from triagelake.session import literal_table, materialise, only_keys
 
+#: Repetitions of a record that are listed from one row.
+BLOCK = 10_000
+
 
 def pending_states(issues: DataFrame, classifications: DataFrame, version: str) -> DataFrame:
     """(id, updated_at, outdated) of the records to score: those without a classification, with
@@ -48,18 +51,26 @@ def pending(
 ) -> DataFrame:
     """(id, title, body, updated_at) of the records to score, once per outdated classification.
 
-    Which they are is decided on ids and times (``pending_states``); texts are joined to the
-    result, which has one row per id and time.
+    Which they are is decided on ids and times (``pending_states``) and written, so that Spark knows
+    how many there are before it meets the texts. A long outdated history is cut in blocks of
+    ``BLOCK`` repetitions first, rows of their own: no array grows with the history.
     """
     columns = ["id", "title", "body", "updated_at"]
-    states = pending_states(issues, classifications, version).alias("s")
+    states = pending_states(issues, classifications, version)
+    if limit is not None:  # the first records, and no more repetitions of one than are asked for
+        first = states.orderBy(F.col("id").asc_nulls_last()).limit(limit)
+        states = first.withColumn("outdated", F.least("outdated", F.lit(limit)))
+    states = materialise(states)
+    last_block = F.floor((F.col("outdated") - 1) / BLOCK)
+    blocks = states.select("*", F.explode(F.sequence(F.lit(0), last_block)).alias("block")).select(
+        "id", "updated_at",
+        F.least(F.lit(BLOCK), F.col("outdated") - F.col("block") * BLOCK).alias("times"),
+    ).alias("s")
     same = F.col("i.id").eqNullSafe(F.col("s.id")) & F.col("i.updated_at").eqNullSafe(
         F.col("s.updated_at")
     )
-    found = issues.select(*columns).alias("i").join(states, same).select("i.*", "outdated")
-    if limit is not None:  # the first records, before any is repeated
-        found = found.orderBy(F.col("id").asc_nulls_last()).limit(limit)
-    listed = found.select(*columns, F.explode(F.sequence(F.lit(1), F.col("outdated")))).drop("col")
+    found = issues.select(*columns).alias("i").join(blocks, same).select("i.*", "times")
+    listed = found.select(*columns, F.explode(F.sequence(F.lit(1), F.col("times")))).drop("col")
     return listed if limit is None else listed.orderBy(F.col("id").asc_nulls_last()).limit(limit)
 
 

@@ -58,14 +58,13 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key, the greatest by ``newest``; equal ones are told apart by their content.
 
-    An aggregate, not a window: copies are dropped before the shuffle, so a key with very
-    many copies does not end up as one big group.
+    Each task keeps one row of a key before the shuffle, so a key with very many copies does
+    not end up as one big group.
     """
     rest = [c for c in rows.columns if c not in keys and c not in newest]
-    best = F.max(F.struct(*newest, *rest)).alias("_row")
-    return rows.groupBy(*keys).agg(best).select(
-        *[F.col(c) if c in keys else F.col(f"_row.{c}") for c in rows.columns]
-    )
+    place = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*newest, *rest]])
+    first = rows.withColumn("_place", F.row_number().over(place)).where(F.col("_place") == 1)
+    return first.select(*rows.columns)
 
 
 def existing_counts(stored: DataFrame) -> DataFrame:
@@ -78,9 +77,16 @@ def _keys(rows: DataFrame) -> DataFrame:
 
 
 def new_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """One row per incoming key that is not stored yet, the newest copy of it."""
-    rows = latest_per_key(incoming, ["repo", "id"], ["created_at", "updated_at"])
-    return rows.join(_keys(stored), ["repo", "id"], "left_anti")
+    """One row per incoming key that is not stored yet, the newest copy of it.
+
+    Which keys are new, and which of them have copies, is found from keys alone. Rows of a key
+    without copies are only filtered; the others are put in order.
+    """
+    counted = incoming.groupBy("repo", "id").agg(F.count("*").alias("_n"))
+    fresh = materialise(counted.join(_keys(stored), ["repo", "id"], "left_anti"))
+    single = only_keys(incoming, _keys(fresh.where(F.col("_n") == 1)))
+    copied = only_keys(incoming, _keys(fresh.where(F.col("_n") > 1)))
+    return single.unionByName(latest_per_key(copied, ["repo", "id"], ["created_at", "updated_at"]))
 
 
 def edited_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:

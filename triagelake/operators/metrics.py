@@ -25,20 +25,30 @@ def exact_labels(issues: DataFrame, classes: list[str] = WEAK_CLASSES) -> DataFr
     ).where(F.col("human_type").isNotNull())
 
 
+def _count_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """How often every combination of the other columns occurs (``n``) when both meet on issue_id.
+
+    Equal rows of an id are counted before they meet, so an id with very many rows on both
+    sides shrinks to a few counts, and their products stand for the pairs.
+    """
+    one = left.groupBy(*left.columns).agg(F.count("*").alias("_left"))
+    other = right.groupBy(*right.columns).agg(F.count("*").alias("_right"))
+    classes = [c for c in [*left.columns, *right.columns] if c != "issue_id"]
+    return one.join(other, "issue_id").groupBy(*classes).agg(
+        F.sum(F.col("_left") * F.col("_right")).alias("n")
+    )
+
+
 def agreement_counts(
     issues: DataFrame, classifications: DataFrame, classes: list[str] = WEAK_CLASSES,
     version: str | None = None,
 ) -> DataFrame:
     """(human_type, predicted_type, n) over classified records with an exact label class."""
     labelled = exact_labels(issues, classes).select(F.col("id").alias("issue_id"), "human_type")
-    return (
-        _of_version(classifications, version)
-        .select("issue_id", F.col("issue_type").alias("predicted_type"))
-        .join(labelled, "issue_id")
-        .groupBy("human_type", "predicted_type")
-        .agg(F.count("*").alias("n"))
-        .orderBy("human_type", F.col("n").desc(), "predicted_type")
+    predicted = _of_version(classifications, version).select(
+        "issue_id", F.col("issue_type").alias("predicted_type")
     )
+    return _count_pairs(labelled, predicted).orderBy("human_type", F.col("n").desc(), "predicted_type")
 
 
 def agreement(
@@ -92,13 +102,10 @@ def label_pairs(
     reference: DataFrame, predictions: DataFrame, actual: str = "human_type", by: list[str] = ()
 ) -> DataFrame:
     """(by..., actual, predicted, n) over the records both sides know."""
-    return (
-        reference.select("issue_id", F.col(actual).alias("actual"))
-        .join(predictions.select("issue_id", *by, F.col("predicted_type").alias("predicted")),
-              "issue_id")
-        .groupBy(*by, "actual", "predicted")
-        .agg(F.count("*").alias("n"))
-    )
+    return _count_pairs(
+        reference.select("issue_id", F.col(actual).alias("actual")),
+        predictions.select("issue_id", *by, F.col("predicted_type").alias("predicted")),
+    ).select(*by, "actual", "predicted", "n")
 
 
 def confusion(

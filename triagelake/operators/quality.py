@@ -190,6 +190,11 @@ def coverage(
     return both.select("classified", "total", share.alias("coverage"))
 
 
+def failures(results: DataFrame) -> DataFrame:
+    """The checks that fail a run."""
+    return results.where(F.col("violations") > 0).select("check", "violations")
+
+
 def gate(results: DataFrame) -> list[str]:
     """Raise when a check failed; returns the names of the checks that ran."""
     rows = results.select("check", "violations").collect()  # one row per check

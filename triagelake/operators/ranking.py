@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql.window import Window
 
 from triagelake.session import materialise
 
+#: Narrow rows of a group that one task puts in order.
+IN_ONE_TASK = 1_000_000
+
 
 def order_hash(key: str, seed: int | None = None) -> Column:
     """A reproducible pseudo-random order: it depends on the key only, not on partitioning."""
@@ -39,6 +43,23 @@ def first_per_group(
     )
 
 
+def _range_totals(rows: DataFrame, group: list[str], of: str) -> DataFrame:
+    """(group..., _low, _high, _start, _total, _rows) of key ranges: the values of ``_range``, or those
+    of a range partitioning. Ranges are described by their keys, so that no later step depends on
+    partition numbers."""
+    sums = [
+        F.max("_start").alias("_start"), F.sum("_weight").alias("_total"), F.count("*").alias("_rows")
+    ]
+    if of == "_range":
+        totals = rows.groupBy(*group, F.col("_range").alias("_low")).agg(*sums)
+        return totals.withColumn("_high", F.col("_low"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, *group, "_key").withColumn("_part", F.spark_partition_id())
+    return ranged.groupBy(*group, "_part").agg(
+        F.min("_key").alias("_low"), F.max("_key").alias("_high"), *sums
+    ).drop("_part")
+
+
 def running_total_cut(
     rows: DataFrame,
     group: list[str],
@@ -48,6 +69,7 @@ def running_total_cut(
     limits: DataFrame | None = None,
     descending: bool = False,
     bucket: Column | None = None,
+    in_one_task: int = IN_ONE_TASK,
 ) -> DataFrame:
     """Per group the ``cut``: the key of the last row that a running total still admits, as the
     key column itself or, of several, a struct of them.
@@ -58,66 +80,60 @@ def running_total_cut(
     ``limits`` has one row per group with columns ``admit`` may read. Rows without a key are left out.
 
     Instead of one ordered window per group, key ranges are totalled first, the small table of
-    ranges is accumulated, and only the one range in which a group's cut lies is
-    looked at row by row. The ranges come from ``bucket``, a column that grows with the
-    key, or from a range partitioning on (group, key), which also splits hot groups and keys.
+    ranges is accumulated, and only the one range in which a group's cut lies goes on: while it has
+    more than ``in_one_task`` rows it is cut in ranges again, then it is looked at row by row. Where it
+    has a single key, that key is the cut. The first ranges come from ``bucket``, a column that grows
+    with the key, or from a range partitioning on (group, key), which also splits hot groups and keys.
     ``rows`` should be narrow and cheap to read: it is read for the ranges and for the cut.
     """
     place = F.col(key[0]) if len(key) == 1 else F.struct(*key)
     rows = rows.select(
         *group, place.alias("_key"), weight.cast("long").alias("_weight"),
-        *([] if bucket is None else [bucket.alias("_range")]),
+        F.lit(0).cast("long").alias("_start"), *([] if bucket is None else [bucket.alias("_range")]),
     ).where(F.col("_key").isNotNull())
-    if bucket is None:
-        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranged = rows.repartitionByRange(parts, *group, "_key").withColumn(
-            "_part", F.spark_partition_id()
-        )
-        # Ranges are described by their keys, so that no later step depends on partition numbers.
-        totals = (
-            ranged.groupBy(*group, "_part")
-            .agg(
-                F.sum("_weight").alias("_total"),
-                F.min("_key").alias("_low"),
-                F.max("_key").alias("_high"),
-            )
-            .drop("_part")
-        )
-        inside = lambda: F.col("_key").between(F.col("_low"), F.col("_high"))
-    else:
-        totals = (
-            rows.groupBy(*group, "_range")
-            .agg(F.sum("_weight").alias("_total"))
-            .withColumnRenamed("_range", "_low")
-        )
-        inside = lambda: F.col("_range") == F.col("_low")
+    of = "_key" if bucket is None else "_range"
 
-    def ordered(column: str):
-        direction = F.col(column).desc() if descending else F.col(column).asc()
-        return Window.partitionBy(*group).orderBy(direction).rowsBetween(
+    def before(order: str, weights: str) -> Column:
+        direction = F.col(order).desc() if descending else F.col(order).asc()
+        earlier = Window.partitionBy(*group).orderBy(direction).rowsBetween(
             Window.unboundedPreceding, -1
         )
+        return F.col("_start") + F.coalesce(F.sum(weights).over(earlier), F.lit(0))
 
     last = F.min if descending else F.max
     last_by = F.min_by if descending else F.max_by
-    earlier = F.coalesce(F.sum("_total").over(ordered("_low")), F.lit(0))
-    totals = totals.withColumn("_before", earlier).drop("_total")
-    if limits is not None:
-        totals = totals.join(limits, group)
-    described = [c for c in totals.columns if c not in group]
-    # Written: its size is then known when Spark chooses the join with the rows.
-    cut_range = materialise(
-        totals.where(admit(F.col("_before")))
-        .groupBy(*group)
-        .agg(last_by(F.struct(*described), F.col("_low")).alias("_cut"))
-        .select(*group, "_cut.*")
-    )
-    within = F.coalesce(F.sum("_weight").over(ordered("_key")), F.lit(0))
-    return (
-        rows.join(cut_range, group)
-        .where(inside())
-        .withColumn("_before", F.col("_before") + within)
+    found, most = [], None
+    while True:
+        totals = _range_totals(rows, group, of).withColumn("_before", before("_low", "_total"))
+        totals = totals.drop("_start", "_total")
+        if limits is not None:
+            totals = totals.join(limits, group)
+        described = [c for c in totals.columns if c not in group]
+        # Written: its size is then known when Spark chooses the join with the rows.
+        cut_range = materialise(
+            totals.where(admit(F.col("_before")))
+            .groupBy(*group)
+            .agg(last_by(F.struct(*described), F.col("_low")).alias("_cut"))
+            .select(*group, "_cut.*")
+        )
+        one_key = F.lit(of == "_key") & (F.col("_low") == F.col("_high"))
+        found.append(cut_range.where(one_key).select(*group, F.col("_low").alias("cut")))
+        open_range = cut_range.where(~one_key)
+        inside = rows.drop("_start").join(open_range, group).where(
+            F.col(of).between(F.col("_low"), F.col("_high"))
+        )
+        earlier_most, most = most, open_range.agg(F.max("_rows")).first()[0] or 0
+        if most <= in_one_task or most == earlier_most:
+            break
+        rows = materialise(inside.select(*group, "_key", "_weight", F.col("_before").alias("_start")))
+        of = "_key"
+    row_by_row = (
+        inside.withColumnRenamed("_before", "_start")
+        .withColumn("_before", before("_key", "_weight"))
         .where(admit(F.col("_before")))
         .groupBy(*group)
         .agg(last("_key").alias("cut"))
     )
+    if bucket is not None and len(found) == 1:
+        return row_by_row
+    return reduce(DataFrame.unionByName, found, row_by_row)

@@ -6,10 +6,14 @@ with texts; ``orders`` and ``lineitem`` give large tables with many rows per key
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triagelake.functions.columns import repo_directory, token_cost
+from triagelake.functions.fixed import REQUIRED_FIELDS, STATES
 from triagelake.operators.scoring import keyword_score, keyword_score_versions
 from triagelake.session import scratch_path
 
@@ -102,27 +106,20 @@ def classifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword classifications of the issues: low priority ones have none, unspecified ones are
     out of date, medium ones come from version v1."""
     priority = F.col("o_orderpriority")
-    rows = (
-        _issue_rows(spark, sf_dir)
-        .where(priority != "5-LOW")
-        .select(
-            F.col("doc_id").alias("issue_id"),
-            F.col("text").alias("body"),
-            F.when(priority == "4-NOT SPECIFIED", "before")
-            .otherwise(F.col("o_orderdate").cast("string"))
-            .alias("issue_updated_at"),
-            F.when(priority == "3-MEDIUM", "v1").otherwise(VERSION).alias("version"),
-        )
-    )
-    scored = keyword_score(rows, TERMS[VERSION])
-    return scored.select(
+    # scored at the scan: no text passes a join
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("issue_id"), "text")
+    scored = keyword_score(documents, TERMS[VERSION], "text").drop("text")
+    orders = table(spark, sf_dir, "orders").where(priority != "5-LOW")
+    return scored.join(orders, F.col("issue_id") == F.col("o_orderkey")).select(
         "issue_id",
         F.col("choice").alias("issue_type"),
         "confidence",
-        "issue_updated_at",
+        F.when(priority == "4-NOT SPECIFIED", "before")
+        .otherwise(F.col("o_orderdate").cast("string"))
+        .alias("issue_updated_at"),
         "input_tokens",
         F.lit(MODEL).alias("model"),
-        F.col("version").alias("classifier_version"),
+        F.when(priority == "3-MEDIUM", "v1").otherwise(VERSION).alias("classifier_version"),
         token_cost(F.col("input_tokens")).alias("estimated_cost_usd"),
         now().alias("classified_at"),
     )
@@ -181,8 +178,36 @@ def line_classifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_pages(spark: SparkSession, sf_dir: str) -> str:
-    """Write the issues as API pages, up to 100 per page, one page per line; returns the path."""
+def sound_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The issues that pass the checks of single rows."""
+    whole = [F.col(c).isNotNull() for c in REQUIRED_FIELDS]
+    return issues(spark, sf_dir).where(reduce(and_, whole, F.col("state").isin(STATES)))
+
+
+def land_arrays(spark: SparkSession, sf_dir: str) -> str:
+    """Write the issues as raw records, one JSON array per file; returns the path."""
+    path = scratch_path(spark, "arrays")
+    record = F.struct(
+        "id", "number", "title", "body", "state", "created_at", "updated_at", "closed_at",
+        F.transform("labels", lambda x: F.struct(x.alias("name"))).alias("labels"),
+    )
+    arrays = (
+        issues(spark, sf_dir)
+        .select(
+            repo_directory(F.concat(F.lit("org/"), F.col("repo"))).alias("dir"),
+            F.floor(F.col("id") / 1000).alias("page"),
+            record.alias("record"),
+        )
+        .groupBy("dir", "page")
+        .agg(F.to_json(F.collect_list("record")).alias("value"))
+    )
+    arrays.select("dir", "value").write.partitionBy("dir").option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def land_pages(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> str:
+    """Write the issues, or ``rows`` like them, as API pages, up to 100 per page, one page per line;
+    returns the path."""
     path = scratch_path(spark, "landing")
     node = F.struct(
         F.col("id").alias("databaseId"),
@@ -198,7 +223,7 @@ def land_pages(spark: SparkSession, sf_dir: str) -> str:
         ).alias("labels"),
     )
     pages = (
-        issues(spark, sf_dir)
+        (issues(spark, sf_dir) if rows is None else rows)
         .select(
             repo_directory(F.concat(F.lit("org/"), F.col("repo"))).alias("dir"),
             F.floor(F.col("id") / 100).alias("page"),

@@ -329,6 +329,19 @@ SELECT issue_id, issue_type, confidence, CAST(NULL AS varchar) AS issue_updated_
        CAST(NULL AS integer) AS input_tokens, CAST(NULL AS varchar) AS model,
        CAST(NULL AS varchar) AS classifier_version, CAST(NULL AS double) AS estimated_cost_usd
 FROM lines""",
+    "raw_arrays": ORGANISED,
+    "repo_parts": """
+SELECT doc_id, 'org' AS owner, source AS name FROM documents""",
+    "replace_table": LINES + " SELECT * FROM order_issues",
+    "stored_evolution": LINES
+    + f"""
+SELECT issue_id, issue_type, confidence, NULL AS issue_updated_at, NULL AS input_tokens, NULL AS model,
+       NULL AS classifier_version, NULL AS estimated_cost_usd, NULL AS classified_at
+FROM lines WHERE classifier_version <> '{q.LINE_VERSION}'
+UNION ALL
+SELECT issue_id, issue_type, confidence, issue_updated_at, input_tokens, model, classifier_version,
+       estimated_cost_usd, '{m.CLASSIFIED_AT}'
+{CURRENT_LINES}""",
     "usage_ledger": CLASSIFICATIONS
     + """
 SELECT issue_id, classifier_version, model, input_tokens, estimated_cost_usd FROM classifications""",
@@ -453,6 +466,24 @@ QUALIFY row_number() OVER (
     "quality_suite_lines": LINES
     + ", known_issues AS (SELECT * FROM order_issues WHERE state <> 'pending'),"
     + _quality("known_issues", "lines", q.LINE_VERSION, q.LINE_CLASSES),
+    "gate": f"""
+SELECT "check", violations FROM ({
+    CLASSIFICATIONS + "," + _quality("issues", "classifications", m.VERSION, ["en", "fr", "other"])
+}) WHERE status = 'FAIL'""",
+    "triage": ISSUES
+    + f""",
+sound AS (
+  SELECT *, {EXACT} AS human_type FROM issues
+  WHERE state IN ('open', 'closed') AND id IS NOT NULL AND repo IS NOT NULL AND title IS NOT NULL
+),"""
+    + _scored("scored", "sound")
+    + """
+SELECT 'classes' AS part, choice AS name, count(*) AS n FROM scored GROUP BY ALL
+UNION ALL SELECT 'repos', 'org/' || repo, count(*) FROM scored GROUP BY ALL
+UNION ALL SELECT 'states', state, count(*) FROM scored GROUP BY ALL
+UNION ALL SELECT 'agreement', 'correct', count(*) FROM scored WHERE human_type = choice
+UNION ALL SELECT 'agreement', 'total', count(*) FROM scored WHERE human_type IS NOT NULL
+UNION ALL SELECT 'processed', 'run-1', count(*) FROM scored""",
     "duplicate_keys": """
 SELECT count(*) AS violations FROM (
   SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)""",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +12,15 @@ from pyspark.sql import functions as F
 from triagelake.functions.columns import (
     estimated_tokens,
     parsed_response,
+    repo_name,
+    repo_owner,
     scoring_request,
     scoring_response,
 )
 from triagelake.functions.fixed import BODY_CHARS, CRITERIA
 from triagelake.operators import analytics, ingest, incremental, labels, metrics, quality, sampling
 from triagelake.operators.scoring import (
+    classification_rows,
     exchange,
     keyword_score,
     keyword_scorer,
@@ -24,6 +29,7 @@ from triagelake.operators.scoring import (
     usage_rows,
 )
 from triagelake.plans import model as m
+from triagelake.plans.triage import TriageRun, run_triage
 from triagelake.schemas import (
     CLASSIFICATION,
     CLASSIFICATION_BASE,
@@ -154,6 +160,39 @@ def schema_evolve(spark: SparkSession, sf: str) -> DataFrame:
     return ensure_columns(old, CLASSIFICATION).drop("classified_at")
 
 
+def raw_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    raw = pages.scan_raw_batches(spark, m.land_arrays(spark, sf), "*/*.txt")
+    return _joined_labels(ingest.normalise(raw))
+
+
+def repo_parts(spark: SparkSession, sf: str) -> DataFrame:
+    full = F.concat(F.lit("org/"), F.col("source"))
+    return m.table(spark, sf, "documents").select(
+        "doc_id", repo_owner(full).alias("owner"), repo_name(full).alias("name")
+    )
+
+
+def replace_table(spark: SparkSession, sf: str) -> DataFrame:
+    name = f"issues_{uuid.uuid4().hex}"
+    for rows in (_stored_orders(spark, sf), m.order_issues(spark, sf)):  # the second run replaces the first
+        tables.replace_table(rows, name)
+    return spark.table(name)
+
+
+def stored_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that is not there yet, then rows of three columns, then rows of all columns."""
+    path = scratch_path(spark, "classified")
+    lines = m.line_classifications(spark, sf)
+    current = F.col("classifier_version") == LINE_VERSION
+    before = tables.read_or_empty(spark, path, CLASSIFICATION)
+    lines.where(~current).select(*CLASSIFICATION_BASE.fieldNames()).write.parquet(path)
+    scored = lines.where(current).withColumnRenamed("issue_type", "choice")
+    new = classification_rows(scored, LINE_VERSION, m.MODEL, m.now())
+    new.write.mode("append").parquet(path)
+    rows = before.unionByName(tables.read_or_empty(spark, path, CLASSIFICATION))
+    return rows.withColumn("classified_at", F.col("classified_at").cast("string"))
+
+
 def usage_ledger(spark: SparkSession, sf: str) -> DataFrame:
     ledger = scratch_path(spark, "usage")
     rows = usage_rows(m.classifications(spark, sf))
@@ -368,6 +407,35 @@ def quality_suite_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def gate(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.failures(quality_suite(spark, sf))
+
+
+def triage(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole chain over the landed issues that pass the gate: counts of its report."""
+
+    def classify(work: DataFrame) -> DataFrame:
+        return score(work, keyword_scorer(m.TERMS[V]), V, m.MODEL, CRITERIA[V], m.now())
+
+    run = TriageRun(
+        m.land_pages(spark, sf, m.sound_issues(spark, sf)), scratch_path(spark, "triage"), "run-1", V,
+        classify, cap_usd=1e9, classes=tuple(KNOWN), weak_classes=tuple(m.LANGUAGES), multi_line=False,
+    )
+    report = run_triage(spark, run)
+    agreed = report["agreement"].select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in ("correct", "total")]))
+    )
+    parts = {
+        "agreement": agreed,
+        "classes": report["classes"].select(F.col("issue_type").alias("name"), "n"),
+        "repos": report["repos"].select(F.col("repo").alias("name"), "n"),
+        "states": report["states"].select(F.col("state").alias("name"), "n"),
+        "processed": report["run"].select(F.lit("run-1").alias("name"), F.col("processed").alias("n")),
+    }
+    named = [df.select(F.lit(part).alias("part"), "name", "n") for part, df in parts.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return quality.duplicate_keys(m.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -509,6 +577,10 @@ QUERIES: dict[str, Query] = {
     "score_stream": score_stream,
     "csv_roundtrip": csv_roundtrip,
     "schema_evolve": schema_evolve,
+    "raw_arrays": raw_arrays,
+    "repo_parts": repo_parts,
+    "replace_table": replace_table,
+    "stored_evolution": stored_evolution,
     "usage_ledger": usage_ledger,
     "upsert_latest": upsert_latest,
     "resume_pending": resume_pending,
@@ -535,6 +607,8 @@ QUERIES: dict[str, Query] = {
     "stratified_split_orders": stratified_split_orders,
     "quality_suite": quality_suite,
     "quality_suite_lines": quality_suite_lines,
+    "gate": gate,
+    "triage": triage,
     "duplicate_keys": duplicate_keys,
     "orphans": orphans,
     "stale": stale,

@@ -27,6 +27,7 @@ from triagelake.operators.ingest import (
 from triagelake.operators.quality import gate, quality_suite
 from triagelake.operators.scoring import usage_rows
 from triagelake.schemas import CLASSIFICATION
+from triagelake.session import materialise
 from triagelake.sources.pages import scan_pages
 from triagelake.sources.tables import append_ledger, has_run, read_ledger
 from triagelake.streaming.streams import STORED, current_state
@@ -65,7 +66,9 @@ def stored_issues(spark: SparkSession, root: str) -> DataFrame:
 def collect(spark: SparkSession, run: TriageRun) -> DataFrame:
     """Append the run's new records, and its edits if wanted; gives the issues of all runs."""
     raw, edits = f"{run.root}/raw", f"{run.root}/edits"
-    incoming = records(scan_pages(spark, run.landing, run.multi_line))
+    if has_run(spark, raw, run.run_id) and (not run.refresh or has_run(spark, edits, run.run_id)):
+        return stored_issues(spark, run.root)
+    incoming = materialise(records(scan_pages(spark, run.landing, run.multi_line)))  # parsed once
     stored = read_ledger(spark, raw, STORED).where(F.col("run_id") != run.run_id)
     if run.refresh and not has_run(spark, edits, run.run_id):
         before = stored.unionByName(read_ledger(spark, edits, STORED))
@@ -103,7 +106,9 @@ def run_triage(spark: SparkSession, run: TriageRun) -> dict[str, DataFrame]:
     """One run of all stages. Raises when a quality check fails, before anything is reported."""
     issues = collect(spark, run)
     scored = classify(spark, run, issues)
-    state, usage = current_state(scored), usage_rows(scored)
+    # written once for all parts, which need no texts
+    state, issues = materialise(current_state(scored)), materialise(issues.drop("body"))
+    usage = usage_rows(scored)
     checks = quality_suite(issues, state, run.version, list(run.classes))
     gate(checks)
     weak = list(run.weak_classes)

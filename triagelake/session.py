@@ -6,6 +6,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -37,12 +38,14 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def only_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The ``rows`` whose key columns occur in ``keys``, a written table of keys.
+    """The ``rows`` whose key columns occur in ``keys``, a written table of keys. NULL is a key too.
 
     Spark knows the size of a written table: below ``spark.sql.autoBroadcastJoinThreshold`` bytes the keys
     are sent to the rows, which are then only scanned; otherwise both sides are shuffled by key.
     """
-    return rows.join(keys, keys.columns, "left_semi")
+    named = keys.select(*[F.col(c).alias(f"_key_{c}") for c in keys.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys.columns]
+    return rows.join(named, same, "left_semi")
 
 
 def literal_table(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:

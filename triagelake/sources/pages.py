@@ -66,10 +66,10 @@ def scan_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def scan_raw_batches(spark: SparkSession, path: str) -> DataFrame:
+def scan_raw_batches(spark: SparkSession, path: str, files: str = "*/*.json") -> DataFrame:
     """Raw records kept as one JSON array per file in directories named ``owner_name``."""
     return (
         spark.read.schema(RAW).option("multiLine", True).option("mode", "FAILFAST")
-        .json(f"{path}/*/*.json")
+        .json(f"{path}/{files}")
         .withColumn("repo", _repo_of_file())
     )

@@ -48,6 +48,7 @@ def ingest_stream(
     def store(batch: DataFrame, batch_id: int) -> None:
         run_id = _run_id(batch, batch_id)
         stored = read_ledger(batch.sparkSession, table, STORED).where(F.col("run_id") != run_id)
+        batch = materialise(batch)  # the pages are parsed once
         keys = materialise(batch.select("repo", "id").distinct())
         known = only_keys(stored.select("repo", "id"), keys)
         if not repo_caps and total_cap is None:
@@ -87,9 +88,8 @@ def score_stream(
         if has_run(batch.sparkSession, scored, run_id):
             return
         earlier = read_ledger(batch.sparkSession, scored, CLASSIFICATION)
-        keys = materialise(batch.select(F.col("id").alias("issue_id")).distinct())
-        known = only_keys(earlier, keys)
-        newest = latest_per_key(batch, ["id"])
+        newest = materialise(latest_per_key(batch, ["id"]))
+        known = only_keys(earlier, newest.select(F.col("id").alias("issue_id")))
         append_ledger(classify(pending(newest, current_state(known), version)), scored, run_id)
 
     return (
