@@ -117,12 +117,14 @@ def running_total_cut(
             .select(*group, "_cut.*")
         )
         one_key = F.lit(of == "_key") & (F.col("_low") == F.col("_high"))
-        found.append(cut_range.where(one_key).select(*group, F.col("_low").alias("cut")))
-        open_range = cut_range.where(~one_key)
+        settled, largest = cut_range.agg(F.count_if(one_key), F.max(F.when(~one_key, F.col("_rows")))).first()
+        if settled:
+            found.append(cut_range.where(one_key).select(*group, F.col("_low").alias("cut")))
+        open_range = cut_range.where(~one_key) if settled else cut_range
         inside = rows.drop("_start").join(open_range, group).where(
             F.col(of).between(F.col("_low"), F.col("_high"))
         )
-        earlier_most, most = most, open_range.agg(F.max("_rows")).first()[0] or 0
+        earlier_most, most = most, largest or 0
         if most <= in_one_task or most == earlier_most:
             break
         rows = materialise(inside.select(*group, "_key", "_weight", F.col("_before").alias("_start")))
@@ -134,6 +136,4 @@ def running_total_cut(
         .groupBy(*group)
         .agg(last("_key").alias("cut"))
     )
-    if bucket is not None and len(found) == 1:
-        return row_by_row
-    return reduce(DataFrame.unionByName, found, row_by_row)
+    return reduce(DataFrame.unionByName, [*found, row_by_row] if most or not found else found)
