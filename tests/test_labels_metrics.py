@@ -197,3 +197,18 @@ def test_sums_keep_their_range_and_precision(spark, cost, total):
 
     usage = spark.createDataFrame([("v", 1, cost), ("v", 2, cost)], "classifier_version string, input_tokens int, estimated_cost_usd double")
     assert usage_totals(usage, "v").first()["total_cost_usd"] == total
+
+
+def test_one_id_with_most_rows_on_both_sides(spark, rows):
+    """Nine million pairs of one id come from products of counts."""
+    many = spark.range(3000)
+    side = F.when(F.col("id") % 3 == 0, "a").otherwise("b")
+    gold = many.select(F.lit(1).alias("issue_id"), side.alias("gold_label")).unionByName(
+        many.select((F.col("id") + 2).alias("issue_id"), F.lit("a").alias("gold_label"))
+    )
+    preds = many.select(F.lit(1).alias("issue_id"), side.alias("predicted_type")).unionByName(
+        many.select((F.col("id") + 2).alias("issue_id"), F.lit("b").alias("predicted_type"))
+    )
+    assert rows(metrics.label_pairs(gold, preds, "gold_label"), "actual", "predicted", "n") == [
+        ("a", "a", 10**6), ("a", "b", 2 * 10**6 + 3000), ("b", "a", 2 * 10**6), ("b", "b", 4 * 10**6)
+    ]

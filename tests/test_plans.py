@@ -66,3 +66,23 @@ def test_label_map_needs_no_shuffle(spark, sf_dir):
     )
     text = plan(weak_labels(rows, model.LABEL_MAP))
     assert "Exchange hashpartitioning" not in text and "explode" not in text
+
+
+def test_few_keys_are_sent_to_the_texts(spark, tmp_path):
+    from triagelake.operators.incremental import pending
+    from triagelake.operators.ingest import new_records
+
+    made = spark.range(200).select(
+        F.lit("r").alias("repo"), "id", F.lit("t").alias("title"), F.lit("b").alias("body"),
+        F.lit("c").alias("created_at"), F.lit("u").alias("updated_at"),
+    )
+    made.write.parquet(str(tmp_path / "issues"))
+    issues = spark.read.parquet(str(tmp_path / "issues"))
+    done = spark.range(190).select(
+        F.col("id").alias("issue_id"), F.lit("u").alias("issue_updated_at"), F.lit("v").alias("classifier_version")
+    )
+    left = pending(issues, done, "v")
+    assert "Exchange hashpartitioning" not in plan(left) and "BroadcastHashJoin" in plan(left)
+    assert left.count() == 10
+    new = new_records(issues, issues.where("id < 150"))
+    assert "SortAggregate" not in plan(new) and new.count() == 50
