@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 
 from triagelake.llm.embeddings import (
-    audit, build_graph, classes_of, near_pairs, near_vectors, op2_pruned_graph, range_pairs, robust_prune, unit)
+    MARGIN, audit, build_graph, centroids, classes_of, merged, near_links, near_pairs, near_vectors, op2_pruned_graph,
+    range_pairs, robust_prune, shards_of, unit)
 
 
 def slow(ids, x, limit=0.9):
@@ -59,3 +60,42 @@ def test_edges(spark):
     want = [*alone, (0, 3, 0, True), (1, 3, 0, False), (2, 3, 0, False), (10, 3, 0, False), (11, 1, 11, True), (11, 1, 11, True), (None, 0, None, False)]
     assert got == sorted(want, key=str)
     assert near_vectors(df.limit(0)).count() == 0
+
+
+def with_group(n, cosine=0.955, d=64):
+    """``n`` distinct vectors, a third of them one group of near ones."""
+    rnd = np.random.default_rng(n)
+    centre = unit(rnd.normal(size=(1, d)))
+    group = centre + rnd.normal(size=(n // 3, d)) * np.sqrt((1 / cosine - 1) / d)
+    return unit(np.concatenate([rnd.normal(size=(n - n // 3, d)), group]))[rnd.permutation(n)]
+
+
+@pytest.mark.parametrize("margin", [MARGIN, 1.0])
+def test_links_of_a_large_group_meet(margin):
+    x = with_group(60_000)
+    centres = merged(centroids(x[:20_000], 60))
+    some = shards_of(x[:100], *centres, margin)
+    links = met = 0
+    for at in range(0, len(x), 10_000):
+        near = x[:100] @ x[at : at + 10_000].T >= 0.9
+        both = some.astype(np.float32) @ shards_of(x[at : at + 10_000], *centres, margin).T.astype(np.float32) > 0
+        links, met = links + near.sum(), met + (near & both).sum()
+    assert links > 30 * 15_000 and met >= 0.99 * links
+    assert margin < 1 or met == links
+
+
+def test_large_group_equals_brute_force(spark):
+    x = with_group(4_000).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    classes = classes_of(df)
+    rep = {r.cid: r.rep for r in classes.select("cid", "rep").collect()}
+    near = unit(x) @ unit(x).T >= 0.9
+    for tile in (2_048, 400):  # about 27 centroids lie in the group
+        links, edges = near_links(classes, shard=50, tile=tile)
+        got = np.zeros(len(x))
+        for r in links.collect():
+            got[rep[r.cid]] = r.near
+            assert r.near == r.links
+        want = near.sum(1) - 1
+        assert (got <= want).all() and got.sum() >= 0.99 * want.sum()
+        assert edges.count() < 40 * len(x)

@@ -1,18 +1,21 @@
 """Near-duplicate vectors found on a robust-pruned flat graph.
 
 1. Equal vectors are one class; only classes go on.
-2. Shards: centroids fitted on a bounded sample; every class goes to its ``OVERLAP`` nearest ones.
-   Shards overlap, so that near vectors meet in one at least. A shard of more than ``TILE`` classes is
-   dealt into tiles, pairs of its parts, in which all its pairs still meet.
+2. Shards: centroids fitted on a sample. Centroids that would link themselves, which lie within one group,
+   are one shard. A class goes to its ``OVERLAP`` nearest shards and to all that lie within ``margin`` of
+   its cell, so that near vectors meet in one at least (with a margin of 1: without exception). A shard of
+   more than ``TILE`` classes is dealt into tiles, pairs of its parts, in which all its pairs still meet.
 3. Each tile builds a flat graph: of a row's nearest ones in the tile, robust pruning keeps those that
    no kept one already stands for; edges are made to go both ways, and a few random ones are added.
    (Neighbours proposed by greedy searches on a random graph, the usual way for an index that
    is too large to compare, costs ten times as much here; a tile is small enough.)
 4. A class's adjacency lists from all its tiles are united, and every class is searched for in each of
    its tiles on the united graph: greedily from the medoid, then, from what that met and from itself,
-   over everything within range.
-5. Pairs are verified by their cosine in double precision. ``audit`` compares a sample of classes
-   with brute force.
+   over everything within range. A class with so much in range that lists cost more than the tile is
+   compared with the tile.
+5. Pairs are verified by their cosine in double precision. A pair that meets in several tiles is counted
+   in one; tiles give counts and the edges that connect, not pairs. ``audit`` compares a sample of
+   classes with brute force.
 
 Vectors that are null, zero, of another length than most, hold null or non-finite components, or have
 no vec_id link with nothing. A row without a vec_id has no component and is not kept.
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triagelake.llm.common import table
-from triagelake.llm.graph import components
+from triagelake.llm.graph import components, forest
 from triagelake.session import materialise
 
 LIMIT = 0.9
@@ -39,6 +42,8 @@ SAMPLE = 20_000
 SHARD = 1_000
 TILE = 2_048
 OVERLAP = 2
+#: How far from its cell a class goes to other shards, as a share of the distance that a link can span.
+MARGIN = 0.1
 DEGREE = 24
 FAR = 4
 BEAM = 12
@@ -149,9 +154,11 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, far: int = FAR) -> np.ndarr
     return adjacent
 
 
-def range_pairs(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack: float = SLACK, beam: int = BEAM):
-    """Pairs (i, j), i < j, of rows with a cosine of ``limit`` or more that searches on the graph reach."""
-    n, out = len(x), [np.zeros((2, 0), np.int64)]
+def range_hits(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack: float = SLACK, beam: int = BEAM):
+    """(n, n) booleans: pairs of rows with a cosine of ``limit`` or more that searches on the graph reach.
+    A row whose lists would be longer than ``x`` is compared with all rows, which finds no less."""
+    n = len(x)
+    hits = np.zeros((n, n), bool)
     start = medoid(x)
     for at in range(0, n, QUERIES):
         node = np.arange(at, min(at + QUERIES, n))
@@ -163,8 +170,12 @@ def range_pairs(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack
         seen[rows[:, None], ids] |= sims >= limit - slack
         seen[rows, node] = True
         who, what = np.nonzero(seen[:, :n])
-        out.append(np.array([node[who], what])[:, (q[who] * x[what]).sum(1) >= limit])
+        near = (q[who] * x[what]).sum(1) >= limit
+        hits[node[who[near]], what[near]] = True
         while len(who):
+            wide = np.bincount(who, minlength=len(node)) * adjacent.shape[1] > n
+            hits[node[wide]] = q[wide] @ x.T >= limit
+            who, what = who[~wide[who]], what[~wide[who]]
             near = adjacent[what]
             who = np.repeat(who, near.shape[1])
             what = near.ravel()
@@ -174,12 +185,16 @@ def range_pairs(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack
             who, what = key // (n + 1), key % (n + 1)
             seen[who, what] = True
             sim = (q[who] * x[what]).sum(1)
-            out.append(np.array([node[who[sim >= limit]], what[sim >= limit]]))
+            hits[node[who[sim >= limit]], what[sim >= limit]] = True
             who, what = who[sim >= limit - slack], what[sim >= limit - slack]
-    i, j = np.concatenate(out, axis=1)
-    i, j = np.minimum(i, j)[i != j], np.maximum(i, j)[i != j]
-    key = np.unique(i * n + j)
-    return key // max(n, 1), key % max(n, 1)
+    hits |= hits.T
+    np.fill_diagonal(hits, False)
+    return hits
+
+
+def range_pairs(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack: float = SLACK, beam: int = BEAM):
+    """Pairs (i, j), i < j, of ``range_hits``."""
+    return np.nonzero(np.triu(range_hits(x, adjacent, limit, slack, beam)))
 
 
 def classes_of(vectors: DataFrame) -> DataFrame:
@@ -193,38 +208,85 @@ def classes_of(vectors: DataFrame) -> DataFrame:
     return materialise(grouped.withColumn("cid", F.monotonically_increasing_id()))  # ids hold once written
 
 
-def tiles_of(classes: DataFrame, shard: int = SHARD, tile: int = TILE) -> DataFrame:
-    """(tile, cid, embedding, copies): every class in the tiles of its nearest centroids."""
+def merged(centres: np.ndarray, limit: float = LIMIT) -> tuple[np.ndarray, np.ndarray]:
+    """The centroids ordered by shard, and where each shard starts: those that link, also over others,
+    are one, or a large group would be cut between its own centroids."""
+    k, label, start = len(centres), np.arange(len(centres)), [np.zeros((2, 0), np.int64)]
+    for at in range(0, k, QUERIES):
+        i, j = np.nonzero(centres[at : at + QUERIES] @ centres.T >= limit)
+        start.append(np.array([i + at, j]))
+    moved, low = forest(*np.concatenate(start, axis=1), k)
+    label[moved] = low
+    order = np.argsort(label, kind="stable")
+    return centres[order], np.unique(label[order], return_index=True)[1]
+
+
+def shards_of(x: np.ndarray, centres: np.ndarray, starts: np.ndarray, margin: float, limit: float = LIMIT) -> np.ndarray:
+    """(rows, shards) booleans: a row's nearest shards and those within the margin of its cell.
+
+    The vector half-way between two that link is nearest to some centroid; seen from the other side of
+    the plane between that one and their own, both lie within sqrt((1 - limit) / 2) of the plane.
+    """
+    near = x @ centres.T
+    own = near.argmax(1)
+    apart = np.sqrt(np.maximum(2 - 2 * centres[own] @ centres.T, 0))
+    behind = near[np.arange(len(x)), own][:, None] - near
+    within = np.logical_or.reduceat(behind <= margin * np.sqrt((1 - limit) / 2) * apart + 1e-9, starts, axis=1)
+    best = np.maximum.reduceat(near, starts, axis=1)
+    k = min(OVERLAP, len(starts))
+    np.put_along_axis(within, np.argpartition(-best, k - 1, axis=1)[:, :k], True, axis=1)
+    return within
+
+
+def tiles_of(classes: DataFrame, shard: int = SHARD, tile: int = TILE, margin: float = MARGIN, limit: float = LIMIT) -> DataFrame:
+    """(tile, cid, embedding, copies, shards, shard, part, alone): every class in the tiles of its shards;
+    alone: the tile has one part of its shard only."""
     n = classes.count()
     sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("embedding").toPandas()
     x = unit(np.stack(sample["embedding"])) if len(sample) else np.zeros((1, 1))
-    centres = centroids(x, max(1, min(len(x), -(-n // shard))))
+    centres = merged(centroids(x, max(1, min(len(x), -(-n // shard)))), limit)
     sent = classes.sparkSession.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, QUERIES):
                 part = batch.slice(at, QUERIES)
-                near = -(unit(np.stack(part.column("embedding").to_numpy(zero_copy_only=False))) @ c.T)
-                k = min(OVERLAP, near.shape[1])
-                best = np.argpartition(near, k - 1, axis=1)[:, :k].astype(np.int32)
+                y = unit(np.stack(part.column("embedding").to_numpy(zero_copy_only=False)))
+                within = shards_of(y, *sent.value, margin, limit)
+                shards = [np.flatnonzero(row).astype(np.int32) for row in within]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("cid"), pa.array(list(best), pa.list_(pa.int32()))], ["cid", "shards"])
+                    [part.column("cid"), pa.array(shards, pa.list_(pa.int32()))], ["cid", "shards"])
 
-    assigned = classes.select("cid", "embedding").mapInArrow(assign, "cid long, shards array<int>")
-    members = materialise(assigned.select("cid", F.explode("shards").alias("shard")))
+    assigned = materialise(classes.select("cid", "embedding").mapInArrow(assign, "cid long, shards array<int>"))
+    members = assigned.select("cid", F.explode("shards").alias("shard"))
     sizes = members.groupBy("shard").count()
     parts = sizes.select("shard", F.ceil(F.col("count") / tile).cast("int").alias("parts"))  # a row a centroid
     dealt = members.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     key = F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other")).alias("tile")
-    return dealt.select(key, "cid").join(classes.select("cid", "embedding", "copies"), "cid")
-
-
-def near_pairs(classes: DataFrame, limit: float = LIMIT, shard: int = SHARD, tile: int = TILE) -> DataFrame:
-    """(u, v, copies_u, copies_v): linked pairs of classes, u < v, each once."""
-    tiles = materialise(tiles_of(classes, shard, tile))
+    dealt = dealt.select(key, "cid", "shard", "part", (F.col("part") == F.col("other")).alias("alone"))
+    return dealt.join(classes.select("cid", "embedding", "copies").join(assigned, "cid"), "cid")
+
+
+def counted_here(shard: int, shards: list[np.ndarray], part: np.ndarray, alone: bool) -> np.ndarray:
+    """(n, n) booleans: pairs of a tile's rows that are counted in it. Of the shards that hold both the first
+    one counts a pair, and in it two rows of one part are counted where this part is alone."""
+    n = len(part)
+    here = np.full((n, n), True) if alone else part[:, None] != part[None, :]
+    lower = [s[s < shard] for s in shards]
+    names = np.unique(np.concatenate(lower))
+    for at in range(0, len(names), TILE):
+        some = names[at : at + TILE]
+        in_shard = np.zeros((n, len(some)), np.float32)
+        for i, s in enumerate(lower):
+            in_shard[i, np.searchsorted(some, s[(s >= some[0]) & (s <= some[-1])])] = 1
+        here &= in_shard @ in_shard.T == 0
+    return here
+
+
+def search_tiles(classes: DataFrame, finish, schema: str, limit: float, shard: int, tile: int, margin: float) -> DataFrame:
+    """What ``finish`` makes of each tile's cids, copies, all its links found and those counted in it."""
+    tiles = materialise(tiles_of(classes, shard, tile, margin, limit))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("cid")
@@ -243,12 +305,44 @@ def near_pairs(classes: DataFrame, limit: float = LIMIT, shard: int = SHARD, til
             at = np.searchsorted(cid, near)
             at = at[(at < n) & (cid[np.minimum(at, n - 1)] == near)]  # of the list, what is in this tile
             adjacent[i, : len(at)] = at
-        i, j = range_pairs(unit(np.stack(rows["embedding"])), adjacent, limit)
-        copies = rows["copies"].to_numpy()
+        adjacent = adjacent[:, : max(1, (adjacent < n).sum(1).max())]
+        hits = range_hits(unit(np.stack(rows["embedding"])), adjacent, limit)
+        first = rows.iloc[0]
+        here = counted_here(first["shard"], list(rows["shards"]), rows["part"].to_numpy(), first["alone"])
+        return finish(cid, rows["copies"].to_numpy(), hits, hits & here)
+
+    return materialise(tiles.join(united, "cid").groupBy("tile").applyInPandas(search, schema))
+
+
+def near_pairs(classes: DataFrame, limit: float = LIMIT, shard: int = SHARD, tile: int = TILE, margin: float = MARGIN) -> DataFrame:
+    """(u, v, copies_u, copies_v): linked pairs of classes, u < v, each once."""
+
+    def finish(cid, copies, hits, counted):
+        i, j = np.nonzero(np.triu(counted))
         return pd.DataFrame({"u": cid[i], "v": cid[j], "copies_u": copies[i], "copies_v": copies[j]})
 
-    pairs = tiles.join(united, "cid").groupBy("tile").applyInPandas(search, "u long, v long, copies_u long, copies_v long")
-    return materialise(pairs.distinct())
+    return search_tiles(classes, finish, "u long, v long, copies_u long, copies_v long", limit, shard, tile, margin)
+
+
+def near_links(classes: DataFrame, limit: float = LIMIT, shard: int = SHARD, tile: int = TILE,
+               margin: float = MARGIN) -> tuple[DataFrame, DataFrame]:
+    """(cid, near, links): of every class with links, the classes and the rows it links with; and edges
+    (u, v) that connect what links. Both grow with the classes, not with the pairs of a large group."""
+
+    def finish(cid, copies, hits, counted):
+        near = counted.sum(1)
+        some = near > 0
+        i, j = forest(*np.nonzero(np.triu(hits)), len(cid))
+        return pd.DataFrame({
+            "u": np.concatenate([cid[some], cid[i]]),
+            "v": pd.array([*[None] * int(some.sum()), *cid[j].tolist()], "Int64"),
+            "near": np.concatenate([near[some], 0 * i]),
+            "links": np.concatenate([(counted[some] @ copies), 0 * i]),
+        })
+
+    found = search_tiles(classes, finish, "u long, v long, near long, links long", limit, shard, tile, margin)
+    sums = found.where("v is null").groupBy(F.col("u").alias("cid")).agg(F.sum("near").alias("near"), F.sum("links").alias("links"))
+    return sums, found.where("v is not null").select("u", "v")
 
 
 def audit(classes: DataFrame, pairs: DataFrame, limit: float = LIMIT, sample: int = 200) -> float:
@@ -278,13 +372,8 @@ def near_vectors(vectors: DataFrame, limit: float = LIMIT) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding)."""
     vectors = vectors.select("vec_id", "embedding")
     classes = classes_of(vectors)
-    pairs = near_pairs(classes, limit)
-    links = (
-        pairs.select(F.col("u").alias("cid"), F.col("copies_v").alias("n"))
-        .unionByName(pairs.select(F.col("v").alias("cid"), F.col("copies_u").alias("n")))
-        .groupBy("cid").agg(F.sum("n").alias("links"))
-    )
-    labels = components(pairs.select("u", "v")).withColumnRenamed("node", "cid")
+    links, edges = near_links(classes, limit)
+    labels = components(edges).withColumnRenamed("node", "cid")
     known = classes.join(links, "cid", "left").join(labels, "cid", "left")
     known = known.withColumn("label", F.coalesce("label", "cid"))
     named = known.groupBy("label").agg(F.min("rep").alias("component"))
