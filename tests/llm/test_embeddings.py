@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
 
+from triagelake.llm import embeddings
 from triagelake.llm.embeddings import (
-    MARGIN, audit, build_graph, centroids, classes_of, merged, near_links, near_pairs, near_vectors, op2_pruned_graph,
-    range_pairs, robust_prune, shards_of, unit)
+    MARGIN, SLACK, audit, audited_links, build_graph, centroids, classes_of, merged, near_links, near_pairs, near_vectors,
+    op2_pruned_graph, range_pairs, robust_prune, shards_of, unit)
 
 
 def slow(ids, x, limit=0.9):
@@ -99,3 +100,19 @@ def test_large_group_equals_brute_force(spark):
         want = near.sum(1) - 1
         assert (got <= want).all() and got.sum() >= 0.99 * want.sum()
         assert edges.count() < 40 * len(x)
+
+
+def test_search_is_audited_and_widened(spark, monkeypatch, caplog):
+    x = with_group(600)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = (unit(x) @ unit(x).T >= 0.9).sum(1) - 1
+    monkeypatch.setattr(embeddings, "merged", lambda centres, limit: (centres, np.arange(len(centres))))
+    classes = classes_of(df)
+    poor, whole = (0.0, SLACK, False), (1.0, SLACK, True)
+    with pytest.raises(RuntimeError, match="recall 0"):
+        audited_links(classes, shard=10, steps=(poor,))
+    links, _, found = audited_links(classes, shard=10, steps=(poor, whole))
+    assert found == 1.0 and links.agg({"near": "sum"}).first()[0] == want.sum()
+    caplog.clear()
+    got = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
+    assert "recall 1.0000" in caplog.text and [got[i] for i in range(len(x))] == want.tolist()

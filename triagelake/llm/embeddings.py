@@ -14,8 +14,10 @@
    over everything within range. A class with so much in range that lists cost more than the tile is
    compared with the tile.
 5. Pairs are verified by their cosine in double precision. A pair that meets in several tiles is counted
-   in one; tiles give counts and the edges that connect, not pairs. ``audit`` compares a sample of
-   classes with brute force.
+   in one; tiles give counts and the edges that connect, not pairs.
+6. The links of a sample of classes are counted by brute force. While less than ``RECALL`` of them was found,
+   shards and search are widened; the last of ``STEPS`` compares all that could link, and misses nothing.
+   The figure is logged.
 
 Vectors that are null, zero, of another length than most, hold null or non-finite components, or have
 no vec_id link with nothing. A row without a vec_id has no component and is not kept.
@@ -23,6 +25,7 @@ no vec_id link with nothing. A row without a vec_id has no component and is not
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +52,13 @@ FAR = 4
 BEAM = 12
 ALPHA = 1.2
 QUERIES = 256
+#: Share of the links of ``AUDITED`` classes that has to be found.
+RECALL = 0.95
+AUDITED = 1_000
+#: Margin, slack, and whether all rows of a tile are compared: how the search is widened.
+STEPS = ((MARGIN, SLACK, False), (0.3, 2 * SLACK, False), (1.0, SLACK, True))
+
+log = logging.getLogger(__name__)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -154,9 +164,11 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, far: int = FAR) -> np.ndarr
     return adjacent
 
 
-def range_hits(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack: float = SLACK, beam: int = BEAM):
+def range_hits(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack: float = SLACK, beam: int = BEAM,
+               whole: bool = False):
     """(n, n) booleans: pairs of rows with a cosine of ``limit`` or more that searches on the graph reach.
-    A row whose lists would be longer than ``x`` is compared with all rows, which finds no less."""
+    A row whose lists would be longer than ``x`` is compared with all rows, which finds no less; with
+    ``whole``, every row is."""
     n = len(x)
     hits = np.zeros((n, n), bool)
     start = medoid(x)
@@ -173,7 +185,7 @@ def range_hits(x: np.ndarray, adjacent: np.ndarray, limit: float = LIMIT, slack:
         near = (q[who] * x[what]).sum(1) >= limit
         hits[node[who[near]], what[near]] = True
         while len(who):
-            wide = np.bincount(who, minlength=len(node)) * adjacent.shape[1] > n
+            wide = np.bincount(who, minlength=len(node)) * adjacent.shape[1] > (0 if whole else n)
             hits[node[wide]] = q[wide] @ x.T >= limit
             who, what = who[~wide[who]], what[~wide[who]]
             near = adjacent[what]
@@ -284,7 +296,8 @@ def counted_here(shard: int, shards: list[np.ndarray], part: np.ndarray, alone:
     return here
 
 
-def search_tiles(classes: DataFrame, finish, schema: str, limit: float, shard: int, tile: int, margin: float) -> DataFrame:
+def search_tiles(classes: DataFrame, finish, schema: str, limit: float, shard: int, tile: int, margin: float,
+                 slack: float = SLACK, whole: bool = False) -> DataFrame:
     """What ``finish`` makes of each tile's cids, copies, all its links found and those counted in it."""
     tiles = materialise(tiles_of(classes, shard, tile, margin, limit))
 
@@ -306,7 +319,7 @@ def search_tiles(classes: DataFrame, finish, schema: str, limit: float, shard: i
             at = at[(at < n) & (cid[np.minimum(at, n - 1)] == near)]  # of the list, what is in this tile
             adjacent[i, : len(at)] = at
         adjacent = adjacent[:, : max(1, (adjacent < n).sum(1).max())]
-        hits = range_hits(unit(np.stack(rows["embedding"])), adjacent, limit)
+        hits = range_hits(unit(np.stack(rows["embedding"])), adjacent, limit, slack, whole=whole)
         first = rows.iloc[0]
         here = counted_here(first["shard"], list(rows["shards"]), rows["part"].to_numpy(), first["alone"])
         return finish(cid, rows["copies"].to_numpy(), hits, hits & here)
@@ -325,7 +338,7 @@ def near_pairs(classes: DataFrame, limit: float = LIMIT, shard: int = SHARD, til
 
 
 def near_links(classes: DataFrame, limit: float = LIMIT, shard: int = SHARD, tile: int = TILE,
-               margin: float = MARGIN) -> tuple[DataFrame, DataFrame]:
+               margin: float = MARGIN, slack: float = SLACK, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """(cid, near, links): of every class with links, the classes and the rows it links with; and edges
     (u, v) that connect what links. Both grow with the classes, not with the pairs of a large group."""
 
@@ -340,39 +353,65 @@ def near_links(classes: DataFrame, limit: float = LIMIT, shard: int = SHARD, til
             "links": np.concatenate([(counted[some] @ copies), 0 * i]),
         })
 
-    found = search_tiles(classes, finish, "u long, v long, near long, links long", limit, shard, tile, margin)
+    found = search_tiles(classes, finish, "u long, v long, near long, links long", limit, shard, tile, margin, slack, whole)
     sums = found.where("v is null").groupBy(F.col("u").alias("cid")).agg(F.sum("near").alias("near"), F.sum("links").alias("links"))
     return sums, found.where("v is not null").select("u", "v")
 
 
-def audit(classes: DataFrame, pairs: DataFrame, limit: float = LIMIT, sample: int = 200) -> float:
-    """Share of the links of ``sample`` classes (by hash) that ``pairs`` holds; the sample is compared
-    with all classes, block by block."""
+def true_links(classes: DataFrame, limit: float = LIMIT, sample: int = AUDITED) -> dict[int, int]:
+    """How many classes each of ``sample`` classes (by hash) links with; the sample is compared with all
+    classes, block by block."""
     chosen = classes.orderBy(F.xxhash64("cid", F.lit(1)), "cid").limit(sample).select("cid", "embedding").toPandas()
     if chosen.empty:
-        return 1.0
+        return {}
     sent = classes.sparkSession.sparkContext.broadcast((chosen["cid"].to_numpy(), unit(np.stack(chosen["embedding"]))))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, x = sent.value
+        near = np.zeros(len(ids), np.int64)
         for batch in batches:
-            cid = batch.column("cid").to_numpy()
-            y = unit(np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)))
-            a, b = np.nonzero(x @ y.T >= limit)
-            other = ids[a] != cid[b]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a][other]), pa.array(cid[b][other])], ["a", "b"])
+            for at in range(0, batch.num_rows, TILE):
+                part = batch.slice(at, TILE)
+                y = unit(np.stack(part.column("embedding").to_numpy(zero_copy_only=False)))
+                same = ids[:, None] == part.column("cid").to_numpy()
+                near += ((x @ y.T >= limit) & ~same).sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(near)], ["cid", "near"])
+
+    counted = classes.select("cid", "embedding").mapInArrow(compare, "cid long, near long")
+    return {r.cid: r.near for r in counted.groupBy("cid").agg(F.sum("near").alias("near")).collect()}
+
+
+def recall(true: dict[int, int], links: DataFrame) -> float:
+    """Share of the ``true`` links of its classes that ``links`` (cid, near) holds."""
+    found = links.where(F.col("cid").isin(list(true))).agg(F.sum("near")).first()[0] or 0
+    return found / sum(true.values()) if sum(true.values()) else 1.0
+
+
+def audit(classes: DataFrame, pairs: DataFrame, limit: float = LIMIT, sample: int = 200) -> float:
+    """Share of the links of ``sample`` classes (by hash) that ``pairs`` holds."""
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("cid"), F.lit(1).alias("near"))
+    return recall(true_links(classes, limit, sample), ends)
+
 
-    true = classes.select("cid", "embedding").mapInArrow(compare, "a long, b long")
-    true = true.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-    both = true.join(pairs.select("u", "v", F.lit(1).alias("hit")), ["u", "v"], "left").agg(F.count("*"), F.count("hit")).first()
-    return both[1] / both[0] if both[0] else 1.0
+def audited_links(classes: DataFrame, limit: float = LIMIT, shard: int = SHARD, tile: int = TILE,
+                  steps=STEPS) -> tuple[DataFrame, DataFrame, float]:
+    """``near_links`` of the first of the steps that finds ``RECALL`` of the sample's links, and its recall."""
+    true = true_links(classes, limit)
+    for margin, slack, whole in steps:
+        links, edges = near_links(classes, limit, shard, tile, margin, slack, whole)
+        found = recall(true, links)
+        log.warning("recall %.4f of %d links of %d classes (margin %s, slack %s%s)", found, sum(true.values()),
+                    len(true), margin, slack, ", all compared" if whole else "")
+        if found >= RECALL:
+            return links, edges, found
+    raise RuntimeError(f"near vectors: recall {found:.4f} is below {RECALL}")
 
 
 def near_vectors(vectors: DataFrame, limit: float = LIMIT) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding)."""
     vectors = vectors.select("vec_id", "embedding")
     classes = classes_of(vectors)
-    links, edges = near_links(classes, limit)
+    links, edges, _ = audited_links(classes, limit)
     labels = components(edges).withColumnRenamed("node", "cid")
     known = classes.join(links, "cid", "left").join(labels, "cid", "left")
     known = known.withColumn("label", F.coalesce("label", "cid"))
