@@ -4,7 +4,7 @@ import pytest
 from triagelake.llm import embeddings
 from triagelake.llm.embeddings import (
     MARGIN, SLACK, audit, audited_links, build_graph, centroids, classes_of, merged, near_links, near_pairs, near_vectors,
-    op2_pruned_graph, range_pairs, robust_prune, shards_of, unit)
+    op2_pruned_graph, range_pairs, robust_prune, shards_of, tiles_of, unit)
 
 
 def slow(ids, x, limit=0.9):
@@ -102,6 +102,18 @@ def test_large_group_equals_brute_force(spark):
         assert edges.count() < 40 * len(x)
 
 
+def test_all_numbers_of_centroids_are_fitted(spark, monkeypatch):
+    rnd = np.random.default_rng(4)
+    true = unit(rnd.normal(size=(1_100, 16)))
+    x = unit(np.repeat(true, 4, axis=0) + rnd.normal(size=(4_400, 16)) * 0.1)[rnd.permutation(4_400)]
+    fitted, raw = centroids(x, 1_100), centroids(x, 1_100, rounds=0)
+    assert (x @ fitted.T).max(1).mean() > (x @ raw.T).max(1).mean() + 0.01
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x[:200])]
+    classes = spark.createDataFrame(rows, "cid long, embedding array<double>, copies long")
+    monkeypatch.setattr(embeddings, "SAMPLE", 10)
+    assert tiles_of(classes, shard=5).select("shard").distinct().count() > 20  # of 40 centroids
+
+
 def test_search_is_audited_and_widened(spark, monkeypatch, caplog):
     x = with_group(600)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")

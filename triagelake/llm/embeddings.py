@@ -1,7 +1,8 @@
 """Near-duplicate vectors found on a robust-pruned flat graph.
 
 1. Equal vectors are one class; only classes go on.
-2. Shards: centroids fitted on a sample. Centroids that would link themselves, which lie within one group,
+2. Shards: a centroid for every ``SHARD`` classes, fitted by the same rounds of k-means for any number of
+   them on a sample of ``SAMPLE`` rows, or ``SPREAD`` a centroid where these are more. Centroids that would link themselves, which lie within one group,
    are one shard. A class goes to its ``OVERLAP`` nearest shards and to all that lie within ``margin`` of
    its cell, so that near vectors meet in one at least (with a margin of 1: without exception). A shard of
    more than ``TILE`` classes is dealt into tiles, pairs of its parts, in which all its pairs still meet.
@@ -42,6 +43,8 @@ LIMIT = 0.9
 #: How far below the limit the search still expands.
 SLACK = 0.1
 SAMPLE = 20_000
+#: Rows of the sample for each centroid, where ``SAMPLE`` has fewer.
+SPREAD = 4
 SHARD = 1_000
 TILE = 2_048
 OVERLAP = 2
@@ -71,10 +74,12 @@ def unit(rows: np.ndarray) -> np.ndarray:
 def centroids(sample: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """Spherical k-means from evenly spread rows of the sample."""
     centres = sample[np.linspace(0, len(sample) - 1, k).astype(int)].copy()
-    for _ in range(rounds if k <= 1024 else 0):
-        nearest = (sample @ centres.T).argmax(1)
+    block = max(1, (1 << 22) // k)
+    for _ in range(rounds):
         sums = np.zeros_like(centres)
-        np.add.at(sums, nearest, sample)
+        for at in range(0, len(sample), block):
+            part = sample[at : at + block]
+            np.add.at(sums, (part @ centres.T).argmax(1), part)
         size = np.sqrt((sums * sums).sum(1, keepdims=True))
         centres = np.where(size > 0, sums / np.maximum(size, 1e-12), centres)
     return centres
@@ -253,10 +258,10 @@ def shards_of(x: np.ndarray, centres: np.ndarray, starts: np.ndarray, margin: fl
 def tiles_of(classes: DataFrame, shard: int = SHARD, tile: int = TILE, margin: float = MARGIN, limit: float = LIMIT) -> DataFrame:
     """(tile, cid, embedding, copies, shards, shard, part, alone): every class in the tiles of its shards;
     alone: the tile has one part of its shard only."""
-    n = classes.count()
-    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("embedding").toPandas()
+    k = max(1, -(-classes.count() // shard))
+    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(max(SAMPLE, SPREAD * k)).select("embedding").toPandas()
     x = unit(np.stack(sample["embedding"])) if len(sample) else np.zeros((1, 1))
-    centres = merged(centroids(x, max(1, min(len(x), -(-n // shard)))), limit)
+    centres = merged(centroids(x, min(len(x), k)), limit)
     sent = classes.sparkSession.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
