@@ -54,3 +54,15 @@ def test_whole_table(spark, sf_dir):
         inside = re.search("<article>(.*)</article>", pages[r.page_id].html, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub("</?b>", "", b)).split()) for b in re.split(r"</?(?:p|h1|br)>", inside)]
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+def test_a_part_of_a_name_does_not_drop_the_text():
+    story = "<h2>Head</h2><p>" + "Some long story. " * 9 + "</p>"
+    want = "Head\n" + ("Some long story. " * 9).strip()
+    for name in ("content no-sidebar", "has-comments", "form-page", "x_menu"):
+        assert Page(f"<body><div class='{name}'>{story}</div></body>").text() == want, name
+        inner = f"<div id='{name}'>{story}<div class='ad-slot'>Buy</div><ul class='share-list'><li>Share</ul></div>"
+        assert Page(f"<body><div class='left-sidebar'>Side</div>{inner}<div class='ad'>{story * 9}</div></body>").text() == want, name
+    inside = "<article><h1 class='article-header'>One</h1><p class='notice-text'>Two</p><div class='ad-box'>Buy</div><p>" + "x " * 9 + "</p></article>"
+    assert Page(inside).text() == "One\nTwo\n" + ("x " * 9).strip()
+    assert Page("<div class='sidebar'>Side</div><p class='notice'>no</p><p>text</p>").text() == "text"

@@ -10,7 +10,9 @@ repeats, and is removed from each page. Only nodes seen on ``MIN_PAGES`` distinc
 What varies from page to page, such as an advert, is not told from text by entropy. Elements
 that say what they are (``nav``, ``class="ad"``, ``role="banner"`` ...) have importance 0, an
 ``article`` or ``main`` has 1, and so have plain paragraphs and headings within: passages that articles
-share are text. Where a page has an article, what lies outside it is no text.
+share are text. Where a page has an article, what lies outside it is no text. A name that only is a part
+of a class, such as ``no-sidebar``, counts where the element holds at most ``MOST`` of the page's text; it
+does not count for paragraphs and headings.
 
 A block ends where a block element starts or ends; ``br`` is white space. Pages whose html or url is
 null are treated as empty and as of the empty host; hosts with few pages are judged by the
@@ -35,6 +37,8 @@ from triagelake.session import materialise
 MIN_PAGES = 8
 LOW = 0.2
 GAMMA = 0.9
+#: Share of a page's text above which a part of a name does not make an element noise.
+MOST = 0.5
 
 TAG = re.compile(r"""<(?:!--(?P<c>.*?)(?:--!?>|\Z)|(?P<d>[!?])[^>]*>|(?P<e>/?)(?P<n>[a-zA-Z][^\s/>]*)(?P<a>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>)""", re.S)
 ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -63,12 +67,14 @@ NOISE_WORDS = frozenset(
     " toolbar skip contentinfo complementary form dialog tracking paywall".split())
 LANDMARKS = ("article", "main")
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th figure figcaption caption".split())
+#: Elements that are noise by a whole name only.
+NAMED_WHOLE = frozenset("html body main article header p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 WORDS = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "style", "path", "noise", "outer", "main", "children", "texts", "link")
+    __slots__ = ("tag", "style", "path", "noise", "outer", "main", "children", "texts", "link", "hinted", "size")
 
     def __init__(self, tag, style, parent, noise, outer, main, link):
         self.tag, self.style = tag, style
@@ -76,11 +82,14 @@ class Node:
         self.noise, self.outer, self.main, self.link = noise, outer, main, link
         self.children: list[str] = []
         self.texts: list[str] = []
+        self.hinted, self.size = False, 0
 
 
 def element(tag: str, attrs: str, parent: Node | None) -> Node:
-    """A node with its style and whether it, or one above it, names itself as no text."""
+    """A node with its style, whether it, or one above it, names itself as no text, and whether only a part
+    of its name hints at that."""
     noise, style, main = tag in NOISE_TAGS, tag, tag in LANDMARKS
+    hinted = False
     if attrs and not attrs.isspace() and attrs != "/":
         got = {m[1].lower(): next((v for v in m.groups()[1:] if v is not None), "") for m in ATTR.finditer(attrs)}
         named = f"{got.get('class', '')} {got.get('id', '')} {got.get('role', '')}".lower()
@@ -88,8 +97,8 @@ def element(tag: str, attrs: str, parent: Node | None) -> Node:
         if not named.isspace():
             style = f"{tag}.{got.get('class', '').strip()}#{got.get('id', '').strip()}"
             if tag not in ("html", "body", "main"):
-                noise = noise or not NOISE_WORDS.isdisjoint(WORDS.findall(named)) and not (
-                    tag in LANDMARKS and NOISE_WORDS.isdisjoint(re.split(r"\s+", named)))
+                noise = noise or not NOISE_WORDS.isdisjoint(named.split())
+                hinted = not main and tag not in NAMED_WHOLE and not NOISE_WORDS.isdisjoint(WORDS.findall(named))
         noise = noise or "hidden" in got or got.get("aria-hidden") == "true" or bool(HIDDEN.search(got.get("style", "")))
     if parent is None:
         return Node(tag, style, None, noise, False, main, False)
@@ -97,7 +106,9 @@ def element(tag: str, attrs: str, parent: Node | None) -> Node:
         noise = False  # an article's own heading
     if main and not noise and not parent.main:  # the landmark starts: noise above it is remembered
         return Node(tag, style, parent, False, parent.noise, True, parent.link)
-    return Node(tag, style, parent, noise or parent.noise, parent.outer, parent.main, parent.link or tag == "a")
+    node = Node(tag, style, parent, noise or parent.noise, parent.outer, parent.main, parent.link or tag == "a")
+    node.hinted = hinted
+    return node
 
 
 class Page:
@@ -107,9 +118,18 @@ class Page:
         self.blocks: list[tuple[str, bool, bool, bool]] = []  # text, in a landmark, under noise, all links
         self.nodes: list[Node] = []
         self.low, self.tree = low or frozenset(), tree
-        self.parts: list[str] = []
-        self.linked = True
-        self._read(source or "")
+        self.hinted: list[Node] = []
+        self.minor: list[bool] = []  # for the hinted elements in their order; none: their texts are measured
+        self._start(source or "")
+        if self.hinted:
+            self.minor = [n.size <= MOST * self.size for n in self.hinted]
+            if any(self.minor):
+                self._start(source or "")
+
+    def _start(self, source: str) -> None:
+        self.blocks, self.nodes, self.parts, self.linked = [], [], [], True
+        self.hinted, self.size = [], 0
+        self._read(source)
 
     def _end_block(self, node: Node) -> None:
         if self.parts:
@@ -126,6 +146,10 @@ class Page:
         self.parts.append(text)
         if not node.link and not text.isspace():
             self.linked = False
+        self.size += len(text)
+        if self.hinted and not self.minor:
+            for n in stack:
+                n.size += len(text)
         if self.tree and not text.isspace():
             for n in stack:
                 if judged(n):
@@ -142,6 +166,10 @@ class Page:
                     self._close(old, stack)
                     break
         node = element(tag, attrs, stack[-1])
+        if node.hinted:
+            if self.minor and self.minor[len(self.hinted)]:
+                node.noise = True
+            self.hinted.append(node)
         if node.path in self.low and not (node.main and node.tag in LANDMARKS):
             node.noise = True
         if tag in BLOCKS:
