@@ -6,6 +6,7 @@ from triagelake.llm.html import op5_style_tree
 from triagelake.llm.langid import op4_kneser_ney
 from triagelake.llm.packing import op8_exact_complement
 from triagelake.llm.pii import op1_field_pii
+from triagelake.llm.repeats import OP11_SQL, op11_radix_repeats
 from triagelake.llm.shards import op3_training_order
 from triagelake.llm.simhash import op10_simhash_pivots
 from triagelake.llm.toxicity import op9_weak_supervision
@@ -22,5 +23,10 @@ QUERIES = {
     "op8_exact_complement": op8_exact_complement,
     "op9_weak_supervision": op9_weak_supervision,
     "op10_simhash_pivots": op10_simhash_pivots,
+    "op11_radix_repeats": op11_radix_repeats,
+}
+ORACLE: dict[str, str] = {
+    "op6_suffix_automaton": OP6_SQL,
+    "op7_digest_array": OP7_SQL,
+    "op11_radix_repeats": OP11_SQL,
 }
-ORACLE: dict[str, str] = {"op6_suffix_automaton": OP6_SQL, "op7_digest_array": OP7_SQL}
