@@ -5,6 +5,7 @@ from triagelake.llm.embeddings import op2_pruned_graph
 from triagelake.llm.html import op5_style_tree
 from triagelake.llm.langid import op4_kneser_ney
 from triagelake.llm.packing import op8_exact_complement
+from triagelake.llm.periods import op13_tree_runs
 from triagelake.llm.pii import op1_field_pii
 from triagelake.llm.repeats import OP11_SQL, op11_radix_repeats
 from triagelake.llm.shards import op3_training_order
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_weak_supervision": op9_weak_supervision,
     "op10_simhash_pivots": op10_simhash_pivots,
     "op11_radix_repeats": op11_radix_repeats,
+    "op13_tree_runs": op13_tree_runs,
 }
 ORACLE: dict[str, str] = {
     "op6_suffix_automaton": OP6_SQL,
