@@ -1,5 +1,6 @@
 """The queries of this folder and their SQL, by name."""
 
+from triagelake.llm.collocations import OP12_SQL, op12_dynamic_collocations
 from triagelake.llm.decontaminate import OP6_SQL, op6_suffix_automaton
 from triagelake.llm.embeddings import op2_pruned_graph
 from triagelake.llm.html import op5_style_tree
@@ -25,10 +26,12 @@ QUERIES = {
     "op9_weak_supervision": op9_weak_supervision,
     "op10_simhash_pivots": op10_simhash_pivots,
     "op11_radix_repeats": op11_radix_repeats,
+    "op12_dynamic_collocations": op12_dynamic_collocations,
     "op13_tree_runs": op13_tree_runs,
 }
 ORACLE: dict[str, str] = {
     "op6_suffix_automaton": OP6_SQL,
     "op7_digest_array": OP7_SQL,
     "op11_radix_repeats": OP11_SQL,
+    "op12_dynamic_collocations": OP12_SQL,
 }

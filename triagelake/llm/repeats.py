@@ -230,7 +230,7 @@ def _filter(repeated: DataFrame, buckets_log: int, bits: int = FILTER_BITS) -> t
             yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(made, pa.binary())], ["bucket", "bits"])
 
     out = np.zeros(1 << (log - 3), np.uint8)
-    for row in repeated.mapInArrow(blocks, "bucket int, bits binary").toLocalIterator():
+    for row in repeated.mapInArrow(blocks, "bucket int, bits binary").collect():
         out[row["bucket"] * per_bucket // 8 : (row["bucket"] + 1) * per_bucket // 8] = np.frombuffer(row["bits"], np.uint8)
     return share_file(spark, out.tobytes(), "repeated"), log
 
