@@ -56,7 +56,7 @@ def cases():
 @pytest.mark.parametrize("bits", [1 << 29, 64])  # 64: nearly every digit passes the bitmap
 def test_equals_brute_force(spark, cases, bits):
     docs = spark.createDataFrame(cases, "doc_id long, text string").repartition(5)
-    docs = docs.withColumn("spans", F.lit("clash")).withColumn("text_key", F.lit(1))
+    docs = docs.withColumn("spans", F.lit("clash")).withColumn("row", F.lit(1))
     got = [
         (r.doc_id, len(r.text.encode()), sum(s.end - s.start for s in r.spans), len(r.spans))
         for r in repeated_spans(docs, bits).collect()

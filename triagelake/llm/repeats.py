@@ -11,12 +11,12 @@ passes see only what still agrees with something.
   again. Which digits repeat comes back as a bitmap of at most ``FILTER_BITS`` bits. A bit that other digits
   share only lets a run through to the next pass; beyond that size the bitmap gets fuller and the result stays the same.
 * Pass 2, the whole run (at most 147 bytes). Runs that agree wholly are one group: but for the first
-  of them all windows are repeated. One row a group remains, and only where its digit has other groups.
+  of them all windows are repeated. The first one remains, and only where its digit has other groups.
 * Pass 3, 100 bytes. The windows of the remaining runs are put in order in numpy, 8 bytes a pass
   (``radix_groups``), the first of equal ones meets those of other tasks by a 128-bit digest.
 
 Order is (doc_id, start), a null doc_id first. A window at an equal doc_id and start, as in repeated
-rows, is not earlier. Rows of one doc_id with different texts are documents of their own and tie at equal starts.
+rows, is not earlier: rows of one doc_id are documents of their own and tie at equal starts.
 A null text is empty; texts shorter than the window keep all bytes; a long text is one of many rows of an Arrow
 batch and costs memory in proportion to itself. An empty table gives no rows. Of further columns none
 is read, so their names cannot clash.
@@ -29,9 +29,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import SparkFiles
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from triagelake.llm.common import share_file, table
 from triagelake.session import materialise
@@ -235,137 +237,164 @@ def _filter(repeated: DataFrame, buckets_log: int, bits: int = FILTER_BITS) -> t
     return share_file(spark, out.tobytes(), "repeated"), log
 
 
-_RUN = pa.struct([("digit", pa.int64()), ("whole", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
+_RUN = pa.struct([
+    ("digit", pa.int64()), ("whole", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("later", pa.bool_())])
+
+
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(is not null, value) of a column of numbers; both together order it, nulls first."""
+    return column.is_valid().to_numpy(zero_copy_only=False), column.fill_null(0).to_numpy()
+
+
+def _behind(group: np.ndarray, named: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which places come after the first one of their group."""
+    by = np.lexsort((start, doc, named, group))
+    new = np.ones(len(by), bool)
+    new[1:] = group[by[1:]] != group[by[:-1]]
+    first = by[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    out = np.empty(len(by), bool)
+    out[by] = (start[first] != start[by]) | (doc[first] != doc[by]) | (named[first] != named[by])
+    return out
 
 
 def _candidates(docs: DataFrame, name: str, log: int) -> DataFrame:
-    """(doc_id, text_key, text, parts): the rows of ``docs`` with the runs whose digit passes the bitmap."""
+    """(row, doc_id, text, parts): the rows of ``docs``, numbered, with the runs whose digit passes the bitmap. Of equal
+    runs of one part of a task all but the first are marked as ``later``, so that a passage that very many
+    texts share is sent on once for each part."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.memmap(SparkFiles.get(name), np.uint8, "r")
+        row = TaskContext.get().partitionId() << 33
         for batch in _slices(batches):
             data, borders = _texts(batch.column("text"))
             start, count, place = runs(data, borders)
-            padded = _padded(data)
-            digit = digits(padded, place)
+            digit = digits(_padded(data), place)
             at = (digit >> np.uint64(64 - log)).astype(np.int64)
             passed = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
             start, count, digit = start[passed], count[passed], digit[passed]
             view, whole = memoryview(data), xxhash.xxh3_64_intdigest
-            keys = [whole(view[s : s + c + WINDOW - 1]) for s, c in zip(start.tolist(), count.tolist())]
+            keys = np.array([whole(view[s : s + c + WINDOW - 1]) for s, c in zip(start.tolist(), count.tolist())], np.uint64)
             text = np.searchsorted(borders, start, "right") - 1
+            start -= borders[text]
+            named, doc = _ids(batch.column("doc_id"))
+            order = np.lexsort((digit, keys))
+            new = np.ones(len(order), bool)
+            new[1:] = (digit[order[1:]] != digit[order[:-1]]) | (keys[order[1:]] != keys[order[:-1]])
+            group = np.empty(len(order), np.int64)
+            group[order] = np.cumsum(new)
             cells = pa.StructArray.from_arrays(
-                [pa.array(digit.view(np.int64)), pa.array(np.array(keys, np.uint64).view(np.int64)),
-                 pa.array((start - borders[text]).astype(np.int32)), pa.array(count.astype(np.int32))],
-                fields=list(_RUN))
+                [pa.array(digit.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(start.astype(np.int32)),
+                 pa.array(count.astype(np.int32)), pa.array(_behind(group, named[text], doc[text], start))], fields=list(_RUN))
             ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=batch.num_rows))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), batch.column("text"),
-                 pa.ListArray.from_arrays(pa.array(ends), cells)], ["doc_id", "text_key", "text", "parts"])
-
-    return docs.mapInArrow(
-        find, "doc_id long, text_key long, text string, parts array<struct<digit:long,whole:long,start:int,windows:int>>")
+                [pa.array(np.arange(row, row + batch.num_rows)), batch.column("doc_id"), batch.column("text"),
+                 pa.ListArray.from_arrays(pa.array(ends), cells)], ["row", "doc_id", "text", "parts"])
+            row += batch.num_rows
 
+    return docs.mapInArrow(find, "row long, doc_id long, text string, "
+                           "parts array<struct<digit:long,whole:long,start:int,windows:int,later:boolean>>")
 
-def _place():
-    return F.struct("doc_id", "start")
 
+def _after_first(rows: DataFrame, key: list[str], shape: str) -> DataFrame:
+    """``rows`` with ``later`` set where an earlier (doc_id, start) has the same key. Rows of a key lie
+    side by side in a sorted partition; only the first place of the current key is held."""
+    out = T._parse_datatype_string(shape)
+    arrow = to_arrow_schema(out)
 
-def _marked(found: DataFrame) -> DataFrame:
-    """(doc_id, text_key, marks) of pass 2: a document's runs that are repeated (``later``) or whose windows
-    are still to be compared."""
-    parts = found.where(F.size("parts") > 0).select("doc_id", "text_key", F.explode("parts").alias("r")).select(
-        "doc_id", "text_key", "r.*")
-    groups = parts.groupBy("digit", "whole").agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
-    several = groups.groupBy("digit").agg(F.count("*").alias("k")).where("k > 1").select("digit", F.lit(True).alias("open"))
-    # A group of one run whose digit no other group has is done: nothing of it goes on.
-    groups = groups.join(several, "digit", "left").where("open or n > 1")
-    later = _place() > F.col("first")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, place = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (batch.column(k).to_numpy() for k in key)
+            named, doc = _ids(batch.column("doc_id"))
+            start = batch.column("start").to_numpy()
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            first = np.flatnonzero(new)[np.cumsum(new) - 1]
+            later = (start[first] != start) | (doc[first] != doc) | (named[first] != named)
+            if current == (a[0], b[0]):  # goes on from the batch before
+                same = first == 0
+                later[same] = (start[same] != place[2]) | (doc[same] != place[1]) | (named[same] != place[0])
+            if current != (a[-1], b[-1]) or first[-1]:
+                current, place = (a[-1], b[-1]), (named[first[-1]], doc[first[-1]], start[first[-1]])
+            later |= batch.column("later").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(later) if f.name == "later" else batch.column(f.name) for f in out.fields], schema=arrow)
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartition(parts, *key).sortWithinPartitions(*key, F.col("doc_id").asc_nulls_first(), "start")
+    return ordered.mapInArrow(run, out)
+
+
+def _marks(found: DataFrame) -> DataFrame:
+    """(row, marks) of pass 2: a text's runs that are repeated (``later``) or whose windows are still to be
+    compared, for there are other runs with their digit."""
+    parts = found.where(F.size("parts") > 0).select("row", "doc_id", F.explode("parts").alias("r")).select("row", "doc_id", "r.*")
+    decided = materialise(_after_first(
+        parts.where(~F.col("later")), ["digit", "whole"],
+        "row long, digit long, whole long, start int, windows int, later boolean"))
+    ahead = decided.where(~F.col("later"))
+    several = ahead.groupBy("digit").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a <> b").select("digit")
+    mark = ["row", "start", "windows", "later"]
     return (
-        parts.join(groups, ["digit", "whole"])
-        .withColumn("later", later).where("later or open")
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set(F.struct("start", "windows", "later")).alias("marks"))
+        ahead.join(several, "digit").select(*mark)
+        .unionByName(decided.where("later").select(*mark))
+        .unionByName(parts.where("later").select(*mark))
+        .groupBy("row").agg(F.collect_list(F.struct("start", "windows", "later")).alias("marks"))
     )
 
 
-def _windows(open_docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, later, high, low): the windows to compare, ordered within each task."""
+def _windows(texts: DataFrame) -> DataFrame:
+    """(row, doc_id, start, later, high, low): the windows to compare, ordered within each part of a task."""
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, most=1 << 21):
             data, borders = _texts(batch.column("text"))
-            ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
-            row, start = [], []
+            rows = batch.column("row").to_numpy()
+            named, doc = _ids(batch.column("doc_id"))
+            text, start = [], []
             for i, marks in enumerate(batch.column("marks").to_pylist()):
-                for m in marks or ():
+                for m in marks:
                     if not m["later"]:
                         start.append(np.arange(m["start"], m["start"] + m["windows"]))
-                        row.append(np.full(m["windows"], i))
-            if not row:
+                        text.append(np.full(m["windows"], i))
+            if not text:
                 continue
-            row, start = np.concatenate(row), np.concatenate(start)
-            at = start + borders[row]
-            null = np.array([d is None for d in ids])
-            doc = np.array([0 if d is None else d for d in ids], np.int64)
+            text, start = np.concatenate(text), np.concatenate(start)
+            at = start + borders[text]
             index, group = radix_groups(_padded(data), at)
             later = np.zeros(len(at), bool)
-            if len(index):  # per group the first place stays, and those that tie with it
-                by = np.lexsort((start[index], doc[row[index]], ~null[row[index]], group))
-                index, group = index[by], group[by]
-                new = np.ones(len(index), bool)
-                new[1:] = group[1:] != group[:-1]
-                first = index[np.flatnonzero(new)[np.cumsum(new) - 1]]
-                same = (start[first] == start[index]) & (doc[row[first]] == doc[row[index]]) & (null[row[first]] == null[row[index]])
-                later[index] = ~same
+            later[index] = _behind(group, named[text[index]], doc[text[index]], start[index])
             view, digest = memoryview(data), xxhash.xxh3_128_digest
-            both = np.zeros((len(at), 2), np.int64)
+            key = np.stack([rows[text], start], 1)  # of a window that is decided: its own
             mine = np.flatnonzero(~later)
-            if len(mine):
-                both[mine] = np.frombuffer(b"".join([digest(view[s : s + WINDOW]) for s in at[mine].tolist()]), "<i8").reshape(-1, 2)
+            key[mine] = np.frombuffer(b"".join([digest(view[s : s + WINDOW]) for s in at[mine].tolist()]), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[row], mask=null[row]), pa.array([keys[i] for i in row.tolist()], pa.int64()),
-                 pa.array(start.astype(np.int32)), pa.array(later), pa.array(both[:, 0]), pa.array(both[:, 1])],
-                ["doc_id", "text_key", "start", "later", "high", "low"])
-
-    return open_docs.mapInArrow(order, "doc_id long, text_key long, start int, later boolean, high long, low long")
-
+                [pa.array(rows[text]), pa.array(doc[text], mask=~named[text]), pa.array(start.astype(np.int32)),
+                 pa.array(later), pa.array(key[:, 0]), pa.array(key[:, 1])],
+                ["row", "doc_id", "start", "later", "high", "low"])
 
-def _same_document(left: str, right: str):
-    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (
-        F.col(f"{left}.text_key") == F.col(f"{right}.text_key"))
-
-
-def _with(rows: DataFrame, more: DataFrame, column: str) -> DataFrame:
-    """``rows`` with a document's value of ``column``, null where ``more`` has none."""
-    return rows.alias("d").join(more.alias("m"), _same_document("d", "m"), "left").select("d.*", f"m.{column}")
+    return texts.mapInArrow(order, "row long, doc_id long, start int, later boolean, high long, low long")
 
 
 def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(doc_id, text, spans): every row of ``docs`` (doc_id, text) with its repeated bytes as (start, end)
     pairs, in order and apart from each other; empty where there are none."""
-    spark = docs.sparkSession
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets_log = min(20, max(0, (partitions - 1).bit_length()))
     name, log = _filter(_repeated_digits(texts, buckets_log), buckets_log, filter_bits)
-    found = materialise(_candidates(
-        texts.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), name, log))
-    marked = _marked(found)
-    touched = materialise(_with(found.where(F.size("parts") > 0).drop("parts"), marked, "marks"))
-    windows = materialise(_windows(touched.where(F.exists("marks", lambda m: ~m["later"]))))
-    open_windows = windows.where(~F.col("later"))
-    first = open_windows.groupBy("high", "low").agg(F.min(_place()).alias("first"), F.count("*").alias("n")).where("n > 1")
-    others = open_windows.join(first.drop("n"), ["high", "low"]).where(_place() > F.col("first"))
-    more = (
-        windows.where("later").select("doc_id", "text_key", "start")
-        .unionByName(others.select("doc_id", "text_key", "start"))
-        .groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("more"))
-    )
-    plain = F.lit(None).cast("array<struct<start:int,end:int>>")
-    untouched = found.where(F.size("parts") == 0).select("doc_id", "text", F.coalesce(plain, F.array()).alias("spans"))
-    return untouched.unionByName(_with(touched, more, "more").mapInArrow(
-        _merged, "doc_id long, text string, spans array<struct<start:int,end:int>>"))
+    found = materialise(_candidates(texts, name, log))
+    marks = materialise(_marks(found))
+    touched = found.where(F.size("parts") > 0).drop("parts")
+    open_texts = touched.join(marks.where(F.exists("marks", lambda m: ~m["later"])), "row")
+    windows = _after_first(_windows(open_texts), ["high", "low"], "row long, start int, later boolean")
+    more = materialise(windows.where("later").groupBy("row").agg(F.collect_list("start").alias("more")))
+    spans = touched.join(marks, "row", "left").join(more, "row", "left").drop("row").mapInArrow(
+        _merged, "doc_id long, text string, spans array<struct<start:int,end:int>>")
+    none = F.array().cast("array<struct<start:int,end:int>>").alias("spans")
+    return found.where(F.size("parts") == 0).select("doc_id", "text", none).unionByName(spans)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
