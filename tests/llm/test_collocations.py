@@ -2,10 +2,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from triagelake.llm import collocations as c
-from triagelake.llm.collocations import collocations, frequent_hashes
+from triagelake.llm.collocations import collocations, frequent_slots
 
 
 def slow_collocations(rows, threshold=10, inside=50, top=2000):
@@ -57,7 +58,8 @@ COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 @pytest.mark.parametrize("shards, slots", [(3, 1 << 26), (1, 1 << 26), (4, 16)])  # 16 slots: all are shared
 def test_equals_brute_force(spark, rows, shards, slots, monkeypatch):
-    monkeypatch.setattr(c, "PART", 200)
+    for name in ("PART", "WORDS", "HELD"):
+        monkeypatch.setattr(c, name, 200)
     docs = spark.createDataFrame(rows, "lang string, text string").selectExpr("*", "'c' as phrase", "0 as k").repartition(3)
     got = collocations(docs, shards=shards, max_slots=slots).select(*COLUMNS)
     assert sorted(map(tuple, got.collect())) == slow_collocations(rows)
@@ -81,7 +83,9 @@ def test_empty_table(spark):
     assert collocations(spark.createDataFrame([], "lang string, text string")).collect() == []
 
 
-def test_overlapping_stages_drop_the_rare(spark, rows):
+def test_slots_hold_the_frequent(spark, rows):
     docs = spark.createDataFrame([x for x in rows if x[0] and x[1]], "lang string, text string")
-    frequent, _ = frequent_hashes(docs, shards=2)
-    assert {r.k for r in frequent.collect()} == {1, 2, 3}
+    frequent, log = frequent_slots(docs, shards=2)
+    assert log == 10 and all(0 < np.unpackbits(bits).sum() < 1024 for bits in frequent)
+    with pytest.raises(ValueError):
+        frequent_slots(docs, shards=11)

@@ -10,8 +10,8 @@ When a phrase became active is held per slot, a hash of the phrase: a byte a slo
 sent to all tasks. Phrases that share a slot become active with the first of them; every phrase is still
 counted for exactly one cycle, so counts stay whole, and a fuller table only counts more phrases than needed.
 
-Counts are kept by 64-bit hash while phrases are looked for. What reached the threshold is then counted once
-more with its words, which also parts phrases whose hashes are equal. Scores and ranks are DataFrame operations;
+Counts are kept by hash, packed by ranges of hashes, while phrases are looked for. What reached the threshold is then counted
+once more with its words, which also parts phrases whose hashes are equal. Scores and ranks are DataFrame operations;
 they use decimals of 38 digits, enough for counts up to 10^15.
 
 A null text is empty, a null lang counts as ``und``. Long texts are cut nowhere: a task takes texts in parts of about
@@ -27,12 +27,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triagelake.llm.common import share_file, table
 from triagelake.operators.ranking import first_per_group
-from triagelake.session import literal_table, materialise
+from triagelake.session import materialise, scratch_path
 
 LONGEST = 3
 THRESHOLD = 10
@@ -40,8 +40,13 @@ INSIDE_PERCENT = 50
 TOP = 2000
 SHARDS = 3
 MAX_SLOTS = 1 << 26
-PART = 1 << 20
+PART = 1 << 18
+#: Words whose hashes a task keeps, and phrases it adds up before it sends them.
+WORDS = 1 << 18
+HELD = 1 << 20
 NEVER = 255
+#: The lowest bits of a counted phrase hold the step after which it became active.
+SINCE = np.uint64(31)
 #: ASCII capitals to small letters; the borders of pieces to a byte that UTF-8 does not have.
 BORDER = b"\xff"
 _CLEAN = bytes.maketrans(
@@ -58,12 +63,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class _Numbers(dict):
-    """The hash of a word; 0 stands for a border."""
+    """The hash of a word; 0 stands for a border. Beyond ``WORDS`` words it starts anew."""
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = 0 if word == BORDER else xxhash.xxh3_64_intdigest(word) | 1
-        if len(self) > 1 << 20:
+        if len(self) >= WORDS:
             self.clear()
+        value = self[word] = 0 if word == BORDER else xxhash.xxh3_64_intdigest(word) | 1
         return value
 
 
@@ -133,21 +138,45 @@ class Active:
         return out
 
 
-def _scan(shard: DataFrame, step: int, shards: int, log: int, names: list[str]) -> DataFrame:
-    """(k, phrase, since, n): how often the active phrases occur in a shard."""
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with their sums."""
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[new], np.add.reduceat(n, new) if len(new) else n
+
+
+def _small(n: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the greatest needs."""
+    return n.astype(np.min_scalar_type(int(n.max(initial=0)))).tobytes()
+
+
+def _large(cell: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(cell, f"u{len(cell) // count}").astype(np.int64)
+
+
+def _scan(shard: DataFrame, step: int, shards: int, log: int, buckets_log: int, names: list[str]) -> DataFrame:
+    """(k, bucket, phrases, n): how often the active phrases of ``k`` words occur in a shard, packed. A bucket is the
+    highest bits of a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         active = Active(log, [np.memmap(SparkFiles.get(x), np.uint8, "r") for x in names])
         numbers = _Numbers()
-        held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
-        def summed(k: int) -> pa.RecordBatch:
-            phrase, since, n = map(np.concatenate, zip(*held.pop(k)))
-            phrase, first, place = np.unique(phrase, return_index=True, return_inverse=True)
-            total = np.bincount(place, n).astype(np.int64)
+        def packed(k: int) -> pa.RecordBatch:
+            keys, n = held.pop(k)[0]
+            bucket = (keys >> np.uint64(64 - buckets_log)).astype(np.int64) if buckets_log else np.zeros(len(keys), np.int64)
+            border = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
+            parts = list(zip(border, border[1:]))
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(phrase), k, np.int32)), pa.array(phrase.view(np.int64)),
-                 pa.array(since[first].astype(np.int32)), pa.array(total)], ["k", "phrase", "since", "n"])
+                [pa.array([k] * len(parts), pa.int32()), pa.array(bucket[border[:-1]].astype(np.int32)),
+                 pa.array([keys[i:j].tobytes() for i, j in parts], pa.binary()),
+                 pa.array([_small(n[i:j]) for i, j in parts], pa.binary())], ["k", "bucket", "phrases", "n"])
+
+        def together(k: int) -> int:
+            held[k] = [_summed(*map(np.concatenate, zip(*held[k])))]
+            return len(held[k][0][0])
 
         for part in _parts(batches):
             hashes = _hashes(*part, numbers)
@@ -155,113 +184,129 @@ def _scan(shard: DataFrame, step: int, shards: int, log: int, names: list[str])
                 since = active.since(k, hashes)
                 now = (since < step) & (step <= since.astype(np.int64) + shards)
                 if now.any():
-                    phrase, first, n = np.unique(hashes[k - 1][now], return_index=True, return_counts=True)
-                    held.setdefault(k, []).append((phrase, since[now][first], n))
-                    if sum(len(x[0]) for x in held[k]) > 2 * PART:
-                        yield summed(k)
+                    keys = (hashes[k - 1][now] & ~SINCE) | since[now]
+                    held.setdefault(k, []).append(np.unique(keys, return_counts=True))
+                    if sum(len(x[0]) for x in held[k]) > 2 * HELD and together(k) > HELD:
+                        yield packed(k)
         for k in sorted(held):
-            yield summed(k)
+            together(k)
+            yield packed(k)
 
-    return shard.mapInArrow(run, "k int, phrase long, since int, n long")
+    return shard.mapInArrow(run, "k int, bucket int, phrases binary, n binary")
 
 
-def _marks(reached: DataFrame, longest: int, log: int) -> list[np.ndarray]:
-    """For 1 to ``longest`` words, the slots of the phrases (k, phrase) as one flag a slot."""
-    low = min(16, log)
+def _added(counts: DataFrame, step: int, shards: int, threshold: int, log: int, buckets_log: int) -> DataFrame:
+    """(k, bucket, phrases, n, flags): counts added up; ``flags`` are the slots of the phrases that reached
+    the threshold. A phrase that has met every shard without reaching it goes."""
+    per_bucket = 1 << (log - buckets_log)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], np.ndarray] = {}
+        held: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
-            slots = (batch.column("phrase").to_numpy().view(np.uint64) >> np.uint64(64 - log)).astype(np.int64)
-            lengths = batch.column("k").to_numpy()
-            for k, block in set(zip(lengths.tolist(), (slots >> low).tolist())):
-                flags = held.setdefault((k, block), np.zeros(1 << low, bool))
-                flags[slots[(lengths == k) & (slots >> low == block)] & ((1 << low) - 1)] = True
-        if held:
-            k, block = zip(*held)
+            for k, bucket, keys, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if keys:
+                    held.setdefault((k, bucket), []).append((np.frombuffer(keys, np.uint64), _large(n, len(keys) // 8)))
+        for k, bucket in sorted(held):
+            keys, n = _summed(*map(np.concatenate, zip(*held.pop((k, bucket)))))
+            kept = (n >= threshold) | ((keys & SINCE).astype(np.int64) + shards > step)
+            keys, n = keys[kept], n[kept]
+            flags = np.zeros(per_bucket, bool)
+            flags[((keys[n >= threshold] >> np.uint64(64 - log)) & np.uint64(per_bucket - 1)).astype(np.int64)] = True
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k, pa.int32()), pa.array(block, pa.int32()), pa.array([np.packbits(f).tobytes() for f in held.values()], pa.binary())],
-                ["k", "block", "flags"])
-
-    # One task a range of slots: the driver gets a bit a slot at most.
-    block = F.shiftrightunsigned("phrase", 64 - log + low).cast("int") if log > low else F.lit(0)
-    parts = int(reached.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = reached.where(F.col("k") <= longest).select("k", "phrase", block.alias("block")).repartition(parts, "k", "block")
-    out = [np.zeros(1 << log, bool) for _ in range(longest)]
-    for row in spread.mapInArrow(run, "k int, block int, flags binary").collect():
-        flags = np.unpackbits(np.frombuffer(row["flags"], np.uint8), count=1 << low).astype(bool)
-        out[row["k"] - 1][row["block"] << low : (row["block"] + 1) << low] = flags
-    return out
+                [pa.array([k], pa.int32()), pa.array([bucket], pa.int32()), pa.array([keys.tobytes()], pa.binary()),
+                 pa.array([_small(n)], pa.binary()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())],
+                ["k", "bucket", "phrases", "n", "flags"])
 
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.select("k", "bucket", "phrases", "n").repartition(parts, "k", "bucket")
+    return materialise(dealt.mapInArrow(run, "k int, bucket int, phrases binary, n binary, flags binary"))
 
-def frequent_hashes(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS,
-                    max_slots: int = MAX_SLOTS) -> tuple[DataFrame, int]:
-    """(k, phrase): hashes of all phrases of 1 to ``LONGEST`` words that occur ``threshold`` times or
-    more, by dynamic itemset counting over ``docs`` (lang, text); log2 of the slots."""
+
+def frequent_slots(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS,
+                   max_slots: int = MAX_SLOTS) -> tuple[list[np.ndarray], int]:
+    """The slots of all phrases of 1 to ``LONGEST`` words that occur ``threshold`` times or more, a bit each and
+    an array a length, by dynamic itemset counting over ``docs`` (lang, text); log2 of the slots."""
+    if LONGEST * shards >= SINCE:
+        raise ValueError(f"{shards} shards make more steps than a phrase has room for")
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    log = max(10, min(max_slots.bit_length() - 1, (size // 128).bit_length()))
-    dealt = docs.select("lang", "text", F.pmod(F.xxhash64("lang", "text"), F.lit(shards)).alias("shard"))
-    active = Active(log)
-    counts = literal_table(spark, spark.createDataFrame([], "k int, phrase long, since int, n long").schema, [])
-    done, step = [], 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    log = max(10, min(max_slots.bit_length() - 1, (size // 128).bit_length())) if max_slots > 1 << 10 else max_slots.bit_length() - 1
+    buckets_log = max(0, min(log - 3, (parts - 1).bit_length()))
+    per_bucket = 1 << (log - buckets_log)
+    path = scratch_path(spark, "shards")
+    docs.select("lang", "text", F.pmod(F.xxhash64("lang", "text"), F.lit(shards)).cast("int").alias("shard")).write.partitionBy(
+        "shard").parquet(path)
+    dealt = spark.read.schema("lang string, text string, shard int").parquet(path)
+    active, counts, grown, step = Active(log), None, [], 0
     while True:
         step += 1
         names = [share_file(spark, a.tobytes(), "active") for a in active.arrays]
         shard = dealt.where(F.col("shard") == (step - 1) % shards).select("lang", "text")
-        counts = materialise(
-            counts.unionByName(_scan(shard, step, shards, log, names))
-            .groupBy("k", "phrase", "since").agg(F.sum("n").alias("n"))
-            # a full cycle is over: frequent or not
-            .where((F.col("since") + shards > step) | (F.col("n") >= threshold))
-        )
-        reached = counts.where(F.col("n") >= threshold)
+        found = _scan(shard, step, shards, log, buckets_log, names)
+        found = found if counts is None else counts.select(*found.columns).unionByName(found)
+        counts = _added(found, step, shards, threshold, log, buckets_log)
+        reached = [np.zeros(1 << (log - 3), np.uint8) for _ in range(LONGEST)]
+        for row in counts.select("k", "bucket", "flags").collect():  # a bit a slot and length at most
+            at = row["bucket"] * per_bucket // 8
+            reached[row["k"] - 1][at : at + per_bucket // 8] = np.frombuffer(row["flags"], np.uint8)
         grew = False
-        for array, flags in zip(active.arrays, _marks(reached, LONGEST - 1, log)):
-            fresh = flags & (array == NEVER)
+        for array, bits in zip(active.arrays, reached):
+            fresh = np.unpackbits(bits, bitorder="little").astype(bool) & (array == NEVER)
             array[fresh] = step
             grew |= bool(fresh.any())
-        done.append(grew)
+        grown.append(grew)
         # No slot became active within the last cycle: every phrase has met all shards.
-        if step >= shards and not any(done[-shards:]):
-            return reached.select("k", "phrase").distinct(), log
+        if step >= shards and not any(grown[-shards:]):
+            return reached, log
 
 
-def count_phrases(docs: DataFrame, frequent: DataFrame, log: int) -> DataFrame:
-    """(lang, k, phrase, n): the frequent phrases with their words, and for k = 0 all words of a language."""
+def count_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> DataFrame:
+    """(lang, k, phrase, n): the phrases in ``frequent`` slots with their words, and for k = 0 all words of a language."""
     spark = docs.sparkSession
-    names = [share_file(spark, np.packbits(flags, bitorder="little").tobytes(), "frequent")
-             for flags in _marks(frequent, LONGEST, log)]
+    names = [share_file(spark, bits.tobytes(), "frequent") for bits in frequent]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [np.memmap(SparkFiles.get(x), np.uint8, "r") for x in names]
         numbers = _Numbers()
-        held: dict[tuple[str, int, bytes], int] = {}
+        words: dict[str, int] = {}
+        named: dict[int, tuple[str, int, bytes]] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def rows(lang, k, phrase, n) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(k, pa.int32()), pa.array([p.decode() for p in phrase], pa.string()),
+                 pa.array(n, pa.int64())], ["lang", "k", "phrase", "n"])
 
         def emitted() -> pa.RecordBatch:
-            lang, k, phrase = zip(*held)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(lang), pa.array(k, pa.int32()), pa.array([p.decode() for p in phrase]), pa.array(held.values(), pa.int64())],
-                ["lang", "k", "phrase", "n"])
-            held.clear()
-            return out
+            keys, n = _summed(*map(np.concatenate, zip(*held)))
+            lang, k, phrase = zip(*map(named.__getitem__, keys.tolist()))
+            held.clear(), named.clear()
+            return rows(lang, k, phrase, n)
 
         for tokens, lang, langs in _parts(batches):
             hashes = _hashes(tokens, lang, langs, numbers)
             for x, n in zip(langs, np.bincount(lang, hashes[0] != 0).astype(np.int64).tolist()):
                 if n:
-                    held[x, 0, b""] = held.get((x, 0, b""), 0) + n
+                    words[x] = words.get(x, 0) + n
             for k, (of, bits) in enumerate(zip(hashes, maps), 1):
                 slot = (of >> np.uint64(64 - log)).astype(np.int64)
                 at = np.flatnonzero((of != 0) & (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool))
-                _, first, n = np.unique(of[at], return_index=True, return_counts=True)
-                for i, c in zip(at[first].tolist(), n.tolist()):
-                    key = langs[lang[i]], k, b" ".join(tokens[i : i + k])
-                    held[key] = held.get(key, 0) + c
-            if len(held) > PART:
+                if not len(at):
+                    continue
+                at = at[np.argsort(of[at])]
+                new = np.flatnonzero(np.concatenate([[True], of[at[1:]] != of[at[:-1]]]))
+                keys = of[at[new]]
+                for key, i in zip(keys.tolist(), at[new].tolist()):
+                    if key not in named:
+                        named[key] = langs[lang[i]], k, b" ".join(tokens[i : i + k])
+                held.append((keys, np.diff(np.append(new, len(at)))))
+            if len(named) > WORDS:
                 yield emitted()
         if held:
             yield emitted()
+        if words:
+            yield rows(list(words), [0] * len(words), [b""] * len(words), list(words.values()))
 
     found = docs.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, n long")
     return materialise(found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")))
@@ -271,7 +316,7 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, inside_percent: in
                  shards: int = SHARDS, max_slots: int = MAX_SLOTS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of the ``top`` phrases of each language of ``docs`` (lang, text)."""
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    frequent, log = frequent_hashes(docs, threshold, shards, max_slots)
+    frequent, log = frequent_slots(docs, threshold, shards, max_slots)
     counts = count_phrases(docs, frequent, log)
     totals = counts.where("k = 0").select("lang", F.col("n").alias("total"))
     phrases = counts.where((F.col("k") > 0) & (F.col("n") >= threshold))
