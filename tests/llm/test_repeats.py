@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from triagelake.llm import repeats
 from triagelake.llm.repeats import radix_groups, repeated_spans, runs, without_repeats
 
 
@@ -53,8 +54,11 @@ def cases():
     return rows
 
 
-@pytest.mark.parametrize("bits", [1 << 29, 64])  # 64: nearly every digit passes the bitmap
-def test_equals_brute_force(spark, cases, bits):
+@pytest.mark.parametrize("bits, hot, at_once", [(1 << 29, 1 << 16, 1 << 14), (64, 0, 8), (1 << 29, 4, 8)])
+def test_equals_brute_force(spark, cases, bits, hot, at_once, monkeypatch):
+    """With 64 bits nearly every digit passes the bitmap; every digit, or some, are hot."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "RUNS_AT_ONCE", at_once)
     docs = spark.createDataFrame(cases, "doc_id long, text string").repartition(5)
     docs = docs.withColumn("spans", F.lit("clash")).withColumn("row", F.lit(1))
     got = [

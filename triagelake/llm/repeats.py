@@ -12,8 +12,9 @@ passes see only what still agrees with something.
   share only lets a run through to the next pass; beyond that size the bitmap gets fuller and the result stays the same.
 * Pass 2, the whole run (at most 147 bytes). Runs that agree wholly are one group: but for the first
   of them all windows are repeated. The first one remains, and only where its digit has other groups.
-* Pass 3, 100 bytes. The windows of the remaining runs are put in order in numpy, 8 bytes a pass
-  (``radix_groups``), the first of equal ones meets those of other tasks by a 128-bit digest.
+* Pass 3, 100 bytes. The remaining runs meet by digit and their windows are put in order in numpy, 8 bytes a pass
+  (``radix_groups``). A digit of more than ``HOT`` remaining runs, such as a line shorter than a window that very many
+  texts hold, is dealt by whole windows instead, of which a part of a task sends each once.
 
 Order is (doc_id, start), a null doc_id first. A window at an equal doc_id and start, as in repeated
 rows, is not earlier: rows of one doc_id are documents of their own and tie at equal starts.
@@ -48,6 +49,9 @@ BLOCK = 1 << 16
 FILTER_BITS = 1 << 29
 #: Digits a task holds before it sends them.
 HELD = 1 << 21
+#: Runs of one digit that are compared in one task; beyond it their windows are dealt out.
+HOT = 1 << 16
+RUNS_AT_ONCE = 1 << 14
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -328,54 +332,111 @@ def _after_first(rows: DataFrame, key: list[str], shape: str) -> DataFrame:
 
 
 def _marks(found: DataFrame) -> DataFrame:
-    """(row, marks) of pass 2: a text's runs that are repeated (``later``) or whose windows are still to be
-    compared, for there are other runs with their digit."""
+    """(row, marks) of pass 2: a text's runs that are repeated, without a digit, and those whose windows are still to be
+    compared, for there are other runs with their ``digit``; ``hot`` if there are very many."""
     parts = found.where(F.size("parts") > 0).select("row", "doc_id", F.explode("parts").alias("r")).select("row", "doc_id", "r.*")
     decided = materialise(_after_first(
         parts.where(~F.col("later")), ["digit", "whole"],
         "row long, digit long, whole long, start int, windows int, later boolean"))
     ahead = decided.where(~F.col("later"))
-    several = ahead.groupBy("digit").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a <> b").select("digit")
-    mark = ["row", "start", "windows", "later"]
+    several = ahead.groupBy("digit").agg(
+        F.min("whole").alias("a"), F.max("whole").alias("b"), F.count("*").alias("n")
+    ).where("a <> b").select("digit", (F.col("n") > HOT).alias("hot"))
+    mark = ["row", "start", "windows", "digit", "hot"]
+    decided_digit = [F.lit(None).cast("long").alias("digit"), F.lit(None).cast("boolean").alias("hot")]
     return (
         ahead.join(several, "digit").select(*mark)
-        .unionByName(decided.where("later").select(*mark))
-        .unionByName(parts.where("later").select(*mark))
-        .groupBy("row").agg(F.collect_list(F.struct("start", "windows", "later")).alias("marks"))
+        .unionByName(decided.where("later").select(*mark[:3], *decided_digit))
+        .unionByName(parts.where("later").select(*mark[:3], *decided_digit))
+        .groupBy("row").agg(F.collect_list(F.struct(*mark[1:])).alias("marks"))
     )
 
 
-def _windows(texts: DataFrame) -> DataFrame:
-    """(row, doc_id, start, later, high, low): the windows to compare, ordered within each part of a task."""
+def _open_runs(texts: DataFrame) -> DataFrame:
+    """(key, row, doc_id, start, windows, later, bytes) of the runs to compare. The key is the digit; of a hot digit every
+    window is a row of its own and the key its hash, and of equal windows of a part of a task the first is kept."""
 
-    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, most=1 << 21):
             data, borders = _texts(batch.column("text"))
             rows = batch.column("row").to_numpy()
             named, doc = _ids(batch.column("doc_id"))
-            text, start = [], []
-            for i, marks in enumerate(batch.column("marks").to_pylist()):
-                for m in marks:
-                    if not m["later"]:
-                        start.append(np.arange(m["start"], m["start"] + m["windows"]))
-                        text.append(np.full(m["windows"], i))
-            if not text:
-                continue
-            text, start = np.concatenate(text), np.concatenate(start)
-            at = start + borders[text]
-            index, group = radix_groups(_padded(data), at)
-            later = np.zeros(len(at), bool)
-            later[index] = _behind(group, named[text[index]], doc[text[index]], start[index])
-            view, digest = memoryview(data), xxhash.xxh3_128_digest
-            key = np.stack([rows[text], start], 1)  # of a window that is decided: its own
-            mine = np.flatnonzero(~later)
-            key[mine] = np.frombuffer(b"".join([digest(view[s : s + WINDOW]) for s in at[mine].tolist()]), "<i8").reshape(-1, 2)
+            cells = [
+                (m["digit"], i, m["start"], m["windows"]) for i, marks in enumerate(batch.column("marks").to_pylist())
+                for m in marks if m["hot"] is False]
+            hot = [(i, m["start"], m["windows"]) for i, marks in enumerate(batch.column("marks").to_pylist())
+                   for m in marks if m["hot"]]
+            key, text, start, windows = np.array(cells, np.int64).reshape(-1, 4).T
+            later = np.zeros(len(key), bool)
+            if hot:
+                of = np.concatenate([np.full(w, i) for i, _, w in hot])
+                begin = np.concatenate([np.arange(s, s + w) for _, s, w in hot])
+                at = begin + borders[of]
+                behind = np.zeros(len(at), bool)
+                index, group = radix_groups(_padded(data), at)
+                behind[index] = _behind(group, named[of[index]], doc[of[index]], begin[index])
+                view, digest = memoryview(data), xxhash.xxh3_64_intdigest
+                own = np.array([digest(view[x : x + WINDOW]) for x in at.tolist()], np.uint64).view(np.int64)
+                key, text, start = np.concatenate([key, own]), np.concatenate([text, of]), np.concatenate([start, begin])
+                windows, later = np.concatenate([windows, np.ones(len(at), np.int64)]), np.concatenate([later, behind])
+            begin, size = start + borders[text], np.where(later, 0, windows + WINDOW - 1)
+            text_bytes = data.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[text]), pa.array(doc[text], mask=~named[text]), pa.array(start.astype(np.int32)),
-                 pa.array(later), pa.array(key[:, 0]), pa.array(key[:, 1])],
-                ["row", "doc_id", "start", "later", "high", "low"])
+                [pa.array(key), pa.array(rows[text]), pa.array(doc[text], mask=~named[text]), pa.array(start.astype(np.int32)),
+                 pa.array(windows.astype(np.int32)), pa.array(later),
+                 pa.array([text_bytes[x : x + z] for x, z in zip(begin.tolist(), size.tolist())], pa.binary())],
+                ["key", "row", "doc_id", "start", "windows", "later", "bytes"])
+
+    return texts.mapInArrow(send, "key long, row long, doc_id long, start int, windows int, later boolean, bytes binary")
+
+
+def _repeated_windows(runs_of_key: DataFrame) -> DataFrame:
+    """(row, start, windows): stretches of repeated windows. Runs of a key lie side by side, and some thousands of
+    runs, whole keys, are put in order at once."""
+
+    def compare(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table_ = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        rows, first, windows = (table_.column(c).to_numpy() for c in ("row", "start", "windows"))
+        named, doc = _ids(table_.column("doc_id"))
+        known = table_.column("later").to_numpy(zero_copy_only=False)
+        data, borders = _texts(table_.column("bytes").cast(pa.large_binary()))
+        of = np.repeat(np.arange(len(rows)), windows)
+        step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        later, start = known[of], first[of] + step
+        ask = np.flatnonzero(~later)
+        index, group = radix_groups(_padded(data), (borders[of] + step)[ask])
+        index = ask[index]
+        later[index] = _behind(group, named[of[index]], doc[of[index]], start[index])
+        found = np.flatnonzero(later)
+        new = np.ones(len(found), bool)
+        new[1:] = (np.diff(found) > 1) | (of[found[1:]] != of[found[:-1]])
+        begin = np.flatnonzero(new)
+        count = np.diff(np.append(begin, len(found)))
+        at = found[begin]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows[of[at]]), pa.array(start[at].astype(np.int32)), pa.array(count.astype(np.int32))],
+            ["row", "start", "windows"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column("key").to_numpy()
+            if sum(b.num_rows for b in held) + len(keys) > RUNS_AT_ONCE:
+                new = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+                if held and held[-1].column("key")[-1].as_py() != keys[0]:
+                    new = np.append(0, new)
+                if len(new):  # the last key of the batch may go on
+                    held.append(batch.slice(0, int(new[-1])))
+                    yield compare(held)
+                    held, batch = [], batch.slice(int(new[-1]))
+            held.append(batch)
+        if held:
+            yield compare(held)
 
-    return texts.mapInArrow(order, "row long, doc_id long, start int, later boolean, high long, low long")
+    parts = int(runs_of_key.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return runs_of_key.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "row long, start int, windows int")
 
 
 def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -388,9 +449,9 @@ def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame
     found = materialise(_candidates(texts, name, log))
     marks = materialise(_marks(found))
     touched = found.where(F.size("parts") > 0).drop("parts")
-    open_texts = touched.join(marks.where(F.exists("marks", lambda m: ~m["later"])), "row")
-    windows = _after_first(_windows(open_texts), ["high", "low"], "row long, start int, later boolean")
-    more = materialise(windows.where("later").groupBy("row").agg(F.collect_list("start").alias("more")))
+    open_texts = touched.join(marks.where(F.exists("marks", lambda m: m["digit"].isNotNull())), "row")
+    more = materialise(
+        _repeated_windows(_open_runs(open_texts)).groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("more")))
     spans = touched.join(marks, "row", "left").join(more, "row", "left").drop("row").mapInArrow(
         _merged, "doc_id long, text string, spans array<struct<start:int,end:int>>")
     none = F.array().cast("array<struct<start:int,end:int>>").alias("spans")
@@ -401,8 +462,8 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans = []
         for marks, more in zip(batch.column("marks").to_pylist(), batch.column("more").to_pylist()):
-            pairs = sorted([(m["start"], m["start"] + m["windows"] + WINDOW - 1) for m in marks or () if m["later"]]
-                           + [(s, s + WINDOW) for s in more or ()])
+            repeated = [m for m in marks or () if m["digit"] is None] + (more or [])
+            pairs = sorted((m["start"], m["start"] + m["windows"] + WINDOW - 1) for m in repeated)
             joined: list[list[int]] = []
             for start, end in pairs:
                 if joined and start <= joined[-1][1]:
