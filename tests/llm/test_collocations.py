@@ -86,6 +86,6 @@ def test_empty_table(spark):
 def test_slots_hold_the_frequent(spark, rows):
     docs = spark.createDataFrame([x for x in rows if x[0] and x[1]], "lang string, text string")
     frequent, log = frequent_slots(docs, shards=2)
-    assert log == 10 and all(0 < np.unpackbits(bits).sum() < 1024 for bits in frequent)
+    assert log == 13 and all(0 < np.unpackbits(bits).sum() < 1024 for bits in frequent)
     with pytest.raises(ValueError):
         frequent_slots(docs, shards=11)

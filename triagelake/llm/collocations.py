@@ -22,6 +22,7 @@ to the phrase in byte order. An empty table gives no rows; of further columns no
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ PART = 1 << 18
 WORDS = 1 << 18
 HELD = 1 << 20
 NEVER = 255
+#: Further bits of a slot for the last count, whose table has a bit a slot instead of a byte.
+FINER = 3
 #: The lowest bits of a counted phrase hold the step after which it became active.
 SINCE = np.uint64(31)
 #: ASCII capitals to small letters; the borders of pieces to a byte that UTF-8 does not have.
@@ -231,7 +234,7 @@ def frequent_slots(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SH
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    log = max(10, min(max_slots.bit_length() - 1, (size // 128).bit_length())) if max_slots > 1 << 10 else max_slots.bit_length() - 1
+    log = max(10, min(max_slots.bit_length() - 1, (size // 64).bit_length())) if max_slots > 1 << 10 else max_slots.bit_length() - 1
     buckets_log = max(0, min(log - 3, (parts - 1).bit_length()))
     per_bucket = 1 << (log - buckets_log)
     path = scratch_path(spark, "shards")
@@ -258,7 +261,33 @@ def frequent_slots(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SH
         grown.append(grew)
         # No slot became active within the last cycle: every phrase has met all shards.
         if step >= shards and not any(grown[-shards:]):
-            return reached, log
+            return _finer(counts, threshold, log + FINER), log + FINER
+
+
+def _finer(counts: DataFrame, threshold: int, log: int) -> list[np.ndarray]:
+    """The slots of the frequent phrases, of 2 ** ``log``, a bit each and an array a length."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, keys, n in zip(*(c.to_pylist() for c in batch.columns)):
+                keys = np.frombuffer(keys, np.uint64)
+                keys = keys[_large(n, len(keys)) >= threshold] if len(keys) else keys
+                slots = np.unique((keys >> np.uint64(64 - log)).astype(np.int64))
+                for block in np.unique(slots >> 10).tolist():
+                    flags = np.zeros(1 << 10, bool)
+                    flags[slots[np.searchsorted(slots, block << 10) : np.searchsorted(slots, (block + 1) << 10)] & 1023] = True
+                    yield k, block, np.packbits(flags, bitorder="little").tobytes()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in iter(lambda it=run(batches): list(islice(it, 4096)), []):
+            k, block, flags = zip(*group)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k, pa.int32()), pa.array(block, pa.int64()), pa.array(flags, pa.binary())], ["k", "block", "flags"])
+
+    out = [np.zeros(1 << (log - 3), np.uint8) for _ in range(LONGEST)]
+    for row in counts.select("k", "phrases", "n").mapInArrow(packed, "k int, block long, flags binary").collect():
+        at = row["block"] << 7
+        out[row["k"] - 1][at : at + 128] |= np.frombuffer(row["flags"], np.uint8)
+    return out
 
 
 def count_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> DataFrame:
@@ -301,7 +330,7 @@ def count_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> Data
                     if key not in named:
                         named[key] = langs[lang[i]], k, b" ".join(tokens[i : i + k])
                 held.append((keys, np.diff(np.append(new, len(at)))))
-            if len(named) > WORDS:
+            if len(named) > 2 * WORDS:
                 yield emitted()
         if held:
             yield emitted()
