@@ -266,15 +266,18 @@ def frequent_slots(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SH
 
 def _finer(counts: DataFrame, threshold: int, log: int) -> list[np.ndarray]:
     """The slots of the frequent phrases, of 2 ** ``log``, a bit each and an array a length."""
+    low = min(10, log)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, keys, n in zip(*(c.to_pylist() for c in batch.columns)):
                 keys = np.frombuffer(keys, np.uint64)
                 keys = keys[_large(n, len(keys)) >= threshold] if len(keys) else keys
                 slots = np.unique((keys >> np.uint64(64 - log)).astype(np.int64))
-                for block in np.unique(slots >> 10).tolist():
-                    flags = np.zeros(1 << 10, bool)
-                    flags[slots[np.searchsorted(slots, block << 10) : np.searchsorted(slots, (block + 1) << 10)] & 1023] = True
+                for block in np.unique(slots >> low).tolist():
+                    flags = np.zeros(1 << low, bool)
+                    a, b = np.searchsorted(slots, [block << low, (block + 1) << low])
+                    flags[slots[a:b] & (1 << low) - 1] = True
                     yield k, block, np.packbits(flags, bitorder="little").tobytes()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,8 +288,9 @@ def _finer(counts: DataFrame, threshold: int, log: int) -> list[np.ndarray]:
 
     out = [np.zeros(1 << (log - 3), np.uint8) for _ in range(LONGEST)]
     for row in counts.select("k", "phrases", "n").mapInArrow(packed, "k int, block long, flags binary").collect():
-        at = row["block"] << 7
-        out[row["k"] - 1][at : at + 128] |= np.frombuffer(row["flags"], np.uint8)
+        flags = np.frombuffer(row["flags"], np.uint8)
+        at = row["block"] * len(flags)
+        out[row["k"] - 1][at : at + len(flags)] |= flags
     return out
 
 
