@@ -4,8 +4,7 @@ from tests.test_sources import land, node, page
 from triagelake.operators.ingest import normalise
 from triagelake.operators.scoring import classification_rows, keyword_score, usage_rows
 from triagelake.schemas import CLASSIFICATION, ISSUE
-from triagelake.sources.tables import read_ledger
-from triagelake.streaming.streams import STORED, current_state, ingest_stream, score_stream
+from triagelake.streaming.streams import current_state, ingest_stream, record_table, score_stream, score_table
 
 TERMS = {"bug": ["crash"], "docs": ["typo"]}
 
@@ -14,7 +13,7 @@ def run_ingest(spark, tmp_path, checkpoint="c", **caps):
     ingest_stream(
         spark, str(tmp_path / "in"), str(tmp_path / "raw"), str(tmp_path / checkpoint), **caps
     ).awaitTermination()
-    return read_ledger(spark, str(tmp_path / "raw"), STORED)
+    return record_table(spark, str(tmp_path / "raw")).read()
 
 
 def test_ingest_stream_is_restartable(spark, tmp_path, rows):
@@ -76,7 +75,7 @@ def test_score_stream(spark, tmp_path, rows):
             spark.readStream.schema(ISSUE).parquet(source), classify, scored,
             str(tmp_path / "c"), "v2",
         ).awaitTermination()
-        return read_ledger(spark, scored, CLASSIFICATION)
+        return score_table(spark, scored).read()
 
     def put(*items):
         data = [(i, "r", i, "t", body, "open", "c", u, None, []) for i, body, u in items]

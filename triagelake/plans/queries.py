@@ -39,6 +39,7 @@ from triagelake.schemas import (
 )
 from triagelake.session import scratch_path
 from triagelake.sources import pages, sheets, tables
+from triagelake.sources.buckets import BucketedTable
 from triagelake.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,7 +122,7 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     streams.ingest_stream(
         spark, m.land_pages(spark, sf), table, scratch_path(spark, "offsets"), multi_line=False
     ).awaitTermination()
-    stored = tables.read_ledger(spark, table, streams.STORED).drop("run_id")
+    stored = streams.record_table(spark, table).read().drop("run_id")
     return stored.withColumn("labels", F.array_join("labels.name", "|"))
 
 
@@ -136,7 +137,7 @@ def score_stream(spark: SparkSession, sf: str) -> DataFrame:
         spark.readStream.schema(ISSUE).parquet(source), classify, scored,
         scratch_path(spark, "offsets"), V,
     ).awaitTermination()
-    state = streams.current_state(tables.read_ledger(spark, scored, CLASSIFICATION))
+    state = streams.current_state(streams.score_table(spark, scored).read())
     return state.drop("classified_at")
 
 
@@ -194,16 +195,16 @@ def stored_evolution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def usage_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    ledger = scratch_path(spark, "usage")
+    ledger = BucketedTable(spark, scratch_path(spark, "usage"), USAGE, ["issue_id"])
     rows = usage_rows(m.classifications(spark, sf))
-    for run in ("run-1", "run-1"):  # the repeated run replaces its own rows
-        tables.append_ledger(rows, ledger, run)
-    return tables.read_ledger(spark, ledger, USAGE).drop("run_id", "classified_at")
+    for run in ("run-1", "run-1"):  # the repeated run adds nothing
+        ledger.append(rows, run)
+    return ledger.read().drop("run_id", "classified_at")
 
 
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
-    state = scratch_path(spark, "state")
-    tables.write_snapshot(m.classifications(spark, sf), state)
+    state = BucketedTable(spark, scratch_path(spark, "state"), CLASSIFICATION, ["issue_id"])
+    state.append(m.classifications(spark, sf), "before")
     scored = keyword_score(
         m.issues(spark, sf).where(F.col("state") == "open"), m.TERMS["v3"]
     ).select(
@@ -217,9 +218,8 @@ def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(0.0).alias("estimated_cost_usd"),
         m.now().alias("classified_at"),
     )
-    current = tables.read_snapshot(spark, state, CLASSIFICATION)
-    tables.write_snapshot(tables.upsert_latest(current, scored), state)
-    return tables.read_snapshot(spark, state, CLASSIFICATION).select(
+    state.upsert(scored, "classified_at", "v3")
+    return state.read().select(
         "issue_id", "issue_type", "confidence", "issue_updated_at", "classifier_version"
     )
 

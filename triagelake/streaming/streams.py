@@ -1,8 +1,9 @@
 """Ingest and scoring as restartable streams.
 
 The tables, not the state store, remember what is done: a batch keeps only records its table
-lacks, and writes them under its own name, so a repeated batch replaces itself. State
-therefore does not grow with the number of records, and no watermark is needed.
+lacks, and a batch that was committed is not written again. State therefore does not grow with the number
+of records, and no watermark is needed. The tables lie in buckets of their key (``sources.buckets``): a batch
+reads one manifest and the files of the buckets of its keys.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 from triagelake.operators.incremental import pending
 from triagelake.operators.ingest import ingest, latest_per_key, new_records, records
 from triagelake.schemas import CLASSIFICATION, RAW
-from triagelake.session import materialise, only_keys
+from triagelake.session import materialise
 from triagelake.sources.pages import stream_pages
-from triagelake.sources.tables import append_ledger, has_run, read_ledger
+from triagelake.sources.buckets import BucketedTable
 
 STORED = T.StructType([T.StructField("repo", T.StringType()), *RAW.fields])
 
@@ -31,6 +32,16 @@ def _run_id(batch: DataFrame, batch_id: int) -> str:
     return f"{query}-{batch_id}"
 
 
+def record_table(spark: SparkSession, path: str) -> BucketedTable:
+    """The table an ingest stream writes."""
+    return BucketedTable(spark, path, STORED, ["repo", "id"])
+
+
+def score_table(spark: SparkSession, path: str) -> BucketedTable:
+    """The table a scoring stream writes: its ledger."""
+    return BucketedTable(spark, path, CLASSIFICATION, ["issue_id"])
+
+
 def ingest_stream(
     spark: SparkSession,
     landing: str,
@@ -46,17 +57,18 @@ def ingest_stream(
     under the caps."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        run_id = _run_id(batch, batch_id)
-        stored = read_ledger(batch.sparkSession, table, STORED).where(F.col("run_id") != run_id)
+        run_id, stored = _run_id(batch, batch_id), record_table(batch.sparkSession, table)
+        if stored.has_run(run_id):
+            return
         batch = materialise(batch)  # the pages are parsed once
         keys = materialise(batch.select("repo", "id").distinct())
-        known = only_keys(stored.select("repo", "id"), keys)
+        known = materialise(stored.read_for(keys).select("repo", "id"))
         if not repo_caps and total_cap is None:
             fresh = new_records(batch, known)
         else:  # stored records have no copies, so rows are ids
-            counts = stored.groupBy("repo").agg(F.count("*").alias("n"))
+            counts = stored.read().groupBy("repo").agg(F.count("*").alias("n"))
             fresh = ingest(batch, known, repo_caps, total_cap, counts)
-        append_ledger(fresh, table, run_id)
+        stored.append(fresh, run_id, stream=True)
 
     return (
         records(stream_pages(spark, landing, multi_line, max_files))
@@ -84,13 +96,12 @@ def score_stream(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = _run_id(batch, batch_id)
-        if has_run(batch.sparkSession, scored, run_id):
+        run_id, table = _run_id(batch, batch_id), score_table(batch.sparkSession, scored)
+        if table.has_run(run_id):
             return
-        earlier = read_ledger(batch.sparkSession, scored, CLASSIFICATION)
         newest = materialise(latest_per_key(batch, ["id"]))
-        known = only_keys(earlier, newest.select(F.col("id").alias("issue_id")))
-        append_ledger(classify(pending(newest, current_state(known), version)), scored, run_id)
+        known = table.read_for(newest.select(F.col("id").alias("issue_id")))
+        table.append(classify(pending(newest, current_state(known), version)), run_id, stream=True)
 
     return (
         issues.writeStream.foreachBatch(run)
