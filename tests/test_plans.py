@@ -34,15 +34,24 @@ def test_deciding_what_is_pending_reads_texts_once(spark, sf_dir):
 
 
 def test_groups_are_limited_before_the_shuffle(spark, sf_dir):
-    rows, issues = model.eval_set(spark, sf_dir), model.issues(spark, sf_dir)
-    for choice in (
-        sampling.balanced_keys(rows, classes=model.LANGUAGES),
-        sampling.review_choice(rows, issues, model.predictions(spark, sf_dir), classes=model.LANGUAGES),
-        q.top_labels(spark, sf_dir),
-    ):
-        text = plan(choice)
-        assert re.search(r"WindowGroupLimit .*_lane.*Partial", text)
-        assert re.search(r"WindowGroupLimit .*Final", text)
+    text = plan(q.top_labels(spark, sf_dir))
+    assert re.search(r"WindowGroupLimit .*_lane.*Partial", text)
+    assert re.search(r"WindowGroupLimit .*Final", text)
+
+
+@pytest.mark.parametrize("n", [3, 2000])
+def test_a_sample_shuffles_counts_and_no_keys(spark, sf_dir, n):
+    rows = model.order_issues(spark, sf_dir).select(
+        F.col("id").alias("issue_id"), "repo", F.col("state").alias("human_type"))
+    keys = sampling.balanced_keys(rows, n=n, classes=["open", "closed"])
+    text = plan(keys)
+    assert "Exchange hashpartitioning" not in text and "Window" not in text and "BroadcastHashJoin" in text
+    assert keys.count() == 2 * n
+
+
+def test_titles_are_fetched_for_the_first_rows_only(spark, sf_dir):
+    text = plan(q.lowest_examples(spark, sf_dir))
+    assert "Exchange hashpartitioning" not in text
 
 
 @pytest.mark.parametrize("name", ["mismatches", "lowest_examples", "pending_first"])

@@ -21,23 +21,17 @@ def order(key, seed=42):
     return hashlib.md5(f"{seed}:{key}".encode()).hexdigest()
 
 
-@pytest.mark.parametrize("n", [1, 10, 120, 5000])
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 31, 120, 5000])
 def test_balanced_sample_takes_turns(spark, rows, n):
     data = records()
     sample = balanced_sample(spark.createDataFrame(data, SCHEMA), n=n)
-    want = []
-    for kind in ["bug", "feature", "docs", "question"]:
-        queues = defaultdict(list)
-        for r in sorted(data, key=lambda r: order(r[1])):
-            if r[4] == kind:
-                queues[r[0]].append(r[1])
-        names = sorted(queues, key=lambda x: (x is None, x))
-        taken = []
-        while len(taken) < n and any(queues.values()):
-            for name in names:
-                if queues[name] and len(taken) < n:
-                    taken.append(queues[name].pop(0))
-        want += taken
+    want, turn = [], Counter()
+    placed = []
+    for repo, key, _, _, kind in sorted(data, key=lambda r: order(r[1])):
+        placed.append((kind, turn[kind, repo], repo is None, repo or "", key))  # its turn within the group
+        turn[kind, repo] += 1
+    for kind in ("bug", "feature", "docs", "question"):
+        want += [key for *_, key in sorted(p for p in placed if p[0] == kind)][:n]
     assert [r[0] for r in rows(sample, "issue_id")] == sorted(want)
 
 

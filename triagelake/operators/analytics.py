@@ -13,6 +13,7 @@ from triagelake.functions.fixed import (
     TOTAL_CAP,
 )
 from triagelake.operators.quality import coverage
+from triagelake.session import materialise, only_keys
 
 
 def counts_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -60,15 +61,24 @@ def lowest_examples(
     issues: DataFrame, classifications: DataFrame, version: str,
     threshold: float = LOW_CONFIDENCE, k: int = LOWEST_EXAMPLES,
 ) -> DataFrame:
-    """The ``k`` least confident classifications with their records."""
-    unsure = of_version(classifications, version).where(F.col("confidence") < threshold)
-    return (
-        unsure.select("issue_id", "issue_type", "confidence")
-        .join(issues.select(F.col("id").alias("issue_id"), "number", "title"), "issue_id")
-        .orderBy(F.col("confidence").asc_nulls_last(), "issue_id", "issue_type", "number")
-        .limit(k)
-        .select("number", "title", "issue_type", "confidence")
-    )
+    """The ``k`` least confident classifications with their records.
+
+    The k first ones are found on the narrow classifications, ``k`` a task, without a shuffle of rows. Titles are
+    then fetched for their ids only. Where some of them have no record, more are taken, eight times as
+    many each time, until k are found or none is left.
+    """
+    order = [F.col("confidence").asc_nulls_last(), "issue_id", "issue_type"]
+    unsure = of_version(classifications, version).where(F.col("confidence") < threshold).select(
+        "issue_id", "issue_type", "confidence")
+    titles, take = issues.select(F.col("id").alias("issue_id"), "number", "title"), k
+    while True:
+        first = materialise(unsure.orderBy(*order).limit(take))
+        found = materialise(only_keys(titles, first.select("issue_id").distinct()))
+        known = first.join(found, "issue_id")
+        if known.limit(k).count() >= k or first.count() < take:
+            break
+        take *= 8
+    return known.orderBy(*order, "number").limit(k).select("number", "title", "issue_type", "confidence")
 
 
 def run_summary(

@@ -9,8 +9,9 @@ from pyspark.sql.window import Window
 
 from triagelake.functions.columns import ratio
 from triagelake.functions.fixed import CLASSES, ERRORS_SHOWN, WEAK_CLASSES
+from triagelake.operators.joins import HEAVY, balanced_join
 from triagelake.operators.labels import exact_label_class
-from triagelake.session import literal_table
+from triagelake.session import literal_table, materialise, only_keys
 
 _GRID = T.StructType(
     [T.StructField("actual", T.StringType()), T.StructField("predicted", T.StringType())]
@@ -67,35 +68,51 @@ def agreement(
     )
 
 
+def _first_errors(
+    reference: DataFrame, predictions: DataFrame, actual: str, predicted: str, details: list[str],
+    k: int | None, heavy: int,
+) -> DataFrame:
+    """Wrong predictions with ``details`` of the record, most confident first.
+
+    They are found, and the first ``k`` taken, on ids and classes; an id with very many predictions is dealt over
+    several tasks. The details are fetched for what is left.
+    """
+    classes = reference.select("issue_id", actual).distinct()
+    wrong = balanced_join(
+        predictions.select("issue_id", predicted, "confidence"), classes, "issue_id",
+        F.col(actual) != F.col(predicted), heavy)
+    order = [F.col("confidence").desc_nulls_last(), F.col("issue_id")]
+    whole = reference.select("issue_id", actual, *details)
+    if k is None:
+        more = [c for c in whole.columns if c not in ("issue_id", actual)]
+        records = whole.select("issue_id", F.struct(actual, *more).alias("_record"))
+        same = F.col(f"_record.{actual}").eqNullSafe(F.col(actual))
+        return balanced_join(wrong, records, "issue_id", same, heavy).select(
+            "issue_id", actual, predicted, "confidence", *[F.col(f"_record.{c}").alias(c) for c in more]
+        ).orderBy(*order)
+    first = materialise(wrong.orderBy(*order).limit(k))
+    records = only_keys(whole, materialise(first.select("issue_id", actual).distinct()))
+    return first.join(records, ["issue_id", actual]).orderBy(*order).limit(k)
+
+
 def agreement_mismatches(
     issues: DataFrame, classifications: DataFrame, classes: list[str] = WEAK_CLASSES,
-    k: int | None = None, version: str | None = None,
+    k: int | None = None, version: str | None = None, heavy: int = HEAVY,
 ) -> DataFrame:
     """Records whose classification differs from their label, most confident first."""
-    c = _of_version(classifications, version).select("issue_id", "issue_type", "confidence")
-    found = (
-        exact_labels(issues, classes)
-        .join(c, F.col("id") == F.col("issue_id"))
-        .where(F.col("human_type") != F.col("issue_type"))
-        .orderBy(F.col("confidence").desc_nulls_last(), "id")
-    )
-    found = found if k is None else found.limit(k)
-    return found.select("number", "title", "human_type", "issue_type", "confidence")
+    labelled = exact_labels(issues, classes).withColumnRenamed("id", "issue_id")
+    c = _of_version(classifications, version)
+    return _first_errors(labelled, c, "human_type", "issue_type", ["number", "title"], k, heavy).select(
+        "number", "title", "human_type", "issue_type", "confidence")
 
 
 def error_listing(
     reference: DataFrame, predictions: DataFrame, actual: str = "human_type",
-    k: int | None = ERRORS_SHOWN,
+    k: int | None = ERRORS_SHOWN, heavy: int = HEAVY,
 ) -> DataFrame:
     """Wrong predictions with the record's repository and title, most confident first."""
-    errors = (
-        reference.select("issue_id", actual, "repo", "title")
-        .join(predictions.select("issue_id", "predicted_type", "confidence"), "issue_id")
-        .where(F.col(actual) != F.col("predicted_type"))
-        .orderBy(F.col("confidence").desc_nulls_last(), "issue_id")
-    )
-    errors = errors if k is None else errors.limit(k)
-    return errors.select(actual, "predicted_type", "confidence", "repo", "title")
+    return _first_errors(reference, predictions, actual, "predicted_type", ["repo", "title"], k, heavy).select(
+        actual, "predicted_type", "confidence", "repo", "title")
 
 
 def label_pairs(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from triagelake.functions.columns import any_of, ratio
 from triagelake.functions.fixed import CLASSES, REQUIRED_FIELDS, STATES
+from triagelake.operators.joins import HEAVY, balanced_join
 
 # Names of the checks, in report order.
 DUPLICATE_ISSUES = "Duplicate issue IDs"
@@ -88,15 +89,15 @@ def orphans(classifications: DataFrame, issues: DataFrame) -> DataFrame:
     return classifications.join(ids, "issue_id", "left_anti")
 
 
-def stale(classifications: DataFrame, issues: DataFrame, version: str) -> DataFrame:
-    """Classifications of ``version`` older than the record's last edit."""
-    c = classifications.where(F.col("classifier_version") == version).alias("c")
-    i = issues.select("id", "updated_at").alias("i")
-    return (
-        c.join(i, F.col("c.issue_id") == F.col("i.id"))
-        .where(~F.col("c.issue_updated_at").eqNullSafe(F.col("i.updated_at")))
-        .select("c.*", "i.updated_at")
-    )
+def stale(
+    classifications: DataFrame, issues: DataFrame, version: str, heavy: int = HEAVY
+) -> DataFrame:
+    """Classifications of ``version`` older than the record's last edit. An id with very many of them is
+    dealt over several tasks."""
+    c = classifications.where(F.col("classifier_version") == version)
+    i = issues.select(F.col("id").alias("issue_id"), "updated_at")
+    outdated = ~F.col("issue_updated_at").eqNullSafe(F.col("updated_at"))
+    return balanced_join(c, i, "issue_id", outdated, heavy).select(*c.columns, "updated_at")
 
 
 def key_violations(issues: DataFrame, classifications: DataFrame, version: str) -> DataFrame:
