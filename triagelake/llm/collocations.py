@@ -21,7 +21,9 @@ to the phrase in byte order. An empty table gives no rows; of further columns no
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -119,6 +121,18 @@ def _hashes(tokens: list[bytes], lang: np.ndarray, langs: list[str], numbers: _N
     return out
 
 
+def _share(spark, cells: np.ndarray) -> str:
+    """Send a table of slots to all executors; few of its cells differ from the rest, so it packs well."""
+    return share_file(spark, zlib.compress(cells.tobytes(), 1), "slots")
+
+
+@lru_cache(maxsize=LONGEST)
+def _shared(name: str) -> np.ndarray:
+    """A table of slots, unpacked once for each Python worker."""
+    with open(SparkFiles.get(name), "rb") as file:
+        return np.frombuffer(zlib.decompress(file.read()), np.uint8)
+
+
 class Active:
     """The step after which a phrase's slot became active, by length."""
 
@@ -163,7 +177,7 @@ def _scan(shard: DataFrame, step: int, shards: int, log: int, buckets_log: int,
     highest bits of a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        active = Active(log, [np.memmap(SparkFiles.get(x), np.uint8, "r") for x in names])
+        active = Active(log, [_shared(x) for x in names])
         numbers = _Numbers()
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
@@ -242,9 +256,9 @@ def frequent_slots(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SH
         "shard").parquet(path)
     dealt = spark.read.schema("lang string, text string, shard int").parquet(path)
     active, counts, grown, step = Active(log), None, [], 0
+    names = [_share(spark, a) for a in active.arrays]
     while True:
         step += 1
-        names = [share_file(spark, a.tobytes(), "active") for a in active.arrays]
         shard = dealt.where(F.col("shard") == (step - 1) % shards).select("lang", "text")
         found = _scan(shard, step, shards, log, buckets_log, names)
         found = found if counts is None else counts.select(*found.columns).unionByName(found)
@@ -254,10 +268,12 @@ def frequent_slots(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SH
             at = row["bucket"] * per_bucket // 8
             reached[row["k"] - 1][at : at + per_bucket // 8] = np.frombuffer(row["flags"], np.uint8)
         grew = False
-        for array, bits in zip(active.arrays, reached):
+        for i, (array, bits) in enumerate(zip(active.arrays, reached)):
             fresh = np.unpackbits(bits, bitorder="little").astype(bool) & (array == NEVER)
-            array[fresh] = step
-            grew |= bool(fresh.any())
+            if fresh.any():
+                array[fresh] = step
+                names[i] = _share(spark, array)
+                grew = True
         grown.append(grew)
         # No slot became active within the last cycle: every phrase has met all shards.
         if step >= shards and not any(grown[-shards:]):
@@ -297,10 +313,10 @@ def _finer(counts: DataFrame, threshold: int, log: int) -> list[np.ndarray]:
 def count_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> DataFrame:
     """(lang, k, phrase, n): the phrases in ``frequent`` slots with their words, and for k = 0 all words of a language."""
     spark = docs.sparkSession
-    names = [share_file(spark, bits.tobytes(), "frequent") for bits in frequent]
+    names = [_share(spark, bits) for bits in frequent]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [np.memmap(SparkFiles.get(x), np.uint8, "r") for x in names]
+        maps = [_shared(x) for x in names]
         numbers = _Numbers()
         words: dict[str, int] = {}
         named: dict[int, tuple[str, int, bytes]] = {}
