@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from triagelake.functions.fixed import (
@@ -59,9 +60,12 @@ def balanced_keys(
 ) -> DataFrame:
     """The keys of a balanced sample; see ``balanced_sample``."""
     group = ["_none", "_group"]  # a NULL group comes last
+    kind = rows.schema[group_col].dataType
+    day = isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    other = F.lit("" if isinstance(kind, T.StringType) else "1970-01-01" if day else 0).cast(kind)
     narrow = rows.where(F.col(class_col).isin(classes)).select(
         F.col(class_col), F.col(group_col).isNull().alias("_none"),
-        F.coalesce(F.col(group_col).cast("string"), F.lit("")).alias("_group"),
+        F.coalesce(F.col(group_col), other).alias("_group"),
         F.col(key), order_hash(key, seed).alias("_hash"),
     )
     sizes = materialise(narrow.groupBy(class_col, *group).agg(F.count("*").alias("size")))
