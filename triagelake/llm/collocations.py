@@ -24,7 +24,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +45,7 @@ MAX_SLOTS = 1 << 26
 PART = 1 << 18
 #: Words whose hashes a task keeps, and phrases it adds up before it sends them.
 WORDS = 1 << 18
-HELD = 1 << 20
+HELD = 1 << 19
 NEVER = 255
 #: Further bits of a slot for the last count, whose table has a bit a slot instead of a byte.
 FINER = 3
@@ -248,7 +247,7 @@ def frequent_slots(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SH
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    log = max(10, min(max_slots.bit_length() - 1, (size // 64).bit_length())) if max_slots > 1 << 10 else max_slots.bit_length() - 1
+    log = max(10, min(max_slots.bit_length() - 1, (size // 128).bit_length())) if max_slots > 1 << 10 else max_slots.bit_length() - 1
     buckets_log = max(0, min(log - 3, (parts - 1).bit_length()))
     per_bucket = 1 << (log - buckets_log)
     path = scratch_path(spark, "shards")
@@ -277,36 +276,28 @@ def frequent_slots(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SH
         grown.append(grew)
         # No slot became active within the last cycle: every phrase has met all shards.
         if step >= shards and not any(grown[-shards:]):
-            return _finer(counts, threshold, log + FINER), log + FINER
+            return _finer(counts.coalesce(4), threshold, log + FINER, buckets_log), log + FINER
 
 
-def _finer(counts: DataFrame, threshold: int, log: int) -> list[np.ndarray]:
+def _finer(counts: DataFrame, threshold: int, log: int, buckets_log: int) -> list[np.ndarray]:
     """The slots of the frequent phrases, of 2 ** ``log``, a bit each and an array a length."""
-    low = min(10, log)
+    per_bucket = 1 << (log - buckets_log)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, keys, n in zip(*(c.to_pylist() for c in batch.columns)):
+            for k, bucket, keys, n in zip(*(c.to_pylist() for c in batch.columns)):
                 keys = np.frombuffer(keys, np.uint64)
                 keys = keys[_large(n, len(keys)) >= threshold] if len(keys) else keys
-                slots = np.unique((keys >> np.uint64(64 - log)).astype(np.int64))
-                for block in np.unique(slots >> low).tolist():
-                    flags = np.zeros(1 << low, bool)
-                    a, b = np.searchsorted(slots, [block << low, (block + 1) << low])
-                    flags[slots[a:b] & (1 << low) - 1] = True
-                    yield k, block, np.packbits(flags, bitorder="little").tobytes()
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in iter(lambda it=run(batches): list(islice(it, 4096)), []):
-            k, block, flags = zip(*group)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k, pa.int32()), pa.array(block, pa.int64()), pa.array(flags, pa.binary())], ["k", "block", "flags"])
+                flags = np.zeros(per_bucket, bool)
+                flags[((keys >> np.uint64(64 - log)) & np.uint64(per_bucket - 1)).astype(np.int64)] = True
+                packed = np.packbits(flags, bitorder="little").tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([bucket], pa.int32()), pa.array([packed], pa.binary())], ["k", "bucket", "flags"])
 
     out = [np.zeros(1 << (log - 3), np.uint8) for _ in range(LONGEST)]
-    for row in counts.select("k", "phrases", "n").mapInArrow(packed, "k int, block long, flags binary").collect():
-        flags = np.frombuffer(row["flags"], np.uint8)
-        at = row["block"] * len(flags)
-        out[row["k"] - 1][at : at + len(flags)] |= flags
+    for row in counts.select("k", "bucket", "phrases", "n").mapInArrow(run, "k int, bucket int, flags binary").toLocalIterator():
+        at = row["bucket"] * per_bucket // 8
+        out[row["k"] - 1][at : at + per_bucket // 8] = np.frombuffer(row["flags"], np.uint8)
     return out
 
 
@@ -350,7 +341,7 @@ def count_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> Data
                     if key not in named:
                         named[key] = langs[lang[i]], k, b" ".join(tokens[i : i + k])
                 held.append((keys, np.diff(np.append(new, len(at)))))
-            if len(named) > 2 * WORDS:
+            if len(named) > WORDS:
                 yield emitted()
         if held:
             yield emitted()
