@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -53,3 +58,40 @@ def test_query_and_empty(spark, sf_dir, tmp_path):
     empty = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     assert write_shards(empty, str(tmp_path / "none")) == Layout(0)
     assert read_records(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_records_out_of_place_are_noticed(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60)
+    path = tmp_path / "out"
+    layout = write_shards(docs, str(path), length=64, rows=32)
+    file, = (path / "shards" / "shard=1").glob("part-*")
+    data = file.read_bytes()
+    file.write_bytes(data[layout.stride : 2 * layout.stride] + data[: layout.stride] + data[2 * layout.stride :])
+    for check in (path / "shards" / "shard=1").glob(".*.crc"):
+        check.unlink()
+    with pytest.raises(Exception, match="out of place"):
+        read_records(spark, str(path)).collect()
+
+
+
+SPILLING = """
+import sys
+from pyspark.sql import SparkSession
+from triagelake.llm.shards import read_records, write_shards
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+    .config("spark.sql.warehouse.dir", sys.argv[2] + "/warehouse")
+    .config("spark.shuffle.spill.numElementsForceSpillThreshold", "50").getOrCreate())
+docs = spark.read.parquet(sys.argv[1] + "/documents.parquet").select("doc_id", "text")
+layout = write_shards(docs, sys.argv[2] + "/out", length=128, rows=1024)
+print("slots", layout.n, read_records(spark, sys.argv[2] + "/out").select("slot", "ids").distinct().count())
+"""
+
+
+def test_order_holds_when_sorts_spill(sf_dir, tmp_path):
+    """The setting that forces spills is fixed for a process, so this is one of its own."""
+    root = Path(__file__).resolve().parents[2]
+    out = subprocess.run(
+        [sys.executable, "-c", SPILLING, sf_dir, str(tmp_path)], capture_output=True, text=True, timeout=300,
+        cwd=root, env=os.environ | {"PYTHONPATH": str(root)})
+    assert "slots 7057 7057" in out.stdout, out.stderr[-2000:]

@@ -5,11 +5,11 @@
 2. Counts by task give every sequence a number from 0 to n - 1.
 3. A keyed Feistel permutation on the next even number of bits, walked along its cycle until the
    value is below n, takes the number to a global slot. It needs no table and can be inverted.
-4. Slots are dealt by range: shard k holds slots k * ``rows`` and up, in order, each as a record of
-   the same number of bytes. A slot's place is arithmetic, so a reader that stopped goes on
-   with one seek, and reads on sequentially.
+4. Slots are dealt by range, neighbouring shards to one task: shard k holds slots k * ``rows`` and up, in order, each as a
+   record of the same number of bytes. A slot's place is arithmetic, so a reader that stopped goes on
+   with one seek, and reads on sequentially. A reader checks that each record holds the slot of its place.
 
-A record: doc_id (8 bytes, the first id's document), start (8, the first id's place in it), number of
+A record: slot (8 bytes), doc_id (8, the first id's document), start (8, the first id's place in it), number of
 ids (4), the ids (2 bytes each up to 65,536 ids in the vocabulary), zeros to the stride, a line feed.
 Spark's text writer writes the records, so shards commit like any table and need no local file.
 
@@ -40,7 +40,7 @@ KEY = 20_240_229
 END = 49_407
 ROUNDS = 6
 NO_DOC = -(1 << 63)
-HEAD = 20
+HEAD = 28
 #: Rows sent to a Python worker at once while shards are written: a batch of long texts stands in memory
 #: several times, on both sides.
 BATCH = 64
@@ -94,11 +94,9 @@ def permute(numbers: np.ndarray, n: int, key: int = KEY, inverse: bool = False)
 def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, end: int = END, id_bytes: int = 2) -> DataFrame:
     """(task, number, record): the records of every task's stream, compressed one by one, for they are
     written and shuffled before they reach their shard."""
-    kind = np.dtype(f"<u{id_bytes}")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = encoder(vocabulary, end), TaskContext.get().partitionId()
-        size, pad = length * id_bytes, HEAD + length * id_bytes
+        encode, task = encoder(vocabulary, end, id_bytes), TaskContext.get().partitionId()
+        size, pad = length * id_bytes, HEAD - 8 + length * id_bytes  # the slot comes later
         pack = zstandard.ZstdCompressor(level=3).compress
         held, head, number = bytearray(), None, 0
 
@@ -119,7 +117,7 @@ def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULAR
                 records = []
                 for doc, text in zip(ids[at : at + BATCH], batch.column("text").slice(at, BATCH).to_pylist()):
                     doc = NO_DOC if doc is None else doc
-                    tokens, used = np.frombuffer(encode(text), "<u4").astype(kind).tobytes(), 0
+                    tokens, used = encode(text), 0
                     while used < len(tokens):
                         if not held:
                             head = doc, used // id_bytes
@@ -174,14 +172,20 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, rows: int = S
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                records = [unpack(r) for r in part.column("record").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("shard"), pa.array(records, pa.binary())], ["shard", "record"])
+                slot = part.column("slot").to_numpy().astype("<i8")
+                records = [s.tobytes() + unpack(r) for s, r in zip(slot, part.column("record").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("shard"), part.column("slot"), pa.array(records, pa.binary())], ["shard", "slot", "record"])
 
     numbered = written.join(by_task, "task").select((F.col("number") + F.col("before")).alias("number"), "record")
     placed = numbered.mapInArrow(slots, "shard long, slot long, record binary")
+    parts, all_shards = int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // rows) or 1
+    target = F.floor(F.col("shard") * parts / all_shards).cast("int")
+    # The sort stands directly below the writer, which needs the rows by shard: it adds none of its own.
     shards = (
-        placed.repartition("shard").sortWithinPartitions("shard", "slot")
-        .select("shard", "record").mapInArrow(unpacked, "shard long, record binary")  # row by row, in order
+        placed.repartitionById(parts, target)
+        .mapInArrow(unpacked, "shard long, slot long, record binary")
+        .sortWithinPartitions("shard", "slot")
         .select("shard", F.col("record").cast("string").alias("record"))
     )
     with small_batches(spark, ROWS * 4):
@@ -209,9 +213,11 @@ def read_records(spark: SparkSession, path: str, first_slot: int = 0) -> DataFra
                 data = content.as_buffer()
                 cells = np.frombuffer(data, np.uint8).reshape(-1, layout.stride)
                 head = cells[:, :HEAD].copy()
-                doc, start = head[:, :16].copy().view("<i8").T
-                size = head[:, 16:].copy().view("<u4").ravel().astype(np.int64) * layout.id_bytes
+                held, doc, start = head[:, :24].copy().view("<i8").T
+                size = head[:, 24:].copy().view("<u4").ravel().astype(np.int64) * layout.id_bytes
                 slot = shard * layout.rows + np.arange(len(cells))
+                if not np.array_equal(held, slot):
+                    raise ValueError(f"shard {shard} holds records out of place")
                 for at in range(0, len(cells), 1024):
                     part = slice(max(at, first_slot - shard * layout.rows), at + 1024)
                     ids = [cells[i, HEAD : HEAD + size[i]].tobytes() for i in range(len(cells))[part]]

@@ -15,7 +15,6 @@ from array import array
 from functools import cache
 from itertools import islice
 
-import numpy as np
 import regex
 from tokenizers import Tokenizer
 
@@ -36,11 +35,12 @@ BYTES |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not i
 
 
 class Encoder:
-    def __init__(self, vocabulary: str = VOCABULARY, end: int = 1):
+    def __init__(self, vocabulary: str = VOCABULARY, end: int = 1, id_bytes: int = 4):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer_file(vocabulary))
         self.model = self.tokenizer.model
-        self.end = np.array([end], "<u4").tobytes()
+        self.kind = {2: "H", 4: "I"}[id_bytes]
+        self.end = array(self.kind, [end]).tobytes()
         self.words: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
 
@@ -48,7 +48,7 @@ class Encoder:
         ids = self.pieces.get(piece)
         if ids is None:
             shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTES)
-            ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            ids = array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
             if len(piece) <= CACHED_LENGTH:
                 self.pieces[piece] = ids
         return ids
@@ -58,10 +58,10 @@ class Encoder:
             return self._piece(word.lower())
         if PLAIN.fullmatch(word) and "<|" not in word:
             return b"".join(map(self._piece, PIECES.findall(word.lower())))
-        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids of the text, then the end id."""
+        """Little-endian unsigned ids of the text, ``id_bytes`` each, then the end id."""
         words = (text or "").replace("\n", " ").split(" ")
         if len(self.words) > CACHED:
             self.words = dict(islice(self.words.items(), CACHED // 2))
@@ -79,6 +79,6 @@ class Encoder:
 
 
 @cache
-def encoder(vocabulary: str = VOCABULARY, end: int = 1) -> Encoder:
+def encoder(vocabulary: str = VOCABULARY, end: int = 1, id_bytes: int = 4) -> Encoder:
     """One encoder for each Python worker, kept from task to task."""
-    return Encoder(vocabulary, end)
+    return Encoder(vocabulary, end, id_bytes)
