@@ -78,7 +78,7 @@ def unscored(rows: DataFrame, done: DataFrame, version: str | None = None) -> Da
     """Rows whose issue_id has no prediction yet (of ``version``, if given)."""
     if version is not None:
         done = done.where(F.col("classifier_version") == version)
-    return rows.join(done.select("issue_id"), "issue_id", "left_anti")
+    return rows.join(done.select("issue_id").distinct(), "issue_id", "left_anti")
 
 
 def recorded_spend(usage: DataFrame, version: str) -> DataFrame:
