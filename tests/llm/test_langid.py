@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from triagelake.llm import langid
-from triagelake.llm.langid import count_grams, fit, grams, keep_known, kneser_ney, predict, training_rows
+from triagelake.llm.langid import count_grams, fit, grams, keep_known, learn, predict, training_rows
 
 
 def slow_line(text):
@@ -32,7 +32,11 @@ def slow_probability(counts, gram, chars):
     return p
 
 
-def test_grams_and_models_equal_their_definition():
+def counted(spark, rows):
+    return learn(count_grams(spark.createDataFrame(rows, "text string, lang string")))
+
+
+def test_grams_and_models_equal_their_definition(spark):
     texts = ["The cat, the CAT and 12 dogs!", "", None, " -- ", "été à la plage", "𐐨𐐩 x"]
     for t in texts:
         line = slow_line(t)
@@ -41,15 +45,48 @@ def test_grams_and_models_equal_their_definition():
         if t != "𐐨𐐩 x":
             assert ["".join(chr(int(k) >> s & 0xFFFF).replace("\x01", " ") for s in (48, 32, 16, 0)) for k in got] == want
         assert len(got) == len(want)
-    keys, n = np.unique(grams(texts[0])[0], return_counts=True)
-    models = kneser_ney(["en"], np.zeros(len(keys), int), keys, n)
-    line = slow_line(texts[0])
-    counts = Counter(line[i : i + 4] for i in range(len(line) - 3))
-    probe = slow_line("the cow ate qx")
-    some = grams("the cow ate qx")[0]
-    want = [slow_probability(counts, probe[i : i + 4], len(set(line))) for i in range(len(probe) - 3)]
-    assert np.allclose(models.probabilities(some)[:, 0], want, rtol=1e-5)
-    assert np.allclose(models.bits([some, some[:0]])[:, 0], [-np.log2(want).mean(), 0], rtol=1e-5)
+    learned = {"en": texts[0], "fr": "les chats et le chien, là où 他 豈豈豈豈 is"}  # keys above and below 2^63
+    models = counted(spark, [(t, lang) for lang, t in learned.items()])
+    assert models.langs == ["en", "fr"]
+    chars = len({c for t in learned.values() for c in slow_line(t)})
+    probes = ["the cow ate qx", "le chat 豈豈豈 他"]
+    for number, lang in enumerate(models.langs):
+        line = slow_line(learned[lang])
+        counts = Counter(line[i : i + 4] for i in range(len(line) - 3))
+        for text in probes:
+            probe = slow_line(text)
+            want = [slow_probability(counts, probe[i : i + 4], chars) for i in range(len(probe) - 3)]
+            keys, back = np.unique(grams(text)[0], return_inverse=True)
+            assert np.allclose(models.probabilities(keys)[back, number], want)
+            assert np.allclose(models.bits([grams(text)[0], keys[:0]])[:, number], [-np.log2(want).mean(), 0])
+
+
+def test_probabilities_add_up_and_no_rows_no_model(spark):
+    models = counted(spark, [("the cat sat on the mat", "en"), ("le chat est sur la table", "fr")])
+    chars = {1 if c == " " else ord(c) for c in "the cat sat on the mat le chat est sur la table"}
+    for gram in (*grams("the")[0], *grams("chat q")[0]):
+        context = int(gram) & ((1 << 48) - 1)
+        keys = np.array(sorted(context << 16 | c for c in {*chars, ord("z")}), np.uint64)  # z: any unknown one
+        assert np.allclose(models.probabilities(keys).sum(0), 1)
+    assert counted(spark, [("", "en"), ("12", "fr")]) is None
+
+
+def test_rare_languages_outlast_a_hot_one(spark):
+    """More 4-grams of one language than a model could once have: a rare one loses none of its own."""
+    rnd = np.random.default_rng(4)
+    hot = spark.createDataFrame([(i, "".join(map(chr, rnd.integers(0x4E00, 0x9000, 11_000))), "zz") for i in range(220)],
+                                "doc_id long, text string, lang string")
+    words = "και το να είναι με την που για από δεν στο μια αλλά σαν όταν ο η".split()
+    rare = [(1000 + i, " ".join(rnd.choice(words, 12)), "el") for i in range(12)]
+    docs = hot.union(spark.createDataFrame(rare, hot.schema))
+    models = learn(count_grams(docs))
+    texts = [r[1] for r in rare]
+    alone = counted(spark, [(t, "el") for t in texts])
+    keys = np.unique(np.concatenate([grams(t)[0] for t in texts]))
+    alone.floor = models.floor  # the characters of the other language are known too
+    assert np.allclose(models.probabilities(keys)[:, models.langs.index("el")], alone.probabilities(keys)[:, 0])
+    assert {r.lang_pred for r in predict(docs.where("lang = 'el'"), models).collect()} == {"el"}
+    assert count_grams(hot).count() > 2_000_000
 
 
 def test_counts(spark):

@@ -1,9 +1,14 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 For every language the character 4-grams of all labelled texts are counted; lower orders follow
-from them as continuation counts. The models share sorted arrays of 64-bit keys (four 16-bit
-characters), looked up by binary search. The predicted language has the lowest cross-entropy per
-character.
+from them as continuation counts. Counts, totals of contexts and discounts are Spark aggregates over all
+of the rows. The predicted language has the lowest cross-entropy per character.
+
+The models are sorted arrays of 64-bit keys (four 16-bit characters), one for the counts and one for the
+contexts of each order, in which a key has an entry for each language that knows it. Spark sorts them
+into Parquet files in the shared folder; an executor fetches these, turns them into plain arrays on
+its own disk once, and its workers map the arrays into memory and look keys up by binary search. No
+count is left out, and neither the driver nor a worker holds the models.
 
 Calibration uses labelled rows that were held back from the counts (1 of ``HELD_BACK`` by hash): the
 score is the probability of a right prediction given how far the second language lies behind (two
@@ -11,17 +16,19 @@ numbers, fitted on at most ``MAX_CALIBRATION`` of the rows), and a text is rejec
 cross-entropy is far above what texts of its language and length class reach, over all of the rows. A
 language of which no held-back row was recognised has no limit.
 
-The models are sent to every task. Their size is bounded by ``max_grams``: if the corpus has more
-distinct (language, 4-gram) rows, the most frequent ones are the model and the others are left to
-the lower orders.
-
 Texts are lower-cased; everything but letters and marks counts as one blank. A null text or one
-without a letter is ``und`` with score 0. Rows with a null lang are not learned from; without
-any labelled row all texts are ``und``, and only texts without a letter are rejected.
+without a letter is ``und`` with score 0. Very long texts are scored whole, ``CHUNK`` characters at a time.
+Of languages with equal cross-entropy the first by name is taken. Repeated rows count as often as they
+occur and are all judged. Rows with a null lang are not learned from; without any labelled row all texts
+are ``und``, and only texts without a letter are rejected. Columns of ``docs`` pass through; one that bears
+the name of an added column is replaced by it (`keep_known` takes names that are free).
 """
 
 from __future__ import annotations
 
+import fcntl
+import json
+import os
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,6 +36,9 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +46,6 @@ from triagelake.llm.common import crc32_mod, fresh, map_columns, table
 from triagelake.session import materialise
 
 ORDER = 4
-MAX_GRAMS = 2_000_000
 HELD_BACK = 16
 MAX_CALIBRATION = 4096
 #: Length classes in letters, and how far above the highest calibration value a text may lie.
@@ -111,29 +120,88 @@ def count_grams(rows: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+#: Columns of the arrays: the language's number, the count or total, and how many kinds follow a context.
+ARRAYS = {"key": np.int64, "lang": np.int32, "n": np.int64, "kinds": np.int64}
+
+
+@cache
+def mapped(files: tuple[str, ...], langs: tuple[str, ...]) -> dict[int, dict[str, np.ndarray]]:
+    """The arrays by section, mapped into memory from this executor's disk.
+
+    The first worker to come writes them from the fetched ``files``; the list of the sections' ends
+    is written last, so that a worker lost on the way leaves nothing that counts.
+    """
+    base = SparkFiles.get(files[0]) + ".arrays"
+    with open(base + ".lock", "w") as lock:
+        fcntl.flock(lock, fcntl.LOCK_EX)
+        if not os.path.exists(base):
+            ends = _write_arrays(files, langs, base)
+            with open(base + ".new", "w") as f:
+                json.dump(ends, f)
+            os.replace(base + ".new", base)
+    with open(base) as f:
+        ends = json.load(f)
+    whole = {name: np.memmap(f"{base}.{name}", kind, "r") for name, kind in ARRAYS.items()}
+    starts = [0, *ends[:-1]]
+    return {i: {name: values[at:end] for name, values in whole.items()} for i, (at, end) in enumerate(zip(starts, ends))}
+
+
+def _write_arrays(files: tuple[str, ...], langs: tuple[str, ...], base: str) -> list[int]:
+    sizes = np.zeros(2 * ORDER, np.int64)
+    names, last = pa.array(langs), (-1, 0)
+    out = {name: open(f"{base}.{name}", "wb") for name in ARRAYS}
+    try:
+        for file in files:
+            for batch in pq.ParquetFile(SparkFiles.get(file)).iter_batches(1 << 16):
+                section, key = (batch.column(c).to_numpy() for c in ("section", "key"))
+                if not len(key):
+                    continue
+                step = np.diff(section)
+                rising = (step > 0) | ((step == 0) & (key[1:] >= key[:-1]))
+                if not rising.all() or (section[0], key[0]) < last:
+                    raise ValueError("the model's files are not in order")
+                last = section[-1], key[-1]
+                sizes += np.bincount(section, minlength=2 * ORDER)
+                cells = {c: batch.column(c).to_numpy() for c in ("key", "n", "kinds")}
+                cells["lang"] = pc.index_in(batch.column("lang"), value_set=names).to_numpy()
+                for name, kind in ARRAYS.items():
+                    out[name].write(np.ascontiguousarray(cells[name], kind).data)
+    finally:
+        for f in out.values():
+            f.close()
+    return np.cumsum(sizes).tolist()
+
+
 @dataclass
 class Models:
-    """Probabilities of all languages in shared sorted arrays, one pair for each order."""
+    """What is small of the models of all languages, and the files of their arrays.
+
+    Section 2 (k - 1) holds the counts of order k, the next one its contexts.
+    """
 
     langs: list[str]
-    keys: list[np.ndarray] = field(default_factory=list)  # by order 1..ORDER
-    prob: list[np.ndarray] = field(default_factory=list)  # (keys, languages)
-    contexts: list[np.ndarray] = field(default_factory=list)
-    weight: list[np.ndarray] = field(default_factory=list)  # left to the next lower order
+    files: tuple[str, ...]
+    discounts: np.ndarray  # (orders, languages)
     floor: float = 1.0
     slope: tuple[float, float] = (0.0, 1.0)
     limits: dict[str, list[float]] = field(default_factory=dict)  # by language and length class
 
     def probabilities(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """Of each of the distinct ``keys`` in each language."""
         if not order:
-            return np.full((len(keys), len(self.langs)), self.floor, np.float32)
-        known, at = find(self.keys[order - 1], keys)
-        out = self.prob[order - 1][at]
-        if not known.all():
-            rest = keys[~known]
-            lower = self.probabilities(rest & np.uint64((1 << 16 * (order - 1)) - 1), order - 1)
-            there, at = find(self.contexts[order - 1], rest >> np.uint64(16))
-            out[~known] = lower * np.where(there[:, None], self.weight[order - 1][at], 1)
+            return np.full((len(keys), len(self.langs)), self.floor)
+        sections = mapped(self.files, tuple(self.langs))
+        discount = self.discounts[order - 1]
+        low, back = np.unique(keys & np.uint64((1 << 16 * (order - 1)) - 1), return_inverse=True)
+        out = self.probabilities(low, order - 1)[back]
+        context, back = np.unique(keys >> np.uint64(16), return_inverse=True)
+        total, weight = np.ones((2, len(context), len(self.langs)))
+        rows, lang, n, kinds = entries(sections[2 * order - 1], context)
+        total[rows, lang] = n
+        weight[rows, lang] = discount[lang] * kinds / n
+        out *= weight[back]
+        rows, lang, n, _ = entries(sections[2 * order - 2], keys)
+        out[rows, lang] += (n - discount[lang]) / total[back[rows], lang]
         return out
 
     def bits(self, many: list[np.ndarray]) -> np.ndarray:
@@ -145,8 +213,9 @@ class Models:
 
         def settle():
             starts = np.cumsum([0, *map(len, held[:-1])])
-            logs = np.log2(self.probabilities(np.concatenate(held)))
-            np.add.at(out, owners, -np.add.reduceat(logs, starts, axis=0, dtype=np.float64))
+            keys, back = np.unique(np.concatenate(held), return_inverse=True)
+            logs = np.log2(self.probabilities(keys))[back]
+            np.add.at(out, owners, -np.add.reduceat(logs, starts, axis=0))
 
         for i, keys in enumerate(many):
             for at in range(0, len(keys), most):
@@ -161,68 +230,63 @@ class Models:
         return out / np.maximum([len(k) for k in many], 1)[:, None]
 
 
-def find(table_: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each key is in the sorted array, and its place there (any place if not)."""
-    at = np.searchsorted(table_, keys)
-    at[at == len(table_)] = 0
-    return table_[at] == keys, at
+def entries(section: dict[str, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of all entries of the ``keys``: the key's place, the language, the count and the kinds."""
+    keys = keys.view(np.int64)
+    first, end = (np.searchsorted(section["key"], keys, side) for side in ("left", "right"))
+    many = end - first
+    rows = np.repeat(np.arange(len(keys)), many)
+    at = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many) + first[rows]
+    return rows, section["lang"][at], section["n"][at], section["kinds"][at]
 
 
-def kneser_ney(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Models:
-    """Models from the counts ``n`` of the 4-grams ``gram`` in language number ``lang``."""
-    keys = np.unique(gram)
-    counts = np.zeros((len(keys), len(langs)))
-    counts[np.searchsorted(keys, gram), lang] = n
-    tables = [(keys, counts)]
+def learn(counts: DataFrame) -> Models | None:
+    """Models from counted (lang, gram, n) rows, all of which are used."""
+    spark = counts.sparkSession
+    orders = {ORDER: materialise(counts)}
     for order in range(ORDER - 1, 0, -1):  # how many characters stand before each shorter gram
-        keys, counts = tables[0]
-        short, back = np.unique(keys & np.uint64((1 << 16 * order) - 1), return_inverse=True)
-        lower = np.zeros((len(short), len(langs)))
-        np.add.at(lower, back, counts > 0)
-        tables.insert(0, (short, lower))
-    models = Models(langs, floor=1 / (len(tables[0][0]) + 1))
-    for order, (keys, counts) in enumerate(tables, 1):
-        once, twice = (counts == 1).sum(0), (counts == 2).sum(0)
-        discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
-        contexts, back = np.unique(keys >> np.uint64(16), return_inverse=True)
-        total, kinds = np.zeros((2, len(contexts), len(langs)))
-        np.add.at(total, back, counts)
-        np.add.at(kinds, back, counts > 0)
-        weight = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1)
-        own = np.maximum(counts - discount, 0) / np.maximum(total[back], 1)
-        lower = models.probabilities(keys & np.uint64((1 << 16 * (order - 1)) - 1), order - 1)
-        models.keys.append(keys)
-        models.prob.append((own + weight[back] * lower).astype(np.float32))
-        models.contexts.append(contexts)
-        models.weight.append(weight.astype(np.float32))
-    return models
-
-
-def fit(docs: DataFrame, training: Column, max_grams: int = MAX_GRAMS) -> Models | None:
+        short = F.col("gram").bitwiseAND(F.lit((1 << 16 * order) - 1)).alias("gram")
+        orders[order] = materialise(orders[order + 1].groupBy("lang", short).agg(F.count("*").alias("n")))
+    once = {}
+    for order, rows in orders.items():
+        seen = rows.groupBy("lang").agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2))
+        once |= {(order, lang): (one, two) for lang, one, two in seen.collect()}
+    langs = sorted({lang for _, lang in once})
+    if not langs:
+        return None
+    discounts = [[one / max(one + 2 * two, 1) for one, two in (once[order, lang] for lang in langs)]
+                 for order in range(1, ORDER + 1)]
+    sections = []
+    for order, rows in sorted(orders.items()):
+        context = rows.groupBy("lang", F.shiftrightunsigned("gram", 16).alias("gram"))
+        context = context.agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+        for section, part in ((2 * order - 2, rows.withColumn("kinds", F.lit(0).cast("long"))), (2 * order - 1, context)):
+            sections.append(part.select(F.lit(section).alias("section"), F.col("gram").alias("key"), "lang", "n", "kinds"))
+    stored = sections[0]
+    for part in sections[1:]:
+        stored = stored.unionAll(part)
+    stored = materialise(stored.orderBy("section", "key", "lang"))
+    files = sorted(stored.inputFiles(), key=lambda uri: uri.rsplit("/", 1)[1])
+    for uri in files:
+        spark.sparkContext.addFile(uri)
+    chars = orders[1].select("gram").distinct().count()
+    return Models(langs, tuple(uri.rsplit("/", 1)[1] for uri in files), np.clip(discounts, 0.1, 0.9), 1 / (chars + 1))
+
+
+def fit(docs: DataFrame, training: Column) -> Models | None:
     """Models learned from the text and lang of the rows for which ``training`` holds."""
     docs = docs.select("doc_id", "text", "lang")
     labelled = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
     held_back = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_BACK)) == 0
-    counts = count_grams(labelled.where(~held_back)).persist()
-    if counts.count() > max_grams:
-        model_rows = counts.orderBy(F.desc("n"), "lang", "gram").limit(max_grams)
-    else:
-        model_rows = counts
-    found = model_rows.toArrow()
-    counts.unpersist()
-    if not found.num_rows:
+    models = learn(count_grams(labelled.where(~held_back)))
+    if models is None:
         return None
-    name = found.column("lang").to_numpy()
-    langs = sorted(set(name))
-    number = np.array([langs.index(x) for x in name])
-    gram = found.column("gram").to_numpy().view(np.uint64)
-    models = kneser_ney(langs, number, gram, found.column("n").to_numpy())
     judged = judge(labelled.where(held_back), models).where("letters > 0")
     judged = materialise(judged.select("doc_id", "lang", "best", "bits", "gap", "letters"))
     right, size = F.col("lang") == F.col("best"), sum((F.col("letters") >= c).cast("int") for c in CLASSES)
     highest = judged.groupBy("lang", size.alias("size")).agg(
         F.count("*").alias("n"), F.count(F.when(right, 1)).alias("right"), F.max(F.when(right, F.col("bits"))).alias("bits"))
-    models.limits = limits_of(langs, [tuple(r) for r in highest.collect()])
+    models.limits = limits_of(models.langs, [tuple(r) for r in highest.collect()])
     seen = judged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_CALIBRATION).toPandas()
     calibrate(models, seen["lang"].eq(seen["best"]).to_numpy(), seen["gap"].to_numpy(float), seen["letters"].to_numpy())
     return models
