@@ -61,6 +61,17 @@ def test_caps_are_the_sequential_loop(spark, rows, total_cap):
     assert got.columns == ["repo", "id", "created_at", "updated_at", "title"]
 
 
+def test_kept_counts_give_the_same_cut(spark, rows):
+    rng = random.Random(8)
+    pages = [(rng.choice("aab"), rng.randrange(300), f"2026-01-{rng.randrange(10, 20)}", "u", "t") for _ in range(900)]
+    pages = list({p[:2]: p for p in pages}.values()) + [("a", None, "2026-01-30", "u", "t"), (None, 5, "2026-01-30", "u", "t")]
+    stored = [p[:2] for p in pages if rng.random() < 0.3] + [("c", 1), ("a", None), (None, 5)]
+    pages, stored = spark.createDataFrame(pages, SCHEMA), spark.createDataFrame(stored, "repo string, id long")
+    for caps, total in (({"a": 120}, None), ({"b": 90, "a": 130}, 180), ({}, 160)):
+        counted = ingest(pages, stored, caps, total, existing_counts(stored))
+        assert rows(ingest(pages, stored, caps, total).where("id IS NOT NULL")) == rows(counted.where("id IS NOT NULL"))
+
+
 def test_without_caps_everything_is_collected(spark, rows):
     pages = spark.createDataFrame([(r, i, f"2026-0{i}", "u", "t") for r in "abc" for i in range(1, 6)], SCHEMA)
     none = pages.limit(0)

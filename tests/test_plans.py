@@ -95,3 +95,21 @@ def test_few_keys_are_sent_to_the_texts(spark, tmp_path):
     assert left.count() == 10
     new = new_records(issues, issues.where("id < 150"))
     assert "SortAggregate" not in plan(new) and new.count() == 50
+
+
+def test_collecting_reads_each_table_once(spark, sf_dir):
+    from triagelake.operators import ingest
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(q.new_records(spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert text.count("FileScan") == 2 and text.count("Exchange hashpartitioning") == 2
+    assert re.search(r"Exchange.*\n.*WindowGroupLimit", text)  # one row of a key in each task moves
+    orders = model.order_issues(spark, sf_dir)
+    text = plan(ingest._seen_keys(orders, orders.where("state = 'pending'")))
+    assert text.count("FileScan") == 2 and text.count("Exchange") == 1
+    taken = plan(q.capped_ingest(spark, sf_dir))
+    assert taken.count("orders.parquet") == 1  # what is stored is known from the written keys

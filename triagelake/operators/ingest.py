@@ -79,14 +79,11 @@ def _keys(rows: DataFrame) -> DataFrame:
 def new_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """One row per incoming key that is not stored yet, the newest copy of it.
 
-    Which keys are new, and which of them have copies, is found from keys alone. Rows of a key
-    without copies are only filtered; the others are put in order.
+    Incoming rows are read once and move once, and each task keeps one row of a key before that;
+    the keys of the stored rows meet them where they are. A key with a NULL is never a stored one.
     """
-    counted = incoming.groupBy("repo", "id").agg(F.count("*").alias("_n"))
-    fresh = materialise(counted.join(_keys(stored), ["repo", "id"], "left_anti"))
-    single = only_keys(incoming, _keys(fresh.where(F.col("_n") == 1)))
-    copied = only_keys(incoming, _keys(fresh.where(F.col("_n") > 1)))
-    return single.unionByName(latest_per_key(copied, ["repo", "id"], ["created_at", "updated_at"]))
+    newest = latest_per_key(incoming, ["repo", "id"], ["created_at", "updated_at"])
+    return newest.join(_keys(stored), ["repo", "id"], "left_anti").select(*incoming.columns)
 
 
 def edited_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
@@ -101,19 +98,17 @@ def edited_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return latest_per_key(only_keys(incoming, keys), ["repo", "id"]).select(*incoming.columns)
 
 
-def _takes(
-    available: DataFrame, stored_counts: DataFrame, repo_caps: dict[str, int], total_cap: int | None
-) -> DataFrame:
-    """(repo, _take): how many records the caps leave room for, one row per repository."""
+def _takes(counts: DataFrame, repo_caps: dict[str, int], total_cap: int | None) -> DataFrame:
+    """(repo, _take): how many records the caps leave room for, one row per repository, from
+    ``counts`` (repo, _available, _have)."""
     caps = literal_table(
-        available.sparkSession,
+        counts.sparkSession,
         _CAPS,
         [(repo, place, cap) for place, (repo, cap) in enumerate(repo_caps.items())],
     )
     room = F.col("_cap") - F.col("_have")
     found = (
-        available.join(stored_counts.withColumnRenamed("n", "_have"), "repo", "full")
-        .join(caps, "repo", "full")
+        counts.join(caps, "repo", "full")
         .na.fill(0, ["_have", "_available"])
         .na.fill(len(repo_caps), ["_place"])
         .withColumn("_want", F.greatest(F.lit(0), F.least(F.coalesce(room, "_available"), "_available")))
@@ -132,6 +127,30 @@ def _takes(
     )
 
 
+def _seen_keys(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """(repo, created_at, _id, _new, _have): a row for each new key, with its newest creation time, and
+    one for each stored key, with its repository alone. Both tables are read once."""
+    both = incoming.select("repo", "id", "created_at", F.lit(False).alias("_have")).unionByName(
+        _keys(stored.where(F.col("id").isNotNull())).select(
+            "repo", "id", F.lit(None).cast(incoming.schema["created_at"].dataType).alias("created_at"),
+            F.lit(True).alias("_have"),
+        )
+    )
+    keys = both.groupBy("repo", "id").agg(
+        F.max("created_at").alias("created_at"),
+        F.bool_or("_have").alias("_have"),
+        F.bool_and("_have").alias("_only"),
+    )
+    new = ~F.col("_only") & (~F.col("_have") | F.col("repo").isNull())
+    return keys.select(
+        "repo",
+        F.when(new, F.col("created_at")).alias("created_at"),
+        F.when(new, -F.col("id")).alias("_id"),
+        new.alias("_new"),
+        "_have",
+    )
+
+
 def ingest(
     incoming: DataFrame,
     stored: DataFrame,
@@ -143,29 +162,40 @@ def ingest(
 
     A repository that ``repo_caps`` does not name has no cap of its own. The overall cap is used up
     in the order of ``repo_caps``, then by name. Per repository the caps come down to one number of
-    records, and that to the key of the last one taken. The keys alone are deduplicated, ranged and
-    counted for it; of the records themselves only those up to the cut are shuffled. Under caps, a
-    record without repository or creation time has no place and is left out.
+    records, and that to the key of the last one taken. The keys of both tables alone are grouped
+    for it, once, and written; of the records themselves only those up to the cut are shuffled. Under caps,
+    a record without repository or creation time has no place and is left out.
+
+    With ``stored_counts`` (repo, n), kept from earlier runs, stored keys are only looked up.
     """
     if not repo_caps and total_cap is None:
         return new_records(incoming, stored)
-    fresh = (
-        incoming.groupBy("repo", "id")
-        .agg(F.max("created_at").alias("created_at"))
-        .join(_keys(stored), ["repo", "id"], "left_anti")
-    )
-    newest = materialise(fresh.select("repo", "created_at", (-F.col("id")).alias("_id")))
-    available = newest.groupBy("repo").agg(F.count("*").alias("_available"))
-    have = existing_counts(stored) if stored_counts is None else stored_counts
+    if stored_counts is None:
+        seen = materialise(_seen_keys(incoming, stored))
+        newest = seen.where("_new")
+        counts = seen.groupBy("repo").agg(
+            F.count_if("_new").alias("_available"), F.count_if("_have").alias("_have")
+        )
+    else:
+        fresh = (
+            incoming.groupBy("repo", "id")
+            .agg(F.max("created_at").alias("created_at"))
+            .join(_keys(stored), ["repo", "id"], "left_anti")
+        )
+        newest = materialise(fresh.select("repo", "created_at", (-F.col("id")).alias("_id")))
+        available = newest.groupBy("repo").agg(F.count("*").alias("_available"))
+        counts = available.join(stored_counts.withColumnRenamed("n", "_have"), "repo", "full")
+    newest = newest.select("repo", "created_at", "_id")
     cut = running_total_cut(
         newest,
         ["repo"],
         ["created_at", "_id"],
         F.lit(1),
         lambda before: before < F.col("_take"),
-        limits=_takes(available, have, repo_caps or {}, total_cap),
+        limits=_takes(counts, repo_caps or {}, total_cap),
         descending=True,
     )
     place = F.struct(F.col("created_at"), (-F.col("id")).alias("_id"))
     taken = incoming.join(materialise(cut), "repo").where(place >= F.col("cut"))
-    return new_records(taken.select(*incoming.columns), stored)
+    new = only_keys(taken.select(*incoming.columns), newest.select("repo", (-F.col("_id")).alias("id")))
+    return latest_per_key(new, ["repo", "id"], ["created_at", "updated_at"])
