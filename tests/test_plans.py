@@ -113,3 +113,44 @@ def test_collecting_reads_each_table_once(spark, sf_dir):
     assert text.count("FileScan") == 2 and text.count("Exchange") == 1
     taken = plan(q.capped_ingest(spark, sf_dir))
     assert taken.count("orders.parquet") == 1  # what is stored is known from the written keys
+
+
+def shuffled(node):
+    """(columns, rows written) of every exchange of an executed plan."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return shuffled(node.executedPlan())
+    if node.nodeName().endswith("QueryStage"):
+        return shuffled(node.plan())
+    children = node.children()
+    below = [x for i in range(children.size()) for x in shuffled(children.apply(i))]
+    if node.nodeName() == "Exchange":
+        below.append((node.output().toString(), node.metrics().apply("shuffleRecordsWritten").value()))
+    return below
+
+
+def test_texts_that_are_scored_do_not_move(spark, tmp_path):
+    from triagelake.operators.incremental import unscored_rows
+
+    spark.range(20_000).select(
+        F.col("id").alias("issue_id"), F.repeat(F.md5(F.col("id").cast("string")), F.lit(9)).alias("body")
+    ).unionByName(spark.createDataFrame([(None, "n")], "issue_id long, body string")).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    done = spark.range(20_000).where("id % 50 > 0").select(F.col("id").alias("issue_id"))
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {name: spark.conf.get(name, None) for name in limits}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    try:
+        left = unscored_rows(rows, done)
+        query = left._jdf.queryExecution()
+        assert "might_contain" in query.executedPlan().toString()
+        assert left._jdf.collectAsList().size() == 401
+        moved = [n for columns, n in shuffled(query.executedPlan()) if "body" in columns]
+        assert len(moved) == 1 and 401 <= moved[0] < 0.05 * 20_000
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -81,6 +81,12 @@ def unscored(rows: DataFrame, done: DataFrame, version: str | None = None) -> Da
     return rows.join(done.select("issue_id").distinct(), "issue_id", "left_anti")
 
 
+def unscored_rows(rows: DataFrame, done: DataFrame, version: str | None = None) -> DataFrame:
+    """As `unscored`, for rows with texts that do not lie in buckets of the id: which ids are left is found
+    from ids alone and written, and the texts are then filtered by them."""
+    return only_keys(rows, materialise(unscored(rows.select("issue_id").distinct(), done, version)))
+
+
 def recorded_spend(usage: DataFrame, version: str) -> DataFrame:
     """One row (classifier_version, spent) with the ledger's cost of a version, 0 without rows."""
     return (

@@ -19,8 +19,7 @@ from triagelake.functions.columns import (
     token_cost,
 )
 from triagelake.functions.fixed import PRICE_PER_MILLION_TOKENS
-from triagelake.operators.incremental import unscored
-from triagelake.session import materialise, only_keys
+from triagelake.operators.incremental import unscored_rows
 
 # Makes the function that answers a batch of requests; called once per task, so that a
 # client is opened once and not for every record.
@@ -165,8 +164,7 @@ def resume_scores(
 ) -> DataFrame:
     """Predictions for the (issue_id, title, body) rows that ``done`` has none for yet, of this
     version. Append them to ``done``: a run that was cut short goes on where it stopped."""
-    ids = materialise(unscored(rows.select("issue_id").distinct(), done, version))
-    left = only_keys(rows, ids).select(
+    left = unscored_rows(rows, done, version).select(
         F.col("issue_id").alias("id"), "title", "body", F.lit(None).cast("string").alias("updated_at")
     )
     scored = score(left, scorer, version, model, criteria, parallel=parallel, chars=chars)

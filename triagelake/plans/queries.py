@@ -226,7 +226,7 @@ def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 def resume_pending(spark: SparkSession, sf: str) -> DataFrame:
     done = m.classifications(spark, sf).select("issue_id", "classifier_version")
-    left = incremental.unscored(m.eval_set(spark, sf), done, V)
+    left = incremental.unscored_rows(m.eval_set(spark, sf), done, V)
     return left.select("issue_id", "repo", "title", "human_type")
 
 

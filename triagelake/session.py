@@ -41,11 +41,16 @@ def only_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """The ``rows`` whose key columns occur in ``keys``, a written table of keys. NULL is a key too.
 
     Spark knows the size of a written table: below ``spark.sql.autoBroadcastJoinThreshold`` bytes the keys
-    are sent to the rows, which are then only scanned; otherwise both sides are shuffled by key.
+    are sent to the rows, which are then only scanned; otherwise both sides are shuffled by key, the rows after
+    a Bloom filter of the keys. Catalyst plans that filter for joins with a side that looks chosen, hence
+    the comparison, which every key passes. Its limits are those below
+    ``spark.sql.optimizer.runtime.bloomFilter``: rows of 10 GB or more, keys of up to 10 MB, and 8 megabits
+    for a million keys (2 in 100 other rows pass; more with more keys) unless they are raised. The exact join follows.
     """
     named = keys.select(*[F.col(c).alias(f"_key_{c}") for c in keys.columns])
+    chosen = named.where(F.xxhash64(*named.columns) >= F.lit(-(1 << 63)))
     same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys.columns]
-    return rows.join(named, same, "left_semi")
+    return rows.join(chosen, same, "left_semi")
 
 
 def literal_table(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:
