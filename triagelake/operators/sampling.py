@@ -100,6 +100,11 @@ def balanced_sample(
     return only_keys(rows, materialise(balanced_keys(rows, class_col, group_col, key, n, classes, seed)))
 
 
+def sample_profile(sample: DataFrame, class_col: str = "human_type", group_col: str = "repo") -> DataFrame:
+    """(class, group, n): how many rows of each class a drawn sample took from each group."""
+    return sample.groupBy(class_col, group_col).agg(F.count("*").alias("n"))
+
+
 def review_choice(
     eval_set: DataFrame,
     issues: DataFrame,

@@ -342,6 +342,11 @@ UNION ALL
 SELECT issue_id, issue_type, confidence, issue_updated_at, input_tokens, model, classifier_version,
        estimated_cost_usd, '{m.CLASSIFIED_AT}'
 {CURRENT_LINES}""",
+    "stored_times": LINES
+    + f"""
+SELECT issue_type, count(*) AS n, count(*) AS n_recent, 'timestamp' AS kind, true AS one_time
+{CURRENT_LINES}
+GROUP BY issue_type""",
     "usage_ledger": CLASSIFICATIONS
     + """
 SELECT issue_id, classifier_version, model, input_tokens, estimated_cost_usd FROM classifications""",
@@ -443,6 +448,11 @@ FROM counted QUALIFY rank <= {q.TOP}""",
     "balanced_sample": PREDICTIONS
     + ","
     + _balanced("eval_set", "human_type", "repo", "issue_id", q.SAMPLE),
+    "sample_profile": "SELECT human_type, repo, count(*) AS n FROM ("
+    + PREDICTIONS
+    + ","
+    + _balanced("eval_set", "human_type", "repo", "issue_id", q.SAMPLE)
+    + ") AS drawn GROUP BY human_type, repo",
     "balanced_sample_orders": "WITH "
     + _balanced("orders", "o_orderstatus", "o_custkey", "o_orderkey", 2_000),
     "gold_review": PREDICTIONS

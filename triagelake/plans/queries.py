@@ -194,6 +194,24 @@ def stored_evolution(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("classified_at", F.col("classified_at").cast("string"))
 
 
+def stored_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows stored without a time get that of the run: one for all of them, a timestamp, of today."""
+    path = scratch_path(spark, "classified")
+    current = m.line_classifications(spark, sf).where(F.col("classifier_version") == LINE_VERSION)
+    classification_rows(current.withColumnRenamed("issue_type", "choice"), LINE_VERSION, m.MODEL).write.parquet(path)
+    stored = tables.read_or_empty(spark, path, CLASSIFICATION)
+    age = F.current_timestamp() - F.col("classified_at")
+    recent = (age >= F.expr("INTERVAL '0' SECOND")) & (age < F.expr("INTERVAL '1' DAY"))
+    times = stored.agg(F.min("classified_at").alias("first"), F.max("classified_at").alias("last"))
+    one = times.select(F.col("first") == F.col("last")).scalar()
+    return stored.groupBy("issue_type").agg(
+        F.count("*").alias("n"),
+        F.count_if(recent).alias("n_recent"),
+        F.max(F.typeof("classified_at")).alias("kind"),
+        F.bool_and(one).alias("one_time"),
+    )
+
+
 def usage_ledger(spark: SparkSession, sf: str) -> DataFrame:
     ledger = BucketedTable(spark, scratch_path(spark, "usage"), USAGE, ["issue_id"])
     rows = usage_rows(m.classifications(spark, sf))
@@ -373,6 +391,10 @@ def balanced_sample_orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sample_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.sample_profile(balanced_sample(spark, sf))
+
+
 def gold_review(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.review_sheet(
         m.eval_set(spark, sf), m.issues(spark, sf), m.predictions(spark, sf), REVIEW, m.LANGUAGES
@@ -581,6 +603,7 @@ QUERIES: dict[str, Query] = {
     "repo_parts": repo_parts,
     "replace_table": replace_table,
     "stored_evolution": stored_evolution,
+    "stored_times": stored_times,
     "usage_ledger": usage_ledger,
     "upsert_latest": upsert_latest,
     "resume_pending": resume_pending,
@@ -602,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "top_labels": top_labels,
     "balanced_sample": balanced_sample,
     "balanced_sample_orders": balanced_sample_orders,
+    "sample_profile": sample_profile,
     "gold_review": gold_review,
     "stratified_split": stratified_split,
     "stratified_split_orders": stratified_split_orders,
