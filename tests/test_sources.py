@@ -72,6 +72,22 @@ def test_page_without_records_fails(spark, tmp_path, data):
         pages.scan_pages(spark, str(tmp_path)).collect()
 
 
+def test_unfinished_landing(spark, tmp_path, rows):
+    open_page = page([node(1)])
+    open_page["data"]["repository"]["issues"]["pageInfo"] = {"hasNextPage": True, "endCursor": "x"}
+    unknown = page([node(4)])
+    unknown["data"]["repository"]["issues"]["pageInfo"] = None
+    land(tmp_path, "a_done", open_page, page([node(2)]))
+    assert pages.scan_pages(spark, str(tmp_path), finished=True).count() == 2
+    land(tmp_path, "b_cut", open_page, open_page)
+    land(tmp_path, "c_unknown", unknown)
+    states = pages.landing_states(spark, str(tmp_path))
+    assert rows(states) == [("a/done", 2, 1, True), ("b/cut", 2, 0, False), ("c/unknown", 1, 0, False)]
+    with pytest.raises(Exception, match="landing is not finished: b/cut"):
+        pages.scan_pages(spark, str(tmp_path), finished=True).collect()
+    assert pages.scan_pages(spark, str(tmp_path)).count() == 5
+
+
 def test_broken_page_fails(spark, tmp_path):
     (tmp_path / "a_b").mkdir()
     (tmp_path / "a_b" / "p.json").write_text('{"data": {"repository": ')

@@ -205,9 +205,11 @@ def land_arrays(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def land_pages(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> str:
+def land_pages(
+    spark: SparkSession, sf_dir: str, rows: DataFrame | None = None, has_next: Column | None = None
+) -> str:
     """Write the issues, or ``rows`` like them, as API pages, up to 100 per page, one page per line;
-    returns the path."""
+    returns the path. ``has_next`` tells by ``dir`` and ``page`` which pages name a next one (none)."""
     path = scratch_path(spark, "landing")
     node = F.struct(
         F.col("id").alias("databaseId"),
@@ -232,7 +234,8 @@ def land_pages(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None)
         .groupBy("dir", "page")
         .agg(F.collect_list("node").alias("nodes"))
     )
-    info = F.struct(F.lit(False).alias("hasNextPage"), F.col("page").cast("string").alias("endCursor"))
+    following = F.lit(False) if has_next is None else has_next
+    info = F.struct(following.alias("hasNextPage"), F.col("page").cast("string").alias("endCursor"))
     connection = F.struct(F.col("nodes"), info.alias("pageInfo"))
     pages.select(
         "dir", F.struct(F.struct(connection.alias("issues")).alias("repository")).alias("data")

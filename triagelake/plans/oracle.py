@@ -306,6 +306,12 @@ ORACLE: dict[str, str] = {
     "pending_orders": LINES + _pending("order_issues", "lines", q.LINE_VERSION),
     "ingest_pages": ORGANISED,
     "ingest_stream": ORGANISED,
+    "landing_states": ISSUES
+    + """,
+landed AS (SELECT DISTINCT 'org/' || repo AS repo, id // 100 AS page FROM issues)
+SELECT repo, count(*) AS pages, count(*) FILTER (page = length(repo)) AS last_pages,
+       count(*) FILTER (page = length(repo)) > 0 AS finished
+FROM landed GROUP BY repo""",
     "normalise_issues": RECORDS,
     "existing_counts": LINES + " SELECT repo, count(DISTINCT id) AS n FROM order_issues GROUP BY repo",
     "new_records": LINES + " SELECT * FROM order_issues WHERE state <> 'pending'",

@@ -82,6 +82,12 @@ def ingest_pages(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.records(nodes).withColumn("labels", F.array_join("labels.name", "|"))
 
 
+def landing_states(spark: SparkSession, sf: str) -> DataFrame:
+    """The page whose number is the length of its directory's name is a repository's last one."""
+    landed = m.land_pages(spark, sf, has_next=F.col("page") != F.length("dir"))
+    return pages.landing_states(spark, landed, multi_line=False)
+
+
 def normalise_issues(spark: SparkSession, sf: str) -> DataFrame:
     raw = scratch_path(spark, "raw")
     stored = m.issues(spark, sf).withColumn(
@@ -590,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "pending_first": pending_first,
     "pending_orders": pending_orders,
     "ingest_pages": ingest_pages,
+    "landing_states": landing_states,
     "normalise_issues": normalise_issues,
     "existing_counts": existing_counts,
     "new_records": new_records,

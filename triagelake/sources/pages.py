@@ -29,17 +29,42 @@ def _repo_of_file() -> Column:
     return repo_from_path(F.col("_metadata.file_path"))
 
 
-def scan_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Nodes of the page documents below ``path``, one directory ``owner_name`` per repository.
-
-    Documents over several lines are read whole, one task per file; pages stored one per line
-    (``multi_line=False``) are split like any text.
-    """
+def _read_pages(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     pages = (
         spark.read.schema(PAGE).option("multiLine", multi_line).option("mode", "FAILFAST")
         .json(f"{path}/*/*.json")
     )
-    return page_nodes(pages.withColumn("repo", _repo_of_file()))
+    return pages.withColumn("repo", _repo_of_file())
+
+
+def _states(pages: DataFrame) -> DataFrame:
+    following = F.coalesce(F.col("data.repository.issues.pageInfo.hasNextPage"), F.lit(True))
+    counted = pages.groupBy("repo").agg(F.count("*").alias("pages"), F.count_if(~following).alias("last_pages"))
+    return counted.withColumn("finished", F.col("last_pages") > 0)
+
+
+def landing_states(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(repo, pages, last_pages, finished): a repository whose pages all name a next page has not landed
+    as a whole. A page without that information counts as one with a next page; pages do not name
+    their predecessor, so one that is absent between others does not show."""
+    return _states(_read_pages(spark, path, multi_line))
+
+
+def scan_pages(
+    spark: SparkSession, path: str, multi_line: bool = True, finished: bool = False
+) -> DataFrame:
+    """Nodes of the page documents below ``path``, one directory ``owner_name`` per repository.
+
+    Documents over several lines are read whole, one task per file; pages stored one per line
+    (``multi_line=False``) are split like any text. With ``finished``, a repository that has not landed as
+    a whole fails the job; without it, a walk may stop early, as one under a cap does.
+    """
+    pages = _read_pages(spark, path, multi_line)
+    if finished:
+        cut = _states(pages).where(~F.col("finished")).agg(F.min("repo").alias("repo")).scalar()
+        stop = F.raise_error(F.concat(F.lit("landing is not finished: "), cut)).cast(PAGE["data"].dataType)
+        pages = pages.withColumn("data", F.when(cut.isNotNull(), stop).otherwise(F.col("data")))
+    return page_nodes(pages)
 
 
 def stream_pages(
