@@ -1,7 +1,8 @@
 import html
 import re
+import tracemalloc
 
-from triagelake.llm.html import Page, main_text, op5_style_tree, style_tree
+from triagelake.llm.html import Page, main_text, op5_style_tree, path_of, style_tree
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head>
 <body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>no</p> -->
@@ -34,9 +35,9 @@ def test_site_style_tree(spark):
     rows += [(100 + i, "http://copies.org/x", page(0), "mine") for i in range(12)]  # one distinct page
     rows += [(200, None, None, "mine"), (201, "http://one.net/", page(1), None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
-    tree = {(r.host, r.path.rsplit("/", 1)[1]): r.importance for r in style_tree(pages.drop("host").withColumn(
+    tree = {(r.host, r.path): r.importance for r in style_tree(pages.drop("host").withColumn(
         "host", __import__("pyspark").sql.functions.regexp_extract("url", "://([^/]*)", 1))).collect()}
-    assert tree["a.org", "div.top#"] == 0 and tree["a.org", "div.x#"] == 1
+    assert tree["a.org", path_of("body", "div.top#")] == 0 and tree["a.org", path_of("body", "div.x#")] == 1
     assert not any(h == "copies.org" for h, _ in tree)
     got = {r.page_id: r for r in main_text(pages).collect()}
     assert got[3].text == "Story 3 begins\nShared passage" and got[3].n_chars == 29 and got[3].host == "mine"
@@ -66,3 +67,37 @@ def test_a_part_of_a_name_does_not_drop_the_text():
     inside = "<article><h1 class='article-header'>One</h1><p class='notice-text'>Two</p><div class='ad-box'>Buy</div><p>" + "x " * 9 + "</p></article>"
     assert Page(inside).text() == "One\nTwo\n" + ("x " * 9).strip()
     assert Page("<div class='sidebar'>Side</div><p class='notice'>no</p><p>text</p>").text() == "text"
+
+
+def test_weak_names_keep_what_holds_the_text():
+    story = "<p>" + "Some long story. " * 15 + "</p>"
+    want = ("Some long story. " * 15).strip()
+    for name in ("id='promotion'", "class='widget'", "class='box alert'"):
+        assert Page(f"<body><div {name}>{story}</div><div class='widget'>Weather</div></body>").text() == want, name
+        passage = f"<article><p>Start</p>{story}<div {name}><p>{'more of it ' * 12}</p></div><div class='widget'>Weather</div></article>"
+        assert Page(passage).text() == f"Start\n{want}\n{('more of it ' * 12).strip()}", name
+    assert Page(f"<body><p>Own text</p><div class='comments'>{story}</div></body>").text() == "Own text"
+
+
+def test_the_tree_decides_on_names(spark):
+    def page(i):  # page 0 has little of its own in the widget, page 1 has a promotion longer than its story
+        story = "".join(f"<p>Line {i} {j} of the story goes on and on</p>" for j in range(1 if i < 2 else 20))
+        deal = f"Deal {i} " * (40 if i == 1 else 1)
+        return (f"<body><div class='widget'>{story}</div><div class='promo'>{deal}</div>"
+                f"<div class='box'>{'The same words stand on all pages. ' * 3}</div></body>")
+
+    rows = [(i, "http://a.org/x", page(i)) for i in range(12)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert "story" not in Page(page(0)).text() and "Deal" in Page(page(1)).text()  # without the tree
+    for i in got:
+        assert got[i].split("\n") == [f"Line {i} {j} of the story goes on and on" for j in range(1 if i < 2 else 20)]
+
+
+def test_deep_pages_take_linear_memory():
+    source = "<div class='a'>x" * 50_000
+    tracemalloc.start()
+    tree = Page(source, tree=True)
+    text = Page(source).text()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(tree.seen) == 50_000 and text == "\n".join("x" * 50_000) and peak < 100 << 20
