@@ -6,7 +6,8 @@ import re
 import numpy as np
 
 from triagelake.llm import pii
-from triagelake.llm.pii import Field, LABELS, base_spans, find_spans, labelled_lines, mask, op1_field_pii, train
+from triagelake.llm.pii import (
+    Field, LABELS, base_spans, cards_within, find_spans, labelled_lines, mask, masked, op1_field_pii, train)
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -81,7 +82,11 @@ def test_whole_table(spark, sf_dir):
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, *_ in base) for x in PATTERNS]
         assert r.spans.startswith(text)
-        added += len([s for s in r.spans.split(",") if s]) - len(base)
+        more = [s.split(":") for s in r.spans.split(",") if s][len(base):]
+        added += sum(k == "contact" for k, *_ in more)
+        for k, a, b in more:  # a card or ip that a longer match hid is one by itself
+            found = docs[r.doc_id][int(a) : int(b)]
+            assert k == "contact" or [k for k, *_ in plain(found)] == [k.removeprefix("field_")]
     assert sum(r.n_email for r in got) > 10 and added <= 2
 
 
@@ -96,3 +101,18 @@ def test_mask_and_edges(spark):
     assert rows[3].text.endswith("word [EMAIL]") and rows[4].text == "é [PHONE]" and rows[0].n_chars is None
     assert mask(docs.limit(0)).count() == 0
     assert pii.masked("abcdef", [("card", 1, 3), ("phone", 2, 4)]) == "a[CARD]ef"
+
+
+def test_the_field_adds_a_card_that_a_longer_match_hid():
+    field = train()
+    text = "Please use 12 4111 1111 1111 1111 for details."
+    assert base_spans(text)["card"] == []
+    [spans] = find_spans(field, [text])
+    at = text.index("4111")
+    assert ("field_card", at, at + 19) in spans and masked(text, spans).endswith("[FIELD_CARD] for details.")
+    assert cards_within("a 12 4111 1111 1111 1112 b", 2, 24) == cards_within("", 0, 0) == []
+    twice = "see 4111111111111111 4111111111111111 or 4111 1111 1111 1111 5500-0000-0000-0004"
+    [spans] = find_spans(field, [twice])
+    assert [s for s in spans if s[0] == "field_card"] == [("field_card", a, b) for a, b in ((4, 20), (21, 37), (41, 60), (61, 80))]
+    [spans] = find_spans(field, ["host 10.0.0.1 is up, not 300.1.2.3"])
+    assert [k for k, *_ in spans] == ["ip"]

@@ -4,12 +4,14 @@ The patterns give the base spans (email, ip, card, phone). The field reads word
 blank-separated word and its two neighbours give features, weights are trained from a small
 labelled table (``labelled_lines`` unless another is given), and lines are decoded by Viterbi in
 numpy batches. What it marks beyond the base spans, such as a phone number without a country
-code or an address with a spelled-out @, becomes a span of kind ``contact``. A marked card or ip is
-dropped: the patterns' checks have already refused it.
+code or an address with a spelled-out @, becomes a span of kind ``contact``. A marked card or ip that passes the
+patterns' conditions, and that a longer match which failed them had hidden, becomes one of kind ``field_card`` or ``field_ip``.
 
 Only lines with a digit, an @ or a bracketed "at" are decoded; all kinds need one of them.
 
-Positions are code points, ends exclusive. A null text has no spans and stays null when masked.
+Positions are code points, ends exclusive. A null text has no spans and stays null when masked; empty and blank ones have
+none either. Texts are read whole, line by line, at any length. Repeated rows each give a row, in an empty table there
+is none. Further columns pass through; the query's own columns replace columns of their name.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from triagelake.llm.common import fresh, map_columns, sha256, table
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = "contact"
+#: What spans that the field adds are called.
+NAMES = {"email": ADDED, "phone": ADDED, "card": "field_card", "ip": "field_ip"}
 Span = tuple[int, int]
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -318,15 +322,37 @@ def find_spans(field: Field, texts: list[str | None]) -> list[list[tuple[str, in
         base = base_spans(text)
         spans = [(k, a, b) for k in KINDS for a, b in base[k]]
         for kind, a, b in sorted(marked, key=lambda s: s[1:]):
-            if kind in ("email", "phone") and is_contact(kind, text[a:b]):
-                if all(b <= c or d <= a for _, c, d in spans):
-                    spans.append((ADDED, a, b))
+            if kind == "phone" and not is_added(kind, text[a:b]):
+                kind = "card"  # more digits than a phone has
+            for a, b in cards_within(text, a, b) if kind == "card" else [(a, b)]:
+                if is_added(kind, text[a:b]) and all(b <= c or d <= a for _, c, d in spans):
+                    spans.append((NAMES[kind], a, b))
         out.append(spans)
     return out
 
 
-def is_contact(kind: str, found: str) -> bool:
-    """What the field may add: seven digits or more for a phone, two named parts for an address."""
+def cards_within(text: str, a: int, b: int) -> list[Span]:
+    """The cards in what is marked: from each word on the longest of one to five words that are one."""
+    words, found, i = [m.span() for m in WORD.finditer(text, a, b)], [], 0
+    while i < len(words):
+        for j in range(min(len(words), i + 5), i, -1):
+            span = words[i][0], words[j - 1][1]
+            if CARD.fullmatch(text, *span) and is_card(text[slice(*span)]):
+                found.append(span)
+                i = j
+                break
+        else:
+            i += 1
+    return found
+
+
+def is_added(kind: str, found: str) -> bool:
+    """What the field may add: seven digits or more for a phone, two named parts for an address; cards and
+    addresses of hosts that a longer match of the patterns hid, by the patterns' own conditions."""
+    if kind == "card":
+        return is_card(found)
+    if kind == "ip":
+        return bool(IP.fullmatch(found)) and small_parts(found)
     if kind == "phone":
         return 7 <= sum(c in "0123456789" for c in found) <= 15
     return bool(re.search(r"\w\s*(@|[\[(]at[\])])\s*\w", found)) and len(found) < 200
