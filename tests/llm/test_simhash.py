@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from triagelake.llm.simhash import fingerprint, keep_one, link_classes, near_groups
-from triagelake.llm.graph import components
+from triagelake.llm.graph import components, stars
 
 
 def slow_fingerprint(text, k=4):
@@ -82,3 +82,25 @@ def test_edges(spark):
     assert sorted((r.doc_id for r in kept), key=str) == [3, 7, 9, None]
     assert keep_one(docs).columns == docs.columns
     assert keep_one(docs.limit(0)).count() == 0
+
+
+def test_components_of_a_hub_equal_brute_force(spark):
+    random = np.random.default_rng(3)
+    pairs = [(0, int(v)) for v in random.permutation(np.arange(1, 1_500))]  # one node meets most edges
+    pairs += [(5_000, int(v)) for v in range(4_000, 4_400)]  # and one is the largest of its component
+    pairs += [(int(a), int(a) + 1) for a in range(6_000, 6_300)] + [(7, 7), (6_000, 6_001), (6_001, 6_000)]
+    want = {v: 0 for v in range(1, 1_500)} | {v: 4_000 for v in [*range(4_001, 4_400), 5_000]}
+    want |= {v: 6_000 for v in range(6_001, 6_301)}
+    edges = spark.createDataFrame(pairs, "u long, v long")
+    got = components(edges).collect()
+    assert {r.node: r.label for r in got} == want and len(got) == len(want)
+    assert components(edges.limit(0)).count() == 0
+
+
+def test_rows_of_a_hub_do_not_meet_in_one_task(spark):
+    ends = spark.createDataFrame([(0, v) for v in range(1, 2_000)] + [(v, v + 1) for v in range(1, 1_000)], "u long, v long")
+    near, low = stars(ends, ends.count())
+    assert low.count() == 1_000
+    sizes = near.rdd.mapPartitions(lambda rows: [sum(r.u == 0 for r in rows)]).collect()
+    assert sum(sizes) == 1_999 and max(sizes) < 1_000  # the rows of node 0 stay dealt as they were
+    assert {(r.u, r.m) for r in near.collect()} == {(0, 1)} | {(v, v + 1) for v in range(1, 1_000)}
