@@ -4,7 +4,7 @@ import pytest
 from triagelake.llm import embeddings
 from triagelake.llm.embeddings import (
     MARGIN, SLACK, audit, audited_links, build_graph, centroids, classes_of, merged, near_links, near_pairs, near_vectors,
-    op2_pruned_graph, range_pairs, robust_prune, shards_of, tiles_of, unit)
+    op2_pruned_graph, range_pairs, recall, robust_prune, shards_of, tiles_of, unit)
 
 
 def slow(ids, x, limit=0.9):
@@ -128,3 +128,12 @@ def test_search_is_audited_and_widened(spark, monkeypatch, caplog):
     caplog.clear()
     got = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
     assert "recall 1.0000" in caplog.text and [got[i] for i in range(len(x))] == want.tolist()
+
+
+def test_a_large_group_does_not_hide_lost_links(spark):
+    true = {i: 9_000 for i in range(30)} | {100 + i: 1 for i in range(60)} | {200: 40, 300: 0}
+    rows = [(i, 9_000) for i in range(30)] + [(100 + i, 1) for i in range(51)] + [(100, 0), (999, 5)]
+    links = spark.createDataFrame(rows, "cid long, near long")
+    assert recall(true, links) == 0.85  # of the pairs; 0.9996 of all links; class 200 is a stratum of one
+    assert recall({300: 0}, links) == recall({}, links) == 1.0
+    assert recall({100 + i: 1 for i in range(10)}, links) == 1.0

@@ -17,6 +17,7 @@
 5. Pairs are verified by their cosine in double precision. A pair that meets in several tiles is counted
    in one; tiles give counts and the edges that connect, not pairs.
 6. The links of a sample of classes are counted by brute force. While less than ``RECALL`` of them was found,
+   of all or of any stratum of classes with like numbers of links,
    shards and search are widened; the last of ``STEPS`` compares all that could link, and misses nothing.
    The figure is logged.
 
@@ -58,6 +59,8 @@ QUERIES = 256
 #: Share of the links of ``AUDITED`` classes that has to be found.
 RECALL = 0.95
 AUDITED = 1_000
+#: Classes of the sample from which a stratum of like numbers of links has a share of its own.
+STRATUM = 20
 #: Margin, slack, and whether all rows of a tile are compared: how the search is widened.
 STEPS = ((MARGIN, SLACK, False), (0.3, 2 * SLACK, False), (1.0, SLACK, True))
 
@@ -387,9 +390,20 @@ def true_links(classes: DataFrame, limit: float = LIMIT, sample: int = AUDITED)
 
 
 def recall(true: dict[int, int], links: DataFrame) -> float:
-    """Share of the ``true`` links of its classes that ``links`` (cid, near) holds."""
-    found = links.where(F.col("cid").isin(list(true))).agg(F.sum("near")).first()[0] or 0
-    return found / sum(true.values()) if sum(true.values()) else 1.0
+    """Share of the ``true`` links of its classes that ``links`` (cid, near) holds: the least of that of all
+    links and those of the strata of classes, a stratum being all with up to twice as many links as
+    its fewest, and its share the mean of its classes'. So a large group, which has most links, does not hide
+    what is lost outside it. Strata of under ``STRATUM`` classes say too little by themselves."""
+    true = {c: n for c, n in true.items() if n}
+    if not true:
+        return 1.0
+    of_sample = links.where(F.col("cid").isin(list(true))).groupBy("cid").agg(F.sum("near").alias("near"))
+    found = {r.cid: r.near for r in of_sample.collect()}  # a row for each class of the sample at most
+    strata: dict[int, list[float]] = {}
+    for c, n in true.items():
+        strata.setdefault(n.bit_length(), []).append(found.get(c, 0) / n)
+    shares = [sum(s) / len(s) for s in strata.values() if len(s) >= STRATUM]
+    return min([sum(found.values()) / sum(true.values()), *shares])
 
 
 def audit(classes: DataFrame, pairs: DataFrame, limit: float = LIMIT, sample: int = 200) -> float:
