@@ -3,10 +3,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from triagelake.llm import collocations as c
-from triagelake.llm.collocations import collocations, frequent_slots
+from triagelake.llm.collocations import collocations, count_phrases, frequent_slots, packed_phrases
 
 
 def slow_collocations(rows, threshold=10, inside=50, top=2000):
@@ -89,3 +90,24 @@ def test_slots_hold_the_frequent(spark, rows):
     assert log == 13 and all(0 < np.unpackbits(bits).sum() < 1024 for bits in frequent)
     with pytest.raises(ValueError):
         frequent_slots(docs, shards=11)
+
+
+def test_tasks_send_packed_counts(spark):
+    """Twenty times the frequent phrases are no more rows between the tasks."""
+    sent = []
+    for n in (100, 2000):
+        text = " ".join(f"w{i}" for i in range(n))
+        docs = spark.createDataFrame([("en", text)] * 12, "lang string, text string").coalesce(1)
+        frequent, log = frequent_slots(docs)
+        sent.append(packed_phrases(docs, frequent, log).count())
+        counts = count_phrases(docs, frequent, log)
+        assert dict(counts.where("k = 3").groupBy("n").count().collect()) == {12: n - 2}
+    assert sent[1] <= sent[0] <= 4
+
+
+def test_hashes_of_words():
+    """Words of any length differ, and hash alike wherever they stand; borders are 0."""
+    words = [b"a" * n for n in range(1, 150)] + [b"a" * n + b"b" for n in range(150)] + ["é".encode(), b"\x00", b"\x00\x00"]
+    found = c._numbers(pa.array(words + [c.BORDER] + words[::-1], pa.large_binary()).slice(1))
+    assert len(set(found.tolist())) == len(words) + 1 and found[len(words) - 1] == 0
+    assert found[: len(words) - 1].tolist() == found[: len(words) - 1 : -1][: len(words)].tolist()[1:]

@@ -27,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -43,7 +44,7 @@ TOP = 2000
 SHARDS = 3
 MAX_SLOTS = 1 << 26
 PART = 1 << 18
-#: Words whose hashes a task keeps, and phrases it adds up before it sends them.
+#: Words that are hashed at once, and phrases a task adds up before it sends them.
 WORDS = 1 << 18
 HELD = 1 << 19
 NEVER = 255
@@ -55,6 +56,9 @@ SINCE = np.uint64(31)
 BORDER = b"\xff"
 _CLEAN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + BORDER * 10)
+#: Bytes of a word that are hashed together with those of other words; the lowest bytes of eight.
+LONG = 64
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -66,14 +70,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class _Numbers(dict):
-    """The hash of a word; 0 stands for a border. Beyond ``WORDS`` words it starts anew."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        value = self[word] = 0 if word == BORDER else xxhash.xxh3_64_intdigest(word) | 1
-        return value
+def _numbers(words: pa.Array) -> np.ndarray:
+    """A hash of each word, of eight bytes at a time; 0 for a border. Words of over ``LONG`` bytes are hashed one by one."""
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.concatenate([np.frombuffer(words.buffers()[2], np.uint8)[at[0] : at[-1]], np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the eight bytes from each place on
+    start, size = at[:-1] - at[0], np.diff(at)
+    out = _mix(size.astype(np.uint64))
+    of = np.arange(len(size))
+    for done in range(0, LONG, 8):
+        if not len(of):
+            break
+        out[of] = _mix(out[of] ^ (eight[start[of] + done] & _FIRST[np.minimum(size[of] - done, 8)]))
+        of = of[size[of] > done + 8]
+    for i in of.tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i] : start[i] + size[i]])
+    out |= np.uint64(1)
+    out[data[start] == BORDER[0]] = 0
+    return out
 
 
 def _tokens(text: str | None) -> list[bytes]:
@@ -101,10 +115,10 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.
         yield tokens, np.repeat(np.arange(len(langs)), sizes), langs
 
 
-def _hashes(tokens: list[bytes], lang: np.ndarray, langs: list[str], numbers: _Numbers) -> list[np.ndarray]:
+def _hashes(tokens: pa.Array, lang: np.ndarray, langs: list[str]) -> list[np.ndarray]:
     """For each length, the hash of the phrase that starts at a token, 0 where a border cuts it. The language is part
     of it."""
-    words = np.fromiter(map(numbers.__getitem__, tokens), np.uint64, len(tokens))
+    words = np.concatenate([_numbers(tokens.slice(at, WORDS)) for at in range(0, len(tokens), WORDS)])
     of = np.array([xxhash.xxh3_64_intdigest(x.encode(), 1) for x in langs], np.uint64)[lang]
     border = words == 0
     phrases, out = _mix(words ^ of) | np.uint64(1), []
@@ -177,7 +191,6 @@ def _scan(shard: DataFrame, step: int, shards: int, log: int, buckets_log: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         active = Active(log, [_shared(x) for x in names])
-        numbers = _Numbers()
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def packed(k: int) -> pa.RecordBatch:
@@ -194,8 +207,8 @@ def _scan(shard: DataFrame, step: int, shards: int, log: int, buckets_log: int,
             held[k] = [_summed(*map(np.concatenate, zip(*held[k])))]
             return len(held[k][0][0])
 
-        for part in _parts(batches):
-            hashes = _hashes(*part, numbers)
+        for tokens, lang, langs in _parts(batches):
+            hashes = _hashes(pa.array(tokens, pa.large_binary()), lang, langs)
             for k in range(1, LONGEST + 1):
                 since = active.since(k, hashes)
                 now = (since < step) & (step <= since.astype(np.int64) + shards)
@@ -301,34 +314,75 @@ def _finer(counts: DataFrame, threshold: int, log: int, buckets_log: int) -> lis
     return out
 
 
-def count_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> DataFrame:
-    """(lang, k, phrase, n): the phrases in ``frequent`` slots with their words, and for k = 0 all words of a language."""
+#: A task's counts of phrases: the language as a number, the phrase with a line feed, which no word has.
+_COUNTED = pa.schema([("lang", pa.int64()), ("phrase", pa.large_binary()), ("n", pa.int64())])
+
+
+def _merged(held: list[tuple[np.ndarray, pa.Table]]) -> tuple[np.ndarray, pa.Table]:
+    """Distinct keys in order, and a row for each with its phrase and the sum of its counts."""
+    keys = np.concatenate([x for x, _ in held])
+    rows = pa.concat_tables([x for _, x in held]).combine_chunks()
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    n = np.add.reduceat(rows["n"].to_numpy()[order], new)
+    return keys[new], rows.take(pa.array(order[new])).set_column(2, "n", pa.array(n))
+
+
+def _lines(phrases: bytes, size: int) -> pa.Array:
+    """The phrases of a packed row."""
+    lines = pa.decompress(phrases, size, "zstd")
+    ends = np.flatnonzero(np.frombuffer(lines, np.uint8) == 10) + 1
+    at = np.concatenate([np.zeros(1, np.int64), ends])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), lines])
+
+
+def packed_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> DataFrame:
+    """(bucket, langs, lang, phrases, size, n): what each task counted of the phrases in ``frequent`` slots, with their words,
+    and in an empty phrase of all words of a language. Packed: a row for a range of hashes, its phrases a line each."""
     spark = docs.sparkSession
     names = [_share(spark, bits) for bits in frequent]
+    buckets_log = max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [_shared(x) for x in names]
-        numbers = _Numbers()
-        words: dict[str, int] = {}
-        named: dict[int, tuple[str, int, bytes]] = {}
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def rows(lang, k, phrase, n) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(k, pa.int32()), pa.array([p.decode() for p in phrase], pa.string()),
-                 pa.array(n, pa.int64())], ["lang", "k", "phrase", "n"])
-
-        def emitted() -> pa.RecordBatch:
-            keys, n = _summed(*map(np.concatenate, zip(*held)))
-            lang, k, phrase = zip(*map(named.__getitem__, keys.tolist()))
-            held.clear(), named.clear()
-            return rows(lang, k, phrase, n)
-
+        all_langs: dict[str, int] = {}
+        held: list[tuple[np.ndarray, pa.Table]] = []
+
+        def hold(keys: np.ndarray, lang: np.ndarray, phrase: pa.Array, n: np.ndarray) -> None:
+            held.append((keys, pa.table([pa.array(lang), phrase, pa.array(n)], schema=_COUNTED)))
+
+        def together() -> int:
+            held[:] = [_merged(held)]
+            return len(held[0][0])
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            keys, rows = held.pop()
+            named = list(all_langs)
+            lang, n, phrase = rows["lang"].to_numpy(), rows["n"].to_numpy(), rows["phrase"].combine_chunks()
+            phrase = phrase.chunk(0) if isinstance(phrase, pa.ChunkedArray) else phrase
+            at = np.frombuffer(phrase.buffers()[1], np.int64)[phrase.offset :]
+            bucket = (keys >> np.uint64(64 - buckets_log)).astype(np.int32)
+            border = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
+            for i, j in zip(border, border[1:]):
+                mine, number = np.unique(lang[i:j], return_inverse=True)
+                lines = phrase.buffers()[2][int(at[i]) : int(at[j])]
+                cells = [int(bucket[i]), [named[x] for x in mine.tolist()], _small(number),
+                         pa.compress(lines, "zstd", asbytes=True), len(lines), _small(n[i:j])]
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(cells, types)], fields)
+
+        fields = ["bucket", "langs", "lang", "phrases", "size", "n"]
+        types = [pa.int32(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
         for tokens, lang, langs in _parts(batches):
-            hashes = _hashes(tokens, lang, langs, numbers)
-            for x, n in zip(langs, np.bincount(lang, hashes[0] != 0).astype(np.int64).tolist()):
-                if n:
-                    words[x] = words.get(x, 0) + n
+            words = pa.array(tokens, pa.large_binary())
+            ended = pc.binary_join_element_wise(words, pa.scalar(b"", pa.large_binary()), pa.scalar(b"\n", pa.large_binary()))
+            hashes = _hashes(words, lang, langs)
+            number = np.array([all_langs.setdefault(x, len(all_langs)) for x in langs])[lang]
+            mine, n = np.unique(number[hashes[0] != 0], return_counts=True)
+            if len(mine):
+                named = list(all_langs)
+                keys = np.array([xxhash.xxh3_64_intdigest(named[x].encode(), 2) for x in mine.tolist()], np.uint64)
+                hold(keys, mine, pa.array([b"\n"] * len(mine), pa.large_binary()), n)
             for k, (of, bits) in enumerate(zip(hashes, maps), 1):
                 slot = (of >> np.uint64(64 - log)).astype(np.int64)
                 at = np.flatnonzero((of != 0) & (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool))
@@ -336,20 +390,50 @@ def count_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> Data
                     continue
                 at = at[np.argsort(of[at])]
                 new = np.flatnonzero(np.concatenate([[True], of[at[1:]] != of[at[:-1]]]))
-                keys = of[at[new]]
-                for key, i in zip(keys.tolist(), at[new].tolist()):
-                    if key not in named:
-                        named[key] = langs[lang[i]], k, b" ".join(tokens[i : i + k])
-                held.append((keys, np.diff(np.append(new, len(at)))))
-            if len(named) > WORDS:
-                yield emitted()
+                first = at[new]
+                phrase = [(words if i < k - 1 else ended).take(pa.array(first + i)) for i in range(k)]
+                if k > 1:
+                    phrase = [pc.binary_join_element_wise(*phrase, pa.scalar(b" ", pa.large_binary()))]
+                hold(of[first], number[first], phrase[0], np.diff(np.append(new, len(at))))
+            if sum(len(x) for x, _ in held) > 2 * HELD and together() > HELD:
+                yield from packed()
         if held:
-            yield emitted()
-        if words:
-            yield rows(list(words), [0] * len(words), [b""] * len(words), list(words.values()))
+            together()
+            yield from packed()
+
+    return docs.select("lang", "text").mapInArrow(
+        run, "bucket int, langs array<string>, lang binary, phrases binary, size long, n binary")
+
+
+def count_phrases(docs: DataFrame, frequent: list[np.ndarray], log: int) -> DataFrame:
+    """(lang, k, phrase, n): the phrases in ``frequent`` slots, added up by their words, and for k = 0 all words of a language."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for bucket, *cells in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(bucket, []).append(cells)
+        for bucket in sorted(held):
+            all_langs: dict[str, int] = {}
+            tables = []
+            for langs, lang, phrases, size, n in held.pop(bucket):
+                lines = _lines(phrases, size)
+                number = np.array([all_langs.setdefault(x, len(all_langs)) for x in langs])
+                tables.append(pa.table(
+                    [pa.array(number[_large(lang, len(lines))]), lines, pa.array(_large(n, len(lines)))], schema=_COUNTED))
+            sums = pa.concat_tables(tables).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+            for rows in sums.combine_chunks().to_batches(1 << 16):
+                lines = rows.column("phrase")
+                k = pc.add(pc.count_substring(lines, " "), 1).to_numpy(zero_copy_only=False).astype(np.int32)
+                k[pc.equal(lines, pa.scalar(b"\n", pa.large_binary())).to_numpy(zero_copy_only=False)] = 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(all_langs)).take(rows.column("lang")), pa.array(k),
+                     pc.binary_slice(lines, 0, -1).cast(pa.large_string()).cast(pa.string()), rows.column("n_sum")],
+                    ["lang", "k", "phrase", "n"])
 
-    found = docs.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, n long")
-    return materialise(found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = packed_phrases(docs, frequent, log).repartition(parts, "bucket")
+    return materialise(found.mapInArrow(add, "lang string, k int, phrase string, n long"))
 
 
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, inside_percent: int = INSIDE_PERCENT, top: int = TOP,
