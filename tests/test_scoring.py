@@ -118,6 +118,22 @@ def test_client_is_made_once_per_task(spark):
     assert exchange(df, factory).select("response").distinct().count() <= 2
 
 
+def test_few_requests_are_objects_at_once(spark):
+    """A scorer gets the requests of a task in small parts, in order, and all other columns pass."""
+
+    def factory():
+        return lambda requests: pd.Series([f"{len(requests)}"] * len(requests), index=requests.index)
+
+    df = spark.range(1000).repartition(1).select(
+        "id", F.array(F.lit("a"), F.lit(None)).alias("tags"), F.lit("q").alias("request"),
+        F.timestamp_seconds("id").alias("at"),
+    )
+    got = exchange(df, factory)
+    assert got.columns == ["id", "tags", "at", "response"]
+    assert max(int(r[0]) for r in got.select("response").distinct().collect()) <= 256
+    assert got.drop("response").exceptAll(df.drop("request")).count() == 0 and got.count() == 1000
+
+
 def test_estimated_tokens(spark):
     df = spark.createDataFrame([("",), (None,), ("abc",), ("abcd",), ("é" * 9000,)], "b string")
     assert [r[0] for r in df.select(estimated_tokens(F.col("b"))).collect()] == [1, 1, 1, 2, 2251]

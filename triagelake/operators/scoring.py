@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,9 @@ from triagelake.operators.incremental import unscored_rows
 # client is opened once and not for every record.
 ScorerFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 
+#: Requests that are Python objects at once, which bounds a task's memory by this many long texts.
+ROWS = 256
+
 
 def keyword_score(
     df: DataFrame, terms: dict[str, list[str]], text: str = "body", fallback: str = "other"
@@ -103,21 +107,23 @@ def keyword_scorer(terms: dict[str, list[str]], fallback: str = "other") -> Scor
 
 
 def exchange(df: DataFrame, scorer: ScorerFactory, request: str = "request") -> DataFrame:
-    """Send each row's request to the scorer and add its answer as ``response``."""
+    """Send each row's request to the scorer, ``ROWS`` at a time, and add its answer as ``response``."""
     import triagelake.operators.scoring as here
 
     cloudpickle.register_pickle_by_value(here)  # executors need no installed copy
-    columns = df.columns
+    kept = [df.schema[c] for c in df.columns if c != request]
+    names = [f.name for f in kept]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answer = scorer()
         for batch in batches:
-            batch["response"] = answer(batch.pop(request))
-            yield batch
+            for at in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(at, ROWS)
+                response = pa.Array.from_pandas(answer(rows.column(request).to_pandas()), type=pa.string())
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in names], response], [*names, "response"])
 
-    kept = [df.schema[c] for c in columns if c != request]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return df.mapInPandas(run, f"{fields}, response string")
+    return df.mapInArrow(run, f"{fields}, response string")
 
 
 def score(
