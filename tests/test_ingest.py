@@ -1,12 +1,14 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from triagelake.operators.ingest import (
     edited_records,
     existing_counts,
     ingest,
     latest_per_key,
+    new_of_counted,
     new_records,
     normalise,
 )
@@ -106,6 +108,28 @@ def test_copies_inside_a_batch_and_the_newest_wins(spark, rows):
     assert latest_per_key(pages, ["id"]).columns == pages.columns
 
 
+def test_rows_without_copies_stay_where_they_are(spark, rows, tmp_path):
+    """Of counted keys only those with copies are regrouped; the result is that of ``new_records``."""
+
+    def written(name, made):
+        made.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    single = [(r, i, "2026", "u", "t") for i in range(40) for r in ("a", None)]
+    copies = [("a", 100, "2026", "u1", "x"), ("a", 100, "2026", "u2", "y"), (None, 100, "2026", "u", "z"),
+              (None, 100, "2026", "u", "w"), ("b", None, "2025", "u", "n"), ("b", None, "2026", "u", "m")]
+    stored = spark.createDataFrame([("a", 3), (None, 4), ("a", 100)], "repo string, id long")
+    for name, made in (("single", single), ("some", single + copies), ("most", single[:3] + copies)):
+        incoming = written(name, spark.createDataFrame(made, SCHEMA))
+        counts = written(f"{name}-keys", incoming.groupBy("repo", "id").agg(F.count("*").alias("copies")))
+        found = new_of_counted(incoming, stored, counts)
+        assert found.columns == incoming.columns
+        key = lambda x: [(v is not None, v) for v in x]
+        assert sorted(map(tuple, found.collect()), key=key) == sorted(map(tuple, new_records(incoming, stored).collect()), key=key)
+        if name == "single":
+            assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_existing_counts_are_distinct(spark, rows):
     stored = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1)], "repo string, id long")
     assert rows(existing_counts(stored)) == [("a", 2), ("b", 1)]

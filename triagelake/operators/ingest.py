@@ -86,6 +86,26 @@ def new_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return newest.join(_keys(stored), ["repo", "id"], "left_anti").select(*incoming.columns)
 
 
+def new_of_counted(incoming: DataFrame, stored: DataFrame, counts: DataFrame) -> DataFrame:
+    """As ``new_records``, of written rows whose keys are counted, and written too: ``counts`` (repo, id, copies).
+
+    A row that is the only one of its key stays where it is; the others alone are regrouped. Where
+    they are over a quarter of the rows, all are: that reads and moves fewer.
+    """
+    copies = F.col("copies")
+    several, rows = counts.agg(F.sum(F.when(copies > 1, copies)), F.sum(copies)).first()
+    if several and several * 4 > rows:
+        return new_records(incoming, stored)
+    once, keys = incoming, None
+    if several:
+        keys = materialise(_keys(counts.where(copies > 1)))
+        named = keys.select(F.col("repo").alias("_repo"), F.col("id").alias("_id"))
+        same = F.col("repo").eqNullSafe(F.col("_repo")) & F.col("id").eqNullSafe(F.col("_id"))
+        once = incoming.join(named, same, "left_anti")
+    new = once.join(_keys(stored), ["repo", "id"], "left_anti").select(*incoming.columns)
+    return new if keys is None else new.unionByName(new_records(only_keys(incoming, keys), stored))
+
+
 def edited_records(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """The newest incoming row of each stored key that was updated after every stored row of it.
 

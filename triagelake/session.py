@@ -26,14 +26,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/triagelake/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once and go on from what was written, which survives the loss of executors.
 
     A Parquet table below the checkpoint folder: smaller than a checkpoint of rows, and later
-    steps read only the columns they need.
+    steps read only the columns they need. ``compression`` is that of the session unless given.
     """
     path = scratch_path(df.sparkSession, "step")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -113,7 +113,7 @@ class BucketedTable:
         """(bucket, path) of new files with ``rows``: one a bucket, or several where a key makes it large."""
         place = f"data/{uuid.uuid4().hex}"
         dealt = rows.select(*self.full.fieldNames(), self._bucket().alias("_bucket")).hint("rebalance", F.col("_bucket"))
-        dealt.write.partitionBy("_bucket").parquet(f"{self.root}/{place}")
+        dealt.write.partitionBy("_bucket").parquet(f"{self.root}/{place}", compression="zstd")
         found = []
         for folder in self._fs.listStatus(self._path(f"{self.root}/{place}")) or []:
             name = folder.getPath().getName()

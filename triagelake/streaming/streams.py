@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from triagelake.operators.incremental import pending
-from triagelake.operators.ingest import ingest, latest_per_key, new_records, records
+from triagelake.operators.ingest import ingest, latest_per_key, new_of_counted, records
 from triagelake.schemas import CLASSIFICATION, RAW
 from triagelake.session import materialise
 from triagelake.sources.pages import stream_pages
@@ -60,11 +60,11 @@ def ingest_stream(
         run_id, stored = _run_id(batch, batch_id), record_table(batch.sparkSession, table)
         if stored.has_run(run_id):
             return
-        batch = materialise(batch)  # the pages are parsed once
-        keys = materialise(batch.select("repo", "id").distinct())
+        batch = materialise(batch, "zstd")  # the pages are parsed once
+        keys = materialise(batch.groupBy("repo", "id").agg(F.count("*").alias("copies")))
         known = materialise(stored.read_for(keys).select("repo", "id"))
         if not repo_caps and total_cap is None:
-            fresh = new_records(batch, known)
+            fresh = new_of_counted(batch, known, keys)
         else:  # stored records have no copies, so rows are ids
             counts = stored.read().groupBy("repo").agg(F.count("*").alias("n"))
             fresh = ingest(batch, known, repo_caps, total_cap, counts)
