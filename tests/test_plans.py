@@ -154,3 +154,21 @@ def test_texts_that_are_scored_do_not_move(spark, tmp_path):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_times_of_other_versions_are_not_grouped(spark):
+    """Classifications of an id in other versions are one entry of a task, whatever their times; all are counted."""
+    from triagelake.operators.quality import key_violations
+
+    issues = spark.createDataFrame([(1, "t7"), (2, None)], "id long, updated_at string").coalesce(1)
+    rows = spark.range(1000).coalesce(1).select(
+        F.lit(1).cast("long").alias("issue_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("issue_updated_at"),
+        F.when(F.col("id") < 10, "v").when(F.col("id") < 900, "w").alias("classifier_version"),
+    )
+    found = key_violations(issues, rows, "v")
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("Classification IDs missing from issues", 0), ("Duplicate classification issue IDs", 1),
+        ("Duplicate issue IDs", 0), ("Stale V classifications", 9),
+    ]
+    text = found._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"CASE WHEN .*classifier_version.* THEN issue_updated_at", text)  # grouped by no other time

@@ -105,16 +105,17 @@ def key_violations(issues: DataFrame, classifications: DataFrame, version: str)
 
     The tables are counted per (id, update time) before they meet, so an id with very many rows
     shrinks to a few counts. Stale rows are pairs of equal id and different time: all pairs of an
-    id less the pairs of equal time, which needs products of counts and no pairs.
+    id less the pairs of equal time, which needs products of counts and no pairs. The time of a classification
+    of another version is in no such pair and is left out, so that those of an id are one entry of a task.
     """
+    current = F.coalesce(F.col("classifier_version") == version, F.lit(False))
     stamps = issues.select(
         "id", F.col("updated_at").alias("stamp"),
         F.lit(1).alias("i"), F.lit(0).alias("c"), F.lit(0).alias("v"),
     ).unionByName(
         classifications.select(
-            F.col("issue_id").alias("id"), F.col("issue_updated_at").alias("stamp"),
-            F.lit(0).alias("i"), F.lit(1).alias("c"),
-            F.coalesce((F.col("classifier_version") == version).cast("int"), F.lit(0)).alias("v"),
+            F.col("issue_id").alias("id"), F.when(current, F.col("issue_updated_at")).alias("stamp"),
+            F.lit(0).alias("i"), F.lit(1).alias("c"), current.cast("int").alias("v"),
         )
     )
     per_stamp = stamps.groupBy("id", "stamp").agg(
