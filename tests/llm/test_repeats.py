@@ -1,5 +1,8 @@
 import hashlib
+import os
 import random
+import time
+import uuid
 
 import numpy as np
 import pytest
@@ -75,6 +78,37 @@ def test_kept_bytes(spark, cases):
     assert sorted(map(tuple, kept.collect()), key=str) == slow_repeats(cases)
 
 
+def _bytes_below(folders):
+    return sum(os.lstat(os.path.join(d, f)).st_size for top in folders for d, _, names in os.walk(top) for f in names)
+
+
+def test_texts_are_neither_stored_nor_shuffled(spark, tmp_path, monkeypatch):
+    """Every text shares a line with all others, which is shorter than a window: nothing is removed, and no text moves."""
+    r = random.Random(8)
+    line = _prose(r, 20)[:80]
+    rows = [(i, f"{r.getrandbits(20_000):x}{line}{r.getrandbits(20_000):x}") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    monkeypatch.setattr(
+        repeats, "materialise", lambda df: df.write.parquet(to := f"{tmp_path}/steps/{uuid.uuid4().hex}") or spark.read.parquet(to))
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(1)
+    before = _bytes_below(local)
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    size = sum(len(t) for _, t in rows)
+    assert repeated_spans(docs).agg(F.sum(F.size("spans")), F.sum(F.length("text"))).first() == (0, size)
+    assert _bytes_below([*local, f"{tmp_path}/steps"]) - before < size
+
+
+def test_repeated_rows(spark, cases):
+    """Rows that repeat within a task and across tasks share their spans and stay rows of their own."""
+    rows = cases + cases[:12] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    kept = without_repeats(docs).select(
+        "doc_id", "n_bytes", F.col("n_bytes") - F.length("kept"), F.size("spans"), F.sha2("kept", 256))
+    assert sorted(map(tuple, kept.collect()), key=str) == slow_repeats(rows)
+
+
 def test_empty_table(spark):
     assert without_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -16,6 +16,10 @@ passes see only what still agrees with something.
   (``radix_groups``). A digit of more than ``HOT`` remaining runs, such as a line shorter than a window that very many
   texts hold, is dealt by whole windows instead, of which a part of a task sends each once.
 
+Texts stay where they are: passes read them anew, and which runs go on to pass 3 comes back as a second bitmap, a bit for
+a run; what passes it by chance is compared and changes no result. Spans are joined to those texts only that have some, by
+a third bitmap. A text is known by its doc_id and a hash of both.
+
 Order is (doc_id, start), a null doc_id first. A window at an equal doc_id and start, as in repeated
 rows, is not earlier: rows of one doc_id are documents of their own and tie at equal starts.
 A null text is empty; texts shorter than the window keep all bytes; a long text is one of many rows of an Arrow
@@ -25,12 +29,12 @@ is read, so their names cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import SparkFiles, TaskContext
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,9 +171,11 @@ def _slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = end
 
 
-def _repeated_digits(texts: DataFrame, buckets_log: int) -> DataFrame:
-    """(bucket, digits): the digits that occur at more than one place, packed and in order. A bucket is
-    the highest bits of a digit."""
+def _numbers(
+    rows: DataFrame, numbers: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], buckets_log: int, several: bool = False,
+) -> DataFrame:
+    """(bucket, numbers): the 64-bit numbers made of ``rows``, or those made more than once, packed and in order. A bucket is
+    the highest bits of a number."""
     shift = np.uint64(64 - buckets_log)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,57 +184,73 @@ def _repeated_digits(texts: DataFrame, buckets_log: int) -> DataFrame:
         def packed() -> pa.RecordBatch:
             found = np.sort(np.concatenate(held))
             held.clear()
-            new = np.ones(len(found), bool)
-            new[1:] = found[1:] != found[:-1]
-            second = np.zeros(len(found), bool)
-            second[1:] = new[:-1] & ~new[1:]
-            found = found[new | second]  # a digit goes out once, or twice where it is repeated here
+            kept = np.ones(len(found), bool)
+            kept[1:] = found[1:] != found[:-1]
+            if several:  # a number goes out once, or twice where it is repeated here
+                kept[1:] |= kept[:-1]
+            found = found[kept]
             bucket = found >> shift if buckets_log else np.zeros(len(found), np.uint64)
             border = np.flatnonzero(np.diff(bucket)) + 1
             parts = np.split(found, border)
             return pa.RecordBatch.from_arrays(
                 [pa.array([int(b[0] >> shift) if buckets_log else 0 for b in parts], pa.int32()),
-                 pa.array([b.tobytes() for b in parts], pa.binary())], ["bucket", "digits"])
+                 pa.array([b.tobytes() for b in parts], pa.binary())], ["bucket", "numbers"])
 
-        for batch in _slices(batches):
-            data, borders = _texts(batch.column("text"))
-            place = runs(data, borders)[2]
-            if len(place):
-                held.append(digits(_padded(data), place))
+        for made in numbers(batches):
+            if len(made):
+                held.append(made)
             if sum(map(len, held)) > HELD:
                 yield packed()
         if held:
             yield packed()
 
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[int, list[bytes]] = {}
         for batch in batches:
             for b, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 got.setdefault(b, []).append(cell)
         for b in sorted(got):
             found = np.sort(np.frombuffer(b"".join(got.pop(b)), np.uint64))
-            found = np.unique(found[1:][found[1:] == found[:-1]])
+            found = np.unique(found[1:][found[1:] == found[:-1]] if several else found)
             if len(found):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b], pa.int32()), pa.array([found.tobytes()], pa.binary())], ["bucket", "digits"])
+                    [pa.array([b], pa.int32()), pa.array([found.tobytes()], pa.binary())], ["bucket", "numbers"])
+
+    shape = "bucket int, numbers binary"
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(rows.mapInArrow(send, shape).repartition(parts, "bucket").mapInArrow(gather, shape))
+
+
+def _digits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in _slices(batches):
+        data, borders = _texts(batch.column("text"))
+        yield digits(_padded(data), runs(data, borders)[2])
+
+
+def _run_number(key: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A 64-bit number of the run that begins at ``start`` of the text of that key."""
+    return _mix(key.view(np.uint64) ^ _mix(start.astype(np.uint64)))
+
+
+def _run_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    return (_run_number(b.column("key").to_numpy(), b.column("start").to_numpy()) for b in batches)
+
 
-    shape = "bucket int, digits binary"
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = texts.select("text").mapInArrow(send, shape)
-    return materialise(sent.repartition(parts, "bucket").mapInArrow(repeated, shape))
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    return (b.column("key").to_numpy().view(np.uint64) for b in batches)
 
 
-def _filter(repeated: DataFrame, buckets_log: int, bits: int = FILTER_BITS) -> tuple[str, int]:
-    """(file name, log2 of bits) of the bitmap of repeated digits, at most ``bits`` bits."""
-    spark = repeated.sparkSession
-    n = repeated.agg(F.coalesce(F.sum(F.length("digits")), F.lit(0))).first()[0] // 8
+def _filter(found: DataFrame, buckets_log: int, bits: int = FILTER_BITS) -> tuple[str, int]:
+    """(file name, log2 of bits) of the bitmap of ``_numbers``, at most ``bits`` bits."""
+    spark = found.sparkSession
+    n = found.agg(F.coalesce(F.sum(F.length("numbers")), F.lit(0))).first()[0] // 8
     log = max(buckets_log + 3, min(bits.bit_length() - 1, (16 * n + 1).bit_length()))
     per_bucket = 1 << (log - buckets_log)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for cell in batch.column("digits").to_pylist():
+            for cell in batch.column("numbers").to_pylist():
                 place = (np.frombuffer(cell, np.uint64) >> np.uint64(64 - log)) & np.uint64(per_bucket - 1)
                 block = np.zeros(per_bucket, bool)
                 block[place.astype(np.int64)] = True
@@ -236,13 +258,24 @@ def _filter(repeated: DataFrame, buckets_log: int, bits: int = FILTER_BITS) -> t
             yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(made, pa.binary())], ["bucket", "bits"])
 
     out = np.zeros(1 << (log - 3), np.uint8)
-    for row in repeated.mapInArrow(blocks, "bucket int, bits binary").collect():
+    for row in found.mapInArrow(blocks, "bucket int, bits binary").collect():
         out[row["bucket"] * per_bucket // 8 : (row["bucket"] + 1) * per_bucket // 8] = np.frombuffer(row["bits"], np.uint8)
     return share_file(spark, out.tobytes(), "repeated"), log
 
 
-_RUN = pa.struct([
-    ("digit", pa.int64()), ("whole", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("later", pa.bool_())])
+def _passes(name: str, log: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Which numbers pass the bitmap."""
+    bits = np.memmap(SparkFiles.get(name), np.uint8, "r")
+
+    def passes(numbers: np.ndarray) -> np.ndarray:
+        at = (numbers >> np.uint64(64 - log)).astype(np.int64)
+        return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+    return passes
+
+
+_RUN = pa.struct([("digit", pa.int64()), ("whole", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
+_STRETCH = pa.struct([("start", pa.int32()), ("windows", pa.int32())])
 
 
 def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -261,20 +294,34 @@ def _behind(group: np.ndarray, named: np.ndarray, doc: np.ndarray, start: np.nda
     return out
 
 
-def _candidates(docs: DataFrame, name: str, log: int) -> DataFrame:
-    """(row, doc_id, text, parts): the rows of ``docs``, numbered, with the runs whose digit passes the bitmap. Of equal
-    runs of one part of a task all but the first are marked as ``later``, so that a passage that very many
-    texts share is sent on once for each part."""
+def _stretches(text: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs in order of text and start; those that touch become one."""
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (start[1:] != start[:-1] + windows[:-1])
+    begin = np.flatnonzero(new)
+    total = np.append(0, np.cumsum(windows))
+    return text[begin], start[begin], total[np.append(begin[1:], len(text))] - total[begin]
+
+
+def _lists(text: np.ndarray, n: int, cells: pa.Array) -> pa.Array:
+    """The cells of each of ``n`` texts; ``text`` is in order."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), cells)
+
+
+def _candidates(texts: DataFrame, name: str, log: int) -> DataFrame:
+    """(key, doc_id, parts, known): the runs whose digit passes the bitmap, without their bytes. Of equal runs of one part of
+    a task only the first is in ``parts`` and the others in ``known``, joined where they touch, so that a passage that very
+    many texts share is sent on once for each part. A repeated row of a part is left out, as is a text without such runs."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.memmap(SparkFiles.get(name), np.uint8, "r")
-        row = TaskContext.get().partitionId() << 33
+        passes = _passes(name, log)
         for batch in _slices(batches):
+            batch = batch.take(pa.array(np.sort(np.unique(batch.column("key").to_numpy(), return_index=True)[1])))
             data, borders = _texts(batch.column("text"))
             start, count, place = runs(data, borders)
             digit = digits(_padded(data), place)
-            at = (digit >> np.uint64(64 - log)).astype(np.int64)
-            passed = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            passed = passes(digit)
             start, count, digit = start[passed], count[passed], digit[passed]
             view, whole = memoryview(data), xxhash.xxh3_64_intdigest
             keys = np.array([whole(view[s : s + c + WINDOW - 1]) for s, c in zip(start.tolist(), count.tolist())], np.uint64)
@@ -286,31 +333,37 @@ def _candidates(docs: DataFrame, name: str, log: int) -> DataFrame:
             new[1:] = (digit[order[1:]] != digit[order[:-1]]) | (keys[order[1:]] != keys[order[:-1]])
             group = np.empty(len(order), np.int64)
             group[order] = np.cumsum(new)
-            cells = pa.StructArray.from_arrays(
-                [pa.array(digit.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(start.astype(np.int32)),
-                 pa.array(count.astype(np.int32)), pa.array(_behind(group, named[text], doc[text], start))], fields=list(_RUN))
-            ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=batch.num_rows))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + batch.num_rows)), batch.column("doc_id"), batch.column("text"),
-                 pa.ListArray.from_arrays(pa.array(ends), cells)], ["row", "doc_id", "text", "parts"])
-            row += batch.num_rows
-
-    return docs.mapInArrow(find, "row long, doc_id long, text string, "
-                           "parts array<struct<digit:long,whole:long,start:int,windows:int,later:boolean>>")
-
-
-def _after_first(rows: DataFrame, key: list[str], shape: str) -> DataFrame:
-    """``rows`` with ``later`` set where an earlier (doc_id, start) has the same key. Rows of a key lie
-    side by side in a sorted partition; only the first place of the current key is held."""
-    out = T._parse_datatype_string(shape)
+            later = _behind(group, named[text], doc[text], start)
+            parts = pa.StructArray.from_arrays(
+                [pa.array(digit[~later].view(np.int64)), pa.array(keys[~later].view(np.int64)),
+                 pa.array(start[~later].astype(np.int32)), pa.array(count[~later].astype(np.int32))], fields=list(_RUN))
+            of, begin, windows = _stretches(text[later], start[later], count[later])
+            known = pa.StructArray.from_arrays(
+                [pa.array(begin.astype(np.int32)), pa.array(windows.astype(np.int32))], fields=list(_STRETCH))
+            n = batch.num_rows
+            out = pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("doc_id"), _lists(text[~later], n, parts), _lists(of, n, known)],
+                ["key", "doc_id", "parts", "known"])
+            yield out.filter(pa.array(np.bincount(text, minlength=n) > 0))
+
+    return texts.mapInArrow(find, "key long, doc_id long, parts array<struct<digit:long,whole:long,start:int,windows:int>>, "
+                            "known array<struct<start:int,windows:int>>")
+
+
+def _after_first(parts: DataFrame) -> DataFrame:
+    """(key, doc_id, start, windows, digit, first) of pass 2: the digit is null where an earlier (doc_id, start) has the same run;
+    ``first`` marks one row of each run. Rows of a run lie side by side in a sorted partition; only the first place of the
+    current run is held."""
+    out = T._parse_datatype_string("key long, doc_id long, start int, windows int, digit long, first boolean")
     arrow = to_arrow_schema(out)
+    run = ["digit", "whole"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, place = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (batch.column(k).to_numpy() for k in key)
+            a, b = (batch.column(k).to_numpy() for k in run)
             named, doc = _ids(batch.column("doc_id"))
             start = batch.column("start").to_numpy()
             new = np.ones(batch.num_rows, bool)
@@ -320,87 +373,70 @@ def _after_first(rows: DataFrame, key: list[str], shape: str) -> DataFrame:
             if current == (a[0], b[0]):  # goes on from the batch before
                 same = first == 0
                 later[same] = (start[same] != place[2]) | (doc[same] != place[1]) | (named[same] != place[0])
+                new[0] = False
             if current != (a[-1], b[-1]) or first[-1]:
                 current, place = (a[-1], b[-1]), (named[first[-1]], doc[first[-1]], start[first[-1]])
-            later |= batch.column("later").to_numpy(zero_copy_only=False)
+            made = {"digit": pa.array(a, mask=later), "first": pa.array(new)}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(later) if f.name == "later" else batch.column(f.name) for f in out.fields], schema=arrow)
+                [made[f.name] if f.name in made else batch.column(f.name) for f in out.fields], schema=arrow)
 
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(parts, *key).sortWithinPartitions(*key, F.col("doc_id").asc_nulls_first(), "start")
-    return ordered.mapInArrow(run, out)
-
-
-def _marks(found: DataFrame) -> DataFrame:
-    """(row, marks) of pass 2: a text's runs that are repeated, without a digit, and those whose windows are still to be
-    compared, for there are other runs with their ``digit``; ``hot`` if there are very many."""
-    parts = found.where(F.size("parts") > 0).select("row", "doc_id", F.explode("parts").alias("r")).select("row", "doc_id", "r.*")
-    decided = materialise(_after_first(
-        parts.where(~F.col("later")), ["digit", "whole"],
-        "row long, digit long, whole long, start int, windows int, later boolean"))
-    ahead = decided.where(~F.col("later"))
-    several = ahead.groupBy("digit").agg(
-        F.min("whole").alias("a"), F.max("whole").alias("b"), F.count("*").alias("n")
-    ).where("a <> b").select("digit", (F.col("n") > HOT).alias("hot"))
-    mark = ["row", "start", "windows", "digit", "hot"]
-    decided_digit = [F.lit(None).cast("long").alias("digit"), F.lit(None).cast("boolean").alias("hot")]
-    return (
-        ahead.join(several, "digit").select(*mark)
-        .unionByName(decided.where("later").select(*mark[:3], *decided_digit))
-        .unionByName(parts.where("later").select(*mark[:3], *decided_digit))
-        .groupBy("row").agg(F.collect_list(F.struct(*mark[1:])).alias("marks"))
-    )
+    shuffles = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = parts.repartition(shuffles, *run).sortWithinPartitions(*run, F.col("doc_id").asc_nulls_first(), "start")
+    return ordered.mapInArrow(mark, out)
 
 
-def _open_runs(texts: DataFrame) -> DataFrame:
-    """(key, row, doc_id, start, windows, later, bytes) of the runs to compare. The key is the digit; of a hot digit every
-    window is a row of its own and the key its hash, and of equal windows of a part of a task the first is kept."""
+def _open_runs(texts: DataFrame, repeated: tuple[str, int], open_runs: tuple[str, int], hot_digits: np.ndarray) -> DataFrame:
+    """(digit, key, doc_id, start, windows, later, bytes) of the runs to compare, those that pass the bitmaps of repeated digits and
+    of open runs. Of a hot digit every window is a row of its own with its hash in the digit's place, and of equal windows of a
+    part of a task the first is kept."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digit_passes, run_passes = _passes(*repeated), _passes(*open_runs)
         for batch in _slices(batches, most=1 << 21):
             data, borders = _texts(batch.column("text"))
-            rows = batch.column("row").to_numpy()
+            keys = batch.column("key").to_numpy()
             named, doc = _ids(batch.column("doc_id"))
-            cells = [
-                (m["digit"], i, m["start"], m["windows"]) for i, marks in enumerate(batch.column("marks").to_pylist())
-                for m in marks if m["hot"] is False]
-            hot = [(i, m["start"], m["windows"]) for i, marks in enumerate(batch.column("marks").to_pylist())
-                   for m in marks if m["hot"]]
-            key, text, start, windows = np.array(cells, np.int64).reshape(-1, 4).T
-            later = np.zeros(len(key), bool)
-            if hot:
-                of = np.concatenate([np.full(w, i) for i, _, w in hot])
-                begin = np.concatenate([np.arange(s, s + w) for _, s, w in hot])
+            start, windows, place = runs(data, borders)
+            text = np.searchsorted(borders, start, "right") - 1
+            start -= borders[text]
+            digit = digits(_padded(data), place)
+            passed = digit_passes(digit) & run_passes(_run_number(keys[text], start))
+            text, start, windows, digit = text[passed], start[passed], windows[passed], digit[passed].view(np.int64)
+            hot = np.isin(digit, hot_digits)
+            later = np.zeros(int((~hot).sum()), bool)
+            if hot.any():
+                of = np.repeat(text[hot], windows[hot])
+                begin = np.concatenate([np.arange(s, s + w) for s, w in zip(start[hot].tolist(), windows[hot].tolist())])
                 at = begin + borders[of]
                 behind = np.zeros(len(at), bool)
                 index, group = radix_groups(_padded(data), at)
                 behind[index] = _behind(group, named[of[index]], doc[of[index]], begin[index])
                 view, digest = memoryview(data), xxhash.xxh3_64_intdigest
                 own = np.array([digest(view[x : x + WINDOW]) for x in at.tolist()], np.uint64).view(np.int64)
-                key, text, start = np.concatenate([key, own]), np.concatenate([text, of]), np.concatenate([start, begin])
-                windows, later = np.concatenate([windows, np.ones(len(at), np.int64)]), np.concatenate([later, behind])
+                digit, text, start = (np.concatenate(x) for x in ((digit[~hot], own), (text[~hot], of), (start[~hot], begin)))
+                windows, later = np.concatenate([windows[~hot], np.ones(len(at), np.int64)]), np.concatenate([later, behind])
             begin, size = start + borders[text], np.where(later, 0, windows + WINDOW - 1)
             text_bytes = data.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(rows[text]), pa.array(doc[text], mask=~named[text]), pa.array(start.astype(np.int32)),
+                [pa.array(digit), pa.array(keys[text]), pa.array(doc[text], mask=~named[text]), pa.array(start.astype(np.int32)),
                  pa.array(windows.astype(np.int32)), pa.array(later),
                  pa.array([text_bytes[x : x + z] for x, z in zip(begin.tolist(), size.tolist())], pa.binary())],
-                ["key", "row", "doc_id", "start", "windows", "later", "bytes"])
+                ["digit", "key", "doc_id", "start", "windows", "later", "bytes"])
 
-    return texts.mapInArrow(send, "key long, row long, doc_id long, start int, windows int, later boolean, bytes binary")
+    return texts.mapInArrow(send, "digit long, key long, doc_id long, start int, windows int, later boolean, bytes binary")
 
 
-def _repeated_windows(runs_of_key: DataFrame) -> DataFrame:
-    """(row, start, windows): stretches of repeated windows. Runs of a key lie side by side, and some thousands of
-    runs, whole keys, are put in order at once."""
+def _repeated_windows(open_runs: DataFrame) -> DataFrame:
+    """(key, doc_id, start, windows): stretches of repeated windows. Runs of a digit lie side by side, and some thousands of
+    runs, whole digits, are put in order at once."""
 
     def compare(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table_ = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        rows, first, windows = (table_.column(c).to_numpy() for c in ("row", "start", "windows"))
+        keys, first, windows = (table_.column(c).to_numpy() for c in ("key", "start", "windows"))
         named, doc = _ids(table_.column("doc_id"))
         known = table_.column("later").to_numpy(zero_copy_only=False)
         data, borders = _texts(table_.column("bytes").cast(pa.large_binary()))
-        of = np.repeat(np.arange(len(rows)), windows)
+        of = np.repeat(np.arange(len(keys)), windows)
         step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
         later, start = known[of], first[of] + step
         ask = np.flatnonzero(~later)
@@ -408,26 +444,22 @@ def _repeated_windows(runs_of_key: DataFrame) -> DataFrame:
         index = ask[index]
         later[index] = _behind(group, named[of[index]], doc[of[index]], start[index])
         found = np.flatnonzero(later)
-        new = np.ones(len(found), bool)
-        new[1:] = (np.diff(found) > 1) | (of[found[1:]] != of[found[:-1]])
-        begin = np.flatnonzero(new)
-        count = np.diff(np.append(begin, len(found)))
-        at = found[begin]
+        at, begin, count = _stretches(of[found], start[found], np.ones(len(found), np.int64))
         return pa.RecordBatch.from_arrays(
-            [pa.array(rows[of[at]]), pa.array(start[at].astype(np.int32)), pa.array(count.astype(np.int32))],
-            ["row", "start", "windows"])
+            [pa.array(keys[at]), pa.array(doc[at], mask=~named[at]), pa.array(begin.astype(np.int32)), pa.array(count.astype(np.int32))],
+            ["key", "doc_id", "start", "windows"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = batch.column("key").to_numpy()
-            if sum(b.num_rows for b in held) + len(keys) > RUNS_AT_ONCE:
-                new = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-                if held and held[-1].column("key")[-1].as_py() != keys[0]:
+            digit = batch.column("digit").to_numpy()
+            if sum(b.num_rows for b in held) + len(digit) > RUNS_AT_ONCE:
+                new = np.flatnonzero(digit[1:] != digit[:-1]) + 1
+                if held and held[-1].column("digit")[-1].as_py() != digit[0]:
                     new = np.append(0, new)
-                if len(new):  # the last key of the batch may go on
+                if len(new):  # the last digit of the batch may go on
                     held.append(batch.slice(0, int(new[-1])))
                     yield compare(held)
                     held, batch = [], batch.slice(int(new[-1]))
@@ -435,46 +467,79 @@ def _repeated_windows(runs_of_key: DataFrame) -> DataFrame:
         if held:
             yield compare(held)
 
-    parts = int(runs_of_key.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return runs_of_key.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "row long, start int, windows int")
+    parts = int(open_runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return open_runs.repartition(parts, "digit").sortWithinPartitions("digit").mapInArrow(
+        run, "key long, doc_id long, start int, windows int")
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, doc_id, spans) of rows with ``found``, stretches as start * 2^32 + windows."""
+    for batch in batches:
+        found = batch.column("found")
+        text = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy())
+        value = found.flatten().to_numpy()
+        value = value[np.lexsort((value, text))]
+        start, windows = value >> 32, value & 0xFFFFFFFF
+        end = start + windows + WINDOW - 1
+        far = text << 32  # beyond the end of every text before
+        reach = np.maximum.accumulate(far + end) - far if len(text) else end
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (start[1:] > reach[:-1])
+        begin = np.flatnonzero(new)
+        last = np.append(begin[1:], len(text)) - 1
+        spans = pa.StructArray.from_arrays(
+            [pa.array(start[begin].astype(np.int32)), pa.array(reach[last].astype(np.int32))], ["start", "end"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("doc_id"), _lists(text[begin], batch.num_rows, spans)], ["key", "doc_id", "spans"])
+
+
+def _passing(texts: DataFrame, name: str, log: int, wanted: bool) -> DataFrame:
+    """The texts whose key passes the bitmap, or the others."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = _passes(name, log)
+        for batch in batches:
+            yield batch.filter(pa.array(passes(batch.column("key").to_numpy().view(np.uint64)) == wanted))
+
+    return texts.mapInArrow(choose, texts.schema)
 
 
 def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(doc_id, text, spans): every row of ``docs`` (doc_id, text) with its repeated bytes as (start, end)
-    pairs, in order and apart from each other; empty where there are none."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs, in order and apart from each other; empty where there are none. ``docs`` is read five times, each time as one
+    scan without its texts being stored; write first what is costly to derive."""
+    spark = docs.sparkSession
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets_log = min(20, max(0, (partitions - 1).bit_length()))
-    name, log = _filter(_repeated_digits(texts, buckets_log), buckets_log, filter_bits)
-    found = materialise(_candidates(texts, name, log))
-    marks = materialise(_marks(found))
-    touched = found.where(F.size("parts") > 0).drop("parts")
-    open_texts = touched.join(marks.where(F.exists("marks", lambda m: m["digit"].isNotNull())), "row")
-    more = materialise(
-        _repeated_windows(_open_runs(open_texts)).groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("more")))
-    spans = touched.join(marks, "row", "left").join(more, "row", "left").drop("row").mapInArrow(
-        _merged, "doc_id long, text string, spans array<struct<start:int,end:int>>")
-    none = F.array().cast("array<struct<start:int,end:int>>").alias("spans")
-    return found.where(F.size("parts") == 0).select("doc_id", "text", none).unionByName(spans)
-
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = []
-        for marks, more in zip(batch.column("marks").to_pylist(), batch.column("more").to_pylist()):
-            repeated = [m for m in marks or () if m["digit"] is None] + (more or [])
-            pairs = sorted((m["start"], m["start"] + m["windows"] + WINDOW - 1) for m in repeated)
-            joined: list[list[int]] = []
-            for start, end in pairs:
-                if joined and start <= joined[-1][1]:
-                    joined[-1][1] = max(end, joined[-1][1])
-                else:
-                    joined.append([start, end])
-            spans.append([{"start": s, "end": e} for s, e in joined])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text"),
-             pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-            ["doc_id", "text", "spans"])
+    def bitmap(rows: DataFrame, numbers: Callable, several: bool = False) -> tuple[str, int]:
+        return _filter(_numbers(rows, numbers, buckets_log, several), buckets_log, filter_bits)
+
+    repeated = bitmap(texts.select("text"), _digits_of, True)
+    found = materialise(_candidates(texts, *repeated))
+    decided = materialise(_after_first(found.select("key", "doc_id", F.explode("parts").alias("r")).select("key", "doc_id", "r.*")))
+    ahead = decided.where(F.col("digit").isNotNull())
+    several = materialise(
+        ahead.groupBy("digit").agg(F.count_if("first").alias("wholes"), F.count("*").alias("n"))
+        .where("wholes > 1").select("digit", (F.col("n") > HOT).alias("hot")))
+    # At most one digit for HOT open runs.
+    hot = np.array([row["digit"] for row in several.where("hot").select("digit").collect()], np.int64)
+    open_runs = ahead.join(several.select("digit"), "digit").select("key", "start")
+    more = _repeated_windows(_open_runs(texts, repeated, bitmap(open_runs, _run_numbers), hot))
+    place = ["key", "doc_id", "start", "windows"]
+    known = found.select("key", "doc_id", F.explode("known").alias("r")).select("key", "doc_id", "r.*")
+    stretch = F.shiftleft(F.col("start").cast("long"), 32) + F.col("windows")
+    spans = materialise(
+        known.unionByName(decided.where(F.col("digit").isNull()).select(*place)).unionByName(more)
+        .groupBy("key", "doc_id").agg(F.collect_set(stretch).alias("found"))
+        .mapInArrow(_merged, "key long, doc_id long, spans array<struct<start:int,end:int>>"))
+    name, log = bitmap(spans.select("key"), _keys)
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    touched, of = _passing(texts, name, log, True), spans.withColumnsRenamed({"key": "of", "doc_id": "of_doc"})
+    marked = touched.join(of, (F.col("key") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("of_doc")), "left")
+    return _passing(texts, name, log, False).select("doc_id", "text", none.alias("spans")).unionByName(
+        marked.select("doc_id", "text", F.coalesce("spans", none).alias("spans")))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
