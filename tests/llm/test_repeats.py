@@ -100,6 +100,20 @@ def test_texts_are_neither_stored_nor_shuffled(spark, tmp_path, monkeypatch):
     assert _bytes_below([*local, f"{tmp_path}/steps"]) - before < size
 
 
+def test_runs_that_pass_by_chance_are_sent_once_a_part(spark, monkeypatch):
+    """A passage of 400 texts, while nearly every run passes the bitmap: its runs do not all meet in one task."""
+    r = random.Random(9)
+    passage = _prose(r, 60)
+    rows = [(i, f"{_prose(r, 20)}{passage}{_prose(r, 20)}") for i in range(400)]
+    sent = []
+    compare = repeats._repeated_windows
+    monkeypatch.setattr(
+        repeats, "_repeated_windows", lambda runs: sent.append(runs.groupBy("digit").count().agg(F.max("count")).first()[0]) or compare(runs))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    repeated = repeated_spans(docs, 64).agg(F.sum(F.expr("aggregate(spans, 0, (n, s) -> n + s.end - s.start)"))).first()[0]
+    assert repeated == sum(x[2] for x in slow_repeats(rows)) and sent[0] < 400
+
+
 def test_repeated_rows(spark, cases):
     """Rows that repeat within a task and across tasks share their spans and stay rows of their own."""
     rows = cases + cases[:12] * 3

@@ -294,6 +294,22 @@ def _behind(group: np.ndarray, named: np.ndarray, doc: np.ndarray, start: np.nda
     return out
 
 
+def _wholes(data: np.ndarray, at: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of all bytes of each run."""
+    view, digest = memoryview(data), xxhash.xxh3_64_intdigest
+    return np.array([digest(view[x : x + w + WINDOW - 1]) for x, w in zip(at.tolist(), windows.tolist())], np.uint64)
+
+
+def _groups(digit: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """A number for each pair that differs."""
+    order = np.lexsort((digit, whole))
+    new = np.ones(len(order), bool)
+    new[1:] = (digit[order[1:]] != digit[order[:-1]]) | (whole[order[1:]] != whole[order[:-1]])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new)
+    return group
+
+
 def _stretches(text: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs in order of text and start; those that touch become one."""
     new = np.ones(len(text), bool)
@@ -323,17 +339,11 @@ def _candidates(texts: DataFrame, name: str, log: int) -> DataFrame:
             digit = digits(_padded(data), place)
             passed = passes(digit)
             start, count, digit = start[passed], count[passed], digit[passed]
-            view, whole = memoryview(data), xxhash.xxh3_64_intdigest
-            keys = np.array([whole(view[s : s + c + WINDOW - 1]) for s, c in zip(start.tolist(), count.tolist())], np.uint64)
+            keys = _wholes(data, start, count)
             text = np.searchsorted(borders, start, "right") - 1
             start -= borders[text]
             named, doc = _ids(batch.column("doc_id"))
-            order = np.lexsort((digit, keys))
-            new = np.ones(len(order), bool)
-            new[1:] = (digit[order[1:]] != digit[order[:-1]]) | (keys[order[1:]] != keys[order[:-1]])
-            group = np.empty(len(order), np.int64)
-            group[order] = np.cumsum(new)
-            later = _behind(group, named[text], doc[text], start)
+            later = _behind(_groups(digit, keys), named[text], doc[text], start)
             parts = pa.StructArray.from_arrays(
                 [pa.array(digit[~later].view(np.int64)), pa.array(keys[~later].view(np.int64)),
                  pa.array(start[~later].astype(np.int32)), pa.array(count[~later].astype(np.int32))], fields=list(_RUN))
@@ -387,7 +397,7 @@ def _after_first(parts: DataFrame) -> DataFrame:
 
 def _open_runs(texts: DataFrame, repeated: tuple[str, int], open_runs: tuple[str, int], hot_digits: np.ndarray) -> DataFrame:
     """(digit, key, doc_id, start, windows, later, bytes) of the runs to compare, those that pass the bitmaps of repeated digits and
-    of open runs. Of a hot digit every window is a row of its own with its hash in the digit's place, and of equal windows of a
+    of open runs; of equal ones of a part of a task only the first. Of a hot digit every window is a row of its own with its hash in the digit's place, and of equal windows of a
     part of a task the first is kept."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,7 +411,11 @@ def _open_runs(texts: DataFrame, repeated: tuple[str, int], open_runs: tuple[str
             start -= borders[text]
             digit = digits(_padded(data), place)
             passed = digit_passes(digit) & run_passes(_run_number(keys[text], start))
-            text, start, windows, digit = text[passed], start[passed], windows[passed], digit[passed].view(np.int64)
+            text, start, windows, digit = text[passed], start[passed], windows[passed], digit[passed]
+            # Open runs are first of their kind: others passed by chance, and a frequent digit has many.
+            whole = _wholes(data, start + borders[text], windows)
+            first = ~_behind(_groups(digit, whole), named[text], doc[text], start)
+            text, start, windows, digit = text[first], start[first], windows[first], digit[first].view(np.int64)
             hot = np.isin(digit, hot_digits)
             later = np.zeros(int((~hot).sum()), bool)
             if hot.any():
@@ -411,8 +425,7 @@ def _open_runs(texts: DataFrame, repeated: tuple[str, int], open_runs: tuple[str
                 behind = np.zeros(len(at), bool)
                 index, group = radix_groups(_padded(data), at)
                 behind[index] = _behind(group, named[of[index]], doc[of[index]], begin[index])
-                view, digest = memoryview(data), xxhash.xxh3_64_intdigest
-                own = np.array([digest(view[x : x + WINDOW]) for x in at.tolist()], np.uint64).view(np.int64)
+                own = _wholes(data, at, np.ones(len(at), np.int64)).view(np.int64)
                 digit, text, start = (np.concatenate(x) for x in ((digit[~hot], own), (text[~hot], of), (start[~hot], begin)))
                 windows, later = np.concatenate([windows[~hot], np.ones(len(at), np.int64)]), np.concatenate([later, behind])
             begin, size = start + borders[text], np.where(later, 0, windows + WINDOW - 1)
@@ -493,15 +506,14 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("key"), batch.column("doc_id"), _lists(text[begin], batch.num_rows, spans)], ["key", "doc_id", "spans"])
 
 
-def _passing(texts: DataFrame, name: str, log: int, wanted: bool) -> DataFrame:
-    """The texts whose key passes the bitmap, or the others."""
+def _passing(name: str, log: int) -> Callable:
+    """A column function: which keys pass the bitmap. Only the keys become Arrow data, not the texts beside them."""
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = _passes(name, log)
-        for batch in batches:
-            yield batch.filter(pa.array(passes(batch.column("key").to_numpy().view(np.uint64)) == wanted))
+    @F.arrow_udf("boolean")
+    def passing(key: pa.Array) -> pa.Array:
+        return pa.array(_passes(name, log)(key.to_numpy().view(np.uint64)))
 
-    return texts.mapInArrow(choose, texts.schema)
+    return passing
 
 
 def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -534,11 +546,11 @@ def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame
         known.unionByName(decided.where(F.col("digit").isNull()).select(*place)).unionByName(more)
         .groupBy("key", "doc_id").agg(F.collect_set(stretch).alias("found"))
         .mapInArrow(_merged, "key long, doc_id long, spans array<struct<start:int,end:int>>"))
-    name, log = bitmap(spans.select("key"), _keys)
+    passing = _passing(*bitmap(spans.select("key"), _keys))("key")
     none = F.array().cast("array<struct<start:int,end:int>>")
-    touched, of = _passing(texts, name, log, True), spans.withColumnsRenamed({"key": "of", "doc_id": "of_doc"})
+    touched, of = texts.where(passing), spans.withColumnsRenamed({"key": "of", "doc_id": "of_doc"})
     marked = touched.join(of, (F.col("key") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("of_doc")), "left")
-    return _passing(texts, name, log, False).select("doc_id", "text", none.alias("spans")).unionByName(
+    return texts.where(~passing).select("doc_id", "text", none.alias("spans")).unionByName(
         marked.select("doc_id", "text", F.coalesce("spans", none).alias("spans")))
 
 
